@@ -166,18 +166,19 @@ VIEWS: dict[str, str] = {
         select o_orderkey as id, 1 as version, {_pick("o_orderkey % 3", STAGES[:3])} as stagename,
                cast(o_totalprice as decimal(18,2)) - 10 as amount, cast(10 + o_orderkey % 30 as decimal(5,2)) as probability,
                cast(o_orderdate + interval 9191 days as date) as closedate, false as isclosed, false as iswon,
-               o_orderkey % 10 as ownerid, o_orderdate + interval 9131 days as systemmodstamp from {{orders}}
+               o_orderkey % 10 as ownerid, false as isdeleted, o_orderdate + interval 9131 days as systemmodstamp from {{orders}}
         union all
         select o_orderkey as id, 2 as version, {_pick("o_orderkey % 8", _OPEN)} as stagename,
                cast(o_totalprice as decimal(18,2)) + 5 as amount, cast(20 + o_orderkey % 60 as decimal(5,2)) as probability,
                cast(o_orderdate + interval 9176 days as date) as closedate, false as isclosed, false as iswon,
-               o_orderkey % 10 as ownerid, o_orderdate + interval 9151 days as systemmodstamp from {{orders}}
+               o_orderkey % 10 as ownerid, false as isdeleted, o_orderdate + interval 9151 days as systemmodstamp from {{orders}}
         union all
         select o_orderkey as id, 3 as version, {_FINAL_STAGE} as stagename,
                cast(o_totalprice as decimal(18,2)) as amount, cast((o_orderkey * 7) % 101 as decimal(5,2)) as probability,
                cast(o_orderdate + interval 9176 days as date) as closedate,
                o_orderstatus in ('F','P') as isclosed, o_orderstatus = 'F' as iswon,
-               o_orderkey % 10 as ownerid, o_orderdate + interval 9181 days as systemmodstamp from {{orders}}""",
+               o_orderkey % 10 as ownerid, o_orderkey % 89 = 5 as isdeleted, o_orderdate + interval 9181 days as systemmodstamp
+        from {{orders}}""",
     # Two versions per account.
     "AccountVersion": """
         select c_custkey as id, 1 as version, c_mktsegment as industry, c_custkey % 10 as ownerid,

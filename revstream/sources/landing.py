@@ -14,6 +14,11 @@ from revstream.operators.incremental import as_utc, ntz
 ROWS_PER_FILE = 50_000
 # Texts the file format reads as NULL.
 NULL_TEXTS = ("", "null", "NULL", "None")
+# Whole microseconds in text files; the default writers stop at milliseconds.
+TIMESTAMP_TEXT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def object_path(root: str, obj: str) -> str:
@@ -41,6 +46,7 @@ def land_ndjson(df: DataFrame, root: str, obj: str, run_ts: datetime) -> None:
         out.write.mode("append")
         .option("ignoreNullFields", "false")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .options(**TIMESTAMP_TEXT)
         .json(f"{object_path(root, obj)}/date={as_utc(run_ts):%Y-%m-%d}")
     )
 
@@ -152,23 +158,27 @@ def variant_extract(df: DataFrame, column: str, path: str, kind: str) -> Column:
 
 
 def append_raw(loaded: DataFrame, path: str) -> None:
-    """Append to a raw table laid out by day of modification.
+    """Append to a raw table laid out by month of modification and ordered by time within its files.
 
-    The rebalance keeps one day in few files and splits a day that is far larger than the others.
+    A day or an hour is then found by the files' min/max statistics, without a folder per day: years of
+    history arriving at once would scatter every task over thousands of folders. The rebalance keeps a
+    month in few files and splits one that is far larger than the others.
     """
     (
-        loaded.withColumn("mod_day", F.to_date("systemmodstamp"))
-        .hint("rebalance", "mod_day")
+        loaded.withColumn("mod_month", F.trunc("systemmodstamp", "month"))
+        .hint("rebalance", "mod_month")
+        .sortWithinPartitions("mod_month", "systemmodstamp")
         .write.mode("append")
-        .partitionBy("mod_day")
+        .partitionBy("mod_month")
         .parquet(path)
     )
 
 
 def read_raw(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    """The raw table; ``since`` prunes whole days and then filters rows."""
+    """The raw table; ``since`` prunes whole months and then filters rows."""
     df = spark.read.parquet(path)
     if since is not None:
         start = as_utc(since)
-        df = df.filter((F.col("mod_day") >= F.lit(start.date())) & (F.col("systemmodstamp") >= ntz(start)))
-    return df.drop("mod_day")
+        month = F.lit(start.date().replace(day=1))
+        df = df.filter((F.col("mod_month") >= month) & (F.col("systemmodstamp") >= ntz(start)))
+    return df.drop("mod_month")

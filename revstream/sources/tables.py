@@ -21,6 +21,13 @@ from revstream.session import checkpointed
 
 COMMIT = "version int, operation string, committed_at string, row_count bigint, buckets int, schema string, parts array<string>"
 
+# Hash buckets of a keyed table. Set it per table so that a bucket is a few files of the advisory size.
+BUCKETS = 64
+
+
+def _bucket(part: str) -> int:
+    return int(part.rsplit("=", 1)[1])
+
 
 class Table:
     def __init__(self, spark: SparkSession, path: str):
@@ -55,56 +62,64 @@ class Table:
 
     # -- writing -----------------------------------------------------------------------------------
 
-    def overwrite(self, df: DataFrame) -> None:
-        version, part = self._next()
-        df.write.parquet(self._folder(part))
-        self._commit(version, "overwrite", [part], df.schema, self._count(part, df.schema))
+    def overwrite(self, df: DataFrame, key: str | None = None, buckets: int = BUCKETS) -> None:
+        """Replace the table; with ``key`` it is laid out in hash buckets for later upserts."""
+        version, part = self._next(self.head())
+        if key:
+            parts, rows = self._write_buckets(df, key, buckets, part)
+            self._commit(version, "overwrite", parts, df.schema, rows, buckets)
+        else:
+            df.write.parquet(self._folder(part))
+            self._commit(version, "overwrite", [part], df.schema, self._count(part, df.schema))
 
     def append(self, df: DataFrame) -> None:
         head = self.head()
-        version, part = self._next()
+        version, part = self._next(head)
         df.write.parquet(self._folder(part))
         before = (list(head.parts), head.row_count) if head else ([], 0)
         self._commit(version, "append", [*before[0], part], df.schema, before[1] + self._count(part, df.schema))
 
     def upsert(
-        self, updates: DataFrame, key: str, newer: str | None = None, deletes: DataFrame | None = None, buckets: int = 64
+        self,
+        updates: DataFrame,
+        key: str,
+        newer: str | None = None,
+        deletes: DataFrame | None = None,
+        insert_only: bool = False,
+        buckets: int = BUCKETS,
+        materialize: bool = True,
     ) -> None:
         """Merge ``updates`` by ``key``; rewrite only the hash buckets that hold a changed key.
 
-        ``newer`` keeps a stored row that is later in that column than its update. ``deletes`` are keys
-        to remove. The schema follows the updates.
+        ``newer``, ``deletes`` and ``insert_only`` are those of ``merge_upsert``. The schema follows the
+        updates. ``updates`` is read twice; ``materialize=False`` skips writing it to the checkpoint
+        folder first, for updates that are a cheap projection of a stored table.
         """
         head = self.head()
-        version, part = self._next()
-        buckets = head.buckets if head and head.buckets else buckets
+        if head is None:
+            self.overwrite(merge_upsert(None, updates, key, newer, deletes), key, buckets)
+            return
+        version, part = self._next(head)
         schema = updates.schema
-        updates = checkpointed(updates)  # read twice below
-        touched_keys = updates.select(key) if deletes is None else updates.select(key).unionByName(deletes.select(key))
-        # At most ``buckets`` values come to the driver.
-        touched = {r[0] for r in touched_keys.select(bucket_of(key, buckets)).distinct().collect()}
-        kept, old_parts = [], []
-        for p in head.parts if head else []:
-            (old_parts if int(p.rsplit("=", 1)[1]) in touched else kept).append(p)
-        target = self._load(old_parts, head.schema) if old_parts else None
-        merged = merge_upsert(target, updates, key, newer=newer, deletes=deletes)
-        merged = sync_columns(merged, schema.names).withColumn("bucket", bucket_of(key, buckets))
-        merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(self._folder(part))
-        sizes = (
-            self.spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())]))
-            .parquet(self._folder(part))
-            .groupBy("bucket")
-            .count()
-            .collect()
-        )
-        parts = kept + [f"{part}/bucket={r['bucket']}" for r in sorted(sizes)]
-        rows = sum(r["count"] for r in sizes) + (self._load(kept, head.schema).count() if kept else 0)
-        self._commit(version, "upsert", parts, schema, rows, buckets)
+        updates = checkpointed(updates) if materialize else updates
+        kept, replaced = [], list(head.parts)
+        if head.buckets:
+            buckets = head.buckets
+            keys = updates.select(key) if deletes is None else updates.select(key).unionByName(deletes.select(key))
+            # At most ``buckets`` values come to the driver.
+            touched = {r[0] for r in keys.select(bucket_of(key, buckets)).distinct().collect()}
+            kept = [p for p in head.parts if _bucket(p) not in touched]
+            replaced = [p for p in head.parts if _bucket(p) in touched]
+        target = self._load(replaced, head.schema) if replaced else None
+        merged = merge_upsert(target, updates, key, newer, deletes, insert_only)
+        parts, rows = self._write_buckets(sync_columns(merged, schema.names), key, buckets, part)
+        rows += self._load(kept, head.schema).count() if kept else 0
+        self._commit(version, "upsert", kept + parts, schema, rows, buckets)
 
     def snapshot(self, step: DataFrame) -> None:
         """Store one ``scd2_step``: replace the open versions, keep every closed one written so far."""
         head = self.head()
-        version, part = self._next()
+        version, part = self._next(head)
         split = step.withColumn("is_open", F.col("valid_to").isNull().cast("int"))
         split.write.partitionBy("is_open").parquet(self._folder(part))
         closed_before = [p for p in head.parts if p.endswith("is_open=0")] if head else []
@@ -120,15 +135,26 @@ class Table:
 
     # -- internals ---------------------------------------------------------------------------------
 
-    def _next(self) -> tuple[int, str]:
+    @staticmethod
+    def _next(head: Row | None) -> tuple[int, str]:
         """The next version and a folder name no failed attempt has used."""
-        head = self.head()
         version = 1 if head is None else head.version + 1
         return version, f"v{version}-{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
 
     def _folder(self, part: str) -> str:
         return f"{self.path}/data/{part}"
 
+    def _write_buckets(self, df: DataFrame, key: str, buckets: int, part: str) -> tuple[list[str], int]:
+        """Write by hash bucket; returns the folders written and their rows.
+
+        The rebalance gathers a bucket into few files and splits one that outgrows the advisory size.
+        """
+        out = df.withColumn("bucket", bucket_of(key, buckets))
+        out.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(self._folder(part))
+        with_bucket = T.StructType([*df.schema.fields, T.StructField("bucket", T.IntegerType())])
+        sizes = self.spark.read.schema(with_bucket).parquet(self._folder(part)).groupBy("bucket").count().collect()
+        return [f"{part}/bucket={r['bucket']}" for r in sorted(sizes)], sum(r["count"] for r in sizes)
+
     def _count(self, part: str, schema: T.StructType) -> int:
         return self.spark.read.schema(schema).parquet(self._folder(part)).count()
 

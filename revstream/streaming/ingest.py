@@ -38,9 +38,9 @@ def auto_ingest(
     loaded = load_typed(landing_stream(spark, root, obj, files_per_trigger), obj, loaded_at)
     query = (
         loaded.withColumn("is_bad", F.col("_bad_fields").isNotNull())
-        .withColumn("mod_day", F.to_date("systemmodstamp"))
+        .withColumn("mod_month", F.trunc("systemmodstamp", "month"))
         .writeStream.format("parquet")
-        .partitionBy("is_bad", "mod_day")
+        .partitionBy("is_bad", "mod_month")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(table)
@@ -50,7 +50,7 @@ def auto_ingest(
 
 
 def read_ingested(spark: SparkSession, table: str, bad: bool = False) -> DataFrame:
-    df = spark.read.parquet(table).filter(F.col("is_bad") == F.lit(bad)).drop("is_bad", "mod_day")
+    df = spark.read.parquet(table).filter(F.col("is_bad") == F.lit(bad)).drop("is_bad", "mod_month")
     return df if bad else df.drop("_bad_fields", "_corrupt_record")
 
 
