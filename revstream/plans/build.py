@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,13 @@ SNAPSHOTS = ("Account", "Contact", "Lead", "Opportunity")
 ENRICHED = "opportunity_enriched"
 
 
+def _together(jobs: list[Callable[[], None]], parallel: int) -> None:
+    """Run independent table builds side by side; the first failure is raised when all have ended."""
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
+
+
 class Warehouse:
     """The tables of one run, by name, under one folder."""
 
@@ -106,47 +116,56 @@ def build(
     closed_deals: str = "drop",
     buckets: int = BUCKETS,
     checks: bool = True,
+    parallel: int = 4,
 ) -> Warehouse:
     """Run the graph once. Staging comes before history, so history reflects this run's data.
 
     Every stage reads stored tables, so no plan spans the graph and a lost executor replays one stage.
+    Tables that do not depend on each other are built ``parallel`` at a time.
     """
     wh = Warehouse(spark, path)
-    for obj in STAGING:
+
+    def staging(obj: str) -> None:
         update_staging(wh, raw[obj], obj, full_refresh, dedup_order=(dedup_orders or {}).get(obj), buckets=buckets)
-    for obj in SNAPSHOTS:
-        update_snapshot(wh, obj, as_of)
+
+    _together([partial(staging, obj) for obj in STAGING], parallel)
 
     stg = {obj: wh.read(name) for obj, name in STAGING.items()}
     acc, con, led, opp = (stg[o] for o in ("Account", "Contact", "Lead", "Opportunity"))
     usr, cam, mem = (stg[o] for o in ("User", "Campaign", "CampaignMember"))
     leads = enrich.lead_enriched(led, usr, mem, cam)
-    for name, df in {
+    rebuilt = {
+        # Three facts read this, so it is joined and stored once.
+        ENRICHED: enrich.opportunity_enriched(opp, acc, usr, cam, stg["OpportunityLineItem"], as_of, keys=True),
         "dim_account": dims.dim_account(acc, usr, as_of),
         "dim_contact": dims.dim_contact(con, acc, usr, as_of),
         "dim_lead": dims.dim_lead(leads, as_of),
         "dim_user": dims.dim_user(usr, as_of),
         "dim_campaign": dims.dim_campaign(cam, usr, as_of),
         "dim_date": dims.dim_date(spark, as_of),
-        # Three facts read this, so it is joined and stored once.
-        ENRICHED: enrich.opportunity_enriched(opp, acc, usr, cam, stg["OpportunityLineItem"], as_of, keys=True),
-    }.items():
-        wh.table(name).overwrite(df)
+    }
+    _together(
+        [partial(wh.table(name).overwrite, df) for name, df in rebuilt.items()]
+        + [partial(update_snapshot, wh, obj, as_of) for obj in SNAPSHOTS],
+        parallel,
+    )
 
     enriched = wh.read(ENRICHED)
     pipeline = wh.table("fct_sales_pipeline")
-    pipeline.overwrite(pipeline_after(pipeline.read(), facts.fct_sales_pipeline(enriched, as_of), closed_deals))
-    merge = {"full": full_refresh, "buckets": buckets}
-    _merge(wh, "fct_bookings", facts.fct_bookings(enriched, as_of), "booking_id", insert_only=bookings_insert_only, **merge)
-    _merge(wh, "fct_win_rate", facts.fct_win_rate(enriched, as_of), "win_rate_id", **merge)
-    _merge(
-        wh, "fct_campaign_performance", facts.fct_campaign_performance(cam, mem, opp, as_of),
-        "campaign_performance_id", **merge,
-    )
-    _merge(
-        wh, "fct_demand_generation", facts.fct_demand_generation(mem, led, con, cam, opp, as_of), "demand_gen_id",
-        materialize=True, **merge,
-    )
+    still_open = pipeline_after(pipeline.read(), facts.fct_sales_pipeline(enriched, as_of), closed_deals)
+    performance = facts.fct_campaign_performance(cam, mem, opp, as_of)
+    demand = facts.fct_demand_generation(mem, led, con, cam, opp, as_of)
+    merge = partial(_merge, wh, full=full_refresh, buckets=buckets)
+    _together(
+        [
+            partial(pipeline.overwrite, still_open),
+            partial(merge, "fct_bookings", facts.fct_bookings(enriched, as_of), "booking_id", insert_only=bookings_insert_only),
+            partial(merge, "fct_win_rate", facts.fct_win_rate(enriched, as_of), "win_rate_id"),
+            partial(merge, "fct_campaign_performance", performance, "campaign_performance_id"),
+            partial(merge, "fct_demand_generation", demand, "demand_gen_id", materialize=True),
+        ],
+        parallel,
+    )
     if checks:
         wh.table("quality_results").overwrite(check_tables(wh))
     return wh
