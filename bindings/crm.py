@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bindings.crm_views import AS_OF, view
@@ -19,23 +18,23 @@ LINE_ITEM_ORDER = ("systemmodstamp", "product2id", "pricebookentryid", "quantity
 def show(df: DataFrame) -> DataFrame:
     """Columns in types that read the same from both engines: decimals as double, dates and flags as text."""
 
-    def cast(f: T.StructField):
-        c = F.col(f"`{f.name}`")
+    def cast(f: T.StructField) -> str:
         if isinstance(f.dataType, T.DecimalType):
-            return c.cast("double").alias(f.name)
+            return f"cast({f.name} as double) as {f.name}"
         if isinstance(f.dataType, (T.DateType, T.BooleanType)):
-            return c.cast("string").alias(f.name)
-        return c
+            return f"cast({f.name} as string) as {f.name}"
+        return f.name
 
-    return df.select(*[cast(f) for f in df.schema.fields])
+    return df.selectExpr(*[cast(f) for f in df.schema.fields])
 
 
 class Crm:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, name)
+        return view(self.spark, self.sf_dir, name, self.tables)
 
     def stg(self, obj: str) -> DataFrame:
         raw = self.raw(obj)

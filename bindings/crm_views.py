@@ -222,11 +222,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The named CRM view over the tables in ``sf_dir``."""
-    text = VIEWS[name]
-    used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
-    return spark.sql(text, **used)
+def view(spark: SparkSession, sf_dir: str, name: str, opened: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The named CRM view over the tables in ``sf_dir``; ``opened`` keeps tables already looked up."""
+    text, opened = VIEWS[name], {} if opened is None else opened
+    used = [t for t in TABLES if "{" + t + "}" in text]
+    for t in used:
+        if t not in opened:
+            opened[t] = table(spark, sf_dir, t)
+    return spark.sql(text, **{t: opened[t] for t in used})
 
 
 def view_sql(name: str) -> str:

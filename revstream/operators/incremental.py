@@ -27,8 +27,12 @@ def _source(name: str) -> dict[str, str]:
     return SOURCES[name]
 
 
+def deleted_column(source: str = "landing") -> str:
+    return _source(source)["deleted"]
+
+
 def delete_flag(df: DataFrame, source: str = "landing") -> Column:
-    return F.coalesce(df[_source(source)["deleted"]].cast("boolean"), F.lit(False))
+    return F.coalesce(df[deleted_column(source)].cast("boolean"), F.lit(False))
 
 
 def loaded_at(source: str = "landing") -> str:
@@ -68,11 +72,11 @@ def incremental_extract(source: DataFrame, obj: str, since: datetime) -> DataFra
     """
     have = {c.lower() for c in source.columns}
     cols = [
-        F.col(f.column).alias(f.wire) if f.column in have else F.lit(None).cast(f.kind).alias(f.wire)
+        f"{f.column} as {f.wire}" if f.column in have else f"cast(null as {f.kind}) as {f.wire}"
         for f in crm_object(obj).fields
         if f.extracted
     ]
-    return source.filter(F.col("systemmodstamp") >= ntz(since)).select(*cols)
+    return source.filter(F.col("systemmodstamp") >= ntz(since)).selectExpr(*cols)
 
 
 def incremental_filter(

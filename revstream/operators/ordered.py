@@ -10,33 +10,38 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A key is cut when it has at least this many rows; only the largest keys are considered, so the
-# broadcast tables below hold at most HOT_KEYS and HOT_KEYS * RANGES rows whatever the data size.
+# A key is cut when it has at least this many rows; only the largest keys are considered, so the key
+# list and the broadcast tables below hold at most HOT_KEYS and HOT_KEYS * RANGES rows whatever the data
+# size.
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
 RANGES = 64
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys with at least ``min_rows`` rows; counting combines on the map side."""
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= min_rows)
-        .orderBy(F.desc("_n"), key)
-        .limit(HOT_KEYS)
-        .select(key)
-    )
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
+    """The largest keys with at least ``min_rows`` rows, at most HOT_KEYS of them.
+
+    Counting combines on the map side and only the top of the list comes to the driver.
+    """
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.filter(F.col("_n") >= min_rows).orderBy(F.desc("_n"), key).limit(HOT_KEYS)
+    return [r[0] for r in top.collect()]
 
 
-def cut_hot_keys(df: DataFrame, key: str, order: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_range``: 0.. within a hot key, rising with ``order``; NULL for every other key."""
+def cut_hot_keys(df: DataFrame, key: str, order: str, min_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Add ``_range``: 0.. within a hot key, rising with ``order``; NULL for every other key.
+
+    None when no key is hot.
+    """
     pairs = df.select(key, order)
-    hot = F.broadcast(hot_keys(pairs, key, min_rows))
+    hot = hot_keys(pairs, key, min_rows)
+    if not hot:
+        return None
+    listed = F.broadcast(df.sparkSession.createDataFrame([(k,) for k in hot], T.StructType([pairs.schema[key]])))
     points = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
-    cuts = pairs.join(hot, key, "left_semi").groupBy(key).agg(F.percentile_approx(order, points, 2000).alias("_cuts"))
+    cuts = pairs.join(listed, key, "left_semi").groupBy(key).agg(F.percentile_approx(order, points, 2000).alias("_cuts"))
     tagged = df.join(F.broadcast(cuts), key, "left")
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
     return tagged.withColumn("_range", F.when(F.col("_cuts").isNotNull(), below)).drop("_cuts")
@@ -57,8 +62,15 @@ def with_neighbours(
     """
     following, preceding = following or {}, preceding or {}
     cut = cut_hot_keys(df, key, order, min_rows)
-    w = Window.partitionBy(key, "_range").orderBy(order, *ties)
-    one = F.lit(1)
+
+    def neighbours(w: Window) -> dict[str, Column]:
+        return {
+            **{new: F.lead(old).over(w) for new, old in following.items()},
+            **{new: F.lag(old).over(w) for new, old in preceding.items()},
+        }
+
+    if cut is None:
+        return df.withColumns(neighbours(Window.partitionBy(key).orderBy(order, *ties)))
 
     position = F.struct(order, *ties)
     carried = F.struct(*[F.col(c) for c in dict.fromkeys([*following.values(), *preceding.values()])])
@@ -74,17 +86,16 @@ def with_neighbours(
             F.lag("_tail").over(across).alias("_prev_tail"),
         )
     )
-    out = cut.withColumns(
-        {
-            "_has_next": F.lead(one).over(w),
-            "_has_prev": F.lag(one).over(w),
-            **{new: F.lead(old).over(w) for new, old in following.items()},
-            **{new: F.lag(old).over(w) for new, old in preceding.items()},
-        }
-    ).join(F.broadcast(links), [key, "_range"], "left")
+    w = Window.partitionBy(key, "_range").orderBy(order, *ties)
+    ends = {"_has_next": F.lead(F.lit(1)).over(w), "_has_prev": F.lag(F.lit(1)).over(w)}
+    out = cut.withColumns({**ends, **neighbours(w)}).join(F.broadcast(links), [key, "_range"], "left")
+
+    def across_cut(end: str, link: str, new: str, old: str) -> Column:
+        return F.when(F.col(end).isNull(), F.col(link)[old]).otherwise(F.col(new))
+
     filled = {
-        **{n: F.when(F.col("_has_next").isNull(), F.col("_next_head")[o]).otherwise(F.col(n)) for n, o in following.items()},
-        **{n: F.when(F.col("_has_prev").isNull(), F.col("_prev_tail")[o]).otherwise(F.col(n)) for n, o in preceding.items()},
+        **{n: across_cut("_has_next", "_next_head", n, o) for n, o in following.items()},
+        **{n: across_cut("_has_prev", "_prev_tail", n, o) for n, o in preceding.items()},
     }
     return out.withColumns(filled).select(*df.columns, *following, *preceding)
 
@@ -111,22 +122,28 @@ def as_of_join(
     rows = facts.filter(usable).select(
         key, F.col(ts).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"), F.struct(*facts.columns).alias("_f")
     )
-    stream = cut_hot_keys(versions.unionByName(rows, allowMissingColumns=True), key, "_t", min_rows)
-
-    w = Window.partitionBy(key, "_range").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    links = (
-        stream.filter(F.col("_range").isNotNull())
-        .groupBy(key, "_range")
-        .agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t"))).alias("_tail"))
-        .select(key, "_range", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
-    )
-    matched = (
-        stream.withColumn("_v", F.last("_v", ignorenulls=True).over(w))
-        .filter(F.col("_kind") == 1)
-        .join(F.broadcast(links), [key, "_range"], "left")
-        .withColumn("_v", F.coalesce("_v", "_carry"))
-    )
+    stream = versions.unionByName(rows, allowMissingColumns=True)
+    cut = cut_hot_keys(stream, key, "_t", min_rows)
+
+    def carried_forward(df: DataFrame, *parts: str) -> DataFrame:
+        w = Window.partitionBy(*parts).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn("_v", F.last("_v", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
+
+    if cut is None:
+        matched = carried_forward(stream, key)
+    else:
+        before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        links = (
+            cut.filter(F.col("_range").isNotNull())
+            .groupBy(key, "_range")
+            .agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t"))).alias("_tail"))
+            .select(key, "_range", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
+        )
+        matched = (
+            carried_forward(cut, key, "_range")
+            .join(F.broadcast(links), [key, "_range"], "left")
+            .withColumn("_v", F.coalesce("_v", "_carry"))
+        )
     valid: Column = F.col("_v._to").isNull() | (F.col("_t") < F.col("_v._to"))
     out = matched.select("_f.*", *[F.when(valid, F.col(f"_v.{new}")).alias(new) for new in columns])
     unusable = facts.filter(~usable).withColumns({new: F.lit(None).cast(out.schema[new].dataType) for new in columns})

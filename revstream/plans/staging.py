@@ -6,11 +6,10 @@ the object's catalog entry unless listed in ``KINDS``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from revstream.catalog import CrmObject, crm_object
-from revstream.operators.incremental import delete_flag
+from revstream.operators.incremental import deleted_column, exclude_deleted
 
 # Staged column names.
 SPECS: dict[str, str] = {
@@ -95,49 +94,49 @@ def renames(obj: str) -> list[tuple[str, str]]:
     return [(w.split("=")[0], w.split("=")[-1]) for w in SPECS[obj].split()]
 
 
+# Staged columns that are more than a rename.
+DERIVED = {
+    ("Opportunity", "forecast_category"): "upper(forecastcategory)",
+    ("Opportunity", "expected_revenue"): (
+        "cast(coalesce(expectedrevenue, cast(probability as decimal(5,2)) * cast(amount as decimal(30,2)) / 100)"
+        " as decimal(38,2))"
+    ),
+    ("Opportunity", "is_lost"): "isclosed and not iswon",
+    ("CampaignMember", "member_type"): (
+        "case when leadid is not null then 'Lead' when contactid is not null then 'Contact' end"
+    ),
+    ("CampaignMember", "person_id"): "coalesce(leadid, contactid)",
+}
+
+
 def conform(df: DataFrame, obj: str | CrmObject) -> DataFrame:
     """Add the raw columns the input lacks, as NULLs of their declared type."""
     have = {c.lower() for c in df.columns}
-    missing = {c: F.lit(None).cast(k) for c, k in crm_object(obj).columns.items() if c not in have}
-    return df.withColumns(missing) if missing else df
-
-
-def _derived(obj: str) -> dict[str, Column]:
-    """Staged columns that are more than a rename."""
-    if obj == "Opportunity":
-        weighted = F.col("probability").cast("decimal(5,2)") * F.col("amount").cast("decimal(30,2)") / 100
-        return {
-            "forecast_category": F.upper("forecastcategory"),
-            "expected_revenue": F.coalesce(F.col("expectedrevenue"), weighted).cast("decimal(38,2)"),
-            "is_lost": F.col("isclosed") & ~F.col("iswon"),
-        }
-    if obj == "CampaignMember":
-        return {
-            "member_type": F.when(F.col("leadid").isNotNull(), "Lead").when(
-                F.col("contactid").isNotNull(), "Contact"
-            ),
-            "person_id": F.coalesce("leadid", "contactid"),
-        }
-    return {}
-
-
-def stage(raw: DataFrame, obj: str, source: str = "landing") -> DataFrame:
-    """The staged rows of one object. Users keep inactive and deleted rows; other objects drop deleted ones."""
-    wide = conform(raw, obj)
-    kept = wide if obj == "User" else wide.filter(~delete_flag(wide, source))
-    return project(kept, obj)
+    missing = [f"cast(null as {k}) as {c}" for c, k in crm_object(obj).columns.items() if c not in have]
+    return df.selectExpr("*", *missing) if missing else df
 
 
 def project(raw: DataFrame, obj: str) -> DataFrame:
     """The staged columns without the delete filter."""
-    wide = conform(raw, obj)
-    kinds, derived = crm_object(obj).columns, _derived(obj)
+    kinds = crm_object(obj).columns
+    have = {c.lower() for c in raw.columns}
+    if any(o == obj for o, _ in DERIVED):
+        raw, have = conform(raw, obj), set(kinds)
     out = []
     for name, src in renames(obj):
-        col = derived.get(name)
-        if col is None:
-            kind = KINDS.get((obj, name), kinds[src])
-            # Identifiers and text keep the type they arrive with.
-            col = F.col(src) if kind == "string" else F.col(src).cast(kind)
-        out.append(col.alias(name))
-    return wide.select(*out)
+        kind = KINDS.get((obj, name), kinds[src])
+        if (obj, name) in DERIVED:
+            expr = DERIVED[obj, name]
+        elif src in have and kind == "string":
+            expr = src  # identifiers and text keep the type they arrive with
+        else:
+            expr = f"cast({src if src in have else 'null'} as {kind})"
+        out.append(f"{expr} as {name}")
+    return raw.selectExpr(*out)
+
+
+def stage(raw: DataFrame, obj: str, source: str = "landing") -> DataFrame:
+    """The staged rows of one object. Users keep deleted rows; other objects drop them."""
+    if obj != "User" and deleted_column(source) in {c.lower() for c in raw.columns}:
+        raw = exclude_deleted(raw, source)
+    return project(raw, obj)

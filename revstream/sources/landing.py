@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revstream.catalog import LOAD_META, crm_object
+from revstream.catalog import LOAD_META, META, crm_object
 from revstream.operators.incremental import as_utc, ntz
 
 ROWS_PER_FILE = 50_000
@@ -54,8 +54,7 @@ def land_ndjson(df: DataFrame, root: str, obj: str, run_ts: datetime) -> None:
 # -- scanning --------------------------------------------------------------------------------------
 
 
-def _nulls(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.withColumns({n: F.when(~F.col(n).isin(*NULL_TEXTS), F.col(n)) for n in names})
+_NULLS = ", ".join(f"'{t}'" for t in NULL_TEXTS)
 
 
 def parse_lines(lines: DataFrame, obj: str) -> DataFrame:
@@ -68,8 +67,9 @@ def parse_lines(lines: DataFrame, obj: str) -> DataFrame:
     parsed = F.from_json("value", schema, options)
     file_columns = [c for c in ("_file_name", "date") if c in lines.columns]
     out = lines.select(parsed.alias("r"), F.try_parse_json("value").alias("raw_data"), *file_columns)
-    flat = out.select("r.*", "raw_data", *file_columns)
-    return _nulls(flat, [f.wire for f in crm_object(obj).fields])
+    fields = [f"case when r.{f.wire} not in ({_NULLS}) then r.{f.wire} end as {f.wire}" for f in crm_object(obj).fields]
+    meta = [f"r.{n}" for n in (*META, "_row_ordinal", "_corrupt_record")]
+    return out.selectExpr(*fields, *meta, "raw_data", *file_columns)
 
 
 def scan_ndjson(spark: SparkSession, path: str, obj: str) -> DataFrame:
@@ -96,20 +96,22 @@ def scan_csv_pages(spark: SparkSession, path: str, obj: str) -> DataFrame:
 # -- loading ---------------------------------------------------------------------------------------
 
 
-def typed(wire: str, kind: str) -> Column:
-    """Wire text as its stored type; blank and unreadable text become NULL."""
-    text = F.nullif(F.col(wire), F.lit(""))
-    return F.col(wire) if kind == "string" else text.try_cast(kind)
+def typed(wire: str, kind: str) -> str:
+    """SQL for wire text as its stored type; blank and unreadable text become NULL."""
+    return wire if kind == "string" else f"try_cast(nullif({wire}, '') as {kind})"
 
 
-def bad_fields(obj: str) -> Column:
-    """Names of the fields whose text cannot be read as their type, comma-separated; NULL when none."""
+def bad_fields(obj: str, have: set[str]) -> str:
+    """SQL for the names of the fields whose text cannot be read as their type; NULL when none."""
     marks = [
-        F.when(F.nullif(F.col(f.wire), F.lit("")).isNotNull() & typed(f.wire, f.kind).isNull(), f.wire)
+        f"case when nullif({f.wire}, '') is not null and {typed(f.wire, f.kind)} is null then '{f.wire}' end"
         for f in crm_object(obj).fields
-        if f.kind != "string"
+        if f.kind != "string" and f.wire in have
     ]
-    return F.nullif(F.concat_ws(",", *marks), F.lit(""))
+    named = f"nullif(concat_ws(',', {', '.join(marks)}), '')"
+    if "_corrupt_record" in have:
+        return f"case when _corrupt_record is not null then '_corrupt_record' else {named} end"
+    return named
 
 
 def load_typed(wire: DataFrame, obj: str, loaded_at: datetime | None = None) -> DataFrame:
@@ -118,25 +120,21 @@ def load_typed(wire: DataFrame, obj: str, loaded_at: datetime | None = None) ->
     ``_bad_fields`` is NULL for a good row; see ``split_bad_rows``.
     """
     have = set(wire.columns)
-    fields = crm_object(obj).fields
-    absent = [f.wire for f in fields if f.wire not in have]
-    wire = wire.withColumns({n: F.lit(None).cast("string") for n in absent}) if absent else wire
+    clock = f"timestamp_ntz'{as_utc(loaded_at).replace(tzinfo=None)}'" if loaded_at else "localtimestamp()"
     meta = {
-        "_extract_timestamp": F.col("_extract_timestamp").try_cast("timestamp_ntz") if "_extract_timestamp" in have else None,
-        "_source_object": F.col("_source_object") if "_source_object" in have else None,
-        "_load_timestamp": ntz(loaded_at) if loaded_at else F.current_timestamp().cast("timestamp_ntz"),
-        "_file_name": F.col("_file_name") if "_file_name" in have else None,
-        "_file_row_number": F.col("_row_ordinal").try_cast("bigint") if "_row_ordinal" in have else None,
+        "_extract_timestamp": "try_cast(_extract_timestamp as timestamp_ntz)",
+        "_source_object": "_source_object",
+        "_load_timestamp": clock,
+        "_file_name": "_file_name",
+        "_file_row_number": "try_cast(_row_ordinal as bigint)",
     }
-    problems = bad_fields(obj)
-    if "_corrupt_record" in have:
-        problems = F.when(F.col("_corrupt_record").isNotNull(), "_corrupt_record").otherwise(problems)
-    return wire.select(
-        *[typed(f.wire, f.kind).alias(f.column) for f in fields],
-        *([F.col("raw_data")] if "raw_data" in have else []),
-        *[(F.lit(None).cast(k) if meta[n] is None else meta[n]).alias(n) for n, k in LOAD_META.items()],
-        problems.alias("_bad_fields"),
-        *([F.col("_corrupt_record")] if "_corrupt_record" in have else []),
+    needs = {"_extract_timestamp": "_extract_timestamp", "_source_object": "_source_object", "_file_name": "_file_name", "_file_row_number": "_row_ordinal"}
+    return wire.selectExpr(
+        *[f"{typed(f.wire, f.kind) if f.wire in have else f'cast(null as {f.kind})'} as {f.column}" for f in crm_object(obj).fields],
+        *(["raw_data"] if "raw_data" in have else []),
+        *[f"{expr if needs.get(n, n) in have or n == '_load_timestamp' else f'cast(null as {LOAD_META[n]})'} as {n}" for n, expr in meta.items()],
+        f"{bad_fields(obj, have)} as _bad_fields",
+        *(["_corrupt_record"] if "_corrupt_record" in have else []),
     )
 
 
