@@ -79,7 +79,7 @@ def dim_date(c: Crm):
 
 @query
 def pipeline_coverage(c: Crm):
-    return analytics.pipeline_coverage(c.pipeline, c.bookings)
+    return analytics.pipeline_coverage(c.stored.pipeline, c.stored.bookings)
 
 
 @query
@@ -124,13 +124,14 @@ def funnel_conversion(c: Crm):
 
 @query
 def rep_scorecard(c: Crm):
-    return analytics.rep_scorecard(c.dim_user, c.pipeline, c.bookings, c.win_rate, c.tasks, c.events, quota=5_000_000)
+    f = c.stored
+    return analytics.rep_scorecard(c.dim_user, f.pipeline, f.bookings, f.win_rate, c.tasks, c.events, quota=5_000_000)
 
 
 @query
 def account_health(c: Crm):
     return analytics.account_health(
-        c.dim_account, c.pipeline, c.bookings, c.contacts, c.tasks, c.events, AS_OF, recent_days=200
+        c.dim_account, c.stored.pipeline, c.stored.bookings, c.contacts, c.tasks, c.events, AS_OF, recent_days=200
     )
 
 

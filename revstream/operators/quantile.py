@@ -18,7 +18,11 @@ def exact_percentiles(df: DataFrame, group: str, value: str, points: dict[str, f
     counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
     fractions = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
     cuts = counts.groupBy(group).agg(F.percentile_approx(value, fractions, 2000).alias("_cuts"))
-    ranged = counts.join(cuts, group).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    # The join also uses a salt of the value, so a group with most of the values is spread over tasks.
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(RANGES)).cast("int"))
+    copies = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(RANGES - 1))))
+    below = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    ranged = salted.join(copies, [group, "_salt"]).withColumn("_range", below).drop("_cuts", "_salt")
 
     across = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_range = (

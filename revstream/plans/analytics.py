@@ -96,44 +96,32 @@ def percent_of(amount: Column, target: Column) -> Column:
 # -- marketing -----------------------------------------------------------------------------------------
 
 
-def won_touches(demand: DataFrame, bookings: DataFrame) -> DataFrame:
-    """Campaign touches of the persons whose converted deal was won, with the booked amount."""
+def attribution(demand: DataFrame, bookings: DataFrame, model: str) -> DataFrame:
+    """Booked amount credited to campaigns by the ``first``, ``last`` or ``linear`` touch of each deal.
+
+    Touches are reduced before they meet the bookings: to one row per deal by min/max aggregates, or to
+    counts per (deal, campaign). A deal with very many touches never reaches a task whole.
+    """
+    if model not in ("first", "last", "linear"):
+        raise ValueError(f"unknown attribution model: {model}")
     touches = demand.select(
         F.col("converted_opportunity_id_attr").alias("opportunity_id"),
         "campaign_id",
-        "campaign_member_id",
-        "member_created_at",
+        F.struct("member_created_at", "campaign_member_id").alias("position"),
     ).filter(F.col("opportunity_id").isNotNull())
-    return touches.join(bookings.select("opportunity_id", "booking_amount"), "opportunity_id")
-
+    booked = bookings.select("opportunity_id", F.col("booking_amount").cast("decimal(24,2)").alias("amount"))
 
-def attribution(demand: DataFrame, bookings: DataFrame, model: str) -> DataFrame:
-    """Booked amount credited to campaigns by the ``first``, ``last`` or ``linear`` touch of each deal.
-
-    First and last touch are min/max aggregates, and the linear split works on touch counts per
-    (deal, campaign); a deal with very many touches is reduced before it is gathered.
-    """
-    touches = won_touches(demand, bookings)
     if model == "linear":
-        counts = touches.groupBy("opportunity_id", "campaign_id").agg(
-            F.count(F.lit(1)).alias("n"), F.max("booking_amount").alias("booking_amount")
-        )
+        counts = touches.groupBy("opportunity_id", "campaign_id").agg(F.count(F.lit(1)).alias("n"))
         totals = counts.groupBy("opportunity_id").agg(F.sum("n").alias("total"))
-        share = F.col("booking_amount").cast("decimal(24,2)") * F.col("n").cast("decimal(12,0)")
-        credit = F.round(share.cast("decimal(28,2)") / F.col("total").cast("decimal(12,0)"), 6)
-        credited = counts.join(totals, "opportunity_id").select("opportunity_id", "campaign_id", "n", credit.alias("credit"))
-    elif model in ("first", "last"):
-        pick = F.min_by if model == "first" else F.max_by
-        credited = (
-            touches.groupBy("opportunity_id")
-            .agg(
-                pick("campaign_id", F.struct("member_created_at", "campaign_member_id")).alias("campaign_id"),
-                F.max("booking_amount").cast("decimal(38,6)").alias("credit"),
-            )
-            .withColumn("n", F.lit(1))
-        )
+        whole = lambda c: F.col(c).cast("decimal(12,0)")
+        share = (F.col("amount") * whole("n")).cast("decimal(28,2)") / whole("total")
+        joined = counts.join(totals.join(booked, "opportunity_id"), "opportunity_id")
+        credited = joined.select("campaign_id", "n", F.round(share, 6).alias("credit"))
     else:
-        raise ValueError(f"unknown attribution model: {model}")
+        pick = F.min_by if model == "first" else F.max_by
+        chosen = touches.groupBy("opportunity_id").agg(pick("campaign_id", "position").alias("campaign_id"))
+        credited = chosen.join(booked, "opportunity_id").select("campaign_id", F.lit(1).alias("n"), F.col("amount").alias("credit"))
     return credited.groupBy("campaign_id").agg(
         F.sum("n").alias("touches"),
         F.count(F.lit(1)).alias("deals"),

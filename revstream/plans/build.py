@@ -16,6 +16,7 @@ from revstream.operators.quality import run_checks
 from revstream.operators.scd import scd2_step
 from revstream.plans import dims, enrich, facts
 from revstream.plans.staging import UNIQUE_KEYS, conform, stage
+from revstream.session import checkpointed
 from revstream.sources.tables import BUCKETS, Table
 
 STAGING = {
@@ -79,14 +80,14 @@ def update_staging(
     # version among them.
     changed = incremental_filter(conform(raw, obj), target, days=lookback_days)
     latest = dedup_latest(changed, "id", dedup_order)
-    staged = stage(latest, obj, source)
     if target is None:
-        table.overwrite(staged, key, buckets)
+        table.overwrite(stage(latest, obj, source), key, buckets)
         return
+    latest = checkpointed(latest)  # feeds the updates and the deletes
     gone = None
     if deletes == "propagate" and obj != "User":
         gone = latest.filter(delete_flag(latest, source)).select(F.col("id").alias(key))
-    table.upsert(staged, key, deletes=gone)
+    table.upsert(stage(latest, obj, source), key, deletes=gone, materialize=False)
 
 
 def update_snapshot(wh: Warehouse, obj: str, now: datetime) -> None:

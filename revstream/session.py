@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Joins on a hot account, owner or campaign: AQE splits the oversized partition.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ... also where an aggregate on the same key follows and the split costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
@@ -33,6 +35,12 @@ def build_session(app: str = "revstream", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def split_skewed_joins(spark: SparkSession) -> None:
+    """The skew settings above, for a session this package did not build."""
+    for key in ("spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(key, "true")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared folder the session names in ``spark.checkpoint.dir``.
 

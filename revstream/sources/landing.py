@@ -28,13 +28,14 @@ def object_path(root: str, obj: str) -> str:
 # -- writing ---------------------------------------------------------------------------------------
 
 
-def land_ndjson(df: DataFrame, root: str, obj: str, run_ts: datetime) -> None:
+def land_ndjson(df: DataFrame, root: str, obj: str, run_ts: datetime, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write one extract as NDJSON under ``{root}/{object}/date={run date}``.
 
-    Explicit NULLs are kept, at most 50,000 rows go into a file, and every row carries the extract
-    time, the object name and its ordinal within its file.
+    Explicit NULLs are kept, at most ``rows_per_file`` rows go into a file (raise it for a bulk extract,
+    where 50,000 would mean millions of files), and every row carries the extract time, the object name
+    and its ordinal within its file.
     """
-    ordinal = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) % ROWS_PER_FILE + 1
+    ordinal = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) % rows_per_file + 1
     out = df.withColumns(
         {
             "_extract_timestamp": F.lit(as_utc(run_ts).isoformat()),
@@ -45,7 +46,7 @@ def land_ndjson(df: DataFrame, root: str, obj: str, run_ts: datetime) -> None:
     (
         out.write.mode("append")
         .option("ignoreNullFields", "false")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .option("maxRecordsPerFile", rows_per_file)
         .options(**TIMESTAMP_TEXT)
         .json(f"{object_path(root, obj)}/date={as_utc(run_ts):%Y-%m-%d}")
     )
