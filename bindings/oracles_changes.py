@@ -6,21 +6,21 @@ from bindings.sql_base import STG, out, with_ctes
 
 ORACLES: dict[str, str] = {}
 _LINE = "id opportunityid product2id pricebookentryid quantity:m totalprice:m systemmodstamp"
-ORACLES["dedup_latest_rows"] = with_ctes(out("v_LineItemLatest", _LINE))
+ORACLES["dedup_latest"] = with_ctes(out("v_LineItemLatest", _LINE))
 ORACLES["dedup_latest_since"] = with_ctes(
     out("v_LineItemLatest", _LINE) + " where systemmodstamp >= timestamp '2024-03-01 00:20:00'"
 )
-ORACLES["compact_dedup_table"] = ORACLES["dedup_latest_rows"]
-ORACLES["exclude_deleted_rows"] = with_ctes(
+ORACLES["compact_dedup"] = ORACLES["dedup_latest"]
+ORACLES["exclude_deleted"] = with_ctes(
     out("v_Opportunity", "id name amount:m") + " where not coalesce(isdeleted, false)"
 )
-ORACLES["incremental_extract_rows"] = with_ctes(
+ORACLES["incremental_extract"] = with_ctes(
     """select id as "Id", stagename as "StageName", cast(amount as double) as "Amount", cast(closedate as varchar) as "CloseDate",
         cast(iswon as varchar) as "IsWon", leadsource as "LeadSource", systemmodstamp as "SystemModstamp",
         cast(null as varchar) as "NextStep"
     from v_Opportunity where systemmodstamp >= timestamp '2024-02-29 23:50:00'"""
 )
-ORACLES["incremental_filter_rows"] = with_ctes(
+ORACLES["incremental_filter"] = with_ctes(
     """select id, systemmodstamp from v_Opportunity where systemmodstamp >= (
         select max(systemmodstamp) - interval 3 days from v_Opportunity
         where systemmodstamp < date '2025-01-01' and not coalesce(isdeleted, false))"""
@@ -47,13 +47,13 @@ _MERGED = """
 _NEW_OR_OLD = ", ".join(
     f"case when b.id is null then a.{c} else b.{c} end as {c}" for c in "id version stagename amount isclosed systemmodstamp".split()
 )
-ORACLES["merge_upsert_rows"] = with_ctes(
+ORACLES["merge_upsert"] = with_ctes(
     out(
         f"({_MERGED.format(cols=_NEW_OR_OLD, where='and not coalesce(b.isdeleted, false)')}) as m",
         "id version stagename amount:m isclosed:b systemmodstamp",
     )
 )
-ORACLES["upsert_table"] = ORACLES["merge_upsert_rows"]
+ORACLES["upsert_table"] = ORACLES["merge_upsert"]
 _LIVE = "(b.id is not null and not b.isdeleted)"
 _SYNCED = (
     f"a.id, case when {_LIVE} then b.version else a.version end as version, case when {_LIVE} then b.amount else a.amount end as amount, "
@@ -61,7 +61,7 @@ _SYNCED = (
     f"case when {_LIVE} then b.systemmodstamp else a.systemmodstamp end as systemmodstamp, "
     f"case when {_LIVE} then 'R' || cast(a.id % 3 as varchar) end as region"
 )
-ORACLES["sync_columns_table"] = with_ctes(
+ORACLES["sync_columns"] = with_ctes(
     out(f"({_MERGED.format(cols=_SYNCED, where='')}) as m", "id version amount:m isclosed:b systemmodstamp region")
 )
 
@@ -72,7 +72,7 @@ _SEEN = " union ".join(
         where systemmodstamp <= timestamp '{run}') where rn = 1"""
     for run in ("2022-01-01 00:00:00", "2024-01-01 00:00:00", "2027-01-01 00:00:00")
 )
-ORACLES["scd2_snapshot_runs"] = with_ctes(
+ORACLES["scd2_snapshot"] = with_ctes(
     f"""select id as opportunity_id, stagename as stage_name, cast(amount as double) as amount, systemmodstamp as updated_at,
         md5(cast(id as varchar) || '|' || cast(systemmodstamp as varchar)) as scd_id, systemmodstamp as valid_from,
         case when next_deleted then gone_at else next_at end as valid_to, systemmodstamp as source_updated_at
@@ -83,16 +83,16 @@ ORACLES["scd2_snapshot_runs"] = with_ctes(
           from ({_SEEN}) as seen window w as (partition by id order by systemmodstamp))
     where not isdeleted"""
 )
-ORACLES["scd2_snapshot_table"] = ORACLES["scd2_snapshot_runs"]
-ORACLES["scd2_build_history"] = with_ctes(
+ORACLES["scd2_snapshot_table"] = ORACLES["scd2_snapshot"]
+ORACLES["scd2_build"] = with_ctes(
     "select id as opportunity_id, stage_name, cast(amount as double) as amount, cast(probability_pct as double) as probability_pct, "
     "cast(close_date as varchar) as close_date, scd_id, valid_from, valid_to from opp_history"
 )
-ORACLES["as_of_rows"] = with_ctes(
+ORACLES["as_of"] = with_ctes(
     """select id as opportunity_id, stage_name, cast(amount as double) as amount, valid_from, valid_to from opp_history
     where valid_from <= timestamp '2025-06-15 12:00:00' and (valid_to is null or valid_to > timestamp '2025-06-15 12:00:00')"""
 )
-ORACLES["as_of_join_rows"] = with_ctes(
+ORACLES["as_of_join"] = with_ctes(
     """select o.opportunity_id, o.account_id, o.created_at, cast(o.amount as double) as amount, h.industry as industry_then,
         h.ownerid as owner_then
     from stg_opportunities o left join acct_history h

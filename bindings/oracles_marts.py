@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bindings.sql_base import AS_OF, cents, half_up, out, pct, with_ctes
+from bindings.sql_base import AS_OF, LABEL, cents, half_up, out, pct, with_ctes
 
 SPECS = {
     "stg_accounts": """account_id account_name account_type industry rating account_source description website
@@ -239,6 +239,20 @@ ORACLES["bookings_attainment"] = with_ctes(
       from fct_bookings group by 1) as b using (fiscal_quarter_label)"""
 )
 
+ORACLES["seed_stage_order"] = with_ctes(
+    """select stage_name, stage_order, stage_category, cast(stage_category <> 'Closed' as varchar) as is_open,
+        cast(stage_name = 'Closed Won' as varchar) as is_closed_won, cast(stage_name = 'Closed Lost' as varchar) as is_closed_lost,
+        coalesce(n, 0) as deals
+    from stage_seed left join (select stage_name, count(*) as n from stg_opportunities group by 1) as d using (stage_name)"""
+)
+ORACLES["seed_bookings_targets"] = with_ctes(
+    f"""select fiscal_quarter_label, cast(bookings_target as double) as bookings_target, cast(arr_target as double) as arr_target,
+        cast(new_logo_target as double) as new_logo_target, cast(expansion_target as double) as expansion_target,
+        coalesce(n, 0) as won_deals
+    from target_seed left join (select {LABEL} as fiscal_quarter_label, count(*) as n from stg_opportunities where is_won group by 1) as d
+      using (fiscal_quarter_label)"""
+)
+
 
 def _single_touch(direction: str) -> str:
     return with_ctes(

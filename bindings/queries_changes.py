@@ -28,27 +28,32 @@ WATERMARK = datetime(2024, 3, 1, 0, 20, tzinfo=timezone.utc)
 RUNS = datetime(2022, 1, 1), datetime(2024, 1, 1), datetime(2027, 1, 1)
 
 
-def query(fn):
-    QUERIES[fn.__name__] = lambda spark, sf_dir: show(fn(Crm(spark, sf_dir)))
-    return fn
+def query(name: str):
+    """Register ``fn(crm) -> DataFrame`` under ``name``."""
+
+    def register(fn):
+        QUERIES[name] = lambda spark, sf_dir: show(fn(Crm(spark, sf_dir)))
+        return fn
+
+    return register
 
 
 LINE_COLUMNS = "id", "opportunityid", "product2id", "pricebookentryid", "quantity", "totalprice", "systemmodstamp"
 
 
-@query
+@query("dedup_latest")
 def dedup_latest_rows(c: Crm):
     raw = c.raw("OpportunityLineItem")
     return dedup_latest(raw, "id", newest_first(*LINE_ITEM_ORDER)).select(*LINE_COLUMNS)
 
 
-@query
+@query("dedup_latest_since")
 def dedup_latest_since(c: Crm):
     raw = c.raw("OpportunityLineItem")
     return dedup_latest(raw, "id", newest_first(*LINE_ITEM_ORDER), since=WATERMARK).select(*LINE_COLUMNS)
 
 
-@query
+@query("compact_dedup")
 def compact_dedup_table(c: Crm):
     table = Table(c.spark, scratch_dir(c.spark, "compact"))
     table.append(c.raw("OpportunityLineItem"))
@@ -56,18 +61,18 @@ def compact_dedup_table(c: Crm):
     return table.read().select(*LINE_COLUMNS)
 
 
-@query
+@query("exclude_deleted")
 def exclude_deleted_rows(c: Crm):
     return exclude_deleted(c.raw("Opportunity")).select("id", "name", "amount")
 
 
-@query
+@query("incremental_extract")
 def incremental_extract_rows(c: Crm):
     rows = incremental_extract(c.raw("Opportunity"), "Opportunity", apply_lookback(WATERMARK))
     return rows.select("Id", "StageName", "Amount", "CloseDate", "IsWon", "LeadSource", "SystemModstamp", "NextStep")
 
 
-@query
+@query("incremental_filter")
 def incremental_filter_rows(c: Crm):
     """The deals the next run re-reads when staging holds everything modified before 2025."""
     raw = c.raw("Opportunity")
@@ -75,7 +80,7 @@ def incremental_filter_rows(c: Crm):
     return incremental_filter(raw, target).select("id", "systemmodstamp")
 
 
-@query
+@query("watermark_get_all")
 def watermark_get_all(c: Crm):
     """Watermarks written at each object's newest change; users are left unwritten."""
     objects = [o for o in OBJECTS if o != "User"]
@@ -90,7 +95,7 @@ def watermark_get_all(c: Crm):
     return store.get_all()
 
 
-@query
+@query("run_log")
 def run_log(c: Crm):
     """One extract run over the ten objects, from the default watermark."""
     store = WatermarkStore(c.spark, scratch_dir(c.spark, "watermarks"))
@@ -112,13 +117,13 @@ def _changes(c: Crm):
     return final.filter("not isdeleted").select(*VERSION_COLUMNS), final.filter("isdeleted").select("id")
 
 
-@query
+@query("merge_upsert")
 def merge_upsert_rows(c: Crm):
     updates, deletes = _changes(c)
     return merge_upsert(_versions(c, 1), updates, "id", newer="systemmodstamp", deletes=deletes)
 
 
-@query
+@query("upsert_table")
 def upsert_table(c: Crm):
     """The same merge through a stored table, then a replay of older versions, which changes nothing."""
     table = Table(c.spark, scratch_dir(c.spark, "upsert"))
@@ -130,7 +135,7 @@ def upsert_table(c: Crm):
     return table.read()
 
 
-@query
+@query("sync_columns")
 def sync_columns_table(c: Crm):
     """An upsert whose rows bring a new column and lack an old one."""
     table = Table(c.spark, scratch_dir(c.spark, "sync"))
@@ -147,7 +152,7 @@ def _current(c: Crm, run: datetime):
     return staged.select("opportunity_id", "stage_name", "amount", "updated_at")
 
 
-@query
+@query("scd2_snapshot")
 def scd2_snapshot_runs(c: Crm):
     history = None
     for run in RUNS:
@@ -155,7 +160,7 @@ def scd2_snapshot_runs(c: Crm):
     return history
 
 
-@query
+@query("scd2_snapshot_table")
 def scd2_snapshot_table(c: Crm):
     """The same three runs stored as a snapshot table."""
     table = Table(c.spark, scratch_dir(c.spark, "snapshot"))
@@ -164,20 +169,20 @@ def scd2_snapshot_table(c: Crm):
     return table.read()
 
 
-@query
+@query("scd2_build")
 def scd2_build_history(c: Crm):
     return c.opportunity_history.select(
         "opportunity_id", "stage_name", "amount", "probability_pct", "close_date", "scd_id", "valid_from", "valid_to"
     )
 
 
-@query
+@query("as_of")
 def as_of_rows(c: Crm):
     at = datetime(2025, 6, 15, 12)
     return as_of(c.opportunity_history, at).select("opportunity_id", "stage_name", "amount", "valid_from", "valid_to")
 
 
-@query
+@query("as_of_join")
 def as_of_join_rows(c: Crm):
     """Deals with their account's industry and owner when the deal was created."""
     deals = c.opportunities.select("opportunity_id", "account_id", "created_at", "amount")
@@ -193,7 +198,7 @@ def _raw(c: Crm, until: datetime | None = None) -> dict:
     return raw
 
 
-@query
+@query("build_marts")
 def build_marts(c: Crm):
     """Two runs of the whole graph, the second incremental; rows per table."""
     path = scratch_dir(c.spark, "warehouse")
@@ -208,7 +213,7 @@ def build_marts(c: Crm):
     return union_all(counts)
 
 
-@query
+@query("project_keeps_deleted")
 def project_keeps_deleted(c: Crm):
     """Staged columns of all account rows, deleted ones included."""
     return project(c.raw("Account"), "Account").select("account_id", "account_name", "is_deleted", "annual_revenue")

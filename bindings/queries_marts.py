@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from bindings.crm import Crm, show
 from bindings.crm_views import AS_OF
+from revstream.functions.scalars import fiscal_label
 from revstream.plans import analytics, dims, enrich
 from revstream.sources import seeds
 
@@ -102,6 +103,21 @@ def bookings_attainment(c: Crm):
     return analytics.bookings_attainment(c.bookings, seeds.bookings_targets(c.spark))
 
 
+@query
+def seed_stage_order(c: Crm):
+    """The stage seed with the number of staged deals in each stage."""
+    deals = c.opportunities.groupBy("stage_name").agg(F.count(F.lit(1)).alias("deals"))
+    return seeds.stage_order(c.spark).join(deals, "stage_name", "left").fillna(0, ["deals"])
+
+
+@query
+def seed_bookings_targets(c: Crm):
+    """The target seed with the number of deals won in each quarter."""
+    label = fiscal_label(F.col("fiscal_year"), F.col("fiscal_quarter")).alias("fiscal_quarter_label")
+    won = c.opportunities.filter("is_won").groupBy(label).agg(F.count(F.lit(1)).alias("won_deals"))
+    return seeds.bookings_targets(c.spark).join(won, "fiscal_quarter_label", "left").fillna(0, ["won_deals"])
+
+
 @query
 def attribution_first(c: Crm):
     return analytics.attribution(c.demand, c.bookings, "first")

@@ -78,7 +78,7 @@ def bookings_attainment(bookings: DataFrame, targets: DataFrame) -> DataFrame:
     booked = bookings.groupBy("fiscal_quarter_label").agg(
         F.sum("booking_amount").alias("booked"), part("New Logo").alias("new_logo"), part("Expansion").alias("expansion")
     )
-    df = F.broadcast(targets).join(booked, "fiscal_quarter_label", "left")
+    df = targets.join(booked, "fiscal_quarter_label", "left")
     return df.select(
         "fiscal_quarter_label",
         "bookings_target",

@@ -26,9 +26,9 @@ def today(as_of: datetime) -> Column:
 
 
 def lookup(df: DataFrame, side: DataFrame, on: str, key: str, **columns: str) -> DataFrame:
-    """Left join ``side`` by ``df.on = side.key`` and keep only ``columns`` (new=old) of it."""
-    right = side.selectExpr(f"{key} as _key", *[f"{old} as {new}" for new, old in columns.items()])
-    return df.join(right, df[on] == right["_key"], "left").drop("_key")
+    """Left join ``side`` by ``df.on = side.key`` and add only ``columns`` (new=old) of it."""
+    right = side.selectExpr(f"{key} as {on}", *[f"{old} as {new}" for new, old in columns.items()])
+    return df.join(right, on, "left")
 
 
 def line_item_rollup(items: DataFrame) -> DataFrame:
