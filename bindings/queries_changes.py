@@ -204,8 +204,8 @@ def build_marts(c: Crm):
     path = scratch_dir(c.spark, "warehouse")
     orders = {"OpportunityLineItem": newest_first(*LINE_ITEM_ORDER)}
     first = datetime(2026, 4, 1)
-    graph.build(c.spark, _raw(c, first), path, first, dedup_orders=orders, buckets=4, checks=False)
-    wh = graph.build(c.spark, _raw(c), path, AS_OF, dedup_orders=orders, buckets=4, checks=False)
+    graph.build(c.spark, _raw(c, first), path, first, dedup_orders=orders, buckets=4, checks=False, parallel=8)
+    wh = graph.build(c.spark, _raw(c), path, AS_OF, dedup_orders=orders, buckets=4, checks=False, parallel=8)
     counts = [
         wh.read(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
         for n in graph.CHECKED

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from revstream.operators.incremental import LOOKBACK_MINUTES, apply_lookback, as_utc, incremental_extract
 from revstream.operators.watermark import WatermarkStore
 from revstream.sources.landing import land_ndjson
+from revstream.sources.tables import Table
 
 RUN_LOG = (
     "run_timestamp string, object string, status string, records bigint, watermark_used string, attempts int, "
@@ -34,9 +35,12 @@ def extract_objects(
     parallel: int = 5,
     backoff: tuple[float, ...] = (30, 90),
     lookback_minutes: int = LOOKBACK_MINUTES,
+    log_table: Table | None = None,
 ) -> DataFrame:
     """Extract and land every object in ``sources``; returns one run-log row per object.
 
+    The rows are also appended to ``log_table`` when one is given.
+
     The watermark of an object that landed moves to the run's *start*, so changes made while the run is
     in flight are read again by the next one; a run that dies before that lands its rows again, and
     deduplication settles it. A backfill leaves watermarks alone. One failing object does not stop the
@@ -76,7 +80,10 @@ def extract_objects(
     landed = {r[1]: run_ts for r in results if r[2] == "success"}
     if landed and not backfill_start:
         store.set_all(landed)
-    return spark.createDataFrame(results, RUN_LOG)
+    log = spark.createDataFrame(results, RUN_LOG)
+    if log_table is not None:
+        log_table.append(log)
+    return log
 
 
 def run_summary(log: DataFrame) -> DataFrame:

@@ -12,39 +12,51 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is cut when it has at least this many rows; only the largest keys are considered, so the key
-# list and the broadcast tables below hold at most HOT_KEYS and HOT_KEYS * RANGES rows whatever the data
-# size.
-HOT_ROWS = 1_000_000
+# A key is cut when it has at least this many rows, into ranges of about as many: below, one task orders
+# it in seconds and cutting costs more than it saves. Only the largest keys are considered. The list of
+# keys is at most HOT_KEYS long, and the broadcast tables hold at most one row or cut point per HOT_ROWS
+# rows of the data.
+HOT_ROWS = 10_000_000
 HOT_KEYS = 1_000
-RANGES = 64
+MAX_RANGES = 4_096
+# Cut points are looked up in two steps, first the block and then within it.
+BLOCK = 64
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """The largest keys with at least ``min_rows`` rows, at most HOT_KEYS of them.
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list[tuple]:
+    """The largest keys with at least ``min_rows`` rows and their counts, at most HOT_KEYS of them.
 
     Counting combines on the map side and only the top of the list comes to the driver.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.filter(F.col("_n") >= min_rows).orderBy(F.desc("_n"), key).limit(HOT_KEYS)
-    return [r[0] for r in top.collect()]
+    return [tuple(r) for r in top.collect()]
 
 
 def cut_hot_keys(df: DataFrame, key: str, order: str, min_rows: int = HOT_ROWS) -> DataFrame | None:
     """Add ``_range``: 0.. within a hot key, rising with ``order``; NULL for every other key.
 
-    None when no key is hot.
+    The cuts lie at approximate quantiles of ``order``, so ranges are of similar size whatever its
+    distribution. None when no key is hot.
     """
     pairs = df.select(key, order)
-    hot = hot_keys(pairs, key, min_rows)
+    hot = [(k, max(2, min(MAX_RANGES, -(-n // min_rows)))) for k, n in hot_keys(pairs, key, min_rows)]
     if not hot:
         return None
-    listed = F.broadcast(df.sparkSession.createDataFrame([(k,) for k in hot], T.StructType([pairs.schema[key]])))
-    points = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
-    cuts = pairs.join(listed, key, "left_semi").groupBy(key).agg(F.percentile_approx(order, points, 2000).alias("_cuts"))
+    schema = T.StructType([pairs.schema[key], T.StructField("_ranges", T.IntegerType())])
+    listed = F.broadcast(df.sparkSession.createDataFrame(hot, schema))
+    most = max(ranges for _, ranges in hot)
+    points = [i / most for i in range(1, most)]
+    found = pairs.join(listed, key).groupBy(key).agg(
+        F.percentile_approx(order, points, max(10_000, 4 * most)).alias("_all"), F.max("_ranges").alias("_ranges")
+    )
+    chosen = f"transform(sequence(1, _ranges - 1), i -> _all[int(i * {most} div _ranges) - 1])"
+    blocks = f"transform(sequence(0, (_ranges - 2) div {BLOCK}), b -> slice(_chosen, int(b * {BLOCK} + 1), {BLOCK}))"
+    cuts = found.selectExpr(key, "_ranges", f"{chosen} as _chosen").selectExpr(key, f"{blocks} as _cuts")
+    block = f"greatest(size(filter(_cuts, c -> c[0] < {order})) - 1, 0)"
+    below = f"{block} * {BLOCK} + size(filter(_cuts[{block}], c -> c < {order}))"
     tagged = df.join(F.broadcast(cuts), key, "left")
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
-    return tagged.withColumn("_range", F.when(F.col("_cuts").isNotNull(), below)).drop("_cuts")
+    return tagged.withColumn("_range", F.expr(f"case when _cuts is not null then {below} end")).drop("_cuts")
 
 
 def with_neighbours(

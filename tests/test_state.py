@@ -96,7 +96,9 @@ def test_one_failure_does_not_stop_the_others(spark, folder):
 
 
 def test_backfill_leaves_watermarks_alone(spark, folder):
-    store, results, _ = run(spark, folder, {"Account": lambda: source(spark, 3)}, backfill_start="2026-02-01T00:00:00Z")
+    kept = Table(spark, f"{folder}/log")
+    store, results, _ = run(spark, folder, {"Account": lambda: source(spark, 3)}, backfill_start="2026-02-01T00:00:00Z", log_table=kept)
+    assert [r["object"] for r in kept.read().collect()] == ["Account"]
     assert results["Account"].records == 0 and results["Account"].watermark_used == "2026-02-01T00:00:00+00:00"
     assert store.get("Account") == DEFAULT_WATERMARK
 
