@@ -11,7 +11,7 @@ from bindings.crm_views import AS_OF
 from revstream.catalog import OBJECTS
 from revstream.operators.dedup import dedup_latest, newest_first
 from revstream.operators.extract import extract_objects
-from revstream.operators.incremental import apply_lookback, exclude_deleted, incremental_extract, incremental_filter
+from revstream.operators.incremental import apply_lookback, exclude_deleted, incremental_extract, incremental_filter, ntz
 from revstream.operators.ordered import as_of_join
 from revstream.operators.quality import union_all
 from revstream.operators.scd import as_of, scd2_snapshot, scd2_step
@@ -147,7 +147,7 @@ def sync_columns_table(c: Crm):
 
 def _current(c: Crm, run: datetime):
     """The staged deals as a snapshot run at ``run`` sees them."""
-    seen = c.raw("OpportunityVersion").filter(F.col("systemmodstamp") <= F.lit(run).cast("timestamp_ntz"))
+    seen = c.raw("OpportunityVersion").filter(F.col("systemmodstamp") <= ntz(run))
     staged = stage(dedup_latest(seen, "id"), "Opportunity")
     return staged.select("opportunity_id", "stage_name", "amount", "updated_at")
 
@@ -194,7 +194,7 @@ def _raw(c: Crm, until: datetime | None = None) -> dict:
     """Raw rows of every object, deals and line items as of ``until``."""
     raw = {o: c.raw(o) for o in OBJECTS}
     if until is not None:
-        raw = {o: df.filter(F.col("systemmodstamp") <= F.lit(until).cast("timestamp_ntz")) for o, df in raw.items()}
+        raw = {o: df.filter(F.col("systemmodstamp") <= ntz(until)) for o, df in raw.items()}
     return raw
 
 

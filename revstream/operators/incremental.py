@@ -94,4 +94,9 @@ def incremental_filter(
     if target is None:
         return df
     newest = target.agg(F.max(target_column)).first()[0]
-    return df if newest is None else df.filter(F.col(column) >= F.lit(newest - timedelta(days=days)))
+    if newest is None:
+        return df
+    start = newest - timedelta(days=days)
+    # A literal without zone for a column without zone, so no session time zone enters the comparison.
+    without_zone = dict(target.dtypes)[target_column] == "timestamp_ntz"
+    return df.filter(F.col(column) >= (ntz(start) if without_zone else F.lit(start)))
