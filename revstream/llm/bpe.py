@@ -223,7 +223,7 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     return _mapped(tokens.select(F.col(id_col).cast("long"), ids_col), "doc_id long, text string", lambda i, ids: (i, _codec(source).decode(ids or [])))
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Encode and decode in one pass: token count, digest of the ids (decimal, comma-joined) and of the decoded text."""
     source = _file(docs, path)
 
@@ -231,6 +231,8 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         codec = _codec(source)
         ids = codec.encode(text or "")
         listed = ",".join(map(codec.text_of.__getitem__, ids))
-        return i, len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest()
+        row = i, len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest()
+        return (*row, ids) if with_ids else row
 
-    return _mapped(docs.select(F.col(id_col).cast("long"), text_col), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", one)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return _mapped(docs.select(F.col(id_col).cast("long"), text_col), schema, one)

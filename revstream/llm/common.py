@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -17,6 +18,8 @@ from revstream.session import scratch_dir
 
 _SHIPPED: set[str] = set()
 LAST_ID = (1 << 63) - 1  # documents without an id come after all others
+PIECE = 4_000_000  # bytes of a text hashed at once
+GAPS = re.compile(rb"[\x20\x09-\x0D]+")
 FLUSH_ENTRIES = 4_000_000  # hashes a task holds before it hands them on
 
 
@@ -96,7 +99,18 @@ class WordHasher:
         self.down = byte_powers(1 << 16, pow(self.BASE, -1, 1 << 64))
 
     def words(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, ends and hashes of the words of ``data``."""
+        """Starts, ends and hashes of the words of ``data``; a long text goes in pieces cut at white space."""
+        if len(data) <= PIECE:
+            return self._words(data)
+        found, at = [], 0
+        for gap in GAPS.finditer(data, PIECE):
+            if gap.start() - at >= PIECE:
+                found.append((at, self._words(data[at : gap.start()])))
+                at = gap.start()
+        found.append((at, self._words(data[at:])))
+        return tuple(np.concatenate([part[i] + offset if i < 2 else part[i] for offset, part in found]) for i in range(3))
+
+    def _words(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         b = np.frombuffer(data, dtype=np.uint8)
         word = np.zeros(len(b) + 2, dtype=np.int8)
         word[1:-1] = ~self.SPACE[b]
@@ -165,10 +179,10 @@ def _pack(rks: list[int], counts: list[int], hashes: list[np.ndarray], places: l
     yield pa.RecordBatch.from_arrays([pa.array(rows["bucket"], pa.int32()), *(pa.array(rows[c], pa.binary()) for c in ("rk", "n", "hash", "low", "high"))], names=list(rows))
 
 
-def packed_hashes(source: DataFrame, hashes: Callable[[str], tuple[np.ndarray, np.ndarray]], buckets: int, wide: bool = False) -> DataFrame:
+def packed_hashes(source: DataFrame, hashes: Callable[[str], tuple], buckets: int, wide: bool = False) -> DataFrame:
     """Hashes of every text, dealt to ``buckets`` by hash as packed arrays (one row per bucket and flush).
 
-    ``hashes(text)`` gives hashes and their places. Without ``wide`` 32 bits beside the bucket's number go on,
+    ``hashes(text)`` gives hashes and their places, and may give a key that stands for the row's. Without ``wide`` 32 bits beside the bucket's number go on,
     which is enough for hits that are verified later.
     """
 
@@ -176,9 +190,9 @@ def packed_hashes(source: DataFrame, hashes: Callable[[str], tuple[np.ndarray, n
         rks, counts, hs, ps, held = [], [], [], [], 0
         for batch in batches:
             for rk, text in zip(batch.column("rk").to_pylist(), batch.column("text")):
-                h, p = hashes(text.as_py())
+                h, p, *key = hashes(text.as_py())
                 if len(h):
-                    rks.append(rk)
+                    rks.append(key[0] if key else rk)
                     counts.append(len(h))
                     hs.append(h)
                     ps.append(p)

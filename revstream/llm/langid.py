@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ MAX_TRAIN = 2_000
 MAX_TRIGRAMS = 50_000
 SWITCH = 8.0  # nats a change of language costs
 SMOOTH = 0.5
+KEEP_SHARE = 0.4  # below it a text is a mixture that no language carries
 CACHE_WORDS = 300_000
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -241,3 +243,19 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column], text_col: s
 
     out = rows.mapInArrow(run, schema)
     return out.select(*[F.col(n).alias(f.name) for n, f in zip(names, plain)], "lang_pred", "score")
+
+
+def keep_determined(docs: DataFrame, model: Model, text_col: str = "text", least: float = KEEP_SHARE) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in which one language has at least ``least`` of the letters."""
+    model.index.clear()
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def determined(text: pd.Series) -> pd.Series:
+        model, kept = shared.value, []
+        for at in range(0, len(text), 2_000):
+            langs, shares = model.predict(text.iloc[at : at + 2_000].tolist())
+            kept += [lang != UNDETERMINED and share >= least for lang, share in zip(langs, shares)]
+        return pd.Series(kept, dtype=bool)
+
+    return docs.filter(F.pandas_udf(determined, "boolean")(F.col(text_col)))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revstream.llm import bpe, decontam, langid, linededup, projection, pst, warc
+from revstream.llm import bpe, decontam, jaccard, langid, linededup, projection, pst, substring, suffixarray, warc
 from revstream.session import scratch_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,6 +34,18 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(table(spark, sf_dir, "documents"))
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(table(spark, sf_dir, "documents"))
+
+
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixarray.report(table(spark, sf_dir, "documents"))
+
+
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = pst.crc_part(F.col("doc_id"), 10) == 0
@@ -56,6 +68,9 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_lm_score": op8_lm_score,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
