@@ -6,7 +6,7 @@ import math
 import re
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -20,7 +20,7 @@ _SHIPPED: set[str] = set()
 LAST_ID = (1 << 63) - 1  # documents without an id come after all others
 PIECE = 4_000_000  # bytes of a text hashed at once
 GAPS = re.compile(rb"[\x20\x09-\x0D]+")
-FLUSH_ENTRIES = 4_000_000  # hashes a task holds before it hands them on
+FLUSH_ENTRIES = 2_000_000  # hashes a task holds before it hands them on
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -226,7 +226,7 @@ def bucket_count(spark: SparkSession, source: DataFrame, bytes_per_entry: float)
 
 
 def repeated_places(source: DataFrame, hashes: Callable[[str], tuple[np.ndarray, np.ndarray]], bytes_per_entry: float, index_step: int = 1) -> DataFrame:
-    """``(rk, places)``: where a text has a hash that occurs at two or more places of the corpus.
+    """``(rk, place)``, one row per text: where a text has a hash that occurs at two or more places of the corpus.
 
     With ``index_step`` the hash must also be in the index, that is, occur somewhere at a multiple of the
     step. Hashes are compared on 32 bits beside the bucket, so some places are false; none is missing.
@@ -245,21 +245,36 @@ def repeated_places(source: DataFrame, hashes: Callable[[str], tuple[np.ndarray,
         if index_step > 1:
             several &= np.logical_or.reduceat(place % np.uint32(index_step) == 0, new)
         hit = np.repeat(several, size)
-        rk, place = rk[hit], place[hit]
-        order = np.argsort(rk, kind="stable")
-        rk, place = rk[order], place[order]
-        first = np.flatnonzero(np.diff(rk, prepend=rk[:1] + 1)) if len(rk) else np.zeros(0, dtype=np.int64)
-        parts = np.split(place, first[1:]) if len(first) else []
-        return pa.table({"rk": pa.array(rk[first], pa.int64()), "places": pa.array([x.tobytes() for x in parts], pa.binary())})
+        return dealt_by_text(rk[hit], {"place": place[hit]}, buckets)
 
     packed = packed_hashes(source, hashes, buckets).repartition(buckets, "bucket")
-    hits = packed.groupBy("bucket").applyInArrow(match, "rk long, places binary")
-    return stored(hits.groupBy("rk").agg(F.collect_list("places").alias("places")), "hits")
+    return gathered_by_text(packed, match, {"place": np.uint32}, buckets)
+
+
+def dealt_by_text(rk: np.ndarray, columns: dict[str, np.ndarray], parts: int) -> pa.Table:
+    """A bucket's findings as one packed row for each part of the texts, by their keys."""
+    part = (mixed(rk.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    part, first = np.unique(part[order], return_index=True)
+    data = {"rk": rk[order]} | {name: c[order] for name, c in columns.items()}
+    out = {name: pa.array([x.tobytes() for x in np.split(c, first[1:])] if len(part) else [], pa.binary()) for name, c in data.items()}
+    return pa.table({"part": pa.array(part, pa.int32())} | out)
 
 
-def places_of(parts: Iterable[bytes]) -> np.ndarray:
-    """Sorted distinct places of one text."""
-    return np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in parts])).astype(np.int64)
+def gathered_by_text(packed: DataFrame, match: Callable[[pa.Table], pa.Table], kinds: dict, parts: int) -> DataFrame:
+    """``rk`` and packed columns, one row per text, of what ``match`` finds in the buckets of ``packed``."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        read = lambda name, kind: np.concatenate([np.frombuffer(x, dtype=kind) for x in table.column(name).to_pylist()])
+        rk = read("rk", np.int64)
+        order = np.argsort(rk, kind="stable")
+        keys, first = np.unique(rk[order], return_index=True)
+        out = {name: pa.array([x.tobytes() for x in np.split(read(name, kind)[order], first[1:])] if len(keys) else [], pa.binary()) for name, kind in kinds.items()}
+        return pa.table({"rk": pa.array(keys, pa.int64())} | out)
+
+    columns = ", ".join(f"{name} binary" for name in kinds)
+    found = packed.groupBy("bucket").applyInArrow(match, f"part int, rk binary, {columns}").repartition(parts, "part")
+    return stored(found.groupBy("part").applyInArrow(merge, f"rk long, {columns}"), "gathered")
 
 
 # -- connected components ----------------------------------------------------------------------------

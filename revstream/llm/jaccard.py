@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revstream.llm.common import WordHasher, bucket_count, components, id_order, mixed, packed_hashes, rolling, ship, stored, texts, unpack
+from revstream.llm.common import WordHasher, bucket_count, components, dealt_by_text, gathered_by_text, id_order, mixed, packed_hashes, rolling, ship, stored, texts, unpack
 
 WORDS, PER_CENT = 5, 80
 FRAGMENTS = 8
@@ -77,7 +77,7 @@ def sizes(source: DataFrame) -> DataFrame:
 
 
 def shared_shingles(source: DataFrame) -> DataFrame:
-    """``(ck, h, df)``: of every set, the shingles of a bucket that other sets have too, and how many sets have them."""
+    """``(ck, h, df)``, one row per set: the shingles that other sets have too, and how many sets have them."""
 
     def grams_of(text: str) -> tuple:
         grams = shingles(text)
@@ -94,30 +94,25 @@ def shared_shingles(source: DataFrame) -> DataFrame:
         df = np.diff(np.append(new, len(h)))
         df = np.repeat(df, df)
         ck, h, df = ck[df > 1], h[df > 1], df[df > 1]
-        order = np.argsort(ck, kind="stable")
-        ck, h, df = ck[order], h[order], df[order]
-        first = np.flatnonzero(np.diff(ck, prepend=ck[:1] + 1)) if len(ck) else np.zeros(0, dtype=np.int64)
-        hs, ds = (np.split(x, first[1:]) if len(first) else [] for x in (h, df.astype(np.int64)))
-        return pa.table({"ck": pa.array(ck[first], pa.int64()), "h": pa.array([x.tobytes() for x in hs], pa.binary()), "df": pa.array([x.tobytes() for x in ds], pa.binary())})
+        return dealt_by_text(ck, {"h": h, "df": df.astype(np.int64)}, buckets)
 
     buckets = bucket_count(source.sparkSession, source, 6)
     packed = packed_hashes(source, grams_of, buckets, wide=True).repartition(buckets, "bucket")
-    return packed.groupBy("bucket").applyInArrow(match, "ck long, h binary, df binary")
+    return gathered_by_text(packed, match, {"h": np.uint64, "df": np.int64}, buckets).withColumnRenamed("rk", "ck")
 
 
 def candidates(source: DataFrame, sized: DataFrame) -> DataFrame:
     """Sets whose shared shingles suffice for a link, in the global order, with the length of their prefix."""
-    shared = shared_shingles(source).groupBy("ck").agg(F.collect_list(F.struct("h", "df")).alias("parts"))
+    shared = shared_shingles(source)
     n_of = stored(sized.filter("n > 0").groupBy("ck").agg(F.first("n").alias("n")), "set-sizes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for ck, n, parts in zip(batch.column("ck").to_pylist(), batch.column("n").to_pylist(), batch.column("parts").to_pylist()):
-                h = np.concatenate([np.frombuffer(p["h"], dtype=np.uint64) for p in parts])
+            for ck, n, h, df in zip(*(batch.column(c).to_pylist() for c in ("ck", "n", "h", "df"))):
+                h, df = np.frombuffer(h, dtype=np.uint64), np.frombuffer(df, dtype=np.int64)
                 if len(h) < least_overlap(n):
                     continue
-                df = np.concatenate([np.frombuffer(p["df"], dtype=np.int64) for p in parts])
                 order = np.lexsort((h, df))
                 prefix = n - least_overlap(n) + 1 - (n - len(h))
                 rows.append((ck, n, h[order].view(np.int64), df[order], prefix))
@@ -125,7 +120,7 @@ def candidates(source: DataFrame, sized: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["ck", "n", "grams", "df", "prefix"])
 
-    rows = stored(shared, "shared").join(n_of, "ck").select("ck", "n", "parts")
+    rows = shared.join(n_of, "ck").select("ck", "n", "h", "df")
     return stored(rows.mapInArrow(run, "ck long, n long, grams array<long>, df array<long>, prefix long"), "sets")
 
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revstream.llm.common import id_order, places_of, stored
+from revstream.llm.common import id_order, stored
 
 PLACE = "o", "rk", "first"
 
@@ -48,8 +48,8 @@ def candidate_texts(source: DataFrame, hits: DataFrame, cut: Callable[[str, np.n
             for i in range(0, batch.num_rows, 200):
                 part = batch.slice(i, 200)
                 bodies, found = [], []
-                for text, places in zip(part.column("text"), part.column("places").to_pylist()):
-                    body, segments = cut(text.as_py(), places_of(places))
+                for text, places in zip(part.column("text"), part.column("place").to_pylist()):
+                    body, segments = cut(text.as_py(), np.unique(np.frombuffer(places, dtype=np.uint32)).astype(np.int64))
                     bodies.append(body)
                     rows = []
                     for ah, first, n, a, b, anchor in segments:
@@ -58,7 +58,7 @@ def candidate_texts(source: DataFrame, hits: DataFrame, cut: Callable[[str, np.n
                     found.append(rows)
                 yield pa.RecordBatch.from_arrays([part.column("o"), part.column("rk"), pa.array(bodies, pa.binary()), pa.array(found, kind)], names=["o", "rk", "body", "segments"])
 
-    rows = source.join(hits, "rk").select(id_order().alias("o"), "rk", "text", "places")
+    rows = source.join(hits, "rk").select(id_order().alias("o"), "rk", "text", "place")
     return stored(rows.mapInArrow(run, "o long, rk long, body binary, segments array<struct<ah:long,h1:long,h2:long,first:long,n:long>>"), "candidates")
 
 
