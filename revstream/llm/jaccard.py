@@ -144,36 +144,42 @@ def linked_pairs(pairs: DataFrame, cut: DataFrame) -> DataFrame:
 
 
 def set_classes(sets: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
-    """``(ck, class)`` of the sets that link with a different set."""
+    """``(ck, class)`` of the sets that link with a different set.
+
+    A shingle is the first that two sets share in the global order for some list that holds both, and from there
+    on they can share no more than either has left. Pairs that cannot reach the threshold so are not formed.
+    """
     cut = fragments(sets)
-    near = (100 * F.least("na", "nb") >= PER_CENT * F.greatest("na", "nb"))
-    # `own`: shingles no other set has. The set with fewest is the best pivot of a group of near copies.
-    lists = stored(sets.select(F.explode(F.slice("grams", 1, F.col("prefix").cast("int"))).alias("g"), "ck", "n", (F.col("n") - F.size("grams")).alias("own")), "lists")
+    own = F.col("n") - F.size("grams")
+    # `at`: place of the shingle in the whole set; a set's own shingles, which no other set has, come first.
+    each = sets.select("ck", "n", own.alias("own"), F.posexplode(F.slice("grams", 1, F.col("prefix").cast("int"))).alias("i", "g"))
+    lists = stored(each.select("g", "ck", "n", "own", (F.col("own") + F.col("i")).alias("at")), "lists")
+    most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    near = 100 * most >= PER_CENT * (F.col("na") + F.col("nb") - most)
     label = None
     for turn in range(star_rounds + 1):
         with_class = lists if label is None else lists.join(label, "ck", "left")
         comp = F.col("ck") if label is None else F.coalesce("class", "ck")
-        active = stored(with_class.select("g", "ck", "n", "own", comp.alias("c")), "active")
-        rank = F.struct("own", "ck", "n", "c")
+        active = stored(with_class.select("g", "ck", "n", "own", "at", comp.alias("c")), "active")
+        # The set with the fewest own shingles is the best pivot of a group of near copies.
+        rank = F.struct("own", "ck", "n", "at", "c")
         heads = stored(active.groupBy("g").agg(F.min(rank).alias("p"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("g", "p"), "heads")
+        met = active.join(heads, "g").filter("ck <> p.ck")
         if turn < star_rounds:
-            met = active.join(heads, "g")
-            pairs = met.filter((F.col("ck") != F.col("p.ck")) & (F.col("c") != F.col("p.c")))
-            pairs = pairs.select(F.least("ck", "p.ck").alias("a"), F.greatest("ck", "p.ck").alias("b"),
-                                 F.when(F.col("ck") < F.col("p.ck"), F.col("n")).otherwise(F.col("p.n")).alias("na"),
-                                 F.when(F.col("ck") < F.col("p.ck"), F.col("p.n")).otherwise(F.col("n")).alias("nb"))
-            # The pivot has met its whole list.
-            lists = stored(met.filter(F.col("ck") != F.col("p.ck")).select("g", "ck", "n", "own"), "lists")
+            pairs = met.filter("c <> p.c").select(F.col("ck").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("p.ck").alias("b"), F.col("p.n").alias("nb"), F.col("p.at").alias("ib"))
+            lists = stored(met.select("g", "ck", "n", "own", "at"), "lists")  # the pivot has met its whole list
         else:
-            open_lists = active.join(heads.select("g"), "g")
-            left = open_lists.select("g", F.col("ck").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-            right = open_lists.select("g", F.col("ck").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-            pairs = left.join(right, "g").filter("a < b and ca <> cb").select("a", "b", "na", "nb")
-        pairs = stored(pairs.filter(near).distinct(), "pairs")
-        found = stored(linked_pairs(pairs, cut), "links")
+            left = met.select("g", F.col("ck").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("c").alias("ca"))
+            right = met.select("g", F.col("ck").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("c").alias("cb"))
+            star = met.filter("c <> p.c").select(F.col("ck").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("p.ck").alias("b"), F.col("p.n").alias("nb"), F.col("p.at").alias("ib"))
+            pairs = left.join(right, "g").filter("a < b and ca <> cb").drop("g", "ca", "cb").unionByName(star)
+        swapped = F.col("a") > F.col("b")
+        pairs = pairs.filter(near).select(*[F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("na", "nb"), ("nb", "na"))])
+        found = stored(linked_pairs(stored(pairs.distinct(), "pairs"), cut), "links")
         # Classes are roots of stars, so that links among them and the new links are all that is needed.
         links = found if label is None else found.union(label.select(F.col("ck").alias("a"), F.col("class").alias("b")))
-        label = stored(components(links).select(F.col("node").alias("ck"), F.col("component").alias("class")), "classes")
+        if label is None or not found.isEmpty():
+            label = stored(components(links).select(F.col("node").alias("ck"), F.col("component").alias("class")), "classes")
         if turn < star_rounds and lists.isEmpty():
             break
     return label
