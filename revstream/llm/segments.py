@@ -39,49 +39,53 @@ def candidate_texts(source: DataFrame, hits: DataFrame, cut: Callable[[str, np.n
     """Texts with hits, their bodies and segments: ``(o, rk, body, segments)``.
 
     ``cut(text, places)`` gives the body (bytes) and, per segment, anchor hash, first window, windows, and the
-    bounds of its bytes in the body together with the anchor's place in it.
+    bounds of its bytes in the body together with the anchor's offset in it (``at``).
     """
-    kind = pa.list_(pa.struct([("ah", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("first", pa.int64()), ("n", pa.int64())]))
+    kind = pa.list_(pa.struct([("ah", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("first", pa.int64()), ("n", pa.int64()), ("at", pa.int64())]))
+
+    digest = xxhash.xxh3_128_digest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 part = batch.slice(i, 200)
-                bodies, found = [], []
+                bodies, sizes, found, digests = [], [0], [], []
                 for text, places in zip(part.column("text"), part.column("place").to_pylist()):
                     body, segments = cut(text.as_py(), np.unique(np.frombuffer(places, dtype=np.uint32)).astype(np.int64))
                     bodies.append(body)
-                    rows = []
-                    for ah, first, n, a, b, anchor in segments:
-                        h = np.frombuffer(xxhash.xxh3_128_digest(body[a:b], seed=anchor), dtype=np.int64)
-                        rows.append({"ah": ah, "h1": h[0], "h2": h[1], "first": first, "n": n})
-                    found.append(rows)
-                yield pa.RecordBatch.from_arrays([part.column("o"), part.column("rk"), pa.array(bodies, pa.binary()), pa.array(found, kind)], names=["o", "rk", "body", "segments"])
+                    sizes.append(sizes[-1] + len(segments))
+                    found += segments
+                    digests += [digest(body[a:b], anchor) for _, _, _, a, b, anchor in segments]
+                h = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+                ah, first, n, _, _, at = np.array(found, dtype=np.int64).reshape(-1, 6).T
+                columns = [pa.array(np.ascontiguousarray(c)) for c in (ah, h[:, 0], h[:, 1], first, n, at)]
+                lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays(columns, fields=list(kind.value_type)))
+                yield pa.RecordBatch.from_arrays([part.column("o"), part.column("rk"), pa.array(bodies, pa.binary()), lists], names=["o", "rk", "body", "segments"])
 
     rows = source.join(hits, "rk").select(id_order().alias("o"), "rk", "text", "place")
-    return stored(rows.mapInArrow(run, "o long, rk long, body binary, segments array<struct<ah:long,h1:long,h2:long,first:long,n:long>>"), "candidates")
+    return stored(rows.mapInArrow(run, "o long, rk long, body binary, segments array<struct<ah:long,h1:long,h2:long,first:long,n:long,at:long>>"), "candidates")
 
 
 def resolve(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(rk, first, n)`` runs of windows known to start earlier, and first occurrences to look at more closely.
 
-    The latter, ``(ah, o, rk, first, n, several)``, are segments whose anchor also stands in a different segment;
+    The latter, ``(ah, o, rk, first, n, at, several)``, are segments whose anchor also stands in a different segment;
     ``several`` is the number of different segments of the anchor.
     """
     each = candidates.select("o", "rk", F.explode("segments").alias("s")).select("o", "rk", "s.*")
     place = F.struct(*PLACE)
-    distinct = stored(each.groupBy("ah", "h1", "h2").agg(F.min(place).alias("p"), F.max(place).alias("q"), F.first("n").alias("n")), "distinct")
+    distinct = stored(each.groupBy("ah", "h1", "h2").agg(F.min(place).alias("p"), F.max(place).alias("q"), F.first("n").alias("n"), F.first("at").alias("at")), "distinct")
     again = distinct.filter("p <> q").select("ah", "h1", "h2", "p")
     covered = each.join(again, ["ah", "h1", "h2"]).filter(place != F.col("p")).select("rk", "first", "n")
     several = stored(distinct.groupBy("ah").agg(F.count("*").alias("several")).filter("several > 1"), "several")
-    closer = distinct.join(several, "ah").select("ah", "p.o", "p.rk", "p.first", "n", "several")
+    closer = distinct.join(several, "ah").select("ah", "p.o", "p.rk", "p.first", "n", "at", "several")
     return covered, stored(closer, "closer")
 
 
 def with_bodies(closer: DataFrame, candidates: DataFrame) -> DataFrame:
     """Segments to look at, gathered by text beside the text's body: one row per text."""
     # Equal rows are one document: their segments are given once, and looking twice changes nothing.
-    mine = stored(closer.groupBy("rk").agg(F.collect_list(F.struct("ah", "first", "n", "several")).alias("look")), "look")
+    mine = stored(closer.groupBy("rk").agg(F.collect_list(F.struct("ah", "first", "n", "at", "several")).alias("look")), "look")
     return candidates.select("o", "rk", "body").join(mine, "rk")
 
 

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from revstream.llm.common import repeated_places, rolling, texts
 
 WINDOW, GRAM = 100, 40
 PIECE = 1_000_000
-GROUP = 64
+GROUP, SUB = 64, 8
 _BYTE = np.random.default_rng(7_100).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
@@ -148,40 +149,39 @@ def extend(text: str, places: np.ndarray) -> tuple[bytes, list[tuple]]:
     return body, list(zip(h.view(np.int64).tolist(), first.tolist(), n.tolist(), first.tolist(), (first + n + WINDOW - 1).tolist(), (place - first).tolist()))
 
 
-def windows(body: bytes, look: list) -> Iterator[tuple[int, bytes]]:
-    for s in look:
-        for w in range(s["first"], s["first"] + s["n"]):
-            yield w, body[w : w + WINDOW]
-
-
 def render(body: bytes, runs: np.ndarray) -> tuple[int, int, bytes]:
     gone = segments.covered_mask(runs, WINDOW, len(body))
     spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
     return int(gone.sum()), spans, np.frombuffer(body, dtype=np.uint8)[~gone].tobytes()
 
 
-def later_windows(parts: list[tuple[tuple, int, bytes]]) -> list[tuple[int, int]]:
-    """``(part, window)`` of windows whose bytes start earlier in ``(place, windows, bytes)`` parts of one group."""
+def later_windows(parts: list[tuple[tuple, int, int, bytes]]) -> list[tuple[int, int]]:
+    """``(part, window)`` of windows whose bytes start earlier in the parts of one group.
+
+    A part is its place, number of windows, the anchor's offset and bytes. All windows hold the anchor, at the
+    same place where they are equal, so it stands in the sorted text as one symbol.
+    """
     text: list[int] = []
     owner, offset = [], []
-    many = len(parts) + 1
-    for k, (_, n, data) in enumerate(parts):
-        text += [c + many for c in data]
+    many = len(parts) + 2
+    for k, (_, n, at, data) in enumerate(parts):
+        text += [c + many for c in data[:at]]
+        text.append(many - 1)
+        text += [c + many for c in data[at + GRAM :]]
         text.append(k + 1)
-        owner += [k] * (len(data) + 1)
-        offset += [*range(len(data) + 1)]
+        owner += [k] * (len(text) - len(owner))
+        offset += range(len(text) - len(offset))
     text.append(0)
     owner.append(-1)
     offset.append(0)
     out: list[tuple[int, int]] = []
     before = least = None
     for s in suffix_array(text):
-        k = owner[s]
-        if k < 0 or offset[s] >= parts[k][1]:
+        k, w = owner[s], offset[s]
+        if k < 0 or w >= parts[k][1]:
             continue
-        window = parts[k][2][offset[s] : offset[s] + WINDOW]
-        o, rk, first = parts[k][0]
-        here = (o, rk, first + offset[s], k, offset[s])
+        (o, rk, first), _, _, data = parts[k]
+        window, here = data[w : w + WINDOW], (o, rk, first + w, k, w)
         if window != before:
             before, least = window, here
         else:
@@ -190,41 +190,94 @@ def later_windows(parts: list[tuple[tuple, int, bytes]]) -> list[tuple[int, int]
     return out
 
 
-def sorted_groups(rows: DataFrame) -> DataFrame:
-    """``(rk, first, n)`` of the covered windows of groups of segments small enough for one suffix array."""
+def segment_bytes(rows: DataFrame) -> DataFrame:
+    """``(ah, several, o, rk, first, n, at, bytes)``: the bytes of the segments to look at."""
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 50):
                 part = batch.slice(i, 50)
-                out = [(s["ah"], o, rk, s["first"], s["n"], body[s["first"] : s["first"] + s["n"] + WINDOW - 1])
+                out = [(s["ah"], s["several"], o, rk, s["first"], s["n"], s["at"], body[s["first"] : s["first"] + s["n"] + WINDOW - 1])
                        for o, rk, body, look in zip(*(part.column(c).to_pylist() for c in ("o", "rk", "body", "look"))) for s in look]
-                columns = list(zip(*out)) if out else [[]] * 6
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.binary())], names=["ah", "o", "rk", "first", "n", "bytes"])
+                columns = list(zip(*out)) if out else [[]] * 8
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:7]), pa.array(columns[7], pa.binary())],
+                                                 names=["ah", "several", "o", "rk", "first", "n", "at", "bytes"])
+
+    return segments.stored(rows.mapInArrow(run, "ah long, several long, o long, rk long, first long, n long, at long, bytes binary"), "segment-bytes")
+
+
+def sorted_groups(each: DataFrame) -> DataFrame:
+    """``(rk, first, n)`` of the covered windows of groups of segments small enough for one suffix array."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[tuple] = []
+            rks, firsts, ns = [], [], []
             for group in batch.column("parts").to_pylist():
-                places = {(p["o"], p["rk"], p["first"]): p for p in group}  # equal rows bring a segment twice
-                parts = list(places.values())
-                later = later_windows([((p["o"], p["rk"], p["first"]), p["n"], p["bytes"]) for p in parts])
-                found += [(parts[k]["rk"], parts[k]["first"] + w) for k, w in later]
-            columns = list(zip(*found)) if found else [[]] * 2
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array([1] * len(found), pa.int64())], names=["rk", "first", "n"])
-
-    each = rows.mapInArrow(pieces, "ah long, o long, rk long, first long, n long, bytes binary")
-    grouped = each.groupBy("ah").agg(F.collect_list(F.struct("o", "rk", "first", "n", "bytes")).alias("parts"))
+                parts = list({(p["o"], p["rk"], p["first"]): p for p in group}.values())  # equal rows bring a segment twice
+                later = later_windows([((p["o"], p["rk"], p["first"]), p["n"], p["at"], p["bytes"]) for p in parts])
+                last = None
+                for k, w in sorted(later):
+                    if last == (k, w - 1):
+                        ns[-1] += 1
+                    else:
+                        rks.append(parts[k]["rk"])
+                        firsts.append(parts[k]["first"] + w)
+                        ns.append(1)
+                    last = (k, w)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (rks, firsts, ns)], names=["rk", "first", "n"])
+
+    grouped = each.groupBy("ah").agg(F.collect_list(F.struct("o", "rk", "first", "n", "at", "bytes")).alias("parts"))
     return grouped.select("parts").mapInArrow(sort, "rk long, first long, n long")
 
 
+def hot_windows(each: DataFrame) -> DataFrame:
+    """``(rk, first, n)`` of the covered windows of large groups.
+
+    Runs of ``SUB`` windows come first, cut at multiples of ``SUB`` from the anchor: windows can only be equal
+    when the bytes common to all windows of such a run are. Runs whose common bytes stand nowhere else go; the
+    windows of the others are compared by 128-bit hashes.
+    """
+
+    def hashed(parts, names: list[str]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(0, batch.num_rows, 500):
+                    part = batch.slice(i, 500)
+                    out = [(o, rk, f, n, data, *np.frombuffer(xxhash.xxh3_128_digest(key), dtype=np.int64).tolist())
+                           for o, rk, first, count, at, body in zip(*(part.column(c).to_pylist() for c in ("o", "rk", "first", "n", "at", "bytes")))
+                           for f, n, data, key in parts(first, count, at, body)]
+                    columns = dict(zip(("o", "rk", "first", "n", "bytes", "h1", "h2"), zip(*out) if out else [[]] * 7))
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[c], pa.binary() if c == "bytes" else pa.int64()) for c in names], names=names)
+
+        return run
+
+    def runs(first: int, count: int, at: int, body: bytes):
+        for q in range((at - count + 1) // SUB, at // SUB + 1):
+            a, b = max(0, at - SUB * q - SUB + 1), min(count - 1, at - SUB * q)
+            yield first + a, b - a + 1, body[a : b + WINDOW], body[at - SUB * q : at - SUB * q - SUB + 1 + WINDOW]
+
+    def single(first: int, count: int, _: int, body: bytes):
+        for w in range(count):
+            yield first + w, 1, b"", body[w : w + WINDOW]
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        place = F.struct(*segments.PLACE)
+        return segments.stored(rows.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.max(place).alias("q")).filter("p <> q").select("h1", "h2", "p"), "hot")
+
+    names = ["o", "rk", "first", "n", "bytes", "h1", "h2"]
+    cores = segments.stored(each.mapInArrow(hashed(runs, names), "o long, rk long, first long, n long, bytes binary, h1 long, h2 long"), "cores")
+    left = cores.join(repeated(cores), ["h1", "h2"]).select("o", "rk", "first", "n", F.lit(0).cast("long").alias("at"), "bytes")
+    ones = segments.stored(left.mapInArrow(hashed(single, [c for c in names if c != "bytes"]), "o long, rk long, first long, n long, h1 long, h2 long"), "windows")
+    return ones.join(repeated(ones), ["h1", "h2"]).filter(F.struct(*segments.PLACE) != F.col("p")).select("rk", "first", "n")
+
+
 def kept_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """``(id, rk, text)`` of every row, and ``(rk, n_removed, n_spans, kept)`` of the texts that lose bytes."""
     source = texts(docs, id_col, text_col)
     found = segments.candidate_texts(source, repeated_places(source, probes, bytes_per_entry=30), extend)
     covered, closer = segments.resolve(found)
-    few = sorted_groups(segments.with_bodies(closer.filter(F.col("several") <= group), found))
-    many = segments.repeated_windows(segments.with_bodies(closer.filter(F.col("several") > group), found), windows)
+    look = segment_bytes(segments.with_bodies(closer, found))
+    few, many = sorted_groups(look.filter(F.col("several") <= group)), hot_windows(look.filter(F.col("several") > group))
     return source, segments.without_covered(found, covered.union(few).union(many), render, "n_removed long, n_spans long, kept binary")
 
 
