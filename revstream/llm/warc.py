@@ -96,7 +96,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     headers, payloads = spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads")
     checked = payloads.select("digest", "payload", F.sha2("payload", 256).alias("found"), F.octet_length("payload").cast("long").alias("payload_bytes"))
     text = F.decode("header", "UTF-8")
-    field = lambda name: F.regexp_extract(text, rf"(?m)^{name}: (.*?)\r$", 1)
+    field = lambda name: F.regexp_extract(text, rf"(?m)^{name}: ([^\r\n]*)", 1)
     return headers.join(checked, headers["payload_digest"] == checked["digest"], "left").select(
         "record_id",
         "header",
