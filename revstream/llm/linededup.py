@@ -71,11 +71,12 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "rk", "first", "n", "h1", "h2", "body"])
 
     found = stored(texts(docs, id_col, text_col).mapInArrow(run, schema), "chunks")
+    # Merge joins at every size: the tables grow with the corpus, and a broadcast of a small one would not last.
     place = F.struct(id_order().alias("o"), F.col("rk").alias("rk"), F.col("first").alias("first"))
     often = stored(found.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.max(place).alias("q")).filter("p <> q").select("h1", "h2"), "often")
-    repeated = stored(found.join(often, ["h1", "h2"]), "repeated")
+    repeated = stored(found.join(often.hint("merge"), ["h1", "h2"]), "repeated")
     firsts = stored(repeated.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.min_by("body", place).alias("first_body")), "firsts")
-    later = repeated.join(firsts, ["h1", "h2"]).filter((place != F.col("p")) & (F.col("body") == F.col("first_body")))
+    later = repeated.join(firsts.hint("merge"), ["h1", "h2"]).filter((place != F.col("p")) & (F.col("body") == F.col("first_body")))
     lines = later.select("rk", F.sequence("first", F.col("first") + F.col("n") - 1).alias("lines")).distinct()
     return stored(lines.groupBy("rk").agg(F.flatten(F.collect_list("lines")).alias("dropped"), F.count("*").alias("n_chunks")), "dropped")
 
@@ -86,7 +87,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     key = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
     rest = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains(F.col("__dropped"), i)), "\n")
     text = F.when(F.col("__dropped").isNull(), F.col(text_col)).otherwise(rest)
-    out = docs.join(drops, key == F.col("__rk"), "left").withColumn("__text", text)
+    out = docs.join(drops.hint("merge"), key == F.col("__rk"), "left").withColumn("__text", text)
     return out.select(*[F.col("__text").alias(c) if c == text_col else F.when(F.col("__dropped").isNull(), F.col(c)).otherwise(
         F.length("__text").cast(docs.schema[c].dataType)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
@@ -94,7 +95,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_lines, n_removed, n_chunks, kept_sha256`` of every row."""
     drops = dropped_lines(docs, id_col, text_col)
-    rows = texts(docs.filter(F.col(text_col).isNotNull()), id_col, text_col).join(drops, "rk", "left")
+    rows = texts(docs.filter(F.col(text_col).isNotNull()), id_col, text_col).join(drops.hint("merge"), "rk", "left")
     lines = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("dropped"), i)), "\n")
     out = rows.select(F.col("id").alias("doc_id"), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_removed"),
