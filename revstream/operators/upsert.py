@@ -27,12 +27,13 @@ def merge_upsert(
 ) -> DataFrame:
     """Target after the merge: matched rows replaced, new rows added, columns following the updates.
 
-    * ``newer``: a stored row later in this column than its update stays (late or replayed input).
+    * ``newer``: a stored row later in this column than its update stays (late or replayed input); of several
+      updates of a key the latest counts, also when there is no target yet.
     * ``deletes``: keys to remove from the result.
     * ``insert_only``: stored rows are never replaced.
     """
     if target is None:
-        merged = updates
+        merged = updates if newer is None else dedup_latest(updates, key, [F.col(newer).desc_nulls_last()])
     elif newer is not None:
         both = target.withColumn("_new", F.lit(0)).unionByName(
             updates.withColumn("_new", F.lit(1)), allowMissingColumns=True

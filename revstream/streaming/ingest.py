@@ -13,8 +13,12 @@ from revstream.sources.landing import load_typed, object_path, parse_lines
 from revstream.sources.tables import Table
 
 
+# Spark's default ignores files a week older than the newest one it has seen; here no file is too old to load.
+ANY_AGE = "36500d"
+
+
 def landing_stream(spark: SparkSession, root: str, obj: str, files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema("value string, date date")
+    reader = spark.readStream.schema("value string, date date").option("maxFileAge", ANY_AGE)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     lines = reader.text(object_path(root, obj)).withColumn("_file_name", F.col("_metadata.file_path"))

@@ -197,3 +197,28 @@ def test_source_switch(spark):
 def test_apply_lookback_is_plain_arithmetic():
     now = datetime(2026, 1, 1, tzinfo=UTC)
     assert now - apply_lookback(now) == timedelta(minutes=30)
+
+
+def test_first_upsert_keeps_one_row_per_key(spark):
+    from revstream.operators.upsert import merge_upsert
+
+    updates = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (1, 2, "b"), (2, 1, "x")], "k int, t int, v string")
+    assert sorted(tuple(r) for r in merge_upsert(None, updates, "k", newer="t").collect()) == [(1, 3, "c"), (2, 1, "x")]
+
+
+def test_an_old_file_is_loaded_after_newer_ones(spark, folder):
+    import os
+    import time
+
+    from revstream.sources.landing import object_path
+    from revstream.streaming.ingest import landing_stream
+
+    at = f"{object_path(folder, 'Account')}/date=2026-01-01"
+    os.makedirs(at)
+    for i, days in enumerate((0, 0, 9)):
+        with open(f"{at}/{i}.json", "w") as f:
+            f.write('{"Id": "%d"}\n' % i)
+        os.utime(f"{at}/{i}.json", (time.time() - days * 86_400,) * 2)
+        query = landing_stream(spark, folder, "Account").writeStream.format("parquet").option("checkpointLocation", f"{folder}/check")
+        query.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    assert spark.read.parquet(f"{folder}/out").count() == 3
