@@ -50,7 +50,7 @@ STAGES = [
     ("BPE encoding and decoding", tokenize),
 ]
 
-# Viterbi labelling and subword merges have no SQL form; tests/llm compares the pipeline with brute force.
+# Viterbi labelling and subword merges have no SQL form; tests/llm compares the operators with brute force.
 ORACLE_SQL = None
 
 
