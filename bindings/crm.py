@@ -94,9 +94,9 @@ class Crm:
     @cached_property
     def opportunity_history(self) -> DataFrame:
         versions = staging.project(self.raw("OpportunityVersion"), "Opportunity").select(
-            "opportunity_id", "stage_name", "amount", "probability_pct", "close_date", "is_closed", "is_won", "owner_id", "updated_at"
+            "opportunity_id", "stage_name", "amount", "probability_pct", "close_date", "is_closed", "is_won", "owner_id", "updated_at", "is_deleted"
         )
-        return scd2_build(versions, "opportunity_id")
+        return scd2_build(versions, "opportunity_id", deleted="is_deleted")
 
     @cached_property
     def account_history(self) -> DataFrame:

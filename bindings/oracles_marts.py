@@ -365,7 +365,7 @@ ORACLES["stage_regression"] = with_ctes(
     """select opportunity_id, from_stage, to_stage, moved_at from (
         select h.id as opportunity_id, h.stage_name as to_stage, h.valid_from as moved_at, s.stage_order,
                lag(h.stage_name) over w as from_stage, lag(s.stage_order) over w as from_order
-        from opp_history h join stage_seed s on h.stage_name = s.stage_name
+        from opp_history h left join stage_seed s on h.stage_name = s.stage_name
         window w as (partition by h.id order by h.valid_from)) where from_order > stage_order"""
 )
 _WEIGHTED = "cast(amount * probability_pct * cast(0.01 as decimal(3,2)) as decimal(38,2))"

@@ -165,7 +165,7 @@ def scd2_snapshot_table(c: Crm):
     """The same three runs stored as a snapshot table."""
     table = Table(c.spark, scratch_dir(c.spark, "snapshot"))
     for run in RUNS:
-        table.snapshot(scd2_step(table.open_versions(), _current(c, run), "opportunity_id", now=run))
+        table.snapshot(scd2_step(table.open_versions(), _current(c, run), "opportunity_id", now=run, closed=table.closed_versions()))
     return table.read()
 
 

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from revstream.operators.incremental import ntz
 
 
+# The order of versions of a record where none is given. A line of a file is unique, so it has no ties.
+NEWEST = ("systemmodstamp", "_load_timestamp", "_file_name", "_file_row_number")
+
+
 def newest_first(*cols: str) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in cols]
 
@@ -21,7 +25,7 @@ def dedup_latest(
     since: datetime | None = None,
     since_column: str = "systemmodstamp",
 ) -> DataFrame:
-    """One row per key: the first by ``order`` (newest modification, then newest load).
+    """One row per key: the first by ``order`` (newest modification, newest load, then the place in its file).
 
     ``row_number() <= 1`` plans a group limit on the map side, so a key holding a large share of the
     rows sends at most one row per input partition through the shuffle.
@@ -31,7 +35,7 @@ def dedup_latest(
     """
     keys = [key] if isinstance(key, str) else key
     if order is None:
-        order = newest_first(*[c for c in ("systemmodstamp", "_load_timestamp") if c in df.columns])
+        order = newest_first(*[c for c in NEWEST if c in df.columns])
     if since is not None:
         df = df.filter(F.col(since_column) >= ntz(since))
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -1,6 +1,6 @@
 """Next and previous rows, and as-of joins, within a key that may hold a third of all rows.
 
-A window partitioned by the key alone gives all rows of one key to one task. Here the few largest
+A window partitioned by the key alone gives all rows of one key to one task. Here large
 keys are cut into time ranges first. Each range is a window of its own, and a small table with one
 row per (hot key, range) carries values across the cuts. The result does not depend on which keys
 were cut or where.
@@ -10,27 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # A key is cut when it has at least this many rows, into ranges of about as many: below, one task orders
-# it in seconds and cutting costs more than it saves. Only the largest keys are considered. The list of
-# keys is at most HOT_KEYS long, and the broadcast tables hold at most one row or cut point per HOT_ROWS
-# rows of the data.
+# it in seconds and cutting costs more than it saves. Every such key is cut, NULL included; the tables of
+# keys and cuts hold at most one row or cut point per HOT_ROWS rows of the data.
 HOT_ROWS = 10_000_000
-HOT_KEYS = 1_000
-MAX_RANGES = 4_096
 # Cut points are looked up in two steps, first the block and then within it.
 BLOCK = 64
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list[tuple]:
-    """The largest keys with at least ``min_rows`` rows and their counts, at most HOT_KEYS of them.
-
-    Counting combines on the map side and only the top of the list comes to the driver.
-    """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.filter(F.col("_n") >= min_rows).orderBy(F.desc("_n"), key).limit(HOT_KEYS)
-    return [tuple(r) for r in top.collect()]
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
+    """``_key, _n``: every key with at least ``min_rows`` rows, NULL included, and its rows."""
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") >= min_rows)
 
 
 def cut_hot_keys(df: DataFrame, key: str, order: str, min_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -40,23 +32,31 @@ def cut_hot_keys(df: DataFrame, key: str, order: str, min_rows: int = HOT_ROWS)
     distribution. None when no key is hot.
     """
     pairs = df.select(key, order)
-    hot = [(k, max(2, min(MAX_RANGES, -(-n // min_rows)))) for k, n in hot_keys(pairs, key, min_rows)]
-    if not hot:
+    hot = hot_keys(pairs, key, min_rows)
+    largest = hot.agg(F.max("_n")).first()[0]
+    if largest is None:
         return None
-    schema = T.StructType([pairs.schema[key], T.StructField("_ranges", T.IntegerType())])
-    listed = F.broadcast(df.sparkSession.createDataFrame(hot, schema))
-    most = max(ranges for _, ranges in hot)
+    ranges = F.greatest(F.lit(2), F.ceil(F.col("_n") / min_rows)).cast("int")
+    most = max(2, -(-largest // min_rows))
     points = [i / most for i in range(1, most)]
-    found = pairs.join(listed, key).groupBy(key).agg(
+    same_key = F.col(key).eqNullSafe(F.col("_key"))
+    found = pairs.join(hot.select("_key", ranges.alias("_ranges")), same_key).groupBy("_key").agg(
         F.percentile_approx(order, points, max(10_000, 4 * most)).alias("_all"), F.max("_ranges").alias("_ranges")
     )
     chosen = f"transform(sequence(1, _ranges - 1), i -> _all[int(i * {most} div _ranges) - 1])"
     blocks = f"transform(sequence(0, (_ranges - 2) div {BLOCK}), b -> slice(_chosen, int(b * {BLOCK} + 1), {BLOCK}))"
-    cuts = found.selectExpr(key, "_ranges", f"{chosen} as _chosen").selectExpr(key, f"{blocks} as _cuts")
+    cuts = found.selectExpr("_key", "_ranges", f"{chosen} as _chosen").selectExpr("_key", f"{blocks} as _cuts")
     block = f"greatest(size(filter(_cuts, c -> c[0] < {order})) - 1, 0)"
     below = f"{block} * {BLOCK} + size(filter(_cuts[{block}], c -> c < {order}))"
-    tagged = df.join(F.broadcast(cuts), key, "left")
-    return tagged.withColumn("_range", F.expr(f"case when _cuts is not null then {below} end")).drop("_cuts")
+    tagged = df.join(cuts, same_key, "left")
+    return tagged.withColumn("_range", F.expr(f"case when _cuts is not null then {below} end")).drop("_key", "_cuts")
+
+
+def across_cuts(cut: DataFrame, links: DataFrame, key: str) -> DataFrame:
+    """Rows of ``cut`` with what ``links`` holds for their key and range."""
+    named = links.withColumnsRenamed({key: "_link_key", "_range": "_link_range"})
+    same = F.col(key).eqNullSafe(F.col("_link_key")) & (F.col("_range") == F.col("_link_range"))
+    return cut.join(named, same, "left").drop("_link_key", "_link_range")
 
 
 def with_neighbours(
@@ -100,7 +100,7 @@ def with_neighbours(
     )
     w = Window.partitionBy(key, "_range").orderBy(order, *ties)
     ends = {"_has_next": F.lead(F.lit(1)).over(w), "_has_prev": F.lag(F.lit(1)).over(w)}
-    out = cut.withColumns({**ends, **neighbours(w)}).join(F.broadcast(links), [key, "_range"], "left")
+    out = across_cuts(cut.withColumns({**ends, **neighbours(w)}), links, key)
 
     def across_cut(end: str, link: str, new: str, old: str) -> Column:
         return F.when(F.col(end).isNull(), F.col(link)[old]).otherwise(F.col(new))
@@ -130,7 +130,7 @@ def as_of_join(
     """
     usable = F.col(key).isNotNull() & F.col(ts).isNotNull()
     version = F.struct(F.col(valid_to).alias("_to"), *[F.col(old).alias(new) for new, old in columns.items()])
-    versions = history.select(key, F.col(valid_from).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"), version.alias("_v"))
+    versions = history.filter(F.col(key).isNotNull()).select(key, F.col(valid_from).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"), version.alias("_v"))
     rows = facts.filter(usable).select(
         key, F.col(ts).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"), F.struct(*facts.columns).alias("_f")
     )
@@ -151,11 +151,7 @@ def as_of_join(
             .agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t"))).alias("_tail"))
             .select(key, "_range", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
         )
-        matched = (
-            carried_forward(cut, key, "_range")
-            .join(F.broadcast(links), [key, "_range"], "left")
-            .withColumn("_v", F.coalesce("_v", "_carry"))
-        )
+        matched = across_cuts(carried_forward(cut, key, "_range"), links, key).withColumn("_v", F.coalesce("_v", "_carry"))
     valid: Column = F.col("_v._to").isNull() | (F.col("_t") < F.col("_v._to"))
     out = matched.select("_f.*", *[F.when(valid, F.col(f"_v.{new}")).alias(new) for new in columns])
     unusable = facts.filter(~usable).withColumns({new: F.lit(None).cast(out.schema[new].dataType) for new in columns})

@@ -30,6 +30,11 @@ def _opened(df: DataFrame, key: str, updated_at: str) -> DataFrame:
     )
 
 
+def with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` with the columns it lacks of ``other``, as NULL."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in other.schema.fields if f.name not in df.columns})
+
+
 def with_meta_prefix(history: DataFrame, prefix: str) -> DataFrame:
     """History with its four bookkeeping columns renamed, for readers that expect a prefix."""
     names = {c: prefix + c for c in META[:3]} | {"source_updated_at": prefix + "updated_at"}
@@ -43,18 +48,32 @@ def scd2_step(
     updated_at: str = "updated_at",
     now: datetime | None = None,
     invalidate: bool = True,
+    closed: DataFrame | None = None,
 ) -> DataFrame:
     """One snapshot run over the open versions: the versions still open and those closed by this run.
 
     A newer source row closes the open version at its own time and opens another. A key missing from
-    the source is closed at ``now``. A source row that is not newer changes nothing. Closed history is
-    not an input, so the cost follows the number of live keys and not the length of their history.
+    the source is closed at ``now``. A source row that is not newer changes nothing. Of ``closed`` history
+    only the key and ``valid_to`` are read: a key that returns opens no earlier than it was last closed.
+    Columns new to the source are NULL in older versions, and columns it has lost are NULL in new ones.
     """
     fresh = _opened(current, key, updated_at)
     if open_versions is None:
         return fresh
+    if closed is not None:
+        last = closed.groupBy(F.col(key).alias("_closed_key")).agg(F.max("valid_to").alias("_closed_at"))
+        back = fresh.join(last, F.col(key) == F.col("_closed_key"), "left")
+        overlaps = F.col("_closed_at") > F.col("valid_from")
+        returned_id = F.md5(F.concat_ws("|", "scd_id", F.col("_closed_at").cast("string")))
+        fresh = back.withColumns(
+            {
+                "scd_id": F.when(overlaps, returned_id).otherwise(F.col("scd_id")),
+                "valid_from": F.when(overlaps, F.col("_closed_at")).otherwise(F.col("valid_from")),
+            }
+        ).select(*fresh.columns)
     if invalidate and now is None:
         raise ValueError("now is needed to close versions of missing keys")
+    open_versions, fresh = with_columns_of(open_versions, fresh), with_columns_of(fresh, open_versions)
     cols = fresh.columns
     old = open_versions.select(F.col(key).alias("_old_key"), F.struct(*cols).alias("_old"))
     new = fresh.select(F.col(key).alias("_new_key"), F.struct(*cols).alias("_new"))
@@ -85,21 +104,31 @@ def scd2_snapshot(
     if history is None:
         return scd2_step(None, current, key, updated_at)
     is_open = F.col("valid_to").isNull()
-    step = scd2_step(history.filter(is_open), current, key, updated_at, now, invalidate)
-    return history.filter(~is_open).unionByName(step)
+    closed = history.filter(~is_open)
+    step = scd2_step(history.filter(is_open), current, key, updated_at, now, invalidate, closed)
+    return closed.unionByName(step, allowMissingColumns=True)
 
 
 def scd2_build(
-    versions: DataFrame, key: str, updated_at: str = "updated_at", order: list[Column] | None = None, min_rows: int = HOT_ROWS
+    versions: DataFrame,
+    key: str,
+    updated_at: str = "updated_at",
+    order: list[Column] | None = None,
+    min_rows: int = HOT_ROWS,
+    deleted: str | None = None,
 ) -> DataFrame:
     """The whole history in one batch from all raw versions, in any arrival order.
 
-    Copies of one version (same key and time) collapse first; ``order`` picks which copy stays.
+    Copies of one version (same key and time) collapse first; ``order`` picks which copy stays. ``deleted``
+    names a flag: a raw version that carries it closes the version before it at its own time and opens none,
+    so a deleted key has no open version until it returns. The flag is not part of the result.
     """
     distinct = dedup_latest(versions, [key, updated_at], order or [F.col(updated_at).desc()])
     opened = _opened(distinct, key, updated_at).drop("valid_to")
-    cols = [c for c in opened.columns if c not in META]
+    cols = [c for c in opened.columns if c not in (*META, deleted)]
     out = with_neighbours(opened, key, "valid_from", following={"valid_to": "valid_from"}, min_rows=min_rows)
+    if deleted is not None:
+        out = out.filter(~F.coalesce(F.col(deleted), F.lit(False)))
     return out.select(*cols, *META)
 
 

@@ -60,14 +60,14 @@ def win_rate_by(win_rate: DataFrame, *dimensions: str) -> DataFrame:
 
 
 def stage_progression(pipeline: DataFrame, stages: DataFrame) -> DataFrame:
-    """Open deals per stage in stage order. ``stages`` is the ten-row seed, hence the broadcast."""
+    """Open deals per stage in stage order."""
     per_stage = pipeline.groupBy("stage_name").agg(
         F.count(F.lit(1)).alias("deals"),
         F.sum("amount").cast(MONEY).alias("amount"),
         F.sum("weighted_amount").cast(MONEY).alias("weighted_amount"),
         F.sum("age_days").alias("total_age_days"),
     )
-    joined = per_stage.join(F.broadcast(stages), "stage_name", "left")
+    joined = per_stage.join(stages, "stage_name", "left")
     columns = "stage_name stage_order stage_category is_open deals amount weighted_amount total_age_days"
     return joined.select(*columns.split()).orderBy("stage_order", "stage_name")
 
@@ -257,8 +257,9 @@ def stage_velocity(history: DataFrame, now: datetime) -> DataFrame:
 
 def stage_regression(history: DataFrame, stages: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
     """Moves to an earlier stage: one row per version that follows a later-ordered one."""
-    order = F.broadcast(stages.select("stage_name", "stage_order"))
-    ranked = history.select(key, "stage_name", "valid_from").join(order, "stage_name")
+    order = stages.select("stage_name", "stage_order")
+    # Versions in a stage without an order stay: the move after them starts there.
+    ranked = history.select(key, "stage_name", "valid_from").join(order, "stage_name", "left")
     moved = with_neighbours(
         ranked, key, "valid_from",
         preceding={"from_stage": "stage_name", "from_order": "stage_order"}, min_rows=min_rows,

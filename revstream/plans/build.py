@@ -93,7 +93,7 @@ def update_staging(
 def update_snapshot(wh: Warehouse, obj: str, now: datetime) -> None:
     table = wh.table(f"history_{STAGING[obj][4:]}")
     current = wh.read(STAGING[obj])
-    table.snapshot(scd2_step(table.open_versions(), current, UNIQUE_KEYS[obj], "updated_at", now))
+    table.snapshot(scd2_step(table.open_versions(), current, UNIQUE_KEYS[obj], "updated_at", now, closed=table.closed_versions()))
 
 
 def pipeline_after(target: DataFrame | None, current: DataFrame, closed: str = "drop") -> DataFrame:

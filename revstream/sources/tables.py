@@ -133,6 +133,11 @@ class Table:
         head = self.head()
         return None if head is None else self._load([p for p in head.parts if p.endswith("is_open=1")], head.schema)
 
+    def closed_versions(self) -> DataFrame | None:
+        """The closed versions of a snapshot table; readers of a few columns scan only those."""
+        head = self.head()
+        return None if head is None else self._load([p for p in head.parts if p.endswith("is_open=0")], head.schema)
+
     # -- internals ---------------------------------------------------------------------------------
 
     @staticmethod

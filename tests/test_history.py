@@ -149,9 +149,53 @@ def test_exact_percentiles_equal_numpy(spark):
         assert values == pytest.approx([np.percentile(data, p) for p in (50, 95, 0, 100)], abs=1e-9)
 
 
+def test_returning_key_does_not_overlap_its_closed_version(spark, folder):
+    table = Table(spark, folder)
+    h = None
+    for i, rows in enumerate([[("a", "1", 0)], [("b", "1", 1)], [("a", "1", 0), ("b", "1", 1)], [("a", "2", 9), ("b", "1", 1)]]):
+        h = scd2_snapshot(h, current(spark, rows), "k", now=day(i + 1))
+        table.snapshot(scd2_step(table.open_versions(), current(spark, rows), "k", now=day(i + 1), closed=table.closed_versions()))
+    want = [("a", "1", day(0), day(2)), ("a", "1", day(2), day(9)), ("a", "2", day(9), None), ("b", "1", day(1), None)]
+    assert state(h) == state(table.read()) == want
+    assert h.select("scd_id").distinct().count() == 4
+    assert as_of(h, day(1)).filter("k = 'a'").count() == 1
+
+
+def test_snapshot_with_new_and_lost_columns(spark):
+    h = scd2_snapshot(None, current(spark, [("a", "1", 0)]).withColumn("old", F.lit(1)), "k")
+    h = scd2_snapshot(h, current(spark, [("a", "2", 1)]).withColumn("new", F.lit("x")), "k", now=day(2))
+    assert rows_of(h.select("v", "old", "new")) == [("1", 1, None), ("2", None, "x")]
+    h = scd2_snapshot(h, current(spark, [("a", "3", 3)]).withColumn("new", F.lit("y")), "k", now=day(4))
+    assert rows_of(h.select("v", "old", "new")) == [("1", 1, None), ("2", None, "x"), ("3", None, "y")]
+
+
+@pytest.mark.parametrize("min_rows", [2, 10**9])
+def test_build_closes_deleted_keys(spark, min_rows):
+    rows = [("a", "1", 0, False), ("a", "1", 2, True), ("b", "1", 0, None), ("c", "1", 0, False), ("c", "1", 1, True), ("c", "2", 5, False)]
+    versions = spark.createDataFrame([(k, v, day(d), x) for k, v, d, x in rows], "k string, v string, updated_at timestamp_ntz, gone boolean")
+    h = scd2_build(versions, "k", deleted="gone", min_rows=min_rows)
+    assert "gone" not in h.columns
+    assert state(h) == [("a", "1", day(0), day(2)), ("b", "1", day(0), None), ("c", "1", day(0), day(1)), ("c", "2", day(5), None)]
+
+
+def test_neighbours_of_a_hot_null_key(spark):
+    df = spark.createDataFrame([(None if i % 3 else "k", day(i), i) for i in range(60)], "k string, ts timestamp_ntz, n int")
+    cut = cut_hot_keys(df, "k", "ts", 5)
+    assert cut.filter("k is null and _range is null").count() == 0 and cut.select("k", "_range").distinct().count() > 8
+    near = lambda rows: rows_of(with_neighbours(df, "k", "ts", {"after": "n"}, {"before": "n"}, min_rows=rows))
+    assert near(5) == near(10**9)
+
+
+def test_stage_regression_sees_unknown_stages(spark):
+    rows = [("a", "Closed Won", day(0)), ("a", "Unheard Of", day(1)), ("a", "Prospecting", day(2)), ("b", "Negotiation/Review", day(0)), ("b", "Prospecting", day(1))]
+    h = spark.createDataFrame(rows, "k string, stage_name string, valid_from timestamp_ntz")
+    found = analytics.stage_regression(h, seeds.stage_order(spark), "k")
+    assert rows_of(found) == [("b", "Negotiation/Review", "Prospecting", day(1))]
+
+
 def test_stage_regression_across_range_cuts(spark):
     rng = random.Random(2)
-    names = [n for n, _ in seeds.STAGES]
+    names = [row[0] for row in seeds.STAGES]
     rows = [("hot" if i % 3 else f"k{i}", rng.choice(names), day(i)) for i in range(300)]
     h = spark.createDataFrame(rows, "k string, stage_name string, valid_from timestamp_ntz")
     stages = seeds.stage_order(spark)

@@ -73,6 +73,22 @@ def test_dry_run_writes_nothing(spark, folder):
     assert not Path(f"{folder}/land").exists() and store.get("Account") == DEFAULT_WATERMARK
 
 
+def test_failed_watermark_lookup_is_one_objects_failure(spark, folder, monkeypatch):
+    lookup = WatermarkStore.get
+
+    def get(self, obj):
+        if obj == "Account":
+            raise ValueError("no watermark")
+        return lookup(self, obj)
+
+    monkeypatch.setattr(WatermarkStore, "get", get)
+    store, results, _ = run(spark, folder, {"Account": lambda: source(spark, 3), "Contact": lambda: source(spark, 2)})
+    assert results["Account"].status == "error" and results["Account"].watermark_used is None
+    assert results["Contact"].status == "success"
+    monkeypatch.undo()
+    assert store.get("Account") == DEFAULT_WATERMARK and store.get("Contact") == datetime(2026, 4, 20, tzinfo=UTC)
+
+
 def test_one_failure_does_not_stop_the_others(spark, folder):
     calls = []
 
