@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -280,3 +281,94 @@ def test_pipeline_stages(spark, sf_dir):
         assert out.columns == docs.columns and 0 < out.count() <= docs.count()
     last = corpus_pipeline.run(spark, sf_dir)
     assert last.filter("size(ids) <> n_tokens").count() == 0
+
+
+def test_pipeline_against_brute_force(spark, sf_dir):
+    """Every decision of the stages after language ID, from the rows the stage before kept."""
+    import corpus_pipeline
+
+    r = random.Random(11)
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").filter("size(split(text, ' ')) >= 15").first()["text"]
+    words = [w for row in given.filter("lang = 'en'").select("text").limit(50).collect() for w in (row[0] or "").split()]
+    some = lambda n: " ".join(r.choice(words) for _ in range(n))
+    boiler = "\n".join(some(12) for _ in range(12))
+    near = some(200).split()
+    planted = [some(30) + "\n" + boiler + "\n" + some(30) for _ in range(3)]
+    planted += [" ".join([*near[:i], "changed", *near[i + 1 :]]) for i in (20, 90, 150)] + [" ".join(near)] * 2
+    planted += [some(40) + " " + item + " " + some(40), None, "", "123 456 -- 789"]
+    first = 10_000_000
+    dtypes = dict(given.dtypes)
+    extra = spark.createDataFrame([(first + i, t) for i, t in enumerate(planted)], "doc_id long, text string")
+    docs = given.unionByName(extra.withColumn("doc_id", F.col("doc_id").cast(dtypes["doc_id"])), allowMissingColumns=True)
+    folder = scratch_dir(spark, "pipeline-test")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{sf_dir}/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    now = {row["doc_id"]: row["text"] for row in corpus_pipeline.language_id(spark, docs, folder).collect()}
+    gone = {row["doc_id"]: row["text"] for row in docs.collect() if row["doc_id"] not in now}
+    assert {first + len(planted) - i for i in (1, 2, 3)} <= set(gone)
+    assert all(not t or not any(c.isalpha() for c in t) for t in gone.values())
+
+    seen, after = set(), {}
+    for i in sorted(now):
+        lines, drop = now[i].split("\n"), set()
+        for at, n, body in linededup.chunks(now[i]):
+            if body in seen:
+                drop |= set(range(at, at + n))
+            seen.add(body)
+        after[i] = "\n".join(x for k, x in enumerate(lines) if k not in drop)
+    assert sum(after[i] != now[i] for i in range(first, first + 3)) >= 2
+
+    low = lambda t: [w for w in re.split("[\\x20\\x09-\\x0D]+", t.translate(LOWER)) if w]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} if (w := low(t)) else set() for i, t in after.items()}
+    holders = defaultdict(set)
+    for i, own in sets.items():
+        for g in own:
+            holders[g].add(i)
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, own in sets.items():
+        common = Counter(j for g in own for j in holders[g] if j < i)
+        for j, n in common.items():
+            if 100 * n >= 80 * (len(own) + len(sets[j]) - n):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    kept = {i: t for i, t in after.items() if find(i) == i}
+    assert first + 3 in kept and not {first + i for i in range(4, 8)} & set(kept)
+
+    got = {row["doc_id"]: row for row in corpus_pipeline.run(spark, folder).collect()}
+    assert set(got) <= set(kept) and first + 8 not in got and first + 3 in got
+    items = [low(row["text"] or "") for row in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    exact = {tuple(w[k : k + 13]) for w in items for k in range(len(w) - 12)}
+    holds = lambda w: any(tuple(w[k : k + 13]) in exact for k in range(len(w) - 12))
+    assert not any(holds(low(kept[i])) for i in got)
+    assert all(any(overlaps(low(kept[i]), w) for w in items) for i in set(kept) - set(got))
+    tok = Tokenizer.from_file(str(public_tokenizers.path(queries.TOKENIZER)))
+    for i, row in got.items():
+        ids = tok.encode(kept[i], add_special_tokens=False).ids
+        assert list(row["ids"]) == ids and row["n_tokens"] == len(ids)
+
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+
+def overlaps(words, item):
+    """Whether thirteen consecutive words of ``item`` (all, when fewer) stand in ``words``, up to a fifth of them changed."""
+    width = min(13, len(item))
+    need = 11 if width == 13 else width
+    places = defaultdict(list)
+    for j, w in enumerate(item):
+        places[w].append(j)
+    lines = defaultdict(set)
+    for k, w in enumerate(words):
+        for j in places.get(w, ()):
+            lines[k - j].add(j)
+    return width > 0 and any(sum(j + d in on for d in range(width)) >= need for on in lines.values() if len(on) >= need for j in range(len(item) - width + 1))
