@@ -11,7 +11,7 @@ from bindings.crm_views import AS_OF, view
 from revstream.operators.dedup import dedup_latest, newest_first
 from revstream.operators.scd import scd2_build
 from revstream.plans import dims, enrich, facts, staging
-from revstream.session import checkpointed, split_skewed_joins
+from revstream.session import split_skewed_joins
 
 LINE_ITEM_ORDER = ("systemmodstamp", "product2id", "pricebookentryid", "quantity", "totalprice")
 
@@ -70,13 +70,7 @@ class Crm:
     dim_user = cached_property(lambda self: dims.dim_user(self.users, AS_OF))
     dim_campaign = cached_property(lambda self: dims.dim_campaign(self.campaigns, self.users, AS_OF))
 
-    @cached_property
-    def stored(self) -> Crm:
-        """The same frames with the enriched opportunities written once, for reports on several facts."""
-        other, enriched = Crm(self.spark, self.sf_dir), checkpointed(self.enriched())
-        other.enriched = lambda keys=True: enriched
-        return other
-
+    measures = cached_property(lambda self: facts.deal_measures(self.opportunities))
     pipeline = cached_property(lambda self: facts.fct_sales_pipeline(self.enriched(), AS_OF))
     bookings = cached_property(lambda self: facts.fct_bookings(self.enriched(), AS_OF))
     win_rate = cached_property(lambda self: facts.fct_win_rate(self.enriched(), AS_OF))

@@ -80,7 +80,8 @@ def dim_date(c: Crm):
 
 @query
 def pipeline_coverage(c: Crm):
-    return analytics.pipeline_coverage(c.stored.pipeline, c.stored.bookings)
+    pipeline, bookings, _ = c.measures
+    return analytics.pipeline_coverage(pipeline, bookings)
 
 
 @query
@@ -140,14 +141,14 @@ def funnel_conversion(c: Crm):
 
 @query
 def rep_scorecard(c: Crm):
-    f = c.stored
-    return analytics.rep_scorecard(c.dim_user, f.pipeline, f.bookings, f.win_rate, c.tasks, c.events, quota=5_000_000)
+    return analytics.rep_scorecard(c.dim_user, *c.measures, c.tasks, c.events, quota=5_000_000)
 
 
 @query
 def account_health(c: Crm):
+    pipeline, bookings, _ = c.measures
     return analytics.account_health(
-        c.dim_account, c.stored.pipeline, c.stored.bookings, c.contacts, c.tasks, c.events, AS_OF, recent_days=200
+        c.dim_account, pipeline, bookings, c.contacts, c.tasks, c.events, AS_OF, recent_days=200
     )
 
 

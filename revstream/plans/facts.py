@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revstream.functions.scalars import (
@@ -37,13 +37,31 @@ def _sales_fact(df: DataFrame, key: str, renamed: dict[str, str], columns: str,
     return df.select(*columns.split(), "built_at")
 
 
+def weighted_amount() -> Column:
+    return (F.col("amount").cast("decimal(30,2)") * F.col("probability_pct") / 100).cast("decimal(38,2)")
+
+
+def deal_measures(opportunities: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Keys and amounts of the pipeline, bookings and win-rate facts, from staged deals alone.
+
+    Reports by owner, account or quarter need nothing of the facts' context, so they join none of it and
+    the scan reads the few columns used.
+    """
+    quarter = fiscal_label(F.col("fiscal_year"), F.col("fiscal_quarter")).alias("fiscal_quarter_label")
+    by = ["opportunity_id", "account_id", "owner_id", quarter]
+    pipeline = opportunities.filter(~F.col("is_closed")).select(*by, "amount", weighted_amount().alias("weighted_amount"))
+    arr = null_of("decimal(38,2)").alias("arr_booked")  # no feed delivers it
+    bookings = opportunities.filter(F.col("is_won")).select(*by, F.col("amount").alias("booking_amount"), arr)
+    win_rate = opportunities.filter(F.col("is_closed")).select(*by, F.col("is_won").cast("int").alias("won_count"))
+    return pipeline, bookings, win_rate
+
+
 def fct_sales_pipeline(enriched: DataFrame, as_of: datetime) -> DataFrame:
     """Open deals. ``enriched`` comes from ``opportunity_enriched(..., keys=True)``."""
     now = today(as_of)
-    weighted = F.col("amount").cast("decimal(30,2)") * F.col("probability_pct") / 100
     df = enriched.filter(~F.col("is_closed")).withColumns(
         {
-            "weighted_amount": weighted.cast("decimal(38,2)"),
+            "weighted_amount": weighted_amount(),
             "days_to_close": days_between(now, F.col("close_date")),
             "is_current_quarter_close": (F.col("fiscal_year") == F.year(now))
             & (F.col("fiscal_quarter") == F.quarter(now)),
