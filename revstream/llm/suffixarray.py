@@ -155,11 +155,51 @@ def render(body: bytes, runs: np.ndarray) -> tuple[int, int, bytes]:
     return int(gone.sum()), spans, np.frombuffer(body, dtype=np.uint8)[~gone].tobytes()
 
 
+def runs(count: int, at: int) -> Iterator[tuple[int, int, int, int]]:
+    """The windows of a segment in runs of ``SUB``, cut at multiples of ``SUB`` from the anchor.
+
+    First and last window of each run, and the bounds of the bytes that all windows of the run have in common.
+    """
+    for q in range((at - count + 1) // SUB, at // SUB + 1):
+        yield max(0, at - SUB * q - SUB + 1), min(count - 1, at - SUB * q), at - SUB * q, at - SUB * q - SUB + 1 + WINDOW
+
+
 def later_windows(parts: list[tuple[tuple, int, int, bytes]]) -> list[tuple[int, int]]:
     """``(part, window)`` of windows whose bytes start earlier in the parts of one group.
 
-    A part is its place, number of windows, the anchor's offset and bytes. All windows hold the anchor, at the
-    same place where they are equal, so it stands in the sorted text as one symbol.
+    A part is its place, number of windows, the anchor's offset and bytes. Windows can only be equal when the
+    bytes common to their runs are, so a part is cut to the windows between its first and last run with a twin.
+    Parts cut to the same bytes are settled by the earliest, the others are sorted.
+    """
+    sharers: dict[tuple[int, bytes], int] = {}
+    for _, n, at, data in parts:
+        for _, _, low, high in runs(n, at):
+            core = low - at, data[low:high]
+            sharers[core] = sharers.get(core, 0) + 1
+    cut: dict[tuple[int, bytes], list[tuple[tuple, int, int]]] = {}
+    for k, (place, n, at, data) in enumerate(parts):
+        twins = [(a, b) for a, b, low, high in runs(n, at) if sharers[low - at, data[low:high]] > 1]
+        if twins:
+            a, b = min(twins)[0], max(y for _, y in twins)
+            cut.setdefault((at - a, data[a : b + WINDOW]), []).append((place, k, a))
+    out: list[tuple[int, int]] = []
+    left = []
+    for (at, data), same in cut.items():
+        same.sort(key=lambda x: (*x[0][:2], x[0][2] + x[2]))
+        n = len(data) - WINDOW + 1
+        out += [(k, a + w) for _, k, a in same[1:] for w in range(n)]
+        (o, rk, first), k, a = same[0]
+        left.append(((o, rk, first + a), n, at, data, k, a))
+    if len(left) > 1:
+        out += [(left[i][4], left[i][5] + w) for i, w in sorted_repeats([x[:4] for x in left])]
+    return out
+
+
+def sorted_repeats(parts: list[tuple[tuple, int, int, bytes]]) -> list[tuple[int, int]]:
+    """``(part, window)`` as :func:`later_windows`, of parts with different bytes, by their suffix array.
+
+    All windows hold the anchor, at the same place where they are equal, so it stands in the sorted text as one
+    symbol.
     """
     text: list[int] = []
     owner, offset = [], []
@@ -233,42 +273,49 @@ def sorted_groups(each: DataFrame) -> DataFrame:
 def hot_windows(each: DataFrame) -> DataFrame:
     """``(rk, first, n)`` of the covered windows of large groups.
 
-    Runs of ``SUB`` windows come first, cut at multiples of ``SUB`` from the anchor: windows can only be equal
-    when the bytes common to all windows of such a run are. Runs whose common bytes stand nowhere else go; the
-    windows of the others are compared by 128-bit hashes.
+    Runs of windows come first (:func:`runs`). Those whose common bytes stand nowhere else go; of runs with equal
+    bytes all but the first are covered as a whole; the windows of the first ones are compared by 128-bit hashes.
     """
+    digest = xxhash.xxh3_128_digest
 
-    def hashed(parts, names: list[str]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for i in range(0, batch.num_rows, 500):
-                    part = batch.slice(i, 500)
-                    out = [(o, rk, f, n, data, *np.frombuffer(xxhash.xxh3_128_digest(key), dtype=np.int64).tolist())
-                           for o, rk, first, count, at, body in zip(*(part.column(c).to_pylist() for c in ("o", "rk", "first", "n", "at", "bytes")))
-                           for f, n, data, key in parts(first, count, at, body)]
-                    columns = dict(zip(("o", "rk", "first", "n", "bytes", "h1", "h2"), zip(*out) if out else [[]] * 7))
-                    yield pa.RecordBatch.from_arrays([pa.array(columns[c], pa.binary() if c == "bytes" else pa.int64()) for c in names], names=names)
-
-        return run
-
-    def runs(first: int, count: int, at: int, body: bytes):
-        for q in range((at - count + 1) // SUB, at // SUB + 1):
-            a, b = max(0, at - SUB * q - SUB + 1), min(count - 1, at - SUB * q)
-            yield first + a, b - a + 1, body[a : b + WINDOW], body[at - SUB * q : at - SUB * q - SUB + 1 + WINDOW]
-
-    def single(first: int, count: int, _: int, body: bytes):
-        for w in range(count):
-            yield first + w, 1, b"", body[w : w + WINDOW]
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                rows, hashes = [], []
+                for o, rk, first, n, at, body in zip(*(batch.slice(i, 500).column(c).to_pylist() for c in ("o", "rk", "first", "n", "at", "bytes"))):
+                    for a, b, low, high in runs(n, at):
+                        data = body[a : b + WINDOW]
+                        rows.append((o, rk, first + a, b - a + 1, data))
+                        hashes += digest(body[low:high]), digest(data)
+                columns = list(zip(*rows)) if rows else [[]] * 5
+                h = np.frombuffer(b"".join(hashes), dtype=np.int64).reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.binary()), *(pa.array(np.ascontiguousarray(c)) for c in h.T)],
+                                                 names=["o", "rk", "first", "n", "bytes", "h1", "h2", "w1", "w2"])
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                places, hashes = [], []
+                for o, rk, first, n, body in zip(*(batch.slice(i, 500).column(c).to_pylist() for c in ("o", "rk", "first", "n", "bytes"))):
+                    for w in range(n):
+                        places.append((o, rk, first + w))
+                        hashes.append(digest(body[w : w + WINDOW]))
+                columns = [*np.array(places, dtype=np.int64).reshape(-1, 3).T, *np.frombuffer(b"".join(hashes), dtype=np.int64).reshape(-1, 2).T]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["o", "rk", "first", "h1", "h2"])
+
+    place = F.struct(*segments.PLACE)
+    low, high = F.min(place).alias("p"), F.max(place).alias("q")
 
     def repeated(rows: DataFrame) -> DataFrame:
-        place = F.struct(*segments.PLACE)
-        return segments.stored(rows.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.max(place).alias("q")).filter("p <> q").select("h1", "h2", "p"), "hot")
-
-    names = ["o", "rk", "first", "n", "bytes", "h1", "h2"]
-    cores = segments.stored(each.mapInArrow(hashed(runs, names), "o long, rk long, first long, n long, bytes binary, h1 long, h2 long"), "cores")
-    left = cores.join(repeated(cores), ["h1", "h2"]).select("o", "rk", "first", "n", F.lit(0).cast("long").alias("at"), "bytes")
-    ones = segments.stored(left.mapInArrow(hashed(single, [c for c in names if c != "bytes"]), "o long, rk long, first long, n long, h1 long, h2 long"), "windows")
-    return ones.join(repeated(ones), ["h1", "h2"]).filter(F.struct(*segments.PLACE) != F.col("p")).select("rk", "first", "n")
+        return segments.stored(rows.groupBy("h1", "h2").agg(low, high).filter("p <> q").select("h1", "h2", "p"), "hot")
+
+    cores = segments.stored(each.mapInArrow(cut, "o long, rk long, first long, n long, bytes binary, h1 long, h2 long, w1 long, w2 long"), "cores")
+    left = segments.stored(cores.join(repeated(cores).drop("p"), ["h1", "h2"]).drop("h1", "h2"), "runs")
+    firsts = segments.stored(left.groupBy("w1", "w2").agg(low, high, F.first("n").alias("n"), F.first("bytes").alias("bytes")), "first-runs")
+    again = left.select(*segments.PLACE, "n", "w1", "w2").join(firsts.filter("p <> q").select("w1", "w2", "p"), ["w1", "w2"])
+    ones = segments.stored(firsts.select("p.*", "n", "bytes").mapInArrow(single, "o long, rk long, first long, h1 long, h2 long"), "windows")
+    later = ones.join(repeated(ones), ["h1", "h2"])
+    return again.filter(place != F.col("p")).select("rk", "first", "n").union(later.filter(place != F.col("p")).select("rk", "first", F.lit(1).cast("long").alias("n")))
 
 
 def kept_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> tuple[DataFrame, DataFrame]:
