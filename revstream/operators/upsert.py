@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revstream.operators.dedup import dedup_latest
@@ -17,6 +17,14 @@ def sync_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns)
 
 
+def one_per_key(updates: DataFrame, key: str) -> DataFrame:
+    """``updates``, failing when it runs if a key has several rows: without an order none of them is the right one."""
+    rows = F.count(F.lit(1)).over(Window.partitionBy(key))
+    twice = F.col(key).isNotNull() & (F.col("_rows") > 1)
+    message = F.concat(F.lit(f"several updates of {key} "), F.col(key).cast("string"), F.lit(" and no order"))
+    return updates.withColumn("_rows", rows).filter(F.when(twice, F.raise_error(message).cast("boolean")).otherwise(True)).drop("_rows")
+
+
 def merge_upsert(
     target: DataFrame | None,
     updates: DataFrame,
@@ -28,10 +36,12 @@ def merge_upsert(
     """Target after the merge: matched rows replaced, new rows added, columns following the updates.
 
     * ``newer``: a stored row later in this column than its update stays (late or replayed input); of several
-      updates of a key the latest counts, also when there is no target yet.
+      updates of a key the latest counts, also when there is no target yet. Without it a key may have one update.
     * ``deletes``: keys to remove from the result.
     * ``insert_only``: stored rows are never replaced.
     """
+    if newer is None:
+        updates = one_per_key(updates, key)
     if target is None:
         merged = updates if newer is None else dedup_latest(updates, key, [F.col(newer).desc_nulls_last()])
     elif newer is not None:

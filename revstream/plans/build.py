@@ -118,16 +118,24 @@ def build(
     buckets: int = BUCKETS,
     checks: bool = True,
     parallel: int = 4,
+    source: str = "landing",
+    deletes: str = "propagate",
+    lookback_days: int = LOOKBACK_DAYS,
 ) -> Warehouse:
     """Run the graph once. Staging comes before history, so history reflects this run's data.
 
+    Facts hold what staging holds now, so an incremental run ends like a full refresh. With
+    ``bookings_insert_only`` the bookings are a ledger instead: rows once booked stay as they were.
+    ``source``, ``deletes`` and ``lookback_days`` are those of ``update_staging``.
+
     Every stage reads stored tables, so no plan spans the graph and a lost executor replays one stage.
     Tables that do not depend on each other are built ``parallel`` at a time.
     """
     wh = Warehouse(spark, path)
 
     def staging(obj: str) -> None:
-        update_staging(wh, raw[obj], obj, full_refresh, dedup_order=(dedup_orders or {}).get(obj), buckets=buckets)
+        order = (dedup_orders or {}).get(obj)
+        update_staging(wh, raw[obj], obj, full_refresh, deletes, lookback_days, order, source, buckets)
 
     _together([partial(staging, obj) for obj in STAGING], parallel)
 
@@ -156,14 +164,19 @@ def build(
     still_open = pipeline_after(pipeline.read(), facts.fct_sales_pipeline(enriched, as_of), closed_deals)
     performance = facts.fct_campaign_performance(cam, mem, opp, as_of)
     demand = facts.fct_demand_generation(mem, led, con, cam, opp, as_of)
-    merge = partial(_merge, wh, full=full_refresh, buckets=buckets)
+    ledger = wh.table("fct_bookings")
+    bookings = facts.fct_bookings(enriched, as_of)
+    if bookings_insert_only and not full_refresh:
+        book = partial(ledger.upsert, bookings, "booking_id", insert_only=True, buckets=buckets, materialize=False)
+    else:
+        book = partial(ledger.overwrite, bookings, "booking_id", buckets)
     _together(
         [
             partial(pipeline.overwrite, still_open),
-            partial(merge, "fct_bookings", facts.fct_bookings(enriched, as_of), "booking_id", insert_only=bookings_insert_only),
-            partial(merge, "fct_win_rate", facts.fct_win_rate(enriched, as_of), "win_rate_id"),
-            partial(merge, "fct_campaign_performance", performance, "campaign_performance_id"),
-            partial(merge, "fct_demand_generation", demand, "demand_gen_id", materialize=True),
+            book,
+            partial(wh.table("fct_win_rate").overwrite, facts.fct_win_rate(enriched, as_of), "win_rate_id", buckets),
+            partial(wh.table("fct_campaign_performance").overwrite, performance, "campaign_performance_id", buckets),
+            partial(wh.table("fct_demand_generation").overwrite, demand, "demand_gen_id", buckets),
         ],
         parallel,
     )
@@ -172,16 +185,6 @@ def build(
     return wh
 
 
-def _merge(
-    wh: Warehouse, name: str, df: DataFrame, key: str, full: bool, buckets: int, insert_only=False, materialize=False
-) -> None:
-    table = wh.table(name)
-    if full or table.head() is None:
-        table.overwrite(df, key, buckets)
-    else:
-        table.upsert(df, key, insert_only=insert_only, materialize=materialize)
-
-
 CHECKED = (
     *STAGING.values(),
     "dim_account", "dim_contact", "dim_lead", "dim_user", "dim_campaign", "dim_date",

@@ -86,8 +86,12 @@ def land_partition_scan(spark: SparkSession, root: str, obj: str, first: str, la
 
 
 def scan_csv_pages(spark: SparkSession, path: str, obj: str) -> DataFrame:
-    """CSV pages with a header, every value text; a byte-order mark before the first header is dropped."""
-    df = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", True).csv(path)
+    """CSV pages with a header, every value text; a byte-order mark before the first header is dropped.
+
+    All pages must have the same header in the same order. A page with another one fails the read: its values
+    would otherwise land in the wrong columns.
+    """
+    df = spark.read.option("header", True).option("enforceSchema", False).option("encoding", "UTF-8").option("multiLine", True).csv(path)
     df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
     have = set(df.columns)
     wire = [F.col(n) if n in have else F.lit(None).cast("string").alias(n) for n in crm_object(obj).extract_fields]

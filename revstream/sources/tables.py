@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -25,6 +26,37 @@ COMMIT = "version int, operation string, committed_at string, row_count bigint,
 BUCKETS = 64
 
 
+# Metadata of a column in a commit's schema: the versions from which it has been stored, and with which type.
+TYPES = "types"
+
+
+def _version(part: str) -> int:
+    return int(part[1 : part.index("-")])
+
+
+def _typed(field: T.StructField) -> str:
+    return T.StructType([T.StructField(field.name, field.dataType)]).json()
+
+
+def _stored_type(field: T.StructField, version: int) -> T.DataType | None:
+    """The type a folder of ``version`` stores the column with, None when the column was not there."""
+    kinds = [kind for since, kind in field.metadata.get(TYPES, [["0", _typed(field)]]) if int(since) <= version]
+    return T.StructType.fromJson(json.loads(kinds[-1]))[0].dataType if kinds else None
+
+
+def _dated(schema: T.StructType, version: int, head: Row | None) -> T.StructType:
+    """``schema`` with what is known of its columns since ``head``, and new columns and types from ``version`` on."""
+    before = {f.name: f for f in T.StructType.fromJson(json.loads(head.schema)).fields} if head else {}
+    fields = []
+    for f in schema.fields:
+        old = before.get(f.name)
+        types = old.metadata.get(TYPES, [["0", _typed(old)]]) if old else []
+        if not old or old.dataType != f.dataType:
+            types = [*types, [str(version), _typed(f)]]
+        fields.append(T.StructField(f.name, f.dataType, f.nullable, {TYPES: types}))
+    return T.StructType(fields)
+
+
 def _bucket(part: str) -> int:
     return int(part.rsplit("=", 1)[1])
 
@@ -53,12 +85,23 @@ class Table:
         return None if head is None else self._load(head.parts, head.schema)
 
     def _load(self, parts: list[str], schema: str) -> DataFrame:
-        """Folders written before a column was added read it as NULL; dropped columns are not read."""
-        struct = T.StructType.fromJson(json.loads(schema))
+        """The folders with the columns of ``schema``.
+
+        A folder written before a column was added, or added again, reads it as NULL; one written before its
+        type changed reads the old type and casts. Folders with the same stored columns are read together.
+        """
+        fields = T.StructType.fromJson(json.loads(schema)).fields
         if not parts:
-            return self.spark.createDataFrame([], struct)
-        files = [f"{self.path}/data/{p}" for p in parts]
-        return self.spark.read.schema(struct).parquet(*files).select(*struct.names)
+            return self.spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in fields]))
+        alike: dict[tuple, list[str]] = {}
+        for part in parts:
+            alike.setdefault(tuple(_stored_type(f, _version(part)) for f in fields), []).append(f"{self.path}/data/{part}")
+        loaded = []
+        for kinds, files in alike.items():
+            there = T.StructType([T.StructField(f.name, kind) for f, kind in zip(fields, kinds) if kind is not None])
+            values = [(F.lit(None) if kind is None else F.col(f.name)).cast(f.dataType).alias(f.name) for f, kind in zip(fields, kinds)]
+            loaded.append(self.spark.read.schema(there).parquet(*files).select(*values))
+        return reduce(DataFrame.union, loaded)
 
     # -- writing -----------------------------------------------------------------------------------
 
@@ -77,7 +120,7 @@ class Table:
         version, part = self._next(head)
         df.write.parquet(self._folder(part))
         before = (list(head.parts), head.row_count) if head else ([], 0)
-        self._commit(version, "append", [*before[0], part], df.schema, before[1] + self._count(part, df.schema))
+        self._commit(version, "append", [*before[0], part], _dated(df.schema, version, head), before[1] + self._count(part, df.schema))
 
     def upsert(
         self,
@@ -111,10 +154,12 @@ class Table:
             kept = [p for p in head.parts if _bucket(p) not in touched]
             replaced = [p for p in head.parts if _bucket(p) in touched]
         target = self._load(replaced, head.schema) if replaced else None
+        if target is not None:
+            target = target.select(*[F.col(c).cast(schema[c].dataType).alias(c) if c in schema.names else F.col(c) for c in target.columns])
         merged = merge_upsert(target, updates, key, newer, deletes, insert_only)
         parts, rows = self._write_buckets(sync_columns(merged, schema.names), key, buckets, part)
         rows += self._load(kept, head.schema).count() if kept else 0
-        self._commit(version, "upsert", kept + parts, schema, rows, buckets)
+        self._commit(version, "upsert", kept + parts, _dated(schema, version, head), rows, buckets)
 
     def snapshot(self, step: DataFrame) -> None:
         """Store one ``scd2_step``: replace the open versions, keep every closed one written so far."""
@@ -126,7 +171,8 @@ class Table:
         flagged = T.StructType([*step.schema.fields, T.StructField("is_open", T.IntegerType())])
         written = self.spark.read.schema(flagged).parquet(self._folder(part)).groupBy("is_open").count().collect()
         parts = closed_before + [f"{part}/is_open={r['is_open']}" for r in written]
-        self._commit(version, "snapshot", parts, step.schema, self._load(parts, step.schema.json()).count())
+        schema = _dated(step.schema, version, head)
+        self._commit(version, "snapshot", parts, schema, self._load(parts, schema.json()).count())
 
     def open_versions(self) -> DataFrame | None:
         """The open versions of a snapshot table, read without its closed history."""

@@ -70,6 +70,14 @@ def test_history_records_update_and_delete(wh):
     ]
 
 
+def test_won_deal_deleted_later_leaves_the_facts(spark, folder):
+    path = f"{folder}/later"
+    gone = [*FIRST, ("c", "30.00", True, True, True, "2026-01-02 00:00:00")]
+    graph.build(spark, raw(spark, FIRST), path, datetime(2026, 1, 2), buckets=2, checks=False)
+    wh = graph.build(spark, raw(spark, gone), path, datetime(2026, 1, 3), buckets=2, checks=False)
+    assert wh.read("fct_bookings").count() == wh.read("fct_win_rate").count() == 0
+
+
 def test_checks_are_stored(wh):
     results = wh.read("quality_results")
     assert results.count() > 90

@@ -115,3 +115,11 @@ def test_incremental_extract_pushes_the_watermark_to_the_scan(spark, folder):
     df = incremental_extract(spark.read.parquet(folder), "Account", datetime(2026, 1, 6))
     assert sorted(r.Id for r in df.collect()) == [5, 6, 7, 8, 9]
     assert "GreaterThanOrEqual(systemmodstamp" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_pages_with_other_headers_are_refused(spark, folder):
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    (Path(folder) / "p1.csv").write_text("Id,Name\n1,a\n")
+    (Path(folder) / "p2.csv").write_text("Name,Id\nb,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.scan_csv_pages(spark, folder, "Opportunity").collect()

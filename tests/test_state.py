@@ -238,3 +238,23 @@ def test_an_old_file_is_loaded_after_newer_ones(spark, folder):
         query = landing_stream(spark, folder, "Account").writeStream.format("parquet").option("checkpointLocation", f"{folder}/check")
         query.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
     assert spark.read.parquet(f"{folder}/out").count() == 3
+
+
+def test_columns_dropped_added_again_and_retyped(spark, folder):
+    table = Table(spark, f"{folder}/columns")
+    table.upsert(spark.range(20).selectExpr("cast(id as int) id", "1 ts", "'old' v", "cast(id as int) n"), "id", buckets=8)
+    table.upsert(spark.sql("select 0 id, 2 ts, 5 n"), "id")  # v is dropped
+    table.upsert(spark.sql("select 1 id, 3 ts, 'new' v, 'seven' n"), "id")  # v comes again, n becomes text
+    got = {r.id: (r.v, r.n) for r in table.read().collect()}
+    assert got == {0: (None, "5"), 1: ("new", "seven")} | {i: (None, str(i)) for i in range(2, 20)}
+    table.upsert(spark.sql("select 2 id, 4 ts, 'newer' v, 'x' n"), "id", newer="ts")
+    got = {r.id: (r.v, r.n) for r in table.read().collect()}
+    assert got == {0: (None, "5"), 1: ("new", "seven"), 2: ("newer", "x")} | {i: (None, str(i)) for i in range(3, 20)}
+
+
+def test_two_updates_of_a_key_need_an_order(spark):
+    target, twice = frame(spark, [(1, "a", 1)]), frame(spark, [(1, "b", 2), (1, "c", 3)])
+    assert rows_of(merge_upsert(target, twice, "id", newer="ts")) == [(1, "c", 3)]
+    for stored in (None, target):
+        with pytest.raises(Exception, match="several updates of id 1"):
+            merge_upsert(stored, twice, "id").collect()
