@@ -1,9 +1,12 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by a rolling hash over lines.
 
-A text's lines are hashed; a rolling hash over the last ``SPAN`` line hashes chooses where chunks end, so the
-boundaries depend on nearby lines only and survive shifts. Chunks of two or more lines (with a letter or digit
-somewhere) that occur more than once in the corpus are removed from all places but the first, after their
-bytes were compared with the first's. Order is by id, then place in the text.
+Every ``SPAN`` consecutive lines of a text (with a letter or digit somewhere) are one chunk, hashed by its bytes. A
+chunk ends at every line, so any run of two or more lines that repeats is covered by chunks that repeat, wherever it
+stands and whatever surrounds it. A chunk that occurs more than once in the corpus is removed from all places
+but the first, after its bytes were compared with the first's. Order is by id, then place in the text.
+
+A run of equal lines is cut into pairs side by side, so that no repeat overlaps the first copy, which stays whole; its
+first three and last two lines are chunks as well. Where only two of a line came before, the third of three stays.
 
 Defined cases: NULL text stays NULL and has no lines; empty text is one empty line and stays; a document whose
 lines all go keeps its row with empty text; equal rows are one document, and rows that share only the id
@@ -21,41 +24,35 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revstream.llm.common import id_order, mixed, ship, stored, texts
-
-SPAN, MEAN_LINES = 2, 4
-
+from revstream.llm.common import id_order, ship, stored, texts
 
-def chunk_ends(lines: list[bytes]) -> np.ndarray:
-    """One past the last line of every chunk."""
-    h = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in lines), dtype=np.uint64, count=len(lines))
-    roll = h.copy()
-    for back in range(1, SPAN):
-        roll[back:] += h[:-back] * np.uint64(pow(0x9E3779B97F4A7C15, back, 1 << 64))
-    cut = mixed(roll) % np.uint64(MEAN_LINES) == 0
-    cut[-1] = True
-    return np.flatnonzero(cut) + 1
+SPAN = 2
 
 
 def chunks(text: str) -> list[tuple[int, int, bytes]]:
-    """``(first line, lines, bytes)`` of the chunks of several lines."""
+    """``(first line, lines, bytes)`` of the chunks, by place."""
     lines = text.encode().split(b"\n")
-    if len(lines) < 2:
+    if len(lines) < SPAN:
         return []
-    out, start = [], 0
-    for end in chunk_ends(lines).tolist():
-        if end - start > 1:
-            body = b"\n".join(lines[start:end])
+    out, run = [], 1  # equal lines that end before the current one
+    for i in range(len(lines) - SPAN + 1):
+        run = run + 1 if i and lines[i - 1] == lines[i] else 1
+        spans = [(i, SPAN)]
+        if lines[i] == lines[i + 1]:
+            last = i + SPAN == len(lines) or lines[i + SPAN] != lines[i]
+            spans = [(i, SPAN)] if run % 2 or last and run > 2 else []
+            spans += [(i - 1, SPAN + 1)] if run == 2 else []
+        for first, n in spans:
+            body = b"\n".join(lines[first : first + n])
             if any(c > 47 for c in body):
-                out.append((start, end - start, body))
-        start = end
+                out.append((first, n, body))
     return out
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(rk, dropped, n_chunks)``: for texts that lose lines, their numbers; ``rk`` is the key of :func:`texts`."""
+    """``(rk, dropped, n_chunks)``: for texts that lose lines, their numbers and runs; ``rk`` is the key of :func:`texts`."""
     ship(docs.sparkSession)
-    schema = "id long, rk long, first int, n int, h1 long, h2 long, body binary"
+    schema = "id long, rk long, first int, n int, h1 long, h2 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,20 +62,27 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 for i, rk, text in zip(part.column("id").to_pylist(), part.column("rk").to_pylist(), part.column("text")):
                     for first, n, body in chunks(text.as_py()):
                         h = np.frombuffer(xxhash.xxh3_128_digest(body), dtype=np.int64)
-                        rows.append((i, rk, first, n, h[0], h[1], body))
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-                columns = zip(*rows) if rows else [[]] * 7
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "rk", "first", "n", "h1", "h2", "body"])
+                        rows.append((i, rk, first, n, h[0], h[1]))
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+                columns = zip(*rows) if rows else [[]] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "rk", "first", "n", "h1", "h2"])
 
-    found = stored(texts(docs, id_col, text_col).mapInArrow(run, schema), "chunks")
+    source = texts(docs, id_col, text_col)
+    found = stored(source.mapInArrow(run, schema), "chunks")
     # Merge joins at every size: the tables grow with the corpus, and a broadcast of a small one would not last.
     place = F.struct(id_order().alias("o"), F.col("rk").alias("rk"), F.col("first").alias("first"))
-    often = stored(found.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.max(place).alias("q")).filter("p <> q").select("h1", "h2"), "often")
-    repeated = stored(found.join(often.hint("merge"), ["h1", "h2"]), "repeated")
-    firsts = stored(repeated.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.min_by("body", place).alias("first_body")), "firsts")
-    later = repeated.join(firsts.hint("merge"), ["h1", "h2"]).filter((place != F.col("p")) & (F.col("body") == F.col("first_body")))
+    often = stored(found.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.max(place).alias("q")).filter("p <> q").select("h1", "h2", "p"), "often")
+    repeated = found.join(often.hint("merge"), ["h1", "h2"]).select("rk", F.struct("first", "n", "h1", "h2", (place == F.col("p")).alias("is_first")).alias("c"))
+    wanted = stored(repeated.groupBy("rk").agg(F.collect_set("c").alias("cs")), "wanted")
+    # Bytes are taken for repeated chunks only, from the texts that hold them.
+    held = source.join(wanted.hint("merge"), "rk").select("rk", F.split("text", "\n", -1).alias("lines"), F.explode("cs").alias("c"))
+    bodies = stored(held.select("rk", "c.*", F.array_join(F.slice("lines", F.col("c.first") + 1, F.col("c.n")), "\n").alias("body")), "bodies")
+    firsts = stored(bodies.filter("is_first").groupBy("h1", "h2").agg(F.min("body").alias("first_body")), "firsts")
+    later = bodies.filter("not is_first").join(firsts.hint("merge"), ["h1", "h2"]).filter(F.col("body") == F.col("first_body"))
     lines = later.select("rk", F.sequence("first", F.col("first") + F.col("n") - 1).alias("lines")).distinct()
-    return stored(lines.groupBy("rk").agg(F.flatten(F.collect_list("lines")).alias("dropped"), F.count("*").alias("n_chunks")), "dropped")
+    dropped = lines.groupBy("rk").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("dropped"))
+    runs = F.filter("dropped", lambda x, i: (i == 0) | (F.get("dropped", i - 1) < x - 1))
+    return stored(dropped.withColumn("n_chunks", F.size(runs)), "dropped")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

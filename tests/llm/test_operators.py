@@ -150,6 +150,26 @@ def test_line_dedup_removes_repeated_chunks_only(spark, docs):
     assert linededup.deduplicate(docs).columns == docs.columns and linededup.report(docs).count() == docs.count()
 
 
+def test_line_dedup_removes_every_repeated_run(spark):
+    r = random.Random(8)
+    line = lambda: " ".join(r.choice("abcdefgh") * 3 + str(r.randrange(99)) for _ in range(6))
+    runs = [[line() for _ in range(n)] for n in (2, 2, 3, 4, 7, 20) for _ in range(4)] + [["same"] * 2, ["equal"] * 3]
+    rows, want = [], {}
+    for copy in range(3):
+        for run in runs:
+            head, tail = [line() for _ in range(r.randint(1, 4))], [line() for _ in range(r.randint(1, 4))]
+            rows.append((len(rows), "\n".join(head + run + tail), None, None, 0, 0))
+            want[rows[-1][0]] = "\n".join(head + tail) if copy else rows[-1][1]
+    one = line()
+    for text in (one + "\nx1", one + "\nx2", "\n".join(["own"] * 3)):  # a single line, and equal lines of one text
+        want[len(rows)] = text
+        rows.append((len(rows), text, None, None, 0, 0))
+    df = spark.createDataFrame(rows, DOCS)
+    assert {x["doc_id"]: x["text"] for x in linededup.deduplicate(df).collect()} == want
+    n = {x["doc_id"]: (x["n_removed"], x["n_chunks"]) for x in linededup.report(df).collect()}
+    assert n == {i: (len(t.split("\n")) - len(want[i].split("\n")), int(t != want[i])) for i, t, *_ in rows}
+
+
 def test_decontamination_tolerates_substitutions(spark):
     r = random.Random(9)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
