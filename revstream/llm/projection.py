@@ -2,8 +2,12 @@
 
 Each pass hashes every vector to the signs of ``BITS`` random projections, orders vectors by the concatenated
 bits and compares neighbours in bounded windows of that order (a block of ``BLOCK`` with itself and the next
-block). Pairs with cosine of at least the threshold, in double precision, are united across passes. The
-number of passes follows from the number of vectors, so that a pair at the threshold is missed rarely.
+block). Pairs with cosine of at least the threshold, in double precision, are united across passes.
+
+How many passes a vector needs is measured. Two vectors surely meet when they agree in more bits than any whole block
+around them has in common; in a dense group, which most planes do not split, those are many. Vectors whose pairs at
+the threshold are still missed with a probability above ``MISSED`` go through further rounds of passes among
+themselves. Where those would compare as much as all vectors do, the vector is compared with all vectors instead.
 
 Links are then counted exactly within every component found: in one group when it has at most ``GROUP`` vectors;
 for larger ones by angles to the component's centre: vectors within half the threshold angle of one direction
@@ -19,6 +23,7 @@ columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +33,14 @@ from pyspark.sql import functions as F
 from revstream.llm.common import components, partitions, ship, stored
 
 BITS, BLOCK, GROUP = 63, 256, 1_024
+ROUND = 64  # passes of a further round, at most
 MISSED = 0.01  # of pairs at the threshold, in expectation
 
 
 def passes_for(n: int, cosine: float, block: int = BLOCK) -> int:
-    """Passes after which a pair at the threshold is missed with probability ``MISSED``.
+    """Passes of the first round: enough for vectors spread evenly.
 
-    Two vectors meet when they agree in the bits that tell blocks apart, about log2(n / block) of them.
+    Those meet when they agree in the bits that tell blocks apart, about log2(n / block) of them.
     """
     agree = 1 - math.acos(cosine) / math.pi
     meet = agree ** max(0.0, math.log2(max(n, 1) / block) + 1)
@@ -63,8 +69,8 @@ def classes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame
     return rows.select("id", "key"), stored(found.select("key", "n", "x", F.monotonically_increasing_id().alias("c"), F.size("x").alias("dim")), "classes")
 
 
-def blocks(found: DataFrame, n_passes: int, block: int) -> DataFrame:
-    """``(pass, block, c)``: the place of every class in the order of each pass."""
+def blocks(found: DataFrame, n_passes: int, block: int, turn: int = 0) -> DataFrame:
+    """``(pass, dim, h, block, c)``: bits and place of every class in the order of each pass of round ``turn``."""
     spark = found.sparkSession
 
     def run(batches):
@@ -76,7 +82,7 @@ def blocks(found: DataFrame, n_passes: int, block: int) -> DataFrame:
                 at = np.flatnonzero(dims == dim)
                 x = _unit(batch.column("x").take(pa.array(at)).to_pylist())
                 if dim not in planes:
-                    planes[dim] = np.random.default_rng(int(dim)).standard_normal((n_passes * BITS, dim))
+                    planes[dim] = np.random.default_rng([int(dim), turn]).standard_normal((n_passes * BITS, dim))
                 bits = (x @ planes[dim].T >= 0).reshape(len(at), n_passes, BITS)
                 h = (bits * weights).sum(axis=2)
                 yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(n_passes), len(at)), pa.int32()), pa.array(np.full(len(at) * n_passes, dim), pa.int32()),
@@ -93,12 +99,99 @@ def blocks(found: DataFrame, n_passes: int, block: int) -> DataFrame:
         before.append(total)
         total += sizes.get(p, 0)
     place = F.element_at(F.array(*map(F.lit, before or [0])), (part + 1).cast("int")) + row
-    return order.select("pass", "c", F.floor(place / block).cast("long").alias("block"))
+    return order.select("pass", "dim", "h", "c", F.floor(place / block).cast("long").alias("block"))
+
+
+def _stars(near: np.ndarray, ids: np.ndarray) -> tuple[list[int], list[int]]:
+    """Edges from every id to the smallest one it is connected with by the symmetric matrix ``near``."""
+    np.fill_diagonal(near, True)
+    rank = np.argsort(np.argsort(ids))
+    label = rank.copy()
+    while True:
+        low = np.where(near, label[None, :], len(ids)).min(axis=1)
+        if (low == label).all():
+            break
+        label = low
+    ordered = np.sort(ids)
+    moved = label != rank
+    return ids[moved].tolist(), ordered[label[moved]].tolist()
+
+
+def pass_chances(home: DataFrame, cosine: float) -> DataFrame:
+    """``(c, gain)``: for every class the log of the probability that a partner at the threshold met it in no pass.
+
+    A prefix group that reaches over three blocks or more holds a whole block; any other group meets in full.
+    """
+    differ = F.col("lo").bitwiseXOR(F.col("hi"))
+    common = F.when((F.col("first") != F.col("last")), -1).when(differ == 0, BITS).otherwise(F.lit(BITS) - F.length(F.bin(differ)))
+    kind = F.struct("pass", "dim")
+    span = home.groupBy("block").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.min(kind).alias("first"), F.max(kind).alias("last"))
+    span = stored(span.select("block", common.alias("common")), "spans")
+    around = span.select(F.explode(F.sequence(F.col("block") - 1, F.col("block") + 1)).alias("block"), "common")
+    depth = stored(around.groupBy("block").agg((F.max("common") + 1).alias("depth")), "depths")
+    agree = 1 - math.acos(cosine) / math.pi
+    meet = F.when(F.col("depth") <= BITS, F.least(F.pow(F.lit(agree), F.col("depth")), F.lit(0.999))).otherwise(0.0)
+    return home.join(depth, "block").groupBy("c").agg(F.sum(F.log1p(-meet)).alias("gain"))
+
 
+def tile_links(found: DataFrame, asked: DataFrame, cosine: float, n: int, group: int) -> DataFrame:
+    """``(a, b)``: linked classes of which one is in ``asked(c)``, as stars within each pair of tiles."""
+    tiles = max(1, math.ceil(n / group))
+    tile = F.pmod(F.xxhash64("c"), F.lit(tiles))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long")))
+    some = max(1, math.ceil(asked.count() / group))
+    mine = F.pmod(F.xxhash64("c", F.lit(1)), F.lit(some))
+    left = found.join(asked.select("c"), "c").select("c", "x", mine.alias("mine"), every.alias("other"), F.lit(True).alias("query"))
+    right = found.select("c", "x", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(some - 1).cast("long"))).alias("mine"), tile.alias("other"), F.lit(False).alias("query"))
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = [], []
+        c, query, xs = table.column("c").to_numpy(), table.column("query").to_numpy(zero_copy_only=False), table.column("x").to_pylist()
+        dims = np.array([len(x) for x in xs])
+        for dim in np.unique(dims[query]):
+            at = np.flatnonzero(dims == dim)
+            x = _unit([xs[i] for i in at])
+            near = np.zeros((len(at), len(at)), dtype=bool)
+            q = query[at]
+            near[np.ix_(q, ~q)] = _linked(x[q], x[~q], cosine)
+            near |= near.T | (c[at][:, None] == c[at][None, :])
+            more = _stars(near, c[at])
+            a += more[0]
+            b += more[1]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-def window_links(found: DataFrame, cosine: float, n_passes: int, block: int) -> DataFrame:
+    return left.union(right).groupBy("mine", "other").applyInArrow(run, "a long, b long")
+
+
+def all_links(found: DataFrame, cosine: float, n_passes: int | None, block: int, group: int) -> DataFrame:
+    """``(a, b)``: linked classes met in any round of passes, or by a comparison with all vectors."""
+    n, enough = found.count(), math.log(MISSED)
+    links, rest, turn, hard = [], found.withColumn("miss", F.lit(0.0)), 0, []
+    n_passes = n_passes or passes_for(n, cosine, block)
+    while True:
+        home = stored(blocks(rest, n_passes, block, turn), "places")
+        links.append(stored(window_links(rest, home, cosine), "links"))
+        gain = F.coalesce("gain", F.lit(0.0))
+        # Passes still needed, at the rate of this round.
+        need = F.when(gain < 0, F.ceil((enough - F.col("miss") - gain) / (gain / n_passes))).otherwise(n)
+        state = rest.select("c", "miss").join(pass_chances(home, cosine), "c", "left").select("c", (F.col("miss") + gain).alias("miss"), need.alias("need"))
+        state = stored(state.filter(F.col("miss") > enough), "state")
+        costly = F.col("need") * (2 * block) >= n
+        hard.append(state.filter(costly).select("c"))
+        left, most = state.filter(~costly).agg(F.count("*"), F.max("need")).first()
+        if not left:
+            break
+        rest = stored(found.join(state.filter(~costly).select("c", "miss"), "c"), "rest")
+        turn, n_passes = turn + 1, max(1, min(int(most), ROUND))
+    asked = stored(reduce(DataFrame.union, hard), "asked")
+    if asked.limit(1).count():
+        links.append(tile_links(found, asked, cosine, n, group))
+    return reduce(DataFrame.union, links)
+
+
+def window_links(found: DataFrame, home: DataFrame, cosine: float) -> DataFrame:
     """``(a, b)``: linked classes met in the windows of any pass, as stars within each window."""
-    home = blocks(found, n_passes, block).join(found.select("c", "x"), "c")
+    home = home.select("pass", "c", "block").join(found.select("c", "x"), "c")
     both = home.select("c", "x", F.explode(F.array(F.struct(F.col("block").alias("b"), F.lit(True).alias("own")),
                                                    F.struct((F.col("block") - 1).alias("b"), F.lit(False).alias("own")))).alias("w"), "pass")
     rows = both.select("c", "x", "w.b", "w.own", "pass")
@@ -115,19 +208,9 @@ def window_links(found: DataFrame, cosine: float, n_passes: int, block: int) ->
                     continue
                 x = _unit([xs[i] for i in at])
                 near = _linked(x, x, cosine) & (own[at][:, None] | own[at][None, :])
-                np.fill_diagonal(near, True)
-                label, ids = np.arange(len(at)), c[at]
-                rank = np.argsort(np.argsort(ids))
-                label = rank.copy()
-                while True:
-                    low = np.where(near, label[None, :], len(at)).min(axis=1)
-                    if (low == label).all():
-                        break
-                    label = low
-                ordered = np.sort(ids)
-                moved = label != rank
-                a += ids[moved].tolist()
-                b += ordered[label[moved]].tolist()
+                more = _stars(near, c[at])
+                a += more[0]
+                b += more[1]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return rows.groupBy("b").applyInArrow(run, "a long, b long")
@@ -191,8 +274,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_
     """``vec_id, n_links, component_id, kept`` of every row."""
     ship(vectors.sparkSession)
     rows, found = classes(vectors, id_col, vector_col)
-    n_passes = n_passes or passes_for(found.count(), cosine, block)
-    member = stored(components(window_links(found, cosine, n_passes, block)).select(F.col("node").alias("c"), "component"), "member")
+    member = stored(components(all_links(found, cosine, n_passes, block, group)).select(F.col("node").alias("c"), "component"), "member")
     links = stored(count_links(found, member, cosine, group), "links")
     kind = found.select("key", "c", "n").join(member, "c", "left").join(links, "c", "left").select(
         "key", F.coalesce("component", "c").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))

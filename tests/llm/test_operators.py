@@ -225,6 +225,24 @@ def test_vectors_match_brute_force(spark, group):
     assert got == want
 
 
+def test_vectors_of_a_dense_group_meet(spark):
+    g = np.random.default_rng(12)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(g.standard_normal((6_000, 64)))
+    x[:2_000] = unit(np.sqrt(0.8) * x[0] + np.sqrt(0.2) * unit(g.standard_normal((2_000, 64))))
+    side = g.standard_normal((300, 64))
+    side = unit(side - (side * x[:300]).sum(axis=1, keepdims=True) * x[:300])
+    x[2_000:2_300] = 0.905 * x[:300] + np.sqrt(1 - 0.905**2) * side
+    x[3_000:3_700] = unit(x[3_000] + 1e-7 * g.standard_normal((700, 64)))  # no plane splits these
+    near = x @ x.T >= 0.9
+    a, b = np.nonzero(np.triu(near, 1))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["component_id"] for r in projection.near_duplicates(df, block=32).collect()}
+    planted = [i for i in range(300) if near[i, 2_000 + i]]
+    assert len(planted) > 290 and sum(got[i] == got[2_000 + i] for i in planted) >= 0.97 * len(planted)
+    assert np.mean([got[i] == got[j] for i, j in zip(a.tolist(), b.tolist())]) >= 0.98
+
+
 def test_archive_gives_records_back(spark):
     big, small = "<p>" + "é" * 80, "<p>"
     rows = [(5, "u5", big), (2, "u2\r\nX: y", big), (9, None, big), (1, "u1", small), (3, "u3", small), (4, "u4", None), (2, "u2", big), (None, "n", big)]
