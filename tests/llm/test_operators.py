@@ -294,6 +294,29 @@ def test_scores(spark, corpus, docs):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and abs(r["score"] - r["base_score"]) < 1e-9 for r in alone)
 
 
+def test_scores_learn_rare_and_long_contexts(spark):
+    """A word known by the one, or the three, words before it, whose share of the corpus is below any fixed one."""
+    r = random.Random(6)
+    word = lambda: f"w{r.randrange(3_000)}"
+    some = lambda n: [word() for _ in range(n)]
+    texts = [some(100) for _ in range(1_200)]
+    for i in range(40):
+        texts[i][50:52] = ["rare", "next"]
+        texts[100 + i][50:54] = ["u", "v", "w", "goal"]
+        texts[200 + i][50:54] = [word(), "v", "w", word()]
+    asked = ["rare next", "u v w goal", "w1 rare w2", "rare u"]
+    rows = [(i, " ".join(t), None, None, 0, 0) for i, t in enumerate(texts)] + [(5_000 + i, t, None, None, 0, 0) for i, t in enumerate(asked)]
+    got = {x["doc_id"]: x["score"] - x["base_score"] for x in pst.scores(spark.createDataFrame(rows, DOCS), F.col("doc_id") < 5_000).filter("doc_id >= 5000").collect()}
+    assert got[5_000] > 2 and got[5_001] > 2 and got[5_002] < 0.5
+    levels = [np.array([1] * 30 + [2] * 30 + [1], dtype=np.uint32), np.array([5] * 30 + [0] * 31, dtype=np.uint32), np.zeros(61, dtype=np.uint32)]
+    p = np.full(61, 1e-4, dtype=np.float32)
+    p[-1] *= -1  # not learned
+    s = np.array([9] * 30 + list(range(30)) + [9], dtype=np.uint32)
+    gains = pst.bucket_gains(levels, s, p)
+    one = (30 + 20e-4) / 50
+    assert np.allclose(gains[-1], log10(one / 1e-4), atol=1e-4) and not gains[30:60].any()  # single next words teach nothing
+
+
 def test_empty_tables(spark, docs):
     none, path = docs.filter("false"), public_tokenizers.path(queries.TOKENIZER)
     bench = spark.createDataFrame([], "item_id long, text string")
