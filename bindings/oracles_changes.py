@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bindings.oracles_marts import SPECS
 from bindings.sql_base import STG, out, with_ctes
 
 ORACLES: dict[str, str] = {}
@@ -98,14 +99,36 @@ ORACLES["as_of_join"] = with_ctes(
     from stg_opportunities o left join acct_history h
       on o.account_id = h.id and h.valid_from <= o.created_at and (h.valid_to is null or o.created_at < h.valid_to)"""
 )
-_MARTS = [
-    *STG.values(), "dim_account", "dim_contact", "dim_lead", "dim_user", "dim_campaign", "fct_sales_pipeline", "fct_bookings",
-    "fct_win_rate", "fct_campaign_performance", "fct_demand_generation",
-]
+
+
+def fingerprint(name: str, spec: str, source: str) -> str:
+    """Rows and the sum of 48 bits of every row's digest; amounts are compared to the cent."""
+    names = sorted(w.split(":")[0] for w in spec.split() if w != "built_at")
+    amount = lambda n: f"typeof({n}) = 'DOUBLE' or typeof({n}) like 'DECIMAL%'"
+    text = [f"coalesce(case when {amount(n)} then cast(try_cast({n} as decimal(38,2)) as varchar) else cast({n} as varchar) end, '~')" for n in names]
+    bits = f"cast('0x' || md5(concat_ws('|', {', '.join(text)}))[1:12] as bigint)"
+    return f"select '{name}' as table_name, count(*) as row_count, cast(coalesce(sum({bits}), 0) as varchar) as fingerprint from {source}"
+
+
+_FACTS = ["fct_sales_pipeline", "fct_bookings", "fct_win_rate", "fct_campaign_performance", "fct_demand_generation"]
+_MARTS = [*STG.values(), "dim_account", "dim_contact", "dim_lead", "dim_user", "dim_campaign", *_FACTS]
+# Each raw row has one version here, so history holds every staged row once, open since its modification.
+_HISTORY = {"history_accounts": "account_id", "history_contacts": "contact_id", "history_leads": "lead_id", "history_opportunities": "opportunity_id"}
+_CALENDAR = "(select cast(d as date) as date_id from generate_series(date '2020-01-01', date '2030-12-31', interval 1 day) as t(d))"
 ORACLES["build_marts"] = with_ctes(
-    " union all ".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in _MARTS)
-    + " union all select 'dim_date', date_diff('day', date '2020-01-01', date '2030-12-31') + 1"
-)
+    " union all ".join(fingerprint(t, SPECS[t], t) for t in _MARTS)
+    + " union all "
+    + " union all ".join(
+        fingerprint(
+            h, f"{SPECS[f'stg_{h[8:]}']} scd_id valid_from valid_to source_updated_at",
+            f"""(select *, md5(cast({k} as varchar) || '|' || cast(updated_at as varchar)) as scd_id, updated_at as valid_from,
+                 cast(null as timestamp) as valid_to, updated_at as source_updated_at from stg_{h[8:]})""",
+        )
+        for h, k in _HISTORY.items()
+    )
+    + " union all " + fingerprint("dim_date", "date_id:d", _CALENDAR)
+)
+ORACLES["incremental_facts"] = with_ctes(" union all ".join(fingerprint(t, SPECS[t], t) for t in _FACTS))
 ORACLES["project_keeps_deleted"] = with_ctes(
     "select id as account_id, name as account_name, cast(isdeleted as varchar) as is_deleted, "
     "cast(annualrevenue as double) as annual_revenue from v_Account"

@@ -14,9 +14,10 @@ from revstream.operators.dedup import dedup_latest
 from revstream.operators.incremental import LOOKBACK_DAYS, delete_flag, incremental_filter
 from revstream.operators.quality import run_checks
 from revstream.operators.scd import scd2_step
-from revstream.plans import dims, enrich, facts
+from revstream.functions.scalars import surrogate_key
+from revstream.plans import changes, dims, enrich, facts
 from revstream.plans.staging import UNIQUE_KEYS, conform, stage
-from revstream.session import checkpointed
+from revstream.session import checkpointed, written
 from revstream.sources.tables import BUCKETS, Table
 
 STAGING = {
@@ -68,11 +69,14 @@ def update_staging(
     dedup_order: list | None = None,
     source: str = "landing",
     buckets: int = BUCKETS,
+    record: bool = False,
 ) -> None:
     """Merge the recently changed raw rows of one object into its staging table.
 
     A full refresh, or an empty target, loads everything. ``deletes="propagate"`` removes keys whose
-    latest version is deleted; ``"ignore"`` leaves the last live version in place.
+    latest version is deleted; ``"ignore"`` leaves the last live version in place. ``record`` adds the keys that
+    the merge changes to the object's pending changes, before it is committed: a run that dies in between leaves
+    keys too many, never too few.
     """
     table, key = wh.table(STAGING[obj]), UNIQUE_KEYS[obj]
     target = None if full_refresh else table.read()
@@ -84,10 +88,61 @@ def update_staging(
         table.overwrite(stage(latest, obj, source), key, buckets)
         return
     latest = checkpointed(latest)  # feeds the updates and the deletes
-    gone = None
+    updates, gone = stage(latest, obj, source), None
     if deletes == "propagate" and obj != "User":
         gone = latest.filter(delete_flag(latest, source)).select(F.col("id").alias(key))
-    table.upsert(stage(latest, obj, source), key, deletes=gone, materialize=False)
+    if record:
+        pending(wh, obj).append(changes.changed_rows(target, updates, gone, key, changes.PARENTS[obj]))
+    table.upsert(updates, key, deletes=gone, materialize=False)
+
+
+def pending(wh: Warehouse, obj: str) -> Table:
+    """Keys of an object's staging rows that changed since the facts were last brought up to date."""
+    return wh.table(f"changes_{STAGING[obj][4:]}")
+
+
+RUNS = "as_of timestamp_ntz, state string, run int"
+FULL_STARTED, DONE = "full started", "done"
+
+
+def last_run(wh: Warehouse) -> tuple[str, datetime] | None:
+    """State and time of the last entry of the warehouse's run ledger."""
+    runs = wh.table("runs").read()
+    row = None if runs is None else runs.orderBy(F.desc("run")).first()
+    return None if row is None else (row["state"], row["as_of"])
+
+
+def log_run(wh: Warehouse, as_of: datetime, state: str) -> None:
+    table = wh.table("runs")
+    head = table.head()
+    table.append(wh.spark.createDataFrame([(as_of.replace(tzinfo=None), state, head.version + 1 if head else 1)], RUNS))
+
+
+def merge_fact(
+    wh: Warehouse,
+    name: str,
+    updates: DataFrame,
+    key: str,
+    touched: DataFrame,
+    ids: str,
+    insert_only: bool = False,
+    keep_as: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Replace the rows of a fact whose source ids are ``touched`` by ``updates``; those without an update go.
+
+    With ``insert_only`` stored rows stay as they are; with ``keep_as`` rows without an update stay as it makes them.
+    """
+    table = wh.table(name)
+    updates = written(updates, name)
+    gone = touched.select((surrogate_key(ids) if key != ids else F.col(ids)).alias(key)).join(updates.select(key), key, "left_anti")
+    if insert_only:
+        table.upsert(updates, key, insert_only=True, materialize=False)
+        return
+    if keep_as is not None:
+        left = keep_as(table.read().join(gone, key, "left_semi")).select(*updates.columns)
+        table.upsert(updates.unionByName(left), key)
+        return
+    table.upsert(updates, key, deletes=gone, materialize=False)
 
 
 def update_snapshot(wh: Warehouse, obj: str, now: datetime) -> None:
@@ -106,6 +161,88 @@ def pipeline_after(target: DataFrame | None, current: DataFrame, closed: str = "
     return current.unionByName(gone.withColumn("is_active", F.lit(False)))
 
 
+def rewrite_facts(wh: Warehouse, stg: dict[str, DataFrame], as_of: datetime, full_refresh: bool, bookings_insert_only: bool, closed_deals: str, buckets: int, parallel: int) -> None:
+    """All facts from all of staging."""
+    acc, con, led, opp = (stg[o] for o in ("Account", "Contact", "Lead", "Opportunity"))
+    usr, cam, mem = (stg[o] for o in ("User", "Campaign", "CampaignMember"))
+    # Three facts read this, so it is joined and stored once.
+    joined = enrich.opportunity_enriched(opp, acc, usr, cam, stg["OpportunityLineItem"], as_of, keys=True)
+    wh.table(ENRICHED).overwrite(joined, "opportunity_id", buckets)
+    enriched = wh.read(ENRICHED)
+    pipeline, ledger = wh.table("fct_sales_pipeline"), wh.table("fct_bookings")
+    still_open = pipeline_after(pipeline.read(), facts.fct_sales_pipeline(enriched, as_of), closed_deals)
+    performance = facts.fct_campaign_performance(cam, mem, opp, as_of)
+    demand = facts.fct_demand_generation(mem, led, con, cam, opp, as_of)
+    bookings = facts.fct_bookings(enriched, as_of)
+    if bookings_insert_only and not full_refresh:
+        book = partial(ledger.upsert, bookings, "booking_id", insert_only=True, buckets=buckets, materialize=False)
+    else:
+        book = partial(ledger.overwrite, bookings, "booking_id", buckets)
+    _together(
+        [
+            partial(pipeline.overwrite, still_open, "pipeline_id", buckets),
+            book,
+            partial(wh.table("fct_win_rate").overwrite, facts.fct_win_rate(enriched, as_of), "win_rate_id", buckets),
+            partial(wh.table("fct_campaign_performance").overwrite, performance, "campaign_performance_id", buckets),
+            partial(wh.table("fct_demand_generation").overwrite, demand, "demand_gen_id", buckets),
+        ],
+        parallel,
+    )
+
+
+def merge_facts(wh: Warehouse, stg: dict[str, DataFrame], as_of: datetime, day_changed: bool, bookings_insert_only: bool, closed_deals: str, parallel: int) -> None:
+    """Only the fact rows that pending changes touch are computed and merged.
+
+    Each side of a lookup is cut to the rows the touched ones refer to before it is joined. On a new day the
+    deals whose measures count to today are touched as well.
+    """
+    if closed_deals not in ("drop", "flag"):
+        raise ValueError(f"closed must be 'drop' or 'flag', not {closed_deals!r}")
+    acc, con, led, opp = (stg[o] for o in ("Account", "Contact", "Lead", "Opportunity"))
+    usr, cam, mem, items = (stg[o] for o in ("User", "Campaign", "CampaignMember", "OpportunityLineItem"))
+    found = {}
+    for obj, parent in changes.PARENTS.items():
+        rows, key = pending(wh, obj).read(), UNIQUE_KEYS[obj]
+        found[obj] = rows if rows is not None else stg[obj].select(key, *([parent] if parent else [])).limit(0)
+    only = changes.only
+
+    def sales() -> None:
+        touched = written(changes.touched_opportunities(opp, found, day_changed), "touched-deals")
+        if touched.isEmpty():
+            return
+        deals = written(only(opp, "opportunity_id", touched), "deals")
+        sides = only(acc, "account_id", deals), only(usr, "user_id", deals, "owner_id"), only(cam, "campaign_id", deals)
+        rows = written(enrich.opportunity_enriched(deals, *sides, only(items, "opportunity_id", touched), as_of, keys=True), ENRICHED)
+        keep_as = (lambda gone: gone.withColumn("is_active", F.lit(False))) if closed_deals == "flag" else None
+        merge = partial(merge_fact, wh, touched=touched, ids="opportunity_id")
+        _together(
+            [
+                partial(merge, ENRICHED, rows, "opportunity_id"),
+                partial(merge, "fct_sales_pipeline", facts.fct_sales_pipeline(rows, as_of), "pipeline_id", keep_as=keep_as),
+                partial(merge, "fct_bookings", facts.fct_bookings(rows, as_of), "booking_id", insert_only=bookings_insert_only),
+                partial(merge, "fct_win_rate", facts.fct_win_rate(rows, as_of), "win_rate_id"),
+            ],
+            parallel,
+        )
+
+    def campaigns() -> None:
+        touched = written(changes.touched_campaigns(found), "touched-campaigns")
+        if not touched.isEmpty():
+            rows = facts.fct_campaign_performance(*[only(df, "campaign_id", touched) for df in (cam, mem, opp)], as_of)
+            merge_fact(wh, "fct_campaign_performance", rows, "campaign_performance_id", touched, "campaign_id")
+
+    def demand() -> None:
+        touched = written(changes.touched_members(mem, led, found), "touched-members")
+        if not touched.isEmpty():
+            members = written(only(mem, "campaign_member_id", touched), "members")
+            people = written(only(led, "lead_id", members), "people")
+            deals = only(opp, "opportunity_id", people, "converted_opportunity_id")
+            rows = facts.fct_demand_generation(members, people, only(con, "contact_id", members), only(cam, "campaign_id", members), deals, as_of)
+            merge_fact(wh, "fct_demand_generation", rows, "demand_gen_id", touched, "campaign_member_id")
+
+    _together([sales, campaigns, demand], parallel)
+
+
 def build(
     spark: SparkSession,
     raw: dict[str, DataFrame],
@@ -124,31 +261,36 @@ def build(
 ) -> Warehouse:
     """Run the graph once. Staging comes before history, so history reflects this run's data.
 
-    Facts hold what staging holds now, so an incremental run ends like a full refresh. With
-    ``bookings_insert_only`` the bookings are a ledger instead: rows once booked stay as they were.
-    ``source``, ``deletes`` and ``lookback_days`` are those of ``update_staging``.
+    Facts end as a full refresh would leave them (but for ``built_at``, the run that last computed the row): the
+    rows that this run's changes touch are computed again and merged. All rows are computed when a staging table
+    was loaded as a whole, a fact is missing, or the last such run did not end. With ``bookings_insert_only`` the
+    bookings are a ledger instead: rows once booked stay as they were. ``source``, ``deletes`` and
+    ``lookback_days`` are those of ``update_staging``.
 
     Every stage reads stored tables, so no plan spans the graph and a lost executor replays one stage.
     Tables that do not depend on each other are built ``parallel`` at a time.
     """
     wh = Warehouse(spark, path)
+    before = last_run(wh)
 
     def staging(obj: str) -> None:
         order = (dedup_orders or {}).get(obj)
-        update_staging(wh, raw[obj], obj, full_refresh, deletes, lookback_days, order, source, buckets)
+        record = obj in changes.PARENTS
+        update_staging(wh, raw[obj], obj, full_refresh, deletes, lookback_days, order, source, buckets, record)
 
+    unfinished = before is not None and before[0] == FULL_STARTED
+    rewrite = full_refresh or unfinished or any(wh.table(t).head() is None for t in (*FACTS, *(STAGING[o] for o in changes.PARENTS)))
+    if rewrite:
+        log_run(wh, as_of, FULL_STARTED)
     _together([partial(staging, obj) for obj in STAGING], parallel)
 
     stg = {obj: wh.read(name) for obj, name in STAGING.items()}
-    acc, con, led, opp = (stg[o] for o in ("Account", "Contact", "Lead", "Opportunity"))
-    usr, cam, mem = (stg[o] for o in ("User", "Campaign", "CampaignMember"))
-    leads = enrich.lead_enriched(led, usr, mem, cam)
+    acc, con, led, usr = (stg[o] for o in ("Account", "Contact", "Lead", "User"))
+    cam, mem = stg["Campaign"], stg["CampaignMember"]
     rebuilt = {
-        # Three facts read this, so it is joined and stored once.
-        ENRICHED: enrich.opportunity_enriched(opp, acc, usr, cam, stg["OpportunityLineItem"], as_of, keys=True),
         "dim_account": dims.dim_account(acc, usr, as_of),
         "dim_contact": dims.dim_contact(con, acc, usr, as_of),
-        "dim_lead": dims.dim_lead(leads, as_of),
+        "dim_lead": dims.dim_lead(enrich.lead_enriched(led, usr, mem, cam), as_of),
         "dim_user": dims.dim_user(usr, as_of),
         "dim_campaign": dims.dim_campaign(cam, usr, as_of),
         "dim_date": dims.dim_date(spark, as_of),
@@ -158,37 +300,25 @@ def build(
         + [partial(update_snapshot, wh, obj, as_of) for obj in SNAPSHOTS],
         parallel,
     )
-
-    enriched = wh.read(ENRICHED)
-    pipeline = wh.table("fct_sales_pipeline")
-    still_open = pipeline_after(pipeline.read(), facts.fct_sales_pipeline(enriched, as_of), closed_deals)
-    performance = facts.fct_campaign_performance(cam, mem, opp, as_of)
-    demand = facts.fct_demand_generation(mem, led, con, cam, opp, as_of)
-    ledger = wh.table("fct_bookings")
-    bookings = facts.fct_bookings(enriched, as_of)
-    if bookings_insert_only and not full_refresh:
-        book = partial(ledger.upsert, bookings, "booking_id", insert_only=True, buckets=buckets, materialize=False)
+    if rewrite:
+        rewrite_facts(wh, stg, as_of, full_refresh, bookings_insert_only, closed_deals, buckets, parallel)
     else:
-        book = partial(ledger.overwrite, bookings, "booking_id", buckets)
-    _together(
-        [
-            partial(pipeline.overwrite, still_open),
-            book,
-            partial(wh.table("fct_win_rate").overwrite, facts.fct_win_rate(enriched, as_of), "win_rate_id", buckets),
-            partial(wh.table("fct_campaign_performance").overwrite, performance, "campaign_performance_id", buckets),
-            partial(wh.table("fct_demand_generation").overwrite, demand, "demand_gen_id", buckets),
-        ],
-        parallel,
-    )
+        merge_facts(wh, stg, as_of, before is None or before[1].date() != as_of.date(), bookings_insert_only, closed_deals, parallel)
+    log_run(wh, as_of, DONE)
+    for obj in changes.PARENTS:  # carried into the facts now
+        table = pending(wh, obj)
+        if table.head() is not None and table.head().row_count:
+            table.overwrite(table.read().limit(0))
     if checks:
         wh.table("quality_results").overwrite(check_tables(wh))
     return wh
 
 
+FACTS = ("fct_sales_pipeline", "fct_bookings", "fct_win_rate", "fct_campaign_performance", "fct_demand_generation")
 CHECKED = (
     *STAGING.values(),
     "dim_account", "dim_contact", "dim_lead", "dim_user", "dim_campaign", "dim_date",
-    "fct_sales_pipeline", "fct_bookings", "fct_win_rate", "fct_campaign_performance", "fct_demand_generation",
+    *FACTS,
 )
 
 

@@ -60,3 +60,10 @@ def checkpointed(df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
     return df.checkpoint()
+
+
+def written(df, purpose: str):
+    """``df`` written to the shared scratch folder and read back: lineage ends there, readers scan only what they use."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
