@@ -89,6 +89,7 @@ ORACLES["scd2_build"] = with_ctes(
     "select id as opportunity_id, stage_name, cast(amount as double) as amount, cast(probability_pct as double) as probability_pct, "
     "cast(close_date as varchar) as close_date, scd_id, valid_from, valid_to from opp_history"
 )
+ORACLES["history_late_versions"] = ORACLES["scd2_build"]
 ORACLES["as_of"] = with_ctes(
     """select id as opportunity_id, stage_name, cast(amount as double) as amount, valid_from, valid_to from opp_history
     where valid_from <= timestamp '2025-06-15 12:00:00' and (valid_to is null or valid_to > timestamp '2025-06-15 12:00:00')"""

@@ -16,7 +16,7 @@ from revstream.operators.extract import extract_objects
 from revstream.operators.incremental import apply_lookback, exclude_deleted, incremental_extract, incremental_filter, ntz
 from revstream.operators.ordered import as_of_join
 from revstream.operators.quality import union_all
-from revstream.operators.scd import as_of, scd2_snapshot, scd2_step
+from revstream.operators.scd import as_of, deliver_versions, live, scd2_snapshot, scd2_step
 from revstream.operators.upsert import merge_upsert
 from revstream.operators.watermark import WatermarkStore
 from revstream.plans import build as graph
@@ -171,11 +171,26 @@ def scd2_snapshot_table(c: Crm):
     return table.read()
 
 
+HISTORY_COLUMNS = "opportunity_id", "stage_name", "amount", "probability_pct", "close_date", "scd_id", "valid_from", "valid_to"
+
+
 @query("scd2_build")
 def scd2_build_history(c: Crm):
-    return c.opportunity_history.select(
-        "opportunity_id", "stage_name", "amount", "probability_pct", "close_date", "scd_id", "valid_from", "valid_to"
+    return c.opportunity_history.select(*HISTORY_COLUMNS)
+
+
+@query("history_late_versions")
+def history_late_versions(c: Crm):
+    """Deal versions delivered in three shuffled parts, each with some of the part before once more."""
+    versions = project(c.raw("OpportunityVersion"), "Opportunity").select(
+        "opportunity_id", "stage_name", "amount", "probability_pct", "close_date", "updated_at", "is_deleted"
     )
+    part = F.pmod(F.xxhash64("opportunity_id", "updated_at"), F.lit(3))
+    again = F.pmod(F.xxhash64("updated_at", "opportunity_id"), F.lit(7)) == 0
+    table = Table(c.spark, scratch_dir(c.spark, "history"))
+    for i in range(3):
+        deliver_versions(table, versions.filter((part == i) | ((part == i - 1) & again)), "opportunity_id", buckets=16)
+    return live(table.read(), "is_deleted").select(*HISTORY_COLUMNS)
 
 
 @query("as_of")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from revstream.operators.dedup import dedup_latest
 from revstream.operators.incremental import ntz
 from revstream.operators.ordered import HOT_ROWS, with_neighbours
+from revstream.sources.tables import BUCKETS, Table
 
 META = ("scd_id", "valid_from", "valid_to", "source_updated_at")
 
@@ -123,13 +124,68 @@ def scd2_build(
     names a flag: a raw version that carries it closes the version before it at its own time and opens none,
     so a deleted key has no open version until it returns. The flag is not part of the result.
     """
+    out = _intervals(versions, key, updated_at, order, min_rows)
+    return out if deleted is None else live(out, deleted)
+
+
+def _intervals(versions: DataFrame, key: str, updated_at: str, order: list[Column] | None, min_rows: int) -> DataFrame:
+    """Every distinct version, deleted ones too, valid until the next one of its key."""
     distinct = dedup_latest(versions, [key, updated_at], order or [F.col(updated_at).desc()])
     opened = _opened(distinct, key, updated_at).drop("valid_to")
-    cols = [c for c in opened.columns if c not in (*META, deleted)]
     out = with_neighbours(opened, key, "valid_from", following={"valid_to": "valid_from"}, min_rows=min_rows)
-    if deleted is not None:
-        out = out.filter(~F.coalesce(F.col(deleted), F.lit(False)))
-    return out.select(*cols, *META)
+    return out.select(*[c for c in opened.columns if c not in META], *META)
+
+
+def live(history: DataFrame, deleted: str) -> DataFrame:
+    """History without the versions that mark a delete, and without the flag."""
+    return history.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted)
+
+
+def splice_versions(
+    stored: DataFrame | None,
+    versions: DataFrame,
+    key: str,
+    updated_at: str = "updated_at",
+    order: list[Column] | None = None,
+    min_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``stored`` history after ``versions`` took their places in it, whenever they were made or delivered.
+
+    A late version splits the interval it falls into; one delivered again changes nothing. Of two copies of a version
+    the first by ``order`` stays, else the delivered one. ``stored`` must hold the versions that mark deletes as well
+    (``live`` leaves them out for readers): a version that arrives later may lie between two of them. Columns new to
+    the versions are NULL in older rows.
+    """
+    flag = "_delivered"
+    raw = versions.withColumn(flag, F.lit(1))
+    if stored is not None:
+        before = stored.select(*[c for c in stored.columns if c in versions.columns]).withColumn(flag, F.lit(0))
+        raw = raw.unionByName(before, allowMissingColumns=True)
+    return _intervals(raw, key, updated_at, [*(order or []), F.desc(flag)], min_rows).drop(flag)
+
+
+def deliver_versions(
+    table: Table,
+    versions: DataFrame,
+    key: str,
+    updated_at: str = "updated_at",
+    order: list[Column] | None = None,
+    buckets: int = BUCKETS,
+    min_rows: int = HOT_ROWS,
+) -> None:
+    """Splice ``versions`` into a stored history laid out in hash buckets by ``key``.
+
+    Only the buckets of the delivered keys are read and written. Deliveries may come in any order and again: the
+    table ends as ``scd2_build`` of all of them, with the versions that mark deletes. A delivery that dies leaves the
+    table as it was.
+    """
+
+    def merge(stored: DataFrame | None, delivered: DataFrame) -> DataFrame:
+        return splice_versions(stored, delivered.drop(*META), key, updated_at, order, min_rows)
+
+    if not versions.isEmpty():
+        # The table's columns are those of the versions, then the bookkeeping ones.
+        table.upsert(_opened(versions, key, updated_at).select(*versions.columns, *META), key, buckets=buckets, merge=merge)
 
 
 def as_of(history: DataFrame, ts: datetime | date | Column) -> DataFrame:

@@ -8,8 +8,9 @@ leaves the table as it was. One writer at a time.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -131,16 +132,19 @@ class Table:
         insert_only: bool = False,
         buckets: int = BUCKETS,
         materialize: bool = True,
+        merge: Callable[[DataFrame | None, DataFrame], DataFrame] | None = None,
     ) -> None:
         """Merge ``updates`` by ``key``; rewrite only the hash buckets that hold a changed key.
 
-        ``newer``, ``deletes`` and ``insert_only`` are those of ``merge_upsert``. The schema follows the
-        updates. ``updates`` is read twice; ``materialize=False`` skips writing it to the checkpoint
+        ``newer``, ``deletes`` and ``insert_only`` are those of ``merge_upsert``, which ``merge(stored, updates)``
+        replaces where a key has several rows. The schema follows the updates. ``updates`` is read twice; ``materialize=False`` skips writing it to the checkpoint
         folder first, for updates that are a cheap projection of a stored table.
         """
         head = self.head()
+        if merge is None:
+            merge = partial(merge_upsert, key=key, newer=newer, deletes=deletes, insert_only=insert_only)
         if head is None:
-            self.overwrite(merge_upsert(None, updates, key, newer, deletes), key, buckets)
+            self.overwrite(merge(None, updates), key, buckets)
             return
         version, part = self._next(head)
         schema = updates.schema
@@ -156,7 +160,7 @@ class Table:
         target = self._load(replaced, head.schema) if replaced else None
         if target is not None:
             target = target.select(*[F.col(c).cast(schema[c].dataType).alias(c) if c in schema.names else F.col(c) for c in target.columns])
-        merged = merge_upsert(target, updates, key, newer, deletes, insert_only)
+        merged = merge(target, updates)
         parts, rows = self._write_buckets(sync_columns(merged, schema.names), key, buckets, part)
         rows += self._load(kept, head.schema).count() if kept else 0
         self._commit(version, "upsert", kept + parts, _dated(schema, version, head), rows, buckets)

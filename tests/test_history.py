@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows_of
 from revstream.operators.ordered import as_of_join, cut_hot_keys, with_neighbours
 from revstream.operators.quantile import exact_percentiles
-from revstream.operators.scd import as_of, scd2_build, scd2_snapshot, scd2_step, with_meta_prefix
+from revstream.operators.scd import as_of, deliver_versions, live, scd2_build, scd2_snapshot, scd2_step, with_meta_prefix
 from revstream.plans import analytics
 from revstream.sources import seeds
 from revstream.sources.tables import Table
@@ -217,3 +217,42 @@ def test_linear_attribution_adds_up_to_the_booked_amount(spark):
         assert float(analytics.attribution(demand, bookings, model).agg(F.sum("attributed_amount")).first()[0]) == 155.56
     with pytest.raises(ValueError):
         analytics.attribution(demand, bookings, "other")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_versions_delivered_in_any_order(spark, folder, seed):
+    """Deliveries in shuffled order, some twice, end as the whole log does; deletes that follow each other stay known."""
+    r = random.Random(seed)
+    ddl = "id string, v int, updated_at timestamp_ntz, gone boolean"
+    log = [(f"k{r.randrange(12)}", i, datetime(2026, 1, 1) + timedelta(hours=h), r.random() < 0.3) for i, h in enumerate(r.sample(range(500), 90))]
+    log += [(None, 1_000 + i, datetime(2026, 2, 1 + i), False) for i in range(3)]
+    r.shuffle(log)
+    table = Table(spark, folder)
+    for i in range(0, len(log), 25):
+        deliver_versions(table, spark.createDataFrame(log[i : i + 25] + r.sample(log[: i + 25], 5), ddl), "id", buckets=8, min_rows=4)
+    want = scd2_build(spark.createDataFrame(log, ddl), "id", deleted="gone")
+    got = live(table.read(), "gone")
+    assert got.columns == want.columns and rows_of(got) == rows_of(want)
+    for key, v, at, gone in log:  # and against the log itself
+        later = min((t for k, _, t, _ in log if k == key and t > at), default=None)
+        rows = got.filter(F.col("v") == v).collect() if v % 9 == 0 else None
+        if rows is not None:
+            assert [(x["valid_from"], x["valid_to"]) for x in rows] == ([] if gone else [(at, later)])
+
+
+def test_a_late_version_rewrites_only_its_keys_buckets(spark, folder):
+    table, ddl = Table(spark, folder), "id string, v int, updated_at timestamp_ntz"
+    day = lambda n: datetime(2026, 1, n)
+    deliver_versions(table, spark.createDataFrame([(f"k{i}", 0, day(10)) for i in range(100)], ddl), "id", buckets=16)
+    before = set(table.head().parts)
+    deliver_versions(table, spark.createDataFrame([("k3", 1, day(5)), ("k3", 2, day(20))], ddl), "id")
+    assert len(before - set(table.head().parts)) == 1
+    assert rows_of(table.read().filter("id = 'k3'").select("v", "valid_from", "valid_to")) == [
+        (0, day(10), day(20)), (1, day(5), day(10)), (2, day(20), None)
+    ]
+    version = table.head().version
+    deliver_versions(table, spark.createDataFrame([], ddl), "id")
+    assert table.head().version == version
+    wider = spark.createDataFrame([("k4", 9, day(1), "x")], ddl + ", region string")
+    deliver_versions(table, wider, "id")
+    assert rows_of(table.read().filter("id = 'k4'").select("v", "region", "valid_to")) == [(0, None, None), (9, "x", day(10))]
