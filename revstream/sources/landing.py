@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,17 +87,34 @@ def land_partition_scan(spark: SparkSession, root: str, obj: str, first: str, la
     return parse_lines(lines.withColumn("_file_name", F.col("_metadata.file_path")), obj)
 
 
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The pages under ``path`` by their first line. One row per page comes to the driver, as in any file listing."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    place = F.struct("file_block_start", F.monotonically_increasing_id())
+    first = lines.withColumn("place", place).groupBy("file_path").agg(F.min_by("value", "place").alias("header"))
+    pages: dict[str, list[str]] = {}
+    for row in first.orderBy("header", "file_path").collect():
+        pages.setdefault(row["header"], []).append(row["file_path"])
+    return pages
+
+
 def scan_csv_pages(spark: SparkSession, path: str, obj: str) -> DataFrame:
-    """CSV pages with a header, every value text; a byte-order mark before the first header is dropped.
+    """CSV pages with a header each, every value text; a byte-order mark before a header is dropped.
 
-    All pages must have the same header in the same order. A page with another one fails the read: its values
-    would otherwise land in the wrong columns.
+    Pages may have other columns, or the same in another order: those with the same header are read together, by
+    name, and a field that a page lacks is NULL. Of columns with one name the last counts. Empty pages have no rows.
     """
-    df = spark.read.option("header", True).option("enforceSchema", False).option("encoding", "UTF-8").option("multiLine", True).csv(path)
-    df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
-    have = set(df.columns)
-    wire = [F.col(n) if n in have else F.lit(None).cast("string").alias(n) for n in crm_object(obj).extract_fields]
-    return df.select(*wire)
+    parts = []
+    for header, files in _headers(spark, path).items():
+        names = next(csv.reader([header.lstrip("\ufeff")]), [])
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        page = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("multiLine", True).csv(files)
+        at = {name: f"c{i}" for i, name in enumerate(names)}
+        wire = [(F.col(at[n]) if n in at else F.lit(None).cast("string")).alias(n) for n in crm_object(obj).extract_fields]
+        parts.append(page.select(*wire))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in crm_object(obj).extract_fields]))
+    return reduce(DataFrame.union, parts)
 
 
 # -- loading ---------------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from revstream.operators.dedup import dedup_latest, newest_first
+from revstream.operators.incremental import as_utc, ntz
 from revstream.sources.landing import load_typed, object_path, parse_lines
 from revstream.sources.tables import Table
 
@@ -25,6 +26,57 @@ def landing_stream(spark: SparkSession, root: str, obj: str, files_per_trigger:
     return parse_lines(lines, obj)
 
 
+# One row per loaded file. Times are those of the extract (of the first bad row) and of the load.
+LEDGER = (
+    "pipe_name string, file_name string, row_count long, error_count long, first_error_timestamp timestamp_ntz, "
+    "first_error_line_number long, first_error_message string, first_error_column_name string, last_load_time timestamp_ntz, "
+    "batch_id long"
+)
+
+
+def file_loads(loaded: DataFrame, pipe: str) -> DataFrame:
+    """What was loaded of every file: rows, bad rows and the first bad line (a line without an ordinal comes last)."""
+    bad = F.col("_bad_fields").isNotNull()
+    line = F.struct(F.col("_file_row_number").isNull().alias("unnumbered"), "_file_row_number", "_bad_fields", "_extract_timestamp")
+    found = loaded.groupBy(F.col("_file_name").alias("file_name")).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(bad).alias("error_count"),
+        F.min(F.when(bad, line)).alias("first"),
+        F.max("_load_timestamp").alias("last_load_time"),
+    )
+    return found.select(
+        F.lit(pipe).alias("pipe_name"),
+        "file_name",
+        "row_count",
+        "error_count",
+        F.col("first._extract_timestamp").alias("first_error_timestamp"),
+        F.col("first._file_row_number").alias("first_error_line_number"),
+        F.concat(F.lit("unreadable: "), F.col("first._bad_fields")).alias("first_error_message"),
+        F.substring_index("first._bad_fields", ",", 1).alias("first_error_column_name"),
+        "last_load_time",
+    )
+
+
+def load_batch(batch: DataFrame, batch_id: int, obj: str, table: str) -> None:
+    """Write one batch of typed rows and then its part of the load ledger, which makes the rows visible.
+
+    Both go to the batch's own folder, which a repeated batch replaces, so a batch that dies and comes again
+    is neither lost nor counted twice. Rows are gathered by month before they are written: a month goes into few
+    files, ordered by time, however many tasks read the landing files.
+    """
+    rows, ledger = f"{table}/rows/batch_id={batch_id}", f"{table}/ledger/batch_id={batch_id}"
+    (
+        batch.withColumns({"is_bad": F.col("_bad_fields").isNotNull(), "mod_month": F.trunc("systemmodstamp", "month")})
+        .hint("rebalance", "is_bad", "mod_month")
+        .sortWithinPartitions("is_bad", "mod_month", "systemmodstamp")
+        .write.mode("overwrite")
+        .partitionBy("is_bad", "mod_month")
+        .parquet(rows)
+    )
+    written = batch.sparkSession.read.schema(batch.schema).parquet(rows)
+    file_loads(written, obj).write.mode("overwrite").parquet(ledger)
+
+
 def auto_ingest(
     spark: SparkSession,
     root: str,
@@ -34,27 +86,33 @@ def auto_ingest(
     loaded_at: datetime | None = None,
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Load every landing file not loaded before, then stop.
+    """Load every landing file not loaded before, then stop; ``read_ledger`` says what was loaded of each file.
 
-    The file sink records its batches with the checkpoint, so a file is loaded exactly once even when a
-    run dies and is repeated. Bad rows go to ``is_bad=true`` folders of the same table.
+    Bad rows go to ``is_bad=true`` folders of the same table. One checkpoint belongs to one table.
     """
     loaded = load_typed(landing_stream(spark, root, obj, files_per_trigger), obj, loaded_at)
     query = (
-        loaded.withColumn("is_bad", F.col("_bad_fields").isNotNull())
-        .withColumn("mod_month", F.trunc("systemmodstamp", "month"))
-        .writeStream.format("parquet")
-        .partitionBy("is_bad", "mod_month")
+        loaded.writeStream.foreachBatch(lambda batch, batch_id: load_batch(batch, batch_id, obj, table))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(table)
+        .start()
     )
     query.awaitTermination()
     return query
 
 
-def read_ingested(spark: SparkSession, table: str, bad: bool = False) -> DataFrame:
-    df = spark.read.parquet(table).filter(F.col("is_bad") == F.lit(bad)).drop("is_bad", "mod_month")
+def read_ledger(spark: SparkSession, table: str) -> DataFrame:
+    """The load ledger of an ingested table: ``LEDGER``, one row per file."""
+    return spark.read.schema(LEDGER).parquet(f"{table}/ledger")
+
+
+def read_ingested(spark: SparkSession, table: str, bad: bool = False, since: datetime | None = None) -> DataFrame:
+    """The rows of the batches in the ledger; ``since`` prunes whole months and then filters rows."""
+    df = spark.read.parquet(f"{table}/rows").filter(F.col("is_bad") == F.lit(bad))
+    if since is not None:
+        start = as_utc(since)
+        df = df.filter((F.col("mod_month") >= F.lit(start.date().replace(day=1))) & (F.col("systemmodstamp") >= ntz(start)))
+    df = df.join(read_ledger(spark, table).select("batch_id").distinct(), "batch_id", "left_semi").drop("batch_id", "is_bad", "mod_month")
     return df if bad else df.drop("_bad_fields", "_corrupt_record")
 
 
