@@ -11,7 +11,6 @@ from bindings.crm_views import AS_OF, view
 from revstream.operators.dedup import dedup_latest, newest_first
 from revstream.operators.scd import scd2_build
 from revstream.plans import dims, enrich, facts, staging
-from revstream.session import split_skewed_joins
 
 LINE_ITEM_ORDER = ("systemmodstamp", "product2id", "pricebookentryid", "quantity", "totalprice")
 
@@ -33,7 +32,6 @@ class Crm:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.tables: dict[str, DataFrame] = {}
-        split_skewed_joins(spark)
 
     def raw(self, name: str) -> DataFrame:
         return view(self.spark, self.sf_dir, name, self.tables)

@@ -130,6 +130,9 @@ ORACLES["build_marts"] = with_ctes(
     + " union all " + fingerprint("dim_date", "date_id:d", _CALENDAR)
 )
 ORACLES["incremental_facts"] = with_ctes(" union all ".join(fingerprint(t, SPECS[t], t) for t in _FACTS))
+_STAGED = "select opportunity_id, cast(amount as double) as amount, updated_at from stg_opportunities"
+ORACLES["staging_full_refresh"] = with_ctes(_STAGED + " where updated_at >= timestamp '2024-01-01 00:00:00'")
+ORACLES["staging_connector"] = with_ctes(_STAGED)
 ORACLES["project_keeps_deleted"] = with_ctes(
     "select id as account_id, name as account_name, cast(isdeleted as varchar) as is_deleted, "
     "cast(annualrevenue as double) as annual_revenue from v_Account"

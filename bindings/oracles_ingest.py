@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bindings.sql_base import STG, with_ctes
+from bindings.sql_base import with_ctes
 
 ORACLES: dict[str, str] = {}
 _DEAL = """cast(id as varchar) as id, name, type, cast(accountid as varchar) as accountid, stagename,
@@ -53,6 +53,34 @@ ORACLES["auto_ingest"] = with_ctes(
 ORACLES["stream_upsert"] = with_ctes(
     "select cast(id as varchar) as id, stagename, cast(amount as double) as amount, systemmodstamp from v_OpportunityVersion where version = 3"
 )
+ORACLES["scan_csv_headers"] = with_ctes(
+    "select * replace (case when cast(id as bigint) % 3 = 1 then null else amount end as amount, "
+    f"case when cast(id as bigint) % 3 = 1 then null else leadsource end as leadsource) from (select {_DEAL.format(**_PLAIN)} from v_Opportunity)"
+)
+ORACLES["ingest_ledger"] = with_ctes(
+    """select 'Opportunity' as pipe_name, 0 as pending, count(*) as rows_loaded, n as errors, n as errors_of_failed_files,
+        0 as files_without_line, n as bad_rows
+    from (select *, count(*) filter (where id % 50 = 7 or id % 70 = 3 or id % 90 = 4) over () as n from v_Opportunity) group by n"""
+)
+_SNAKE = {
+    "Account": "account", "Contact": "contact", "Lead": "lead", "Opportunity": "opportunity", "OpportunityLineItem": "opportunity_line_item",
+    "Campaign": "campaign", "CampaignMember": "campaign_member", "Task": "task", "Event": "event", "User": "user",
+}
 ORACLES["table_growth"] = with_ctes(
-    " union all ".join(f"select '{o}' as table_name, count(*) as row_count, 1 as versions from v_{o}" for o in STG)
+    " union all ".join(f"select '{n}' as table_name, count(*) as row_count, 'true' as sized, 'true' as listed from v_{o}" for o, n in _SNAKE.items())
 )
+_FOUR = ("Account", "Opportunity", "Campaign", "User")
+
+
+def _log(status: str, records: str, used: str, watermark: str) -> str:
+    return with_ctes(
+        " union all ".join(
+            f"select '{o}' as object, '{status}' as status, {records.format(o=o)} as records, '{used}' as watermark_used, '{watermark}' as watermark" for o in _FOUR
+        )
+    )
+
+
+_SINCE = "(select count(*) from v_{{o}} where systemmodstamp >= timestamp '{}')"
+ORACLES["extract_backfill"] = _log("success", _SINCE.format("2021-06-01 00:00:00"), "2021-06-01T00:00:00+00:00", "2022-01-01T00:00:00+00:00")
+ORACLES["extract_dry_run"] = _log("dry_run", "0", "2021-12-31T23:30:00+00:00", "2022-01-01T00:00:00+00:00")
+ORACLES["extract_incremental"] = _log("success", _SINCE.format("2021-12-31 23:30:00"), "2021-12-31T23:30:00+00:00", "2026-08-01T06:00:00+00:00")

@@ -279,6 +279,27 @@ def incremental_facts(c: Crm):
     return union_all([fingerprint(wh.read(n), n) for n in graph.FACTS])
 
 
+@query("staging_full_refresh")
+def staging_full_refresh(c: Crm):
+    """Deals staged as a whole, then again from the rows changed since 2024 alone."""
+    wh = graph.Warehouse(c.spark, scratch_dir(c.spark, "staging"))
+    raw = c.raw("Opportunity")
+    graph.update_staging(wh, raw, "Opportunity", buckets=8)
+    graph.update_staging(wh, raw.filter("systemmodstamp >= date '2024-01-01'"), "Opportunity", full_refresh=True, buckets=8)
+    return wh.read("stg_opportunities").select("opportunity_id", "amount", "updated_at")
+
+
+@query("staging_connector")
+def staging_connector(c: Crm):
+    """Deals from the other feed, whose delete flag has another name; those deleted since leave staging."""
+    wh = graph.Warehouse(c.spark, scratch_dir(c.spark, "staging"))
+    raw = c.raw("Opportunity").withColumnRenamed("isdeleted", "_fivetran_deleted")
+    before = raw.withColumns({"_fivetran_deleted": F.lit(False), "systemmodstamp": F.expr("systemmodstamp - interval 3000 days")})
+    for rows in (before, raw):
+        graph.update_staging(wh, rows, "Opportunity", source="connector", buckets=8)
+    return wh.read("stg_opportunities").select("opportunity_id", "amount", "updated_at")
+
+
 @query("project_keeps_deleted")
 def project_keeps_deleted(c: Crm):
     """Staged columns of all account rows, deleted ones included."""

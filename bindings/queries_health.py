@@ -6,12 +6,16 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from bindings.crm import Crm, show
+from bindings.crm import LINE_ITEM_ORDER, Crm, show
 from bindings.crm_views import AS_OF, LEDGER_AS_OF
+from revstream.catalog import OBJECTS, source_name
 from revstream.operators import quality
+from revstream.operators.dedup import dedup_latest, newest_first
 from revstream.operators.scd import as_of
-from revstream.plans import monitor
-from revstream.session import checkpointed
+from revstream.plans import facts, monitor
+from revstream.session import scratch_dir, written
+from revstream.sources import seeds
+from revstream.sources.tables import Table
 
 QUERIES = {}
 
@@ -81,21 +85,43 @@ def dq_freshness(c: Crm):
     return quality.freshness(_staged(c), AS_OF, column="updated_at", warn_hours=24 * 60, error_hours=24 * 365)
 
 
-@query
-def dq_run(c: Crm):
-    """Every standing check over staging, dimensions and facts, each derived table stored once."""
-    staged = {
-        "stg_accounts": c.accounts, "stg_contacts": c.contacts, "stg_leads": c.leads,
+def _checked(c: Crm) -> dict:
+    """Every table with standing checks; the enriched deals are joined and stored once for four of them."""
+    deals = written(c.enriched(), "enriched")
+    sources = {f"src_{source_name(o)}": c.raw(o) for o in OBJECTS if o != "OpportunityLineItem"}
+    lines = dedup_latest(c.raw("OpportunityLineItem"), "id", newest_first(*LINE_ITEM_ORDER))
+    return {
+        **{name: df.select("id") for name, df in sources.items()}, "src_opportunity_line_item": lines.select("id"),
+        "stg_accounts": c.accounts, "stg_contacts": c.contacts, "stg_leads": c.leads, "stg_line_items": c.line_items,
         "stg_opportunities": c.opportunities, "stg_campaigns": c.campaigns, "stg_campaign_members": c.members,
         "stg_tasks": c.tasks, "stg_events": c.events, "stg_users": c.users,
+        "opportunity_enriched": deals, "lead_enriched": c.lead_enriched,
+        "stage_order": seeds.stage_order(c.spark), "bookings_targets": seeds.bookings_targets(c.spark),
+        "dim_account": c.dim_account, "dim_contact": c.dim_contact, "dim_lead": c.dim_lead, "dim_user": c.dim_user,
+        "dim_campaign": c.dim_campaign,
+        "fct_sales_pipeline": facts.fct_sales_pipeline(deals, AS_OF), "fct_bookings": facts.fct_bookings(deals, AS_OF),
+        "fct_win_rate": facts.fct_win_rate(deals, AS_OF), "fct_campaign_performance": c.campaign_performance,
+        "fct_demand_generation": c.demand,
     }
-    derived = {
-        "stg_line_items": c.line_items, "dim_account": c.dim_account, "dim_contact": c.dim_contact,
-        "dim_lead": c.dim_lead, "dim_user": c.dim_user, "dim_campaign": c.dim_campaign,
-        "fct_sales_pipeline": c.pipeline, "fct_bookings": c.bookings, "fct_win_rate": c.win_rate,
-        "fct_campaign_performance": c.campaign_performance, "fct_demand_generation": c.demand,
-    }
-    return quality.run_checks({**staged, **{name: checkpointed(df) for name, df in derived.items()}})
+
+
+@query
+def dq_run(c: Crm):
+    """Every standing check over sources, staging, enriched frames, seeds, dimensions and facts."""
+    return quality.run_checks(_checked(c))
+
+
+@query
+def dq_failing_rows(c: Crm):
+    """Deals and leads kept with the checks they fail, once the results were counted from the kept rows."""
+    table = Table(c.spark, scratch_dir(c.spark, "failures"))
+    quality.run_checks({"stg_opportunities": c.opportunities, "stg_leads": c.leads, "stg_users": c.users}, failures=table)
+    row = lambda field: F.get_json_object("failing_row", f"$.{field}")
+    return table.read().select(
+        "table_name",
+        F.array_join(F.array_sort("checks"), ",").alias("checks"),
+        F.coalesce(row("opportunity_id"), row("lead_id"), row("user_id"), row("email")).alias("row_key"),
+    )
 
 
 @query
@@ -156,14 +182,33 @@ def dedup_run_history(c: Crm):
 
 @query
 def stale_alert(c: Crm):
-    return monitor.stale_alert(c.raw("LoadHistory"), LEDGER_AS_OF, column="last_load_time")
+    """Loads that stopped on 2024-01-29 are a day old at the end of the month."""
+    loads = c.raw("LoadHistory").filter("last_load_time < date '2024-01-30'")
+    return monitor.stale_alert(loads, LEDGER_AS_OF, column="last_load_time")
+
+
+def _loads(c: Crm):
+    """Load events: purchases fail in streaks, views stop on the 28th, clicks and sign-ups go on without errors."""
+    failed = F.when((F.col("pipe_name") == "purchase") & (F.col("row_count") % 16 < 9), F.lit(2)).otherwise(F.col("error_count"))
+    loads = c.raw("LoadHistory").withColumn("error_count", failed.cast("long"))
+    return loads.filter("pipe_name <> 'view' or last_load_time < date '2024-01-28'")
+
+
+@query
+def pipe_runs(c: Crm):
+    """Runs of failed and clean loads per pipe."""
+    return monitor.outcome_runs(_loads(c)).select("pipe_name", "failed", "loads", "first_load", "last_load")
+
+
+@query
+def pipe_states(c: Crm):
+    return monitor.pipe_states(_loads(c), LEDGER_AS_OF)
 
 
 def _pipe_status(c: Crm):
-    """Landed files, of which those of the last two days are not loaded yet."""
+    """Landed files against those loaded; sign-ups have not been loaded at all."""
     landed = c.raw("LoadHistory").select("pipe_name", "file_name")
-    loaded = c.raw("LoadHistory").filter(F.col("last_load_time") < F.lit(date(2024, 1, 29)))
-    return monitor.pipe_status(landed, loaded.select("pipe_name", "file_name", "error_count"))
+    return monitor.pipe_status(landed, _loads(c).filter("pipe_name <> 'signup'"), LEDGER_AS_OF)
 
 
 @query

@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 
 from bindings.crm import Crm, show
 from bindings.crm_views import AS_OF
-from revstream.catalog import OBJECTS
+from revstream.catalog import OBJECTS, source_name
+from revstream.operators.extract import extract_objects
 from revstream.operators.incremental import DEFAULT_WATERMARK, incremental_extract
+from revstream.operators.quality import union_all
+from revstream.operators.watermark import WatermarkStore
 from revstream.plans import monitor
 from revstream.session import scratch_dir
 from revstream.sources import landing
+from revstream.sources.listing import list_files
 from revstream.sources.tables import Table
 from revstream.streaming import ingest
 
@@ -124,6 +128,21 @@ def scan_csv_pages(c: Crm):
     return landing.load_typed(landing.scan_csv_pages(c.spark, path, "Opportunity"), "Opportunity", AS_OF).select(*DEAL)
 
 
+@query
+def scan_csv_headers(c: Crm):
+    """Pages with swapped, missing and additional columns, each read by its own header."""
+    path = scratch_dir(c.spark, "csv")
+    rows, kind = _extract(c), F.col("Id") % 3
+    pages = {
+        "swapped": rows.filter(kind == 0).select(*reversed(rows.columns)),
+        "missing": rows.filter(kind == 1).drop("Amount", "LeadSource"),
+        "more": rows.filter(kind == 2).withColumn("Region__c", F.lit("north, east")).select("Region__c", *rows.columns),
+    }
+    for name, page in pages.items():
+        page.write.option("header", True).options(**landing.TIMESTAMP_TEXT).csv(f"{path}/{name}")
+    return landing.load_typed(landing.scan_csv_pages(c.spark, f"{path}/*", "Opportunity"), "Opportunity", AS_OF).select(*DEAL)
+
+
 @query
 def append_raw(c: Crm):
     """Two appends to a raw table laid out by modification month, then a read of its recent part."""
@@ -135,10 +154,11 @@ def append_raw(c: Crm):
 
 @query
 def auto_ingest(c: Crm):
-    """Two landings, each followed by a load; the second load takes only the new files."""
+    """Two landings, each followed by a load, and a file of an old run date that arrives last."""
     root, obj = scratch_dir(c.spark, "landing"), "CampaignMember"
     table, checkpoint = scratch_dir(c.spark, "ingested"), scratch_dir(c.spark, "stream")
-    for run, where in ((RUN_1, "status <> 'click'"), (RUN_2, "status = 'click'")):
+    late = datetime(2026, 5, 1, tzinfo=timezone.utc)
+    for run, where in ((RUN_1, "status not in ('click', 'view')"), (RUN_2, "status = 'click'"), (late, "status = 'view'")):
         landing.land_ndjson(_extract(c, obj, where), root, obj, run)
         ingest.auto_ingest(c.spark, root, obj, table, checkpoint, AS_OF)
     ingest.auto_ingest(c.spark, root, obj, table, checkpoint, AS_OF)
@@ -148,6 +168,26 @@ def auto_ingest(c: Crm):
     )
 
 
+@query
+def ingest_ledger(c: Crm):
+    """Deals landed in two runs, some unreadable, loaded, and the reports over the ledger of that load."""
+    root, obj = scratch_dir(c.spark, "landing"), "Opportunity"
+    table, checkpoint = scratch_dir(c.spark, "ingested"), scratch_dir(c.spark, "stream")
+    wire = _wire(c)
+    for run, part in ((RUN_1, F.col("Id").cast("bigint") % 2 == 0), (RUN_2, F.col("Id").cast("bigint") % 2 == 1)):
+        landing.land_ndjson(wire.filter(part), root, obj, run)
+        ingest.auto_ingest(c.spark, root, obj, table, checkpoint, AS_OF)
+    ledger = ingest.read_ledger(c.spark, table)
+    landed = list_files(c.spark, landing.object_path(root, obj), "*.json").filter("bytes > 0").select(F.lit(obj).alias("pipe_name"), "file_name")
+    status = monitor.pipe_status(landed, ledger, AS_OF).select("pipe_name", "pending")
+    per_day = monitor.files_per_pipe_day(ledger, AS_OF).groupBy("pipe_name").agg(F.sum("rows_loaded").alias("rows_loaded"), F.sum("errors").alias("errors"))
+    failed = monitor.failed_files(ledger, AS_OF, limit=1_000_000).groupBy("pipe_name").agg(
+        F.sum("error_count").alias("errors_of_failed_files"), F.count_if(F.col("first_error_line_number").isNull()).alias("files_without_line")
+    )
+    quarantined = ingest.read_ingested(c.spark, table, bad=True).groupBy(F.col("_source_object").alias("pipe_name")).agg(F.count(F.lit(1)).alias("bad_rows"))
+    return status.join(per_day, "pipe_name").join(failed, "pipe_name").join(quarantined, "pipe_name")
+
+
 @query
 def stream_upsert(c: Crm):
     """Deal versions arriving out of order end as the newest version of each deal."""
@@ -162,9 +202,39 @@ def stream_upsert(c: Crm):
 
 @query
 def table_growth(c: Crm):
-    logs = {}
+    """Raw tables of all objects by a listing of their files; row counts from the files' footers."""
+    root = scratch_dir(c.spark, "raw")
     for obj in OBJECTS:
-        table = Table(c.spark, scratch_dir(c.spark, "growth"))
-        table.append(c.raw(obj))
-        logs[obj] = table.commits()
-    return monitor.table_growth(logs, AS_OF).select("table_name", "row_count", "versions")
+        landing.append_raw(c.raw(obj).select("id", F.col("systemmodstamp").cast("timestamp_ntz").alias("systemmodstamp")), f"{root}/{source_name(obj)}")
+    tables = {source_name(obj): landing.read_raw(c.spark, f"{root}/{source_name(obj)}") for obj in OBJECTS}
+    rows = union_all([df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()])
+    sizes = monitor.table_growth(list_files(c.spark, root, "*.parquet"), root, AS_OF, rows)
+    checked = (F.col("bytes") > 0) & (F.col("created") <= F.col("last_altered")) & (F.col("minutes_since_refresh") == F.timestamp_diff("MINUTE", F.date_trunc("minute", F.col("last_altered")), F.lit(AS_OF).cast("timestamp_ntz")))
+    return sizes.select("table_name", "row_count", checked.alias("sized"), (F.col("files") > 0).alias("listed"))
+
+
+def _extracted(c: Crm, **how):
+    """One extract of four objects after an earlier run, its log and the watermarks it leaves."""
+    objects = ["Account", "Opportunity", "Campaign", "User"]
+    store, root = WatermarkStore(c.spark, scratch_dir(c.spark, "watermarks")), scratch_dir(c.spark, "landing")
+    store.set_all({o: datetime(2022, 1, 1, tzinfo=timezone.utc) for o in objects})
+    log = extract_objects(c.spark, {o: (lambda o=o: c.raw(o)) for o in objects}, store, root, run_ts=RUN_1, backoff=(), **how)
+    return log.join(store.get_all(objects), "object").select("object", "status", "records", "watermark_used", "watermark")
+
+
+@query
+def extract_backfill(c: Crm):
+    """A backfill reads from its own start and leaves the watermarks alone."""
+    return _extracted(c, backfill_start="2021-06-01T00:00:00Z")
+
+
+@query
+def extract_dry_run(c: Crm):
+    """A dry run says where it would start; it reads and moves nothing."""
+    return _extracted(c, dry_run=True)
+
+
+@query
+def extract_incremental(c: Crm):
+    """A run reads half an hour before each watermark and moves it to its own start."""
+    return _extracted(c)

@@ -5,6 +5,7 @@ The raw schema of an object is its list of ``Field``; staging is a rename plus a
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -224,3 +225,8 @@ def crm_object(obj: str | CrmObject) -> CrmObject:
     if obj not in OBJECTS:
         raise ValueError(f"unknown CRM object: {obj}")
     return OBJECTS[obj]
+
+
+def source_name(obj: str) -> str:
+    """``OpportunityLineItem`` as ``opportunity_line_item``."""
+    return re.sub(r"(?<!^)(?=[A-Z])", "_", obj).lower()

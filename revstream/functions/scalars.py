@@ -29,10 +29,6 @@ def safe_amount(col: Column) -> Column:
     return F.coalesce(col, F.lit(0)).cast(MONEY)
 
 
-def blank_to_null(col: Column) -> Column:
-    return F.nullif(col, F.lit(""))
-
-
 def ratio(num: Column, den: Column, digits: int = 2) -> Column:
     """num/den rounded half up; NULL when the denominator is NULL or zero.
 

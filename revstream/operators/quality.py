@@ -6,11 +6,13 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revstream.functions.scalars import hours_between
-from revstream.operators.incremental import ntz
+from revstream.operators.incremental import loaded_at, ntz
+from revstream.session import written
+from revstream.sources.tables import Table
 
 # -- conditions a failing row meets ------------------------------------------------------------------
 
@@ -73,9 +75,18 @@ def booking_missing_in_win_rate(bookings: DataFrame, win_rate: DataFrame) -> Dat
 
 
 def freshness(
-    tables: dict[str, DataFrame], as_of: datetime, column: str = "_load_timestamp", warn_hours: int = 2, error_hours: int = 6
+    tables: dict[str, DataFrame],
+    as_of: datetime,
+    column: str | None = None,
+    warn_hours: int = 2,
+    error_hours: int = 6,
+    source: str = "landing",
 ) -> DataFrame:
-    """Newest load per source and its state: pass, warn after two hours, error after six."""
+    """Newest load per source and its state: pass, warn after two hours, error after six.
+
+    ``column`` holds the time of loading; by default it is that of the feed named by ``source``.
+    """
+    column = column or loaded_at(source)
     newest = union_all(
         [df.agg(F.max(column).alias("latest_load")).select(F.lit(n).alias("source_name"), "latest_load") for n, df in tables.items()]
     )
@@ -120,6 +131,10 @@ class Check:
     low: float | None = None
     high: float | None = None
 
+    @property
+    def name(self) -> str:
+        return f"{self.kind}({self.column})"
+
     def condition(self) -> Column:
         if self.kind == "not_null":
             return is_missing(self.column)
@@ -147,8 +162,18 @@ def _filled(table: str, *columns: str) -> list[Check]:
     return [Check(table, "not_null", c) for c in columns]
 
 
-# The standing checks on staging tables, dimensions and facts.
+SOURCES = (
+    "account", "contact", "lead", "opportunity", "opportunity_line_item", "campaign", "campaign_member", "task", "event", "user",
+)
+
+# The standing checks on deduplicated sources, staging tables, enriched frames, seeds, dimensions and facts.
 CHECKS: list[Check] = [
+    *[check for source in SOURCES for check in _keyed(f"src_{source}", "id")],
+    *_keyed("opportunity_enriched", "opportunity_id"),
+    *_keyed("lead_enriched", "lead_id"),
+    *_keyed("stage_order", "stage_name"),
+    *_filled("stage_order", "stage_order"),
+    *_keyed("bookings_targets", "fiscal_quarter_label"),
     *_keyed("stg_accounts", "account_id"),
     *_filled("stg_accounts", "account_name", "owner_id", "updated_at"),
     *_keyed("stg_contacts", "contact_id"),
@@ -204,40 +229,56 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
-    """One result row per check on the given tables: failing rows, severity and status.
+def _wanted(tables: dict[str, DataFrame], checks: list[Check] | None) -> dict[str, list[Check]]:
+    found: dict[str, list[Check]] = {}
+    for c in checks if checks is not None else CHECKS:
+        if c.table in tables:
+            found.setdefault(c.table, []).append(c)
+    return found
+
 
-    All row conditions of a table are counted in one pass over it; uniqueness needs one grouping per
-    column, which combines on the map side.
+def failing_rows(tables: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
+    """``table_name, checks, failing_row``: every failing row once, as JSON, with the names of all checks it fails.
+
+    All row conditions of a table are tried in one pass over it. Uniqueness needs one grouping per column, which
+    combines on the map side; there a failing row is a repeated value with its count. Of these only the columns
+    checked are read.
     """
-    wanted = [c for c in (checks if checks is not None else CHECKS) if c.table in tables]
-    results = []
-    for name in dict.fromkeys(c.table for c in wanted):
+    parts = []
+    for name, mine in _wanted(tables, checks).items():
         df = tables[name]
-        mine = [c for c in wanted if c.table == name]
-        rows = [c for c in mine if c.kind != "unique"]
-        if rows:
-            counts = df.agg(*[F.count_if(c.condition()).alias(f"c{i}") for i, c in enumerate(rows)])
-            items = F.array(*[_result(c, F.col(f"c{i}")) for i, c in enumerate(rows)])
-            results.append(counts.select(F.explode(items).alias("r")).select("r.*"))
+        conditions = [F.when(c.condition(), F.lit(c.name)) for c in mine if c.kind != "unique"]
+        if conditions:
+            tagged = df.withColumn("_checks", F.array_compact(F.array(*conditions)).cast("array<string>")).filter(F.size("_checks") > 0)
+            parts.append(tagged.select(F.lit(name).alias("table_name"), F.col("_checks").alias("checks"), F.to_json(F.struct(*df.columns)).alias("failing_row")))
         for c in mine:
             if c.kind == "unique":
-                repeated = unique(df, c.column).agg(F.count(F.lit(1)).alias("n"))
-                results.append(repeated.select(_result(c, F.col("n")).alias("r")).select("r.*"))
-    return union_all(results)
-
-
-def _result(c: Check, failures: Column) -> Column:
-    return F.struct(
-        F.lit(c.table).alias("table_name"),
-        F.lit(c.column).alias("column_name"),
-        F.lit(c.kind).alias("check_name"),
-        F.lit(c.severity).alias("severity"),
-        failures.alias("failures"),
-        F.when(failures == 0, "pass").otherwise(c.severity).alias("status"),
+                repeated = unique(df, c.column)
+                parts.append(repeated.select(F.lit(name).alias("table_name"), F.array(F.lit(c.name)).cast("array<string>").alias("checks"), F.to_json(F.struct(*repeated.columns)).alias("failing_row")))
+    if not parts:
+        raise ValueError("no check on any of the tables")
+    return reduce(DataFrame.union, parts)
+
+
+def results_of(failures: DataFrame, tables: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
+    """One result row per check on the given tables, from their failing rows: failures, severity and status."""
+    counts = failures.select("table_name", F.explode("checks").alias("_check")).groupBy("table_name", "_check").agg(F.count(F.lit(1)).alias("failures"))
+    rows = [(c.table, c.column, c.kind, c.severity, c.name) for mine in _wanted(tables, checks).values() for c in mine]
+    listed = failures.sparkSession.createDataFrame(rows, "table_name string, column_name string, check_name string, severity string, _check string")
+    status = F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity"))
+    return (
+        listed.join(counts, ["table_name", "_check"], "left")
+        .withColumn("failures", F.coalesce("failures", F.lit(0).cast("long")))
+        .select("table_name", "column_name", "check_name", "severity", "failures", status.alias("status"))
     )
 
 
-def save_failures(spark: SparkSession, failing: DataFrame, path: str) -> None:
-    """Keep the failing rows of a check for inspection."""
-    failing.write.mode("overwrite").parquet(path)
+def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None, failures: Table | None = None) -> DataFrame:
+    """Result rows of the checks. With ``failures`` the failing rows are kept in that table, and counted there."""
+    found = failing_rows(tables, checks)
+    if failures is not None:
+        failures.overwrite(found)
+        found = failures.read()
+    else:
+        found = written(found.drop("failing_row"), "failures")
+    return results_of(found, tables, checks)

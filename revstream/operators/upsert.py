@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revstream.operators.dedup import dedup_latest
 
@@ -18,11 +19,24 @@ def sync_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def one_per_key(updates: DataFrame, key: str) -> DataFrame:
-    """``updates``, failing when it runs if a key has several rows: without an order none of them is the right one."""
-    rows = F.count(F.lit(1)).over(Window.partitionBy(key))
-    twice = F.col(key).isNotNull() & (F.col("_rows") > 1)
-    message = F.concat(F.lit(f"several updates of {key} "), F.col(key).cast("string"), F.lit(" and no order"))
-    return updates.withColumn("_rows", rows).filter(F.when(twice, F.raise_error(message).cast("boolean")).otherwise(True)).drop("_rows")
+    """``updates``, failing when it runs if a key has several rows: without an order none of them is the right one.
+
+    Keys are counted below the shuffle, without the rows; NULL keys are not compared.
+    """
+    counts = updates.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    message = F.concat(F.lit(f"several updates of {key} "), F.col("_key").cast("string"), F.lit(" and no order"))
+    twice = counts.filter(F.when(F.col("_rows") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(False)))
+    nothing = twice.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in updates.schema.fields])
+    return updates.union(nothing)
+
+
+def newest(df: DataFrame, key: str, newer: str, *first: Column) -> DataFrame:
+    """One row per key, the latest by ``newer``; equal times are settled by ``first`` and then by a digest of the row.
+
+    So every run keeps the same row. Columns without an order or a hash (maps, variants) do not enter the digest.
+    """
+    plain = sorted(f.name for f in df.schema.fields if f.name != "_new" and not isinstance(f.dataType, (T.MapType, T.VariantType)))
+    return dedup_latest(df, key, [F.col(newer).desc_nulls_last(), *first, F.xxhash64(*plain), F.hash(*plain)])
 
 
 def merge_upsert(
@@ -38,19 +52,21 @@ def merge_upsert(
     * ``newer``: a stored row later in this column than its update stays (late or replayed input); of several
       updates of a key the latest counts, also when there is no target yet. Without it a key may have one update.
     * ``deletes``: keys to remove from the result.
-    * ``insert_only``: stored rows are never replaced.
+    * ``insert_only``: stored rows are never replaced, whatever ``newer`` says; it then only picks among updates.
     """
     if newer is None:
         updates = one_per_key(updates, key)
+    elif target is None or insert_only:
+        updates = newest(updates, key, newer)
     if target is None:
-        merged = updates if newer is None else dedup_latest(updates, key, [F.col(newer).desc_nulls_last()])
+        merged = updates
+    elif insert_only:
+        merged = target.unionByName(updates.join(target.select(key), key, "left_anti"), allowMissingColumns=True)
     elif newer is not None:
         both = target.withColumn("_new", F.lit(0)).unionByName(
             updates.withColumn("_new", F.lit(1)), allowMissingColumns=True
         )
-        merged = dedup_latest(both, key, [F.col(newer).desc_nulls_last(), F.desc("_new")])
-    elif insert_only:
-        merged = target.unionByName(updates.join(target.select(key), key, "left_anti"), allowMissingColumns=True)
+        merged = newest(both, key, newer, F.desc("_new"))
     else:
         untouched = target.join(updates.select(key), key, "left_anti")
         merged = untouched.unionByName(updates, allowMissingColumns=True)

@@ -10,14 +10,16 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revstream.catalog import source_name
+from revstream.functions.scalars import surrogate_key
 from revstream.operators.dedup import dedup_latest
 from revstream.operators.incremental import LOOKBACK_DAYS, delete_flag, incremental_filter
 from revstream.operators.quality import run_checks
 from revstream.operators.scd import scd2_step
-from revstream.functions.scalars import surrogate_key
 from revstream.plans import changes, dims, enrich, facts
 from revstream.plans.staging import UNIQUE_KEYS, conform, stage
 from revstream.session import checkpointed, written
+from revstream.sources import seeds
 from revstream.sources.tables import BUCKETS, Table
 
 STAGING = {
@@ -310,7 +312,7 @@ def build(
         if table.head() is not None and table.head().row_count:
             table.overwrite(table.read().limit(0))
     if checks:
-        wh.table("quality_results").overwrite(check_tables(wh))
+        wh.table("quality_results").overwrite(check_tables(wh, raw, dedup_orders))
     return wh
 
 
@@ -322,5 +324,14 @@ CHECKED = (
 )
 
 
-def check_tables(wh: Warehouse) -> DataFrame:
-    return run_checks({name: wh.read(name) for name in CHECKED})
+def check_tables(wh: Warehouse, raw: dict[str, DataFrame] | None = None, dedup_orders: dict[str, list] | None = None) -> DataFrame:
+    """Results of the standing checks on a built warehouse, its seeds and, where given, its sources.
+
+    Failing rows stay in table ``quality_failures``.
+    """
+    tables = {name: wh.read(name) for name in (*CHECKED, ENRICHED)}
+    tables["lead_enriched"] = wh.read("dim_lead").select("lead_id")  # one row per enriched lead
+    tables |= {"stage_order": seeds.stage_order(wh.spark), "bookings_targets": seeds.bookings_targets(wh.spark)}
+    for obj, df in (raw or {}).items():
+        tables[f"src_{source_name(obj)}"] = dedup_latest(conform(df, obj), "id", (dedup_orders or {}).get(obj)).select("id")
+    return run_checks(tables, failures=wh.table("quality_failures"))

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revstream.functions.scalars import hours_between, minutes_between, seconds_between
 from revstream.operators.incremental import as_utc, ntz
+from revstream.operators.ordered import with_neighbours
 from revstream.operators.quality import union_all
 from revstream.operators.quantile import exact_percentiles
+from revstream.sources.listing import folder_below
 
 # Fixed value: price per credit.
 CREDIT_PRICE = "3.00"
@@ -120,24 +122,28 @@ def freshness_report(tables: dict[str, DataFrame], as_of: datetime, column: str
     )
 
 
-def table_growth(commits: dict[str, DataFrame], as_of: datetime) -> DataFrame:
-    """Rows, versions and age per table, from the tables' own commits."""
-    parts = []
-    for name, log in commits.items():
-        agg = log.agg(
-            F.max_by("row_count", "version").alias("row_count"),
-            F.max("version").alias("versions"),
-            F.max("committed_at").alias("last_altered"),
-            F.min("committed_at").alias("created"),
-        )
-        parts.append(agg.withColumn("table_name", F.lit(name)))
-    changed = F.col("last_altered").cast("timestamp").cast("timestamp_ntz")
-    return (
-        union_all(parts)
-        .withColumn("minutes_since_refresh", minutes_between(changed, ntz(as_of)))
-        .select("table_name", "row_count", "versions", "last_altered", "created", "minutes_since_refresh")
-        .orderBy(F.desc("row_count"), "table_name")
+def table_growth(files: DataFrame, root: str, as_of: datetime, rows: DataFrame | None = None) -> DataFrame:
+    """Files, size and age per table, the first folder below ``root``, from a listing (``list_files``).
+
+    ``rows`` (table_name, row_count) adds row counts, e.g. from load ledgers; no contents are read for the rest.
+    """
+    sizes = files.groupBy(folder_below(root).alias("table_name")).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("bytes").alias("bytes"),
+        F.max("modified_at").alias("last_altered"),
+        F.min("modified_at").alias("created"),
     )
+    counted = sizes.withColumn("row_count", F.lit(None).cast("long")) if rows is None else sizes.join(rows, "table_name", "left")
+    return counted.select(
+        "table_name",
+        "row_count",
+        "files",
+        "bytes",
+        F.round(F.col("bytes").cast("decimal(20,0)") / GIB, 3).alias("size_gb"),
+        "last_altered",
+        "created",
+        minutes_between(F.col("last_altered"), ntz(as_of)).alias("minutes_since_refresh"),
+    ).orderBy(F.desc_nulls_last("row_count"), F.desc("bytes"), "table_name")
 
 
 def duplicate_report(tables: dict[str, DataFrame], key: str = "id") -> DataFrame:
@@ -177,12 +183,71 @@ def ingest_health(status: DataFrame) -> DataFrame:
     return agg.withColumn("all_pipes_ready", ready)
 
 
-def pipe_status(landed_files: DataFrame, loaded_files: DataFrame) -> DataFrame:
-    """Pipe state from the files landed (pipe_name, file_name) and the load ledger (with error_count)."""
-    loaded = loaded_files.groupBy("pipe_name", "file_name").agg(F.max("error_count").alias("error_count"))
-    joined = landed_files.join(loaded, ["pipe_name", "file_name"], "left")
-    return joined.groupBy("pipe_name").agg(
-        F.lit("RUNNING").alias("state"),
-        F.count_if(F.col("error_count").isNull()).alias("pending"),
-        F.count_if(F.col("error_count") > 0).alias("failed"),
+# A pipe is in error when its last loads all had errors and are at least so many, and stalled when it has been
+# silent for longer than so many of its usual gaps.
+ERROR_STREAK, SILENT_GAPS = 3, 5
+
+
+def outcome_runs(loads: DataFrame, block: str = "day") -> DataFrame:
+    """Runs of consecutive loads of a pipe with one outcome: ``pipe_name, run, failed, loads, first_load, last_load``.
+
+    Loads are numbered into runs per pipe and time block; a table with a row per block carries the last outcome
+    and the count of changes across blocks, so a pipe with most of the loads is spread over as many tasks as it has
+    blocks. Loads at one time are ordered by file name.
+    """
+    events = loads.filter(F.col("last_load_time").isNotNull()).select(
+        "pipe_name", "file_name", F.col("last_load_time").alias("at"), (F.coalesce("error_count", F.lit(0)) > 0).alias("failed"), F.date_trunc(block, "last_load_time").alias("_block")
+    )
+    within = Window.partitionBy("pipe_name", "_block").orderBy("at", "file_name")
+    before = F.lag("failed").over(within)
+    marked = events.withColumn("_change", F.when(before != F.col("failed"), 1).otherwise(0))
+    order = F.struct("at", "file_name")
+    blocks = marked.groupBy("pipe_name", "_block").agg(F.min_by("failed", order).alias("_first"), F.max_by("failed", order).alias("_last"), F.sum("_change").alias("_changes"))
+    across = Window.partitionBy("pipe_name").orderBy("_block")
+    entered = F.when(F.lag("_last").over(across) != F.col("_first"), 1).otherwise(0)
+    blocks = blocks.withColumn("_entered", entered).withColumn("_base", F.sum(F.col("_entered") + F.col("_changes")).over(across) - F.col("_changes"))
+    numbered = marked.withColumn("_nth", F.sum("_change").over(within)).join(blocks.select("pipe_name", "_block", "_base"), ["pipe_name", "_block"])
+    return numbered.groupBy("pipe_name", (F.col("_base") + F.col("_nth")).alias("run")).agg(
+        F.min("failed").alias("failed"), F.count(F.lit(1)).alias("loads"), F.min("at").alias("first_load"), F.max("at").alias("last_load")
     )
+
+
+def usual_gaps(loads: DataFrame) -> DataFrame:
+    """``pipe_name, usual_gap``: the median of the seconds between a pipe's load times, NULL for a single one."""
+    times = loads.filter(F.col("last_load_time").isNotNull()).select("pipe_name", F.col("last_load_time").alias("at")).distinct()
+    gaps = with_neighbours(times, "pipe_name", "at", preceding={"before": "at"}).select(
+        "pipe_name", (F.unix_micros(F.col("at").cast("timestamp")) - F.unix_micros(F.col("before").cast("timestamp"))).alias("gap")
+    )
+    micros = exact_percentiles(gaps, "pipe_name", "gap", {"usual": 0.5})
+    return micros.select("pipe_name", (F.col("usual") / 1_000_000).alias("usual_gap"))
+
+
+def pipe_states(loads: DataFrame, as_of: datetime, error_streak: int = ERROR_STREAK, silent_gaps: float = SILENT_GAPS) -> DataFrame:
+    """State of every pipe from its load events: ERROR, STALLED or RUNNING, and what it rests on."""
+    runs = outcome_runs(loads)
+    last = F.max_by(F.struct("failed", "loads"), "run")
+    per_pipe = runs.groupBy("pipe_name").agg(
+        last.alias("_last"),
+        F.max("last_load").alias("last_load_time"),
+        F.count_if("failed").alias("error_runs"),
+        F.coalesce(F.max(F.when(F.col("failed"), F.col("loads"))), F.lit(0)).alias("longest_error_run"),
+    )
+    joined = per_pipe.join(usual_gaps(loads), "pipe_name", "left")
+    errors = F.when(F.col("_last.failed"), F.col("_last.loads")).otherwise(0)
+    silence = (F.unix_micros(ntz(as_of).cast("timestamp")) - F.unix_micros(F.col("last_load_time").cast("timestamp"))) / 1_000_000
+    state = F.when(F.col("trailing_errors") >= error_streak, "ERROR").when(silence > F.col("usual_gap") * silent_gaps, "STALLED").otherwise("RUNNING")
+    return joined.withColumn("trailing_errors", errors).select(
+        "pipe_name", state.alias("state"), "trailing_errors", "error_runs", "longest_error_run", "usual_gap", "last_load_time"
+    )
+
+
+def pipe_status(landed_files: DataFrame, loads: DataFrame, as_of: datetime) -> DataFrame:
+    """State, pending and failed files per pipe, from the files landed (pipe_name, file_name) and the load ledger.
+
+    A pipe that has landed files but never loaded one is IDLE.
+    """
+    loaded = loads.groupBy("pipe_name", "file_name").agg(F.max("error_count").alias("error_count"))
+    joined = landed_files.join(loaded, ["pipe_name", "file_name"], "left")
+    counts = joined.groupBy("pipe_name").agg(F.count_if(F.col("error_count").isNull()).alias("pending"), F.count_if(F.col("error_count") > 0).alias("failed"))
+    states = pipe_states(loads, as_of).select("pipe_name", "state")
+    return counts.join(states, "pipe_name", "left").select("pipe_name", F.coalesce("state", F.lit("IDLE")).alias("state"), "pending", "failed")

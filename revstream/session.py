@@ -35,12 +35,6 @@ def build_session(app: str = "revstream", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def split_skewed_joins(spark: SparkSession) -> None:
-    """The skew settings above, for a session this package did not build."""
-    for key in ("spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
-        spark.conf.set(key, "true")
-
-
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared folder the session names in ``spark.checkpoint.dir``.
 

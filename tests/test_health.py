@@ -1,3 +1,6 @@
+import itertools
+import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -5,6 +8,7 @@ import pytest
 from conftest import rows_of
 from revstream.operators import quality
 from revstream.plans import monitor
+from revstream.sources.tables import Table
 
 NOW = datetime(2026, 4, 20, 12)
 PIPES = "pipe_name string, state string, pending int, failed int"
@@ -61,6 +65,52 @@ def test_checks_on_planted_rows(spark):
     assert got == {("not_null", 2, "error"), ("unique", 1, "warn"), ("accepted_values", 0, "pass"), ("accepted_range", 1, "warn")}
 
 
-def test_failures_can_be_kept(spark, folder):
-    quality.save_failures(spark, spark.range(3).toDF("id"), folder)
-    assert spark.read.parquet(folder).count() == 3
+def test_failing_rows_are_kept_once_with_all_their_checks(spark, folder):
+    df = spark.createDataFrame([(1, "a", 5), (1, "z", -1), (None, "z", -5), (None, "a", 3)], "id int, kind string, n int")
+    checks = [quality.Check("t", "not_null", "id"), quality.Check("t", "unique", "id"), quality.Check("t", "accepted_values", "kind", values=("a",)), quality.Check("t", "accepted_range", "n", low=0)]
+    table = Table(spark, folder)
+    results = quality.run_checks({"t": df}, checks, failures=table)
+    kept = sorted((tuple(r.checks), json.loads(r.failing_row)) for r in table.read().collect())
+    assert kept == [
+        (("accepted_values(kind)", "accepted_range(n)"), {"id": 1, "kind": "z", "n": -1}),
+        (("not_null(id)",), {"kind": "a", "n": 3}),
+        (("not_null(id)", "accepted_values(kind)", "accepted_range(n)"), {"kind": "z", "n": -5}),
+        (("unique(id)",), {"id": 1, "n_records": 2}),
+    ]
+    assert {r.check_name: r.failures for r in results.collect()} == {"not_null": 2, "unique": 1, "accepted_values": 2, "accepted_range": 2}
+
+
+def test_freshness_reads_the_load_time_of_its_feed(spark):
+    table = spark.createDataFrame([(NOW - timedelta(hours=1), NOW - timedelta(hours=9))], "_load_timestamp timestamp_ntz, _fivetran_synced timestamp_ntz")
+    assert [quality.freshness({"t": table}, NOW, source=s).first().status for s in ("landing", "connector")] == ["pass", "error"]
+
+
+LOADS = "pipe_name string, file_name string, last_load_time timestamp_ntz, error_count long"
+
+
+def loads(spark, outcomes, pipe="p", every=timedelta(hours=5), end=NOW):
+    rows = [(pipe, f"f{i}", end - every * (len(outcomes) - 1 - i), int(x)) for i, x in enumerate(outcomes)]
+    return spark.createDataFrame(rows, LOADS)
+
+
+@pytest.mark.parametrize("block", ["hour", "day", "year"])
+def test_runs_of_outcomes_do_not_depend_on_the_blocks(spark, block):
+    outcomes = "".join(random.Random(3).choice("0001112") for _ in range(60))
+    want = [(k, len(list(g))) for k, g in itertools.groupby(x != "0" for x in outcomes)]
+    runs = monitor.outcome_runs(loads(spark, outcomes), block).orderBy("run").collect()
+    assert [(r.failed, r.loads) for r in runs] == want and [r.run for r in runs] == list(range(len(want)))
+
+
+@pytest.mark.parametrize(
+    "outcomes, silent, state",
+    [("0000", 0, "RUNNING"), ("0111", 0, "ERROR"), ("1101", 0, "RUNNING"), ("0011", 0, "RUNNING"), ("0000", 26, "STALLED"), ("0000", 24, "RUNNING"), ("111", 90, "ERROR"), ("0", 900, "RUNNING")],
+)
+def test_pipe_state(spark, outcomes, silent, state):
+    got = monitor.pipe_states(loads(spark, outcomes, end=NOW - timedelta(hours=silent)), NOW).first()
+    assert got.state == state
+    assert got.trailing_errors == len(outcomes) - len(outcomes.rstrip("1"))
+
+
+def test_pipe_without_loads_is_idle(spark):
+    landed = spark.createDataFrame([("p", "f0"), ("p", "f9"), ("q", "x")], "pipe_name string, file_name string")
+    assert rows_of(monitor.pipe_status(landed, loads(spark, "10"), NOW)) == [("p", "RUNNING", 1, 1), ("q", "IDLE", 1, 0)]

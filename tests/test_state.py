@@ -142,6 +142,27 @@ def test_merge_options(spark):
     ]
 
 
+def test_insert_only_never_replaces(spark):
+    target = frame(spark, [(1, "a", 5), (2, "b", 1)])
+    updates = frame(spark, [(1, "x", 9), (2, "y", 9), (7, "old", 1), (7, "new", 2)])
+    assert rows_of(merge_upsert(target, updates, "id", newer="ts", insert_only=True)) == [(1, "a", 5), (2, "b", 1), (7, "new", 2)]
+    assert rows_of(merge_upsert(None, updates, "id", newer="ts", insert_only=True)) == [(1, "x", 9), (2, "y", 9), (7, "new", 2)]
+
+
+def test_updates_at_one_time_end_alike_in_any_order(spark):
+    rows = [(1, v, 3) for v in "abcdefgh"] + [(1, None, 3)]
+    kept = {tuple(rows_of(merge_upsert(t, frame(spark, rows[i:] + rows[:i]).repartition(3), "id", newer="ts"))) for i in range(0, 9, 2) for t in (None, frame(spark, [(1, "z", 3)]))}
+    assert len(kept) == 1
+    # A row with a column that has no order can be merged too.
+    odd = spark.sql("select 1 id, 2 ts, map('a', 1) m, parse_json('{}') v")
+    assert merge_upsert(odd, odd, "id", newer="ts").count() == 1
+
+
+def test_null_keys_do_not_count_as_one_key(spark):
+    updates = frame(spark, [(None, "a", 1), (None, "b", 1), (1, "c", 1)])
+    assert merge_upsert(None, updates, "id").count() == 3
+
+
 def test_table_upsert_rewrites_only_touched_buckets(spark, folder):
     table = Table(spark, folder)
     assert table.read() is None
