@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bindings.crm_views import AS_OF, view
@@ -88,11 +89,14 @@ class Crm:
         versions = staging.project(self.raw("OpportunityVersion"), "Opportunity").select(
             "opportunity_id", "stage_name", "amount", "probability_pct", "close_date", "is_closed", "is_won", "owner_id", "updated_at", "is_deleted"
         )
-        return scd2_build(versions, "opportunity_id", deleted="is_deleted")
+        return scd2_build(versions, "opportunity_id", deleted="is_deleted", counted=self.deal_versions)
+
+    deal_versions = cached_property(lambda self: self.raw("OpportunityVersion").select(F.col("id").alias("opportunity_id")))
+    account_versions = cached_property(lambda self: self.raw("AccountVersion").select(F.col("id").alias("account_id")))
 
     @cached_property
     def account_history(self) -> DataFrame:
         versions = staging.project(self.raw("AccountVersion"), "Account").select(
             "account_id", "industry", "owner_id", "updated_at"
         )
-        return scd2_build(versions, "account_id")
+        return scd2_build(versions, "account_id", counted=self.account_versions)

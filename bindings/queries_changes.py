@@ -204,7 +204,8 @@ def as_of_join_rows(c: Crm):
     """Deals with their account's industry and owner when the deal was created."""
     deals = c.opportunities.select("opportunity_id", "account_id", "created_at", "amount")
     columns = {"industry_then": "industry", "owner_then": "owner_id"}
-    return as_of_join(deals, c.account_history, "account_id", "created_at", columns)
+    counted = c.account_versions.union(c.raw("Opportunity").select("accountid"))
+    return as_of_join(deals, c.account_history, "account_id", "created_at", columns, counted=counted)
 
 
 def _raw(c: Crm, until: datetime | None = None) -> dict:

@@ -169,7 +169,7 @@ def stage_velocity(c: Crm):
 
 @query
 def stage_regression(c: Crm):
-    return analytics.stage_regression(c.opportunity_history, seeds.stage_order(c.spark), "opportunity_id")
+    return analytics.stage_regression(c.opportunity_history, seeds.stage_order(c.spark), "opportunity_id", counted=c.deal_versions)
 
 
 @query

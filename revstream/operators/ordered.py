@@ -1,55 +1,63 @@
 """Next and previous rows, and as-of joins, within a key that may hold a third of all rows.
 
-A window partitioned by the key alone gives all rows of one key to one task. Here large
-keys are cut into time ranges first. Each range is a window of its own, and a small table with one
-row per (hot key, range) carries values across the cuts. The result does not depend on which keys
-were cut or where.
+A window partitioned by the key alone gives all rows of one key to one task. Here the rows of large keys are
+dealt by ranges of their order first, so that every range holds about as many rows as the next, also where most
+rows of a key have one time. Each range is a window of its own, and a small table with one row per (hot key,
+range) carries values across the cuts. The result does not depend on which keys were cut or where.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from revstream.session import written
 
 # A key is cut when it has at least this many rows, into ranges of about as many: below, one task orders
-# it in seconds and cutting costs more than it saves. Every such key is cut, NULL included; the tables of
-# keys and cuts hold at most one row or cut point per HOT_ROWS rows of the data.
+# it in seconds and cutting costs more than it saves. Every such key is cut, NULL included.
 HOT_ROWS = 10_000_000
-# Cut points are looked up in two steps, first the block and then within it.
-BLOCK = 64
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """``_key, _n``: every key with at least ``min_rows`` rows, NULL included, and its rows."""
-    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") >= min_rows)
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame | None:
+    """``_key, _n``: every key with at least ``min_rows`` rows, NULL included, and its rows; None when there is none.
+
+    A table with fewer rows has no such key; of a plain scan that is known from the files' footers.
+    """
+    keys = df.select(F.col(key).alias("_key"))
+    if keys.count() < min_rows:
+        return None
+    hot = written(keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
-def cut_hot_keys(df: DataFrame, key: str, order: str, min_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Add ``_range``: 0.. within a hot key, rising with ``order``; NULL for every other key.
+def _hashed(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashed(f.dataType) for f in kind.fields)
+    return _hashed(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
 
-    The cuts lie at approximate quantiles of ``order``, so ranges are of similar size whatever its
-    distribution. None when no key is hot.
+
+def cut_hot_keys(
+    df: DataFrame, key: str, order: str, min_rows: int = HOT_ROWS, ties: tuple[str, ...] = (), counted: DataFrame | None = None
+) -> DataFrame | None:
+    """Add ``_range``, rising with the order within a hot key and NULL for every other key, and ``_tie``.
+
+    Rows are ordered by ``order``, ``ties`` and last by a digest (``_tie``), so a cut may fall between rows of one
+    time. The hot rows are stored with their ranges: cuts come from a sample, and a range must stay the same for
+    all who read it. ``counted`` is a table that has at least as many rows of each key and is cheaper to count.
+    None when no key is hot.
     """
-    pairs = df.select(key, order)
-    hot = hot_keys(pairs, key, min_rows)
-    largest = hot.agg(F.max("_n")).first()[0]
-    if largest is None:
+    hot = hot_keys(df if counted is None else counted, key, min_rows)
+    if hot is None:
         return None
-    ranges = F.greatest(F.lit(2), F.ceil(F.col("_n") / min_rows)).cast("int")
-    most = max(2, -(-largest // min_rows))
-    points = [i / most for i in range(1, most)]
     same_key = F.col(key).eqNullSafe(F.col("_key"))
-    found = pairs.join(hot.select("_key", ranges.alias("_ranges")), same_key).groupBy("_key").agg(
-        F.percentile_approx(order, points, max(10_000, 4 * most)).alias("_all"), F.max("_ranges").alias("_ranges")
-    )
-    chosen = f"transform(sequence(1, _ranges - 1), i -> _all[int(i * {most} div _ranges) - 1])"
-    blocks = f"transform(sequence(0, (_ranges - 2) div {BLOCK}), b -> slice(_chosen, int(b * {BLOCK} + 1), {BLOCK}))"
-    cuts = found.selectExpr("_key", "_ranges", f"{chosen} as _chosen").selectExpr("_key", f"{blocks} as _cuts")
-    block = f"greatest(size(filter(_cuts, c -> c[0] < {order})) - 1, 0)"
-    below = f"{block} * {BLOCK} + size(filter(_cuts[{block}], c -> c < {order}))"
-    tagged = df.join(cuts, same_key, "left")
-    return tagged.withColumn("_range", F.expr(f"case when _cuts is not null then {below} end")).drop("_key", "_cuts")
+    total = hot.agg(F.sum("_n")).first()[0]  # one number
+    digest = F.xxhash64(*[f.name for f in df.schema.fields if _hashed(f.dataType)])
+    rows = df.join(hot, same_key, "left_semi").withColumn("_tie", digest)
+    dealt = rows.repartitionByRange(max(2, -(-total // min_rows)), key, order, *ties, "_tie")
+    cut = written(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    none = {"_tie": F.lit(None).cast("long"), "_range": F.lit(None).cast("int")}
+    return df.join(hot, same_key, "left_anti").withColumns(none).unionByName(cut)
 
 
 def across_cuts(cut: DataFrame, links: DataFrame, key: str) -> DataFrame:
@@ -67,13 +75,15 @@ def with_neighbours(
     preceding: dict[str, str] | None = None,
     ties: tuple[str, ...] = (),
     min_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns of the next (``following``) and previous (``preceding``) row of the same key.
 
-    Both map new names to existing columns. The order is ``order`` then ``ties``, ascending.
+    Both map new names to existing columns. The order is ``order`` then ``ties``, ascending. ``counted`` is that
+    of ``cut_hot_keys``.
     """
     following, preceding = following or {}, preceding or {}
-    cut = cut_hot_keys(df, key, order, min_rows)
+    cut = cut_hot_keys(df, key, order, min_rows, ties, counted)
 
     def neighbours(w: Window) -> dict[str, Column]:
         return {
@@ -84,7 +94,7 @@ def with_neighbours(
     if cut is None:
         return df.withColumns(neighbours(Window.partitionBy(key).orderBy(order, *ties)))
 
-    position = F.struct(order, *ties)
+    position = F.struct(order, *ties, "_tie")
     carried = F.struct(*[F.col(c) for c in dict.fromkeys([*following.values(), *preceding.values()])])
     across = Window.partitionBy(key).orderBy("_range")
     links = (
@@ -98,7 +108,7 @@ def with_neighbours(
             F.lag("_tail").over(across).alias("_prev_tail"),
         )
     )
-    w = Window.partitionBy(key, "_range").orderBy(order, *ties)
+    w = Window.partitionBy(key, "_range").orderBy(order, *ties, "_tie")
     ends = {"_has_next": F.lead(F.lit(1)).over(w), "_has_prev": F.lag(F.lit(1)).over(w)}
     out = across_cuts(cut.withColumns({**ends, **neighbours(w)}), links, key)
 
@@ -121,12 +131,13 @@ def as_of_join(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     min_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Every fact with ``columns`` (new=old) of the version of its key valid at ``ts``.
 
     Facts and versions are merged into one ordered stream per key and the last version seen is
     carried forward, so the work is one sort. A join on the key with an interval condition would
-    compare every fact of a key with every version of it.
+    compare every fact of a key with every version of it. ``counted`` is that of ``cut_hot_keys``.
     """
     usable = F.col(key).isNotNull() & F.col(ts).isNotNull()
     version = F.struct(F.col(valid_to).alias("_to"), *[F.col(old).alias(new) for new, old in columns.items()])
@@ -135,7 +146,7 @@ def as_of_join(
         key, F.col(ts).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"), F.struct(*facts.columns).alias("_f")
     )
     stream = versions.unionByName(rows, allowMissingColumns=True)
-    cut = cut_hot_keys(stream, key, "_t", min_rows)
+    cut = cut_hot_keys(stream, key, "_t", min_rows, ("_kind",), counted)
 
     def carried_forward(df: DataFrame, *parts: str) -> DataFrame:
         w = Window.partitionBy(*parts).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revstream.operators.dedup import dedup_latest
 from revstream.operators.incremental import ntz
-from revstream.operators.ordered import HOT_ROWS, with_neighbours
+from revstream.operators.ordered import HOT_ROWS, hot_keys, with_neighbours
 from revstream.sources.tables import BUCKETS, Table
 
 META = ("scd_id", "valid_from", "valid_to", "source_updated_at")
@@ -117,22 +117,32 @@ def scd2_build(
     order: list[Column] | None = None,
     min_rows: int = HOT_ROWS,
     deleted: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """The whole history in one batch from all raw versions, in any arrival order.
 
     Copies of one version (same key and time) collapse first; ``order`` picks which copy stays. ``deleted``
     names a flag: a raw version that carries it closes the version before it at its own time and opens none,
-    so a deleted key has no open version until it returns. The flag is not part of the result.
+    so a deleted key has no open version until it returns. The flag is not part of the result. ``counted`` is that
+    of ``cut_hot_keys``.
     """
-    out = _intervals(versions, key, updated_at, order, min_rows)
+    out = _intervals(versions, key, updated_at, order, min_rows, counted)
     return out if deleted is None else live(out, deleted)
 
 
-def _intervals(versions: DataFrame, key: str, updated_at: str, order: list[Column] | None, min_rows: int) -> DataFrame:
-    """Every distinct version, deleted ones too, valid until the next one of its key."""
-    distinct = dedup_latest(versions, [key, updated_at], order or [F.col(updated_at).desc()])
+def _intervals(versions: DataFrame, key: str, updated_at: str, order: list[Column] | None, min_rows: int, counted: DataFrame | None = None) -> DataFrame:
+    """Every distinct version, deleted ones too, valid until the next one of its key.
+
+    Without a hot key the versions are shuffled once, by key: copies and successors are then found in place.
+    """
+    first = order or [F.col(updated_at).desc()]
+    hot = hot_keys(versions if counted is None else counted, key, min_rows) is not None
+    distinct = dedup_latest(versions if hot else versions.repartition(key), [key, updated_at], first)
     opened = _opened(distinct, key, updated_at).drop("valid_to")
-    out = with_neighbours(opened, key, "valid_from", following={"valid_to": "valid_from"}, min_rows=min_rows)
+    if hot:
+        out = with_neighbours(opened, key, "valid_from", following={"valid_to": "valid_from"}, min_rows=min_rows, counted=counted)
+    else:
+        out = opened.withColumn("valid_to", F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from")))
     return out.select(*[c for c in opened.columns if c not in META], *META)
 
 

@@ -255,14 +255,17 @@ def stage_velocity(history: DataFrame, now: datetime) -> DataFrame:
     )
 
 
-def stage_regression(history: DataFrame, stages: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Moves to an earlier stage: one row per version that follows a later-ordered one."""
+def stage_regression(history: DataFrame, stages: DataFrame, key: str, min_rows: int = HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
+    """Moves to an earlier stage: one row per version that follows a later-ordered one.
+
+    ``counted`` may name a table, such as the raw versions, that has at least as many rows of each key.
+    """
     order = stages.select("stage_name", "stage_order")
     # Versions in a stage without an order stay: the move after them starts there.
     ranked = history.select(key, "stage_name", "valid_from").join(order, "stage_name", "left")
     moved = with_neighbours(
         ranked, key, "valid_from",
-        preceding={"from_stage": "stage_name", "from_order": "stage_order"}, min_rows=min_rows,
+        preceding={"from_stage": "stage_name", "from_order": "stage_order"}, min_rows=min_rows, counted=counted,
     )
     return moved.filter(F.col("from_order") > F.col("stage_order")).select(
         key, "from_stage", F.col("stage_name").alias("to_stage"), F.col("valid_from").alias("moved_at")

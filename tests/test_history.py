@@ -138,12 +138,15 @@ def test_as_of_join_equals_brute_force(spark, min_rows):
     assert got == want and any(v is not None for v in want.values())
 
 
-def test_exact_percentiles_equal_numpy(spark):
+@pytest.mark.parametrize("accuracy", [20, 200, 10_000])
+def test_exact_percentiles_equal_numpy(spark, accuracy):
     rng = np.random.default_rng(5)
     rows = [("hot", float(v)) for v in rng.gamma(2, 50, 5000).round(3)] + [("small", 1.5), ("small", 4.0), ("one", 9.0)]
+    rows += [("tied", 7.0)] * 900 + [("tied", float(v)) for v in range(100)] + [(None, 1.0), (None, 3.0)]
     df = spark.createDataFrame(rows + [("none", None)], "g string, x double")
-    got = {r.g: (r.p50, r.p95, r.p0, r.p100) for r in exact_percentiles(df, "g", "x", {"p50": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0}).collect()}
-    assert set(got) == {"hot", "small", "one"}
+    found = exact_percentiles(df, "g", "x", {"p50": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0}, accuracy)
+    got = {r.g: (r.p50, r.p95, r.p0, r.p100) for r in found.collect()}
+    assert set(got) == {"hot", "small", "one", "tied", None}
     for g, values in got.items():
         data = [x for gg, x in rows if gg == g]
         assert values == pytest.approx([np.percentile(data, p) for p in (50, 95, 0, 100)], abs=1e-9)
@@ -178,6 +181,27 @@ def test_build_closes_deleted_keys(spark, min_rows):
     assert state(h) == [("a", "1", day(0), day(2)), ("b", "1", day(0), None), ("c", "1", day(0), day(1)), ("c", "2", day(5), None)]
 
 
+def test_a_key_with_one_time_is_spread(spark):
+    """Cuts fall between rows of one timestamp; ties and then a digest order them, and neighbours follow that order."""
+    rows = [("hot", day(1), i % 50, i) for i in range(400)] + [("hot", day(0), 0, -1), ("cold", day(1), 0, 0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, tie int, n int").repartition(5)
+    cut = cut_hot_keys(df, "k", "ts", 40, ("tie",))
+    sizes = [r["count"] for r in cut.filter("k = 'hot'").groupBy("_range").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 120 and sum(sizes) == 401
+    assert cut.filter("k = 'cold'").select("_range").collect() == [(None,)]
+    near = with_neighbours(df, "k", "ts", {"after": "n"}, {"before": "n"}, ties=("tie",), min_rows=40).filter("k = 'hot'").collect()
+    after = {r.n: r.after for r in near}
+    chain, at = [-1], -1  # the successors lead through all rows once, in order
+    while after[at] is not None:
+        at = after[at]
+        chain.append(at)
+    assert sorted(chain) == list(range(-1, 400)) and [n % 50 for n in chain[1:]] == sorted(n % 50 for n in range(400))
+    assert {r.n: r.before for r in near} == {b: a for a, b in zip([None, *chain], chain)}
+    # A count from elsewhere only decides whether to look closer.
+    assert cut_hot_keys(df, "k", "ts", 40, counted=spark.createDataFrame([("x",)] * 50, "k string")) is not None
+    assert cut_hot_keys(df, "k", "ts", 1_000) is None
+
+
 def test_neighbours_of_a_hot_null_key(spark):
     df = spark.createDataFrame([(None if i % 3 else "k", day(i), i) for i in range(60)], "k string, ts timestamp_ntz, n int")
     cut = cut_hot_keys(df, "k", "ts", 5)
