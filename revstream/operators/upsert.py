@@ -36,7 +36,7 @@ def newest(df: DataFrame, key: str, newer: str, *first: Column) -> DataFrame:
     So every run keeps the same row. Columns without an order or a hash (maps, variants) do not enter the digest.
     """
     plain = sorted(f.name for f in df.schema.fields if f.name != "_new" and not isinstance(f.dataType, (T.MapType, T.VariantType)))
-    return dedup_latest(df, key, [F.col(newer).desc_nulls_last(), *first, F.xxhash64(*plain), F.hash(*plain)])
+    return dedup_latest(df, key, [F.col(newer).desc_nulls_last(), *first, F.xxhash64(*plain)])
 
 
 def merge_upsert(
