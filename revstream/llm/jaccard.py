@@ -8,14 +8,18 @@ take part only through the set sizes.
 
 The result is the classes of linked documents, so pairs that cannot change them are not compared: equal sets are
 one class from the start; then, for every shingle in some prefix, its sets are compared with one pivot set at a
-time, and sets already in the pivot's class are left out. What star rounds leave open is compared pair by
-pair, only across classes. No link between different classes is lost.
+time, and sets already in the pivot's class are left out. The pivots of a turn differ from shingle to shingle, so
+chains of near copies are joined in a few turns; the pairs of a turn are at most the entries of the lists. Turns
+end when the pairs left across classes are few beside these entries, or when a turn found no link (the
+sets of the lists then have a shingle in common but are not alike); those pairs are compared one by one. No
+link between different classes is lost.
 
 Defined cases: words are runs of characters other than ASCII white space, A-Z in lower case; a text of fewer
 than five words has its whole sequence as its one shingle; NULL or empty texts, or texts without words, have
 none, link with nothing and are their own class; equal rows repeat their result; rows that share only an id are
 documents of their own; a NULL id is never a class's id unless all ids of the class are NULL; other columns are
-ignored by ``classes`` and kept by ``keep_one``. Shingles are 64-bit hashes and equal sets 128-bit hashes.
+ignored by ``classes`` and kept by ``keep_one``. Shingles are 64-bit hashes. Equal sets are those with one 64-bit
+key; a second key of 64 bits is compared, and two sets that share only the first end the job.
 """
 
 from __future__ import annotations
@@ -32,7 +36,9 @@ from revstream.llm.common import WordHasher, bucket_count, components, dealt_by_
 
 WORDS, PER_CENT = 5, 80
 FRAGMENTS = 8
-STAR_ROUNDS = 3
+STAR_ROUNDS = 16
+PAIRS_PER_ENTRY = 8  # pairs left across classes that are compared at once, per entry of the lists
+EDGES_PER_TASK = 1_000_000
 _HASHER: list[WordHasher] = []
 
 
@@ -55,25 +61,30 @@ def short_key(grams: np.ndarray) -> int:
     return int(np.frombuffer(set_key(grams)[:8], dtype=np.int64)[0])
 
 
+def check_key(grams: np.ndarray) -> int:
+    return int(np.frombuffer(set_key(grams)[8:], dtype=np.int64)[0])
+
+
 def least_overlap(n):
     """Shingles of a set of ``n`` that a linked set shares at least: ceil(t n)."""
     return -(-PER_CENT * n // 100)
 
 
 def sizes(source: DataFrame) -> DataFrame:
-    """``(id, rk, n, ck)`` of every row of :func:`texts`: set size and the set's key."""
+    """``(id, rk, n, ck, ck2)`` of every row of :func:`texts`: set size and the set's two keys."""
     ship(source.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, ck = [], []
+            n, ck, ck2 = [], [], []
             for text in batch.column("text"):
                 grams = shingles(text.as_py())
                 n.append(len(grams))
                 ck.append(short_key(grams) if len(grams) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("rk"), pa.array(n, pa.int64()), pa.array(ck, pa.int64())], names=["id", "rk", "n", "ck"])
+                ck2.append(check_key(grams) if len(grams) else None)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("rk"), *(pa.array(c, pa.int64()) for c in (n, ck, ck2))], names=["id", "rk", "n", "ck", "ck2"])
 
-    return stored(source.mapInArrow(run, "id long, rk long, n long, ck long"), "sizes")
+    return stored(source.mapInArrow(run, "id long, rk long, n long, ck long, ck2 long"), "sizes")
 
 
 def shared_shingles(source: DataFrame) -> DataFrame:
@@ -104,7 +115,8 @@ def shared_shingles(source: DataFrame) -> DataFrame:
 def candidates(source: DataFrame, sized: DataFrame) -> DataFrame:
     """Sets whose shared shingles suffice for a link, in the global order, with the length of their prefix."""
     shared = shared_shingles(source)
-    n_of = stored(sized.filter("n > 0").groupBy("ck").agg(F.first("n").alias("n")), "set-sizes")
+    one = F.when(F.min("ck2") == F.max("ck2"), F.first("n")).otherwise(F.raise_error(F.lit("two sets share a key")).cast("long"))
+    n_of = stored(sized.filter("n > 0").groupBy("ck").agg(one.alias("n")), "set-sizes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,7 +155,37 @@ def linked_pairs(pairs: DataFrame, cut: DataFrame) -> DataFrame:
     return total.filter(100 * F.col("o") >= PER_CENT * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
-def set_classes(sets: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def forest(edges: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, component`` of the edges of one task: every node hangs on the smallest that it reaches among them."""
+    batches = list(edges)
+    a, b = (np.concatenate([x.column(i).to_numpy() for x in batches]) if batches else np.zeros(0, dtype=np.int64) for i in (0, 1))
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        if (low == high).all():
+            break
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label = label[label]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], names=["node", "component"])
+
+
+def merged(links: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
+    """``(ck, class)`` of the sets in ``links(a, b)``: each task hangs its own links on their smallest sets first.
+
+    That is all when the links fit into one task; otherwise star rounds join what the tasks have left.
+    """
+    links = stored(links, "links")
+    tasks = -(-links.count() // edges_per_task)
+    trees = stored(links.coalesce(max(tasks, 1)).mapInArrow(forest, "node long, component long"), "forest")
+    if tasks > 1:
+        trees = components(trees.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return stored(trees.select(F.col("node").alias("ck"), F.col("component").alias("class")), "classes") if tasks > 1 else trees.toDF("ck", "class")
+
+
+def set_classes(sets: DataFrame, star_rounds: int = STAR_ROUNDS, pairs_per_entry: float = PAIRS_PER_ENTRY) -> DataFrame:
     """``(ck, class)`` of the sets that link with a different set.
 
     A shingle is the first that two sets share in the global order for some list that holds both, and from there
@@ -156,31 +198,37 @@ def set_classes(sets: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     lists = stored(each.select("g", "ck", "n", "own", (F.col("own") + F.col("i")).alias("at")), "lists")
     most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
     near = 100 * most >= PER_CENT * (F.col("na") + F.col("nb") - most)
-    label = None
+    label, fruitful = sets.select("ck", F.col("ck").alias("class")).limit(0), True
     for turn in range(star_rounds + 1):
-        with_class = lists if label is None else lists.join(label, "ck", "left")
-        comp = F.col("ck") if label is None else F.coalesce("class", "ck")
-        active = stored(with_class.select("g", "ck", "n", "own", "at", comp.alias("c")), "active")
-        # The set with the fewest own shingles is the best pivot of a group of near copies.
-        rank = F.struct("own", "ck", "n", "at", "c")
-        heads = stored(active.groupBy("g").agg(F.min(rank).alias("p"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("g", "p"), "heads")
-        met = active.join(heads, "g").filter("ck <> p.ck")
-        if turn < star_rounds:
-            pairs = met.filter("c <> p.c").select(F.col("ck").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("p.ck").alias("b"), F.col("p.n").alias("nb"), F.col("p.at").alias("ib"))
-            lists = stored(met.select("g", "ck", "n", "own", "at"), "lists")  # the pivot has met its whole list
-        else:
+        with_class = lists.withColumn("c", F.col("ck")) if turn == 0 else lists.join(label, "ck", "left").withColumn("c", F.coalesce("class", "ck"))
+        active = with_class.select("g", "ck", "n", "own", "at", "c") if turn == 0 else stored(with_class.select("g", "ck", "n", "own", "at", "c"), "active")
+        # The set with the fewest own shingles is the best pivot of a group of near copies; later any other.
+        first = F.col("own") if turn == 0 else F.xxhash64("g", "ck", F.lit(turn))
+        rank = F.struct(first.alias("first"), "ck", "n", "at", "c")
+        by_class = active.groupBy("g", "c").agg(F.min(rank).alias("p"), F.count(F.lit(1)).cast("double").alias("k"))
+        by_list = by_class.groupBy("g").agg(F.min("p").alias("p"), F.count(F.lit(1)).alias("held"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("k2"))
+        heads = stored(by_list.filter("held > 1").select("g", "p", "k", ((F.col("k") * F.col("k") - F.col("k2")) / 2).alias("across")), "heads")
+        entries, across = heads.agg(F.sum("k"), F.sum("across")).first()
+        if not across:
+            break
+        last = turn == star_rounds or not fruitful or across <= pairs_per_entry * entries
+        met = active.join(heads.select("g", "p"), "g")
+        if last:
             left = met.select("g", F.col("ck").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("c").alias("ca"))
             right = met.select("g", F.col("ck").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("c").alias("cb"))
-            star = met.filter("c <> p.c").select(F.col("ck").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("p.ck").alias("b"), F.col("p.n").alias("nb"), F.col("p.at").alias("ib"))
-            pairs = left.join(right, "g").filter("a < b and ca <> cb").drop("g", "ca", "cb").unionByName(star)
+            pairs = left.join(right, "g").filter("a < b and ca <> cb")
+        else:
+            met = met.filter("ck <> p.ck")
+            pairs = met.filter("c <> p.c").select(F.col("ck").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("p.ck").alias("b"), F.col("p.n").alias("nb"), F.col("p.at").alias("ib"))
+            lists = stored(met.select("g", "ck", "n", "own", "at"), "lists")  # the pivot has met its whole list
         swapped = F.col("a") > F.col("b")
         pairs = pairs.filter(near).select(*[F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("na", "nb"), ("nb", "na"))])
         found = stored(linked_pairs(stored(pairs.distinct(), "pairs"), cut), "links")
-        # Classes are roots of stars, so that links among them and the new links are all that is needed.
-        links = found if label is None else found.union(label.select(F.col("ck").alias("a"), F.col("class").alias("b")))
-        if label is None or not found.isEmpty():
-            label = stored(components(links).select(F.col("node").alias("ck"), F.col("component").alias("class")), "classes")
-        if turn < star_rounds and lists.isEmpty():
+        fruitful = not found.isEmpty()
+        if fruitful:
+            # Classes are roots of stars, so that links among them and the new links are all that is needed.
+            label = merged(found.union(label.select(F.col("ck").alias("a"), F.col("class").alias("b"))))
+        if last:
             break
     return label
 

@@ -88,9 +88,10 @@ def test_suffix_array_order():
         assert suffixarray.suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 3])
-def test_jaccard_classes(spark, corpus, rounds, monkeypatch):
-    monkeypatch.setattr(jaccard, "set_classes", lambda sets, f=jaccard.set_classes: f(sets, rounds))
+@pytest.mark.parametrize("rounds,at_once,edges", [(0, 0, 10**6), (1, 0, 3), (16, 0, 10**6), (16, jaccard.PAIRS_PER_ENTRY, 5)])
+def test_jaccard_classes(spark, corpus, rounds, at_once, edges, monkeypatch):
+    monkeypatch.setattr(jaccard, "set_classes", lambda sets, f=jaccard.set_classes: f(sets, rounds, at_once))
+    monkeypatch.setattr(jaccard, "merged", lambda links, f=jaccard.merged: f(links, edges))
     rows = without_three(corpus)
     sets, parent = {}, {}
     for i, t, *_ in rows:
@@ -114,6 +115,50 @@ def test_jaccard_classes(spark, corpus, rounds, monkeypatch):
     assert got == {i: (len(sets[i]), root(i)) for i in ids}
 
 
+@pytest.mark.parametrize("copies", [500, 2_000])
+def test_near_copies_form_few_pairs(spark, copies, monkeypatch):
+    """Copies of one text with a changed word link along its words only; pairs grow with the copies, not their square."""
+    r = random.Random(copies)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(copies):
+        words = list(base)
+        words[r.randrange(60)] = f"x{i}"
+        texts.append(" ".join(words))
+    pairs = []
+
+    def counted(df, purpose, f=jaccard.stored):
+        out = f(df, purpose)
+        pairs.append(out.count() if purpose == "pairs" else 0)
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["component_id"] for x in jaccard.report(docs).collect()}
+    sets = [frozenset(tuple(t.split()[j : j + 5]) for j in range(56)) for t in texts]
+    parent = list(range(copies))
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    by_gram = defaultdict(set)
+    for i, grams in enumerate(sets):
+        for g in frozenset(map(tuple, (base[j : j + 5] for j in range(56)))) - grams:
+            by_gram[g].add(i)  # linked copies lack a shingle of the base together
+    for ids in by_gram.values():
+        ids = sorted(ids)
+        for k, a in enumerate(ids):
+            for b in ids[:k]:
+                if root(a) != root(b) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    x, y = sorted((root(a), root(b)))
+                    parent[y] = x
+    assert got == {i: root(i) for i in range(copies)}
+    assert sum(pairs) < 300 * copies
+
+
 def test_keep_one_leaves_one_row_of_each_class(docs):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
