@@ -9,8 +9,8 @@ take part only through the set sizes.
 The result is the classes of linked documents, so pairs that cannot change them are not compared: equal sets are
 one class from the start; then, for every shingle in some prefix, its sets are compared with one pivot set at a
 time, and sets already in the pivot's class are left out. The pivots of a turn differ from shingle to shingle, so
-chains of near copies are joined in a few turns; the pairs of a turn are at most the entries of the lists. Turns
-end when the pairs left across classes are few beside these entries, or when a turn found no link (the
+chains of near copies are joined in a few turns; the pairs of a turn are at most the entries of the lists. From the
+second turn on they end when the pairs left across classes are few beside these entries, or when a turn found no link (the
 sets of the lists then have a shingle in common but are not alike); those pairs are compared one by one. No
 link between different classes is lost.
 
@@ -37,7 +37,7 @@ from revstream.llm.common import WordHasher, bucket_count, components, dealt_by_
 WORDS, PER_CENT = 5, 80
 FRAGMENTS = 8
 STAR_ROUNDS = 16
-PAIRS_PER_ENTRY = 8  # pairs left across classes that are compared at once, per entry of the lists
+PAIRS_PER_ENTRY = 16  # pairs left across classes that are compared at once, per entry of the lists
 EDGES_PER_TASK = 1_000_000
 _HASHER: list[WordHasher] = []
 
@@ -211,7 +211,7 @@ def set_classes(sets: DataFrame, star_rounds: int = STAR_ROUNDS, pairs_per_entry
         entries, across = heads.agg(F.sum("k"), F.sum("across")).first()
         if not across:
             break
-        last = turn == star_rounds or not fruitful or across <= pairs_per_entry * entries
+        last = turn == star_rounds or not fruitful or (turn > 0 and across <= pairs_per_entry * entries)
         met = active.join(heads.select("g", "p"), "g")
         if last:
             left = met.select("g", F.col("ck").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("c").alias("ca"))
