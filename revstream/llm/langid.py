@@ -6,11 +6,13 @@ over the words of a text, with a penalty for switching, labels spans; the predic
 spans hold the most letters and the score is its share of the letters of labelled words.
 
 Learning uses a bounded sample: about ``MAX_TRAIN`` rows of each language, drawn by a hash of id and text, and
-the ``MAX_TRIGRAMS`` most frequent trigrams. Everything else covers all rows and whole texts.
+the ``MAX_TRIGRAMS`` most frequent trigrams of each language. Everything else covers all rows and whole texts.
 
-Defined cases: NULL text, or text without a letter, is ``und`` with score 0; without labelled rows, or with
-no word in a script that any learned language uses, likewise; ties go to the first language by name; rows
-are independent, so repeated rows repeat their result; other columns are ignored.
+Defined cases: NULL text, or text without a letter, is ``und`` with score 0. In a text with no word in a script
+that a learned language uses, all learned languages compete on all its words, with score 0. Without
+labelled rows there is no language to choose, and every text is ``und``. Ties go to the first language by name;
+rows are independent, so repeated rows repeat their result; other columns are ignored. ``keep_determined`` drops
+texts without a letter and mixtures; it keeps texts that no learned language could be told of.
 """
 
 from __future__ import annotations
@@ -22,13 +24,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revstream.llm.common import ship
 
 MAX_TRAIN = 2_000
-MAX_TRIGRAMS = 50_000
+MAX_TRIGRAMS = 20_000
 SWITCH = 8.0  # nats a change of language costs
 SMOOTH = 0.5
 KEEP_SHARE = 0.4  # below it a text is a mixture that no language carries
@@ -136,11 +138,12 @@ class Model:
         flat = self.rows([w for i in order for w in words[i]])
         start = np.concatenate([[0], np.cumsum(size[order])])[:n]
         sizes = size[order]
-        back = np.zeros((len(flat), k), dtype=np.int8)
+        kind = np.int8 if k <= 127 else np.int32
+        back = np.zeros((len(flat), k), dtype=kind)
         labels = np.full(len(flat), -1, dtype=np.int64)
         v = np.zeros((n, k))
         live = np.searchsorted(-sizes, -np.arange(1, (int(sizes[0]) if n else 0) + 1), side="right")
-        own = np.arange(k, dtype=np.int8)
+        own = np.arange(k, dtype=kind)
         for t, m in enumerate(live):
             at = start[:m] + t
             here = v[:m]
@@ -164,12 +167,21 @@ class Model:
             out_l[i], out_w[i] = labels[start[j] : start[j] + sizes[j]], letters[start[j] : start[j] + sizes[j]]
         return out_l, out_w
 
+    def guess(self, words: list[str]) -> str:
+        """The likeliest of all learned languages for words in scripts that none of them uses."""
+        if not words or not self.langs:
+            return UNDETERMINED
+        unknown = len(self.row)
+        found = Counter(self.row.get(g, unknown) for word in words for g in trigrams(word.lower()))
+        at, n = np.array(list(found)), np.array(list(found.values()))
+        return self.langs[int((self.padded[at] * n[:, None]).sum(axis=0).argmax())]
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, shares = [], []
-        for lab, letters in zip(*self.label(texts)):
+        for text, lab, letters in zip(texts, *self.label(texts)):
             total = int(letters.sum())
             if not total:
-                names.append(UNDETERMINED)
+                names.append(self.guess(WORD.findall(text) if text else []))
                 shares.append(0.0)
                 continue
             by = np.bincount(lab[lab >= 0], weights=letters[lab >= 0], minlength=len(self.langs))
@@ -219,7 +231,8 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     counts = counts.groupBy("lang", "script", "what").agg(F.sum("n").alias("n"))
     grams: dict[str, dict[str, int]] = {}
     scripts: dict[str, dict[str, int]] = {lang: {} for lang in sizes}
-    for r in counts.orderBy(F.desc("script"), F.desc("n"), "lang", "what").limit(MAX_TRIGRAMS).collect():
+    nth = F.row_number().over(Window.partitionBy("lang", "script").orderBy(F.desc("n"), "what"))
+    for r in counts.withColumn("nth", nth).filter(F.col("script") | (F.col("nth") <= MAX_TRIGRAMS)).collect():
         (scripts if r["script"] else grams).setdefault(r["lang"], {})[r["what"]] = r["n"]
     return Model(grams, scripts)
 
@@ -227,7 +240,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 def predict(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str = "text") -> DataFrame:
     """``keep`` columns, ``lang_pred`` and ``score`` of every row."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_TRIGRAMS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_TRIGRAMS a language at most
     names = [f"k{i}" for i in range(len(keep))]
     plain = docs.select(*[c if isinstance(c, Column) else F.col(c) for c in keep]).schema
     rows = docs.select(*[(c if isinstance(c, Column) else F.col(c)).alias(n) for c, n in zip(keep, names)], F.col(text_col).alias("predicted_text"))
@@ -246,7 +259,10 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column], text_col: s
 
 
 def keep_determined(docs: DataFrame, model: Model, text_col: str = "text", least: float = KEEP_SHARE) -> DataFrame:
-    """The rows of ``docs``, with all their columns, in which one language has at least ``least`` of the letters."""
+    """The rows of ``docs``, with all their columns, in which one language has at least ``least`` of the letters.
+
+    Texts with letters but none in a script that a learned language uses stay as well.
+    """
     model.index.clear()
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -254,8 +270,10 @@ def keep_determined(docs: DataFrame, model: Model, text_col: str = "text", least
     def determined(text: pd.Series) -> pd.Series:
         model, kept = shared.value, []
         for at in range(0, len(text), 2_000):
-            langs, shares = model.predict(text.iloc[at : at + 2_000].tolist())
-            kept += [lang != UNDETERMINED and share >= least for lang, share in zip(langs, shares)]
+            part = text.iloc[at : at + 2_000].tolist()
+            _, shares = model.predict(part)
+            # A share of 0 means that no word could be labelled: such a text stays if it has a letter.
+            kept += [share >= least or (share == 0 and bool(x) and WORD.search(x) is not None) for x, share in zip(part, shares)]
         return pd.Series(kept, dtype=bool)
 
     return docs.filter(F.pandas_udf(determined, "boolean")(F.col(text_col)))

@@ -49,6 +49,7 @@ def passes_for(n: int, cosine: float, block: int = BLOCK) -> int:
 
 def _unit(column) -> np.ndarray:
     x = np.stack([np.asarray(v, dtype=np.float64) for v in column])
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])  # by a power of two: squares stay finite
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 

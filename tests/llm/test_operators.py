@@ -1,6 +1,7 @@
 """Corpus operators against brute force and on odd input: nulls, empty and repeated rows, ties, long texts."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -310,13 +311,48 @@ def test_language_spans_and_prediction(spark, sf_dir):
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows if r["held"]]) > 0.95
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "12 34 !"), (4, "日本語"), (5, "a" * 5_000)], "doc_id long, text string")
     got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(odd, model, ["doc_id"]).collect()}
-    assert [got[i] for i in (1, 2, 3, 4)] == ["und"] * 4 and got[5] in model.langs
+    assert [got[i] for i in (1, 2, 3)] == ["und"] * 3 and got[4] in model.langs and got[5] in model.langs
+    assert {r["doc_id"]: r["score"] for r in langid.predict(odd, model, ["doc_id"]).collect()}[4] == 0
     german, english = (next(r["text"] for r in docs.filter(F.col("lang") == x).take(1)) for x in ("de", "en"))
     assert {s[0] for s in langid.spans(model, german + " " + english)} >= {"de", "en"}
     nothing = langid.learn(docs.filter("false"))
     assert {r["lang_pred"] for r in langid.predict(odd, nothing, ["doc_id"]).collect()} == {"und"}
     kept = langid.keep_determined(odd.withColumn("lang_pred", F.lit("x")), model)
-    assert kept.columns == ["doc_id", "text", "lang_pred"] and {r["doc_id"] for r in kept.collect()} == {5}
+    assert kept.columns == ["doc_id", "text", "lang_pred"] and {r["doc_id"] for r in kept.collect()} == {4, 5}
+    assert {r["doc_id"] for r in langid.keep_determined(odd, nothing).collect()} == {4, 5}
+
+
+def language_model(r, n, words=6):
+    """``n`` invented languages with a vocabulary each, and that vocabulary."""
+    vocabulary = {f"l{k:03}": ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 5))) for _ in range(words)] for k in range(n)}
+    grams = {lang: dict(Counter(g for w in ws for g in langid.trigrams(w))) for lang, ws in vocabulary.items()}
+    return langid.Model(grams, {lang: {"latin": 100} for lang in vocabulary}), vocabulary
+
+
+def test_viterbi_finds_the_best_of_all_labellings():
+    r = random.Random(4)
+    for n in (2, 3):
+        model, vocabulary = language_model(r, n)
+        for _ in range(60):
+            words = [r.choice(r.choice(list(vocabulary.values()))) for _ in range(r.randint(1, 7))]
+            [labels], _ = model.label([" ".join(words)])
+            scores = model.scores[model.rows(words)]
+            value = lambda path: sum(scores[i, k] for i, k in enumerate(path)) - langid.SWITCH * sum(a != b for a, b in zip(path, path[1:]))
+            best = max(value(path) for path in itertools.product(range(n), repeat=len(words)))
+            assert value(labels.tolist()) == pytest.approx(best, abs=1e-9)
+
+
+def test_languages_beyond_a_byte():
+    model, vocabulary = language_model(random.Random(9), 300, 40)
+    for lang in ("l000", "l126", "l127", "l128", "l150", "l255", "l256", "l299"):
+        [name], [share] = model.predict([" ".join(vocabulary[lang])])
+        assert name == lang and share > 0.9
+
+
+def test_vectors_of_any_scale(spark):
+    rows = [(1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [3.0, 6.0]), (4, [-1e300, 1e300]), (5, [0.0, 0.0])]
+    got = projection.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {x["vec_id"]: (x["n_links"], x["component_id"]) for x in got} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5)}
 
 
 def test_scores(spark, corpus, docs):
