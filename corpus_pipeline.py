@@ -15,9 +15,10 @@ from revstream.llm.queries import TOKENIZER
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined; ``lang`` stays as it was given.
+    """Documents with text, without mixtures of languages; ``lang`` stays as it was given.
 
-    The model learns from the labelled rows of the input. Rejected are documents without text or letters.
+    The model learns from the labelled rows of the input. Rejected are documents without text or letters, and those
+    in which no language has 40 % of the letters. Texts in scripts that no learned language uses stay.
     """
     return langid.keep_determined(docs, langid.learn(docs))
 
