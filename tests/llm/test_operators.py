@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -216,6 +217,60 @@ def test_line_dedup_removes_every_repeated_run(spark):
     assert n == {i: (len(t.split("\n")) - len(want[i].split("\n")), int(t != want[i])) for i, t, *_ in rows}
 
 
+def first_of_each_run(rows):
+    """Texts of ``(id, text)`` without the runs of two or more lines that came before, by plain search."""
+    pairs = lambda x: [(k, (x[k], x[k + 1])) for k in range(len(x) - 1) if x[k] != x[k + 1] and (x[k] + x[k + 1]).strip()]
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        lines = text.split("\n")
+        gone = set()
+        for k, pair in pairs(lines):
+            if pair in seen:
+                gone |= {k, k + 1}
+            seen.add(pair)
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def test_line_dedup_matches_a_plain_search(spark, sf_dir):
+    """Real documents, each given again with lines of others around it; no equal lines side by side."""
+    given = [(x["doc_id"], x["text"]) for x in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect() if x["text"]]
+    lines = [x for _, t in given for x in t.split("\n")]
+    r = random.Random(3)
+    rows = {i: t for i, t in given if all(a != b for a, b in zip(t.split("\n"), t.split("\n")[1:]))}
+    for k in range(60):
+        at = r.randrange(len(lines) - 30)
+        body = [r.choice(lines), *lines[at : at + r.randint(2, 30)], r.choice(lines)]
+        body = [x for a, x in enumerate(body) if not a or x != body[a - 1]]
+        rows[10_000_000 + k] = "\n".join(body)
+    want = first_of_each_run(rows.items())
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    assert {x["doc_id"]: x["text"] for x in linededup.deduplicate(df).collect()} == want
+    assert sum(want[i] != t for i, t in rows.items()) > 50
+
+
+def test_line_chunks_have_content_defined_cuts():
+    r = random.Random(4)
+    body = [f"{r.random()} {r.random()}" for _ in range(400)]
+    coarse = lambda x: {b"\n".join(x[a : a + n]) for a, n, c in zip(*[y.tolist() for y in linededup.spans(x)[:3]]) if c}
+    one, two = [x.encode() for x in body], [x.encode() for x in ["new", "lines", *body[:200], "inserted", *body[200:]]]
+    assert 20 < len(coarse(one)) < 100
+    assert len(coarse(one) - coarse(two)) <= 1 and len(coarse(two) - coarse(one)) <= 3
+
+
+def test_line_dedup_of_a_long_text_is_linear(spark):
+    r = random.Random(5)
+    half = "\n".join(" ".join(str(r.randrange(10**6)) for _ in range(8)) for _ in range(100_000))  # 5 MB
+    rows = [(1, half + "\nbetween\n" + half, 7, "a", 1), (2, "---\n---\nx", 8, "b", 2), (3, "own\n---\n---", 9, "c", 3), (4, "\n\n\n", 1, "d", 4), (5, "\n\n\n", 1, "d", 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, rk long, `first` string, __rk int")
+    begun = time.time()
+    out = {x["doc_id"]: x for x in linededup.deduplicate(df).collect()}
+    assert time.time() - begun < 60
+    assert out[1]["text"] == half + "\nbetween" and out[2]["text"] == rows[1][1] and out[3]["text"] == "own"
+    assert out[4]["text"] == out[5]["text"] == "\n\n\n"
+    assert all((x["rk"], x["first"], x["__rk"]) == rows[i - 1][2:] for i, x in out.items())
+
+
 def test_decontamination_tolerates_substitutions(spark):
     r = random.Random(9)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
