@@ -174,34 +174,67 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
 _PACKED = "bucket int, rk binary, n binary, hash binary, low binary, high binary"
 
 
-def _pack(rks: list[int], counts: list[int], hashes: list[np.ndarray], places: list[np.ndarray], buckets: int, wide: bool) -> Iterator[pa.RecordBatch]:
+def _settled(h: np.ndarray, rk: np.ndarray, place: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries a task can tell to be repeated by itself, and which have to be dealt out.
+
+    Of a hash with two different places, one of them in the index, all entries are hits. Only three of them go
+    on to tell other tasks: one in the index, and two that show that places differ.
+    """
+    order = np.argsort(h, kind="stable")
+    twin = np.zeros(len(h) + 1, dtype=bool)
+    twin[1:-1] = h[order][1:] == h[order][:-1]
+    order = order[twin[1:] | twin[:-1]]  # of hashes that stand here at least twice
+    known, dealt = np.zeros(len(h), dtype=bool), np.ones(len(h), dtype=bool)
+    if not len(order):
+        return known, dealt
+    key, own, indexed = h[order], _place_keys(rk[order], place[order]), place[order] % np.uint32(step) == 0
+    new = np.flatnonzero(np.diff(key, prepend=~key[:1]))
+    least, most = np.minimum.reduceat(own, new), np.maximum.reduceat(own, new)
+    sizes = np.diff(np.append(new, len(key)))
+    hit = np.repeat((least != most) & np.logical_or.reduceat(indexed, new), sizes)
+    known[order[hit]] = True
+    dealt[order[hit]] = False
+    group = np.repeat(np.arange(len(new)), sizes)
+    for sign in (own == least[group], own == most[group], indexed):
+        some = np.flatnonzero(hit & sign)
+        dealt[order[some[np.unique(group[some], return_index=True)[1]]]] = True
+    return known, dealt
+
+
+def _pack(rks: list[int], counts: list[int], hashes: list[np.ndarray], places: list[np.ndarray], buckets: int, wide: bool, step: int | None) -> Iterator[pa.RecordBatch]:
     rk, n = np.array(rks, dtype=np.int64), np.array(counts, dtype=np.int64)
     h, p = np.concatenate(hashes), np.concatenate(places).astype(np.uint32)
     doc = np.repeat(np.arange(len(rk), dtype=np.int32), n)
     b = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+    if step:
+        known, dealt = _settled(h, rk[doc], p, step)
+        parts = buckets + _parts(rk, buckets)
+        b = np.concatenate([b[dealt], parts[doc[known]]])
+        doc, h, p = (np.concatenate([x[dealt], x[known]]) for x in (doc, h, p))
     order = np.argsort(b, kind="stable")
-    cuts = np.searchsorted(b[order], np.arange(buckets + 1))
+    which = np.unique(b)
+    cuts = np.searchsorted(b[order], np.append(which, which[-1] + 1))
     rows: dict[str, list] = {c: [] for c in ("bucket", "rk", "n", "hash", "low", "high")}
-    for i in range(buckets):
-        own = order[cuts[i] : cuts[i + 1]]
-        if not len(own):
-            continue
+    for k, i in enumerate(which.tolist()):
+        own = order[cuts[k] : cuts[k + 1]]
         d, at = doc[own], p[own]
         first = np.flatnonzero(np.diff(d, prepend=-1))
         rows["bucket"].append(i)
         rows["rk"].append(rk[d[first]].tobytes())
         rows["n"].append(np.diff(np.append(first, len(d))).astype(np.int32).tobytes())
-        rows["hash"].append((h[own] if wide else h[own].astype(np.uint32)).tobytes())
+        rows["hash"].append(b"" if i >= buckets else (h[own] if wide else h[own].astype(np.uint32)).tobytes())
         rows["low"].append(b"" if wide else at.astype(np.uint16).tobytes())
         rows["high"].append(b"" if wide else (at >> np.uint32(16)).astype(np.uint16).tobytes())
     yield pa.RecordBatch.from_arrays([pa.array(rows["bucket"], pa.int32()), *(pa.array(rows[c], pa.binary()) for c in ("rk", "n", "hash", "low", "high"))], names=list(rows))
 
 
-def packed_hashes(source: DataFrame, hashes: Callable[[str], tuple], buckets: int, wide: bool = False) -> DataFrame:
+def packed_hashes(source: DataFrame, hashes: Callable[[str], tuple], buckets: int, wide: bool = False, step: int | None = None) -> DataFrame:
     """Hashes of every text, dealt to ``buckets`` by hash as packed arrays (one row per bucket and flush).
 
     ``hashes(text)`` gives hashes and their places, and may give a key that stands for the row's. Without ``wide`` 32 bits beside the bucket's number go on,
-    which is enough for hits that are verified later.
+    which is enough for hits that are verified later. With ``step`` (of the index) a task settles the hashes that it
+    holds repeatedly: those entries go as hits to the bucket of their text, numbered from ``buckets`` on, and each
+    flush deals out at most three of a hash.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,10 +249,10 @@ def packed_hashes(source: DataFrame, hashes: Callable[[str], tuple], buckets: in
                     ps.append(p)
                     held += len(h)
                 if held >= FLUSH_ENTRIES:
-                    yield from _pack(rks, counts, hs, ps, buckets, wide)
+                    yield from _pack(rks, counts, hs, ps, buckets, wide, step)
                     rks, counts, hs, ps, held = [], [], [], [], 0
         if held:
-            yield from _pack(rks, counts, hs, ps, buckets, wide)
+            yield from _pack(rks, counts, hs, ps, buckets, wide, step)
 
     ship(source.sparkSession)
     return source.select("rk", "text").mapInArrow(run, _PACKED)
@@ -254,24 +287,35 @@ def repeated_places(source: DataFrame, hashes: Callable[[str], tuple[np.ndarray,
 
     def match(table: pa.Table) -> pa.Table:
         rk, h, place = unpack(table, wide=False)
+        if table.column("bucket")[0].as_py() >= buckets:
+            return dealt_by_text(rk, {"place": place}, buckets)
         order = np.argsort(h, kind="stable")
         rk, h, place = rk[order], h[order], place[order]
         new = np.flatnonzero(np.diff(h, prepend=h[:1] + np.uint32(1)))
         size = np.diff(np.append(new, len(h)))
-        own = mixed(rk.view(np.uint64) + mixed(place.astype(np.uint64)))  # equal rows are one document
+        own = _place_keys(rk, place)
         several = np.minimum.reduceat(own, new) != np.maximum.reduceat(own, new)
         if index_step > 1:
             several &= np.logical_or.reduceat(place % np.uint32(index_step) == 0, new)
         hit = np.repeat(several, size)
         return dealt_by_text(rk[hit], {"place": place[hit]}, buckets)
 
-    packed = packed_hashes(source, hashes, buckets).repartition(buckets, "bucket")
+    packed = packed_hashes(source, hashes, buckets, step=index_step).repartition(buckets, "bucket")
     return gathered_by_text(packed, match, {"place": np.uint32}, buckets)
 
 
+def _place_keys(rk: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """One key per place of a document; equal rows are one document."""
+    return mixed(rk.view(np.uint64) + mixed(place.astype(np.uint64)))
+
+
+def _parts(rk: np.ndarray, parts: int) -> np.ndarray:
+    return (mixed(rk.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+
+
 def dealt_by_text(rk: np.ndarray, columns: dict[str, np.ndarray], parts: int) -> pa.Table:
     """A bucket's findings as one packed row for each part of the texts, by their keys."""
-    part = (mixed(rk.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+    part = _parts(rk, parts)
     order = np.argsort(part, kind="stable")
     part, first = np.unique(part[order], return_index=True)
     data = {"rk": rk[order]} | {name: c[order] for name, c in columns.items()}

@@ -18,6 +18,7 @@ last; removal may cut a character, and the kept bytes are returned as bytes; oth
 from __future__ import annotations
 
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -56,9 +57,32 @@ def suffix_array(text: list[int]) -> list[int]:
     previous = [-1] * n
     now = len(members) - 1
     while now >= 0:
+        own = members[now]
+        if len(own) == 1:  # most groups: one suffix, whose prefix grows once
+            i = own[0]
+            taken[now] = True
+            if group[i] == now:
+                p = i - 1
+                while p >= 0 and taken[group[p]]:
+                    p = previous[p]
+                previous[i] = p
+                if p >= 0:
+                    g = group[p]
+                    new = group[p] = len(members)
+                    members.append([p])
+                    length.append(length[g] + length[now])
+                    taken.append(False)
+                    high = above[g]
+                    above.append(high)
+                    below.append(g)
+                    above[g] = new
+                    if high >= 0:
+                        below[high] = new
+            now = below[now]
+            continue
         word, repeats = length[now], {}
         turns: dict[int, int] = {}
-        for i in members[now]:
+        for i in own:
             if group[i] != now:
                 continue
             p = i - 1
@@ -74,24 +98,23 @@ def suffix_array(text: list[int]) -> list[int]:
             if p >= 0:
                 repeats[p] = times  # members come by place, so the last is the longest row
         taken[now] = True
-        by_times: dict[int, dict[int, list[int]]] = {}
+        by_times: dict[tuple[int, int], list[int]] = {}
         for p, times in repeats.items():
-            by_times.setdefault(times, {}).setdefault(group[p], []).append(p)
-        for times in sorted(by_times, reverse=True):
-            for g, moved in by_times[times].items():
-                new = len(members)
-                moved.sort()
-                members.append(moved)
-                length.append(length[g] + times * word)
-                taken.append(False)
-                high = above[g]
-                above.append(high)
-                below.append(g)
-                above[g] = new
-                if high >= 0:
-                    below[high] = new
-                for p in moved:
-                    group[p] = new
+            by_times.setdefault((-times, group[p]), []).append(p)
+        for (times, g), moved in sorted(by_times.items()) if turns else by_times.items():
+            new = len(members)
+            moved.sort()
+            members.append(moved)
+            length.append(length[g] - times * word)
+            taken.append(False)
+            high = above[g]
+            above.append(high)
+            below.append(g)
+            above[g] = new
+            if high >= 0:
+                below[high] = new
+            for p in moved:
+                group[p] = new
         now = below[now]
     # The lowest group is the last symbol alone.
     first = [0] * len(members)
@@ -107,9 +130,10 @@ def suffix_array(text: list[int]) -> list[int]:
     order = [-1] * n
     order[0] = n - 1
     first[group[n - 1]] = 1
+    end = [i + length[g] for i, g in enumerate(group)]
     for s in order:
         j = s - 1
-        while j >= 0 and j + length[group[j]] == s:
+        while j >= 0 and end[j] == s:
             g = group[j]
             order[first[g]] = j
             first[g] += 1
@@ -117,6 +141,23 @@ def suffix_array(text: list[int]) -> list[int]:
     return order
 
 
+def owners(h: np.ndarray, width: int) -> np.ndarray:
+    """Leftmost place of the minimum of every ``width`` consecutive hashes, compared on their upper 44 bits.
+
+    Hash and place share a word, so one minimum a step finds both; ``h`` has fewer than 2 ** 20 entries.
+    """
+    n, have = len(h) - width + 1, 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64)
+    low = np.uint64((1 << 20) - 1)
+    v = h & ~low | np.arange(len(h), dtype=np.uint64)
+    while have < width:
+        step = min(have, width - have)
+        v = np.minimum(v[step:], v[:-step])
+        have += step
+    return (v[:n] & low).astype(np.int64)
+
+
 def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchor hashes and places, and the first window and number of windows of each, for the windows of ``data``.
 
@@ -126,7 +167,7 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     for at in range(0, max(len(data) - WINDOW + 1, 0), PIECE):
         x = _BYTE[np.frombuffer(data[at : at + PIECE + WINDOW - 1], dtype=np.uint8)]
         h = rolling(x, GRAM)
-        own = segments.owners(h, WINDOW - GRAM + 1)
+        own = owners(h, WINDOW - GRAM + 1)
         begin = np.flatnonzero(np.diff(own, prepend=-1))
         anchor = own[begin]
         found.append((h[anchor], anchor + at, begin + at, np.diff(np.append(begin, len(own)))))
@@ -199,15 +240,16 @@ def sorted_repeats(parts: list[tuple[tuple, int, int, bytes]]) -> list[tuple[int
     """``(part, window)`` as :func:`later_windows`, of parts with different bytes, by their suffix array.
 
     All windows hold the anchor, at the same place where they are equal, so it stands in the sorted text as one
-    symbol.
+    symbol, together with the bytes that follow it in every part.
     """
     text: list[int] = []
     owner, offset = [], []
     many = len(parts) + 2
+    shared = len(commonprefix([data[at + GRAM :] for _, _, at, data in parts]))
     for k, (_, n, at, data) in enumerate(parts):
         text += [c + many for c in data[:at]]
         text.append(many - 1)
-        text += [c + many for c in data[at + GRAM :]]
+        text += [c + many for c in data[at + GRAM + shared :]]
         text.append(k + 1)
         owner += [k] * (len(text) - len(owner))
         offset += range(len(text) - len(offset))
@@ -252,16 +294,21 @@ def sorted_groups(each: DataFrame) -> DataFrame:
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rks, firsts, ns = [], [], []
-            for group in batch.column("parts").to_pylist():
-                parts = list({(p["o"], p["rk"], p["first"]): p for p in group}.values())  # equal rows bring a segment twice
-                later = later_windows([((p["o"], p["rk"], p["first"]), p["n"], p["at"], p["bytes"]) for p in parts])
+            lists = batch.column("parts")
+            cuts = lists.offsets.to_pylist()
+            o, rk, first, n, at, data = (lists.values.field(c).to_pylist() for c in range(6))
+            for begin, end in zip(cuts, cuts[1:]):
+                each_place = zip(o[begin:end], rk[begin:end], first[begin:end])
+                # Equal rows bring a segment twice.
+                parts = [(place, n[i], at[i], data[i]) for place, i in dict(zip(each_place, range(begin, end))).items()]
+                later = later_windows(parts)
                 last = None
                 for k, w in sorted(later):
                     if last == (k, w - 1):
                         ns[-1] += 1
                     else:
-                        rks.append(parts[k]["rk"])
-                        firsts.append(parts[k]["first"] + w)
+                        rks.append(parts[k][0][1])
+                        firsts.append(parts[k][0][2] + w)
                         ns.append(1)
                     last = (k, w)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (rks, firsts, ns)], names=["rk", "first", "n"])

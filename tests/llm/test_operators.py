@@ -11,11 +11,12 @@ from math import log10
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from revstream.llm import bpe, decontam, jaccard, langid, linededup, projection, pst, queries, substring, suffixarray, warc
+from revstream.llm import bpe, common, decontam, jaccard, langid, linededup, projection, pst, queries, substring, suffixarray, warc
 from revstream.session import scratch_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, rk long"
@@ -83,6 +84,49 @@ def test_suffix_array_dedup(spark, corpus, group):
     assert got == brute(corpus, lambda t: list(t.encode()), 100, bytes)
 
 
+def test_suffix_array_spans(spark, corpus):
+    """Runs of removed bytes, with every byte's fate from a plain search."""
+    rows = without_three(corpus)
+    got = {r["doc_id"]: r["n_spans"] for r in suffixarray.report(spark.createDataFrame(rows, DOCS)).collect()}
+    seen, want = set(), {}
+    for i, text in by_order(rows):
+        body = text.encode()
+        gone = [False] * len(body)
+        for k in range(len(body) - 99):
+            if body[k : k + 100] in seen:
+                gone[k : k + 100] = [True] * 100
+            seen.add(body[k : k + 100])
+        want[i if i < 1 << 62 else None] = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+    assert got == want and sum(want.values()) > 0
+
+
+@pytest.mark.parametrize("step", [1, 10])
+def test_hot_hashes_are_reduced_in_each_task(spark, step, monkeypatch):
+    """A hash of a third of all texts: few of it are dealt out, and every place of it is found."""
+    r = random.Random(6)
+    rows = [(i, r.randrange(1 << 60), f"{r.random()} " + ("common" if i % 3 == 0 else f"x{i if i % 5 else i // 10}")) for i in range(3_000)]
+    rows += rows[:40]
+    source = spark.createDataFrame(rows, "id long, rk long, text string").repartition(4)
+
+    def hashes(text):
+        words = text.split(" ")
+        h = np.array([zlib.crc32(w.encode()) * 0x9E3779B97F4A7C15 % (1 << 64) for w in words], dtype=np.uint64)
+        return h, np.arange(len(h), dtype=np.uint32) * 7 + zlib.crc32(words[0].encode()) % 10
+
+    count = Counter()
+    for bucket in common.packed_hashes(source, hashes, 5, step=step).filter("bucket < 5").toArrow().to_batches():
+        for k in range(bucket.num_rows):
+            count.update(common.unpack(pa.Table.from_batches([bucket.slice(k, 1)]), False)[1].tolist())
+    assert max(count.values()) <= 3 * 4
+    places = defaultdict(set)
+    for _, rk, text in rows:
+        for h, p in zip(*hashes(text)):
+            places[h].add((rk, int(p)))
+    hit = set().union(*(x for x in places.values() if len(x) > 1 and any(p % step == 0 for _, p in x)))
+    found = common.repeated_places(source, hashes, 10, step).collect()
+    assert {(x["rk"], int(p)) for x in found for p in np.frombuffer(x["place"], np.uint32)} == hit and len(hit) > 900
+
+
 def test_suffix_array_order():
     r = random.Random(2)
     for _ in range(3_000):
