@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revstream.llm import segments
-from revstream.llm.common import repeated_places, rolling, texts
+from revstream.llm.common import mixed, repeated_places, rolling, texts
 
 WINDOW, GRAM = 100, 40
 PIECE = 1_000_000
@@ -179,7 +179,7 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 
 def probes(text: str) -> tuple[np.ndarray, np.ndarray]:
     h, place, _, _ = anchors(text.encode())
-    return h, place.astype(np.uint32)
+    return mixed(h), place.astype(np.uint32)  # least hashes are small: mixed once more, they fill all buckets alike
 
 
 def extend(text: str, places: np.ndarray) -> tuple[bytes, list[tuple]]:
