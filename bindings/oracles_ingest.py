@@ -62,6 +62,11 @@ ORACLES["ingest_ledger"] = with_ctes(
         0 as files_without_line, n as bad_rows
     from (select *, count(*) filter (where id % 50 = 7 or id % 70 = 3 or id % 90 = 4) over () as n from v_Opportunity) group by n"""
 )
+ORACLES["fold_months"] = with_ctes(
+    """select cast(cast(date_trunc('month', systemmodstamp) as date) as varchar) as mod_month, count(*) as deals,
+        cast(sum(amount) as double) as amount, 'true' as clustered
+    from v_Opportunity group by 1"""
+)
 _SNAKE = {
     "Account": "account", "Contact": "contact", "Lead": "lead", "Opportunity": "opportunity", "OpportunityLineItem": "opportunity_line_item",
     "Campaign": "campaign", "CampaignMember": "campaign_member", "Task": "task", "Event": "event", "User": "user",

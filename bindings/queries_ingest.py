@@ -188,6 +188,25 @@ def ingest_ledger(c: Crm):
     return status.join(per_day, "pipe_name").join(failed, "pipe_name").join(quarantined, "pipe_name")
 
 
+@query
+def fold_months(c: Crm):
+    """Deals loaded in six batches; months with several small files are folded after the fourth and the last.
+
+    Rows and amounts by month, and whether a month's rows are in two files at most: its fold and the newest batch.
+    """
+    root, obj = scratch_dir(c.spark, "landing"), "Opportunity"
+    table, checkpoint = scratch_dir(c.spark, "ingested"), scratch_dir(c.spark, "stream")
+    rows = _extract(c)
+    for part in range(6):
+        landing.land_ndjson(rows.filter(F.col("Id").cast("bigint") % 6 == part), root, obj, RUN_1)
+        ingest.auto_ingest(c.spark, root, obj, table, checkpoint, AS_OF)
+        if part in (3, 5):
+            ingest.fold_months(c.spark, table, min_files=2)
+    files = ingest.ingested_files(c.spark, table).groupBy("mod_month").agg((F.count(F.lit(1)) <= 2).alias("clustered"))
+    months = ingest.read_ingested(c.spark, table).groupBy(F.trunc("systemmodstamp", "month").alias("mod_month"))
+    return months.agg(F.count(F.lit(1)).alias("deals"), F.sum("amount").alias("amount")).join(files, "mod_month")
+
+
 @query
 def stream_upsert(c: Crm):
     """Deal versions arriving out of order end as the newest version of each deal."""

@@ -1,5 +1,6 @@
 import json
-from datetime import datetime, timezone
+from collections import Counter
+from datetime import date, datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -168,7 +169,7 @@ def test_ledger_holds_each_file_once(spark, folder):
     assert ledger()[:4] == before and loaded() == [*good, 20]
     files = landed_files(spark, folder)
     assert files.count() == 5
-    state = monitor.pipe_status(files, ingest.read_ledger(spark, table)).first()
+    state = monitor.pipe_status(files, ingest.read_ledger(spark, table), RUN).first()
     assert (state.pending, state.failed) == (0, 3)
     day = monitor.files_per_pipe_day(ingest.read_ledger(spark, table), RUN).first()
     assert (day.pipe_name, day.files_loaded, day.rows_loaded, day.errors) == ("User", 5, 20, 4)
@@ -193,6 +194,43 @@ def test_rows_without_a_ledger_entry_are_not_read(spark, folder):
     assert "mod_month" in plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
 
 
+def test_fold_leaves_few_files_and_the_same_rows(spark, folder):
+    table, checkpoint = f"{folder}/table", f"{folder}/checkpoint"
+    load = lambda: ingest.auto_ingest(spark, f"{folder}/land", "User", table, checkpoint, RUN)
+    loaded = lambda: sorted(int(r.id) for r in ingest.read_ingested(spark, table).collect())
+    months = [date(2026, m, 1) for m in (1, 2, 3)]
+    files = lambda: Counter(r.mod_month for r in ingest.ingested_files(spark, table).collect())
+    for k in range(4):
+        land_users(folder, 1, f"{k}.json", range(10 * k, 10 * k + 9), bad=(10 * k + 4,))
+        load()
+    rows = [i for k in range(4) for i in range(10 * k, 10 * k + 9) if i % 10 != 4]
+    assert ingest.fold_months(spark, table, min_files=4) == [] and set(files().values()) == {4}  # the newest batch does not count
+    assert ingest.fold_months(spark, table, min_files=3) == months
+    assert loaded() == rows and set(files().values()) == {2}
+    ledger = ingest.read_ledger(spark, table)
+    assert ledger.count() == 4 and ledger.schema.simpleString() == spark.createDataFrame([], ingest.LEDGER).schema.simpleString()
+    assert ingest.read_ingested(spark, table, bad=True).count() == 4
+    # The newest batch comes again with another file; two of its months are folded.
+    for name in ("3", ".3.crc"):
+        Path(checkpoint.removeprefix("file:"), "commits", name).unlink(missing_ok=True)
+    land_users(folder, 2, "e.json", [100, 101, 102])
+    load()
+    land_users(folder, 2, "f.json", [201, 202])
+    load()
+    rows += [100, 101, 102, 201, 202]
+    assert loaded() == sorted(rows)
+    # A fold that died before its ledger part changes nothing, and its folder is taken over by the next.
+    half = spark.read.parquet(f"{table}/rows/batch_id=0").filter("not is_bad")
+    half.write.partitionBy("is_bad", "mod_month").parquet(f"{table}/rows/batch_id=-2")
+    assert loaded() == sorted(rows)
+    assert set(ingest.fold_months(spark, table, min_files=2)) == set(months) and loaded() == sorted(rows)
+    assert max(files().values()) == 2 and ingest.fold_months(spark, table, min_files=2) == []
+    since = ingest.read_ingested(spark, table, since=datetime(2026, 3, 1, tzinfo=timezone.utc))
+    assert sorted(int(r.id) for r in since.collect()) == [i for i in sorted(rows) if i % 3 == 2]
+    times = spark.read.parquet(f"{table}/rows/batch_id=-2").filter("mod_month = date'2026-02-01'").select("systemmodstamp").collect()
+    assert times == sorted(times) and len(times) == sum(i % 3 == 1 for i in rows if i < 200)
+
+
 def test_listing_reads_no_contents(spark, folder):
     land_users(folder, 1, "a.json", range(4))
     write(f"{folder}/land/lead/date=2026-01-01", ["{}"], "b.json")
