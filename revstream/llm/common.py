@@ -276,11 +276,11 @@ def bucket_count(spark: SparkSession, source: DataFrame, bytes_per_entry: float)
     return max(partitions(spark), math.ceil(size / bytes_per_entry / 2_000_000))
 
 
-def repeated_places(source: DataFrame, hashes: Callable[[str], tuple[np.ndarray, np.ndarray]], bytes_per_entry: float, index_step: int = 1) -> DataFrame:
+def repeated_places(source: DataFrame, hashes: Callable[[str], tuple[np.ndarray, np.ndarray]], bytes_per_entry: float, index_step: int = 1, settle: bool = True) -> DataFrame:
     """``(rk, place)``, one row per text: where a text has a hash that occurs at two or more places of the corpus.
 
     With ``index_step`` the hash must also be in the index, that is, occur somewhere at a multiple of the
-    step. Hashes are compared on 32 bits beside the bucket, so some places are false; none is missing.
+    step. With ``settle`` tasks settle the hashes they hold repeatedly (:func:`packed_hashes`). Hashes are compared on 32 bits beside the bucket, so some places are false; none is missing.
     """
     spark = source.sparkSession
     buckets = bucket_count(spark, source, bytes_per_entry)
@@ -300,7 +300,7 @@ def repeated_places(source: DataFrame, hashes: Callable[[str], tuple[np.ndarray,
         hit = np.repeat(several, size)
         return dealt_by_text(rk[hit], {"place": place[hit]}, buckets)
 
-    packed = packed_hashes(source, hashes, buckets, step=index_step).repartition(buckets, "bucket")
+    packed = packed_hashes(source, hashes, buckets, step=index_step if settle else None).repartition(buckets, "bucket")
     return gathered_by_text(packed, match, {"place": np.uint32}, buckets)
 
 

@@ -85,7 +85,7 @@ def render(body: bytes, runs: np.ndarray) -> tuple[int, bytes]:
 def kept_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(id, rk, text)`` of every row, and ``(rk, n_removed, kept)`` of the texts that lose words."""
     source = texts(docs, id_col, text_col)
-    hits = repeated_places(source, probes, bytes_per_entry=6, index_step=BLOCK)
+    hits = repeated_places(source, probes, bytes_per_entry=6, index_step=BLOCK, settle=False)
     found = segments.candidate_texts(source, hits, extend)
     covered, closer = segments.resolve(found)
     more = segments.repeated_windows(segments.with_bodies(closer, found), windows)
