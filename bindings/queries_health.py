@@ -182,9 +182,8 @@ def dedup_run_history(c: Crm):
 
 @query
 def stale_alert(c: Crm):
-    """Loads that stopped on 2024-01-29 are a day old at the end of the month."""
-    loads = c.raw("LoadHistory").filter("last_load_time < date '2024-01-30'")
-    return monitor.stale_alert(loads, LEDGER_AS_OF, column="last_load_time")
+    """The newest of all loads, when it is three hours old or older at the end of the month."""
+    return monitor.stale_alert(c.raw("LoadHistory"), LEDGER_AS_OF, column="last_load_time")
 
 
 def _loads(c: Crm):

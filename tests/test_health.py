@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+import __spark_entry__ as entry_points
 from conftest import rows_of
 from revstream.operators import quality
 from revstream.plans import monitor
@@ -114,3 +115,13 @@ def test_pipe_state(spark, outcomes, silent, state):
 def test_pipe_without_loads_is_idle(spark):
     landed = spark.createDataFrame([("p", "f0"), ("p", "f9"), ("q", "x")], "pipe_name string, file_name string")
     assert rows_of(monitor.pipe_status(landed, loads(spark, "10"), NOW)) == [("p", "RUNNING", 1, 1), ("q", "IDLE", 1, 0)]
+
+
+def test_stale_alert_looks_at_the_loads_of_every_day(spark, folder):
+    events = "event_id long, ts timestamp_ntz, event_type string"
+    for at, old in ((datetime(2024, 1, 30, 9, 15), 15), (datetime(2024, 1, 30, 23, 30), None)):
+        path = f"{folder}/{at.hour}"
+        rows = [(1, datetime(2024, 1, 28, 5), "click"), (2, datetime(2024, 1, 29, 23, 59), "view"), (3, at, "view")]
+        spark.createDataFrame(rows, events).write.parquet(f"{path}/events.parquet")
+        got = entry_points.queries()["stale_alert"](spark, path).collect()
+        assert [(r.latest_load, r.hours_old) for r in got] == ([(at, old)] if old else [])
