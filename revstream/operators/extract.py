@@ -38,10 +38,11 @@ def extract_objects(
     lookback_minutes: int = LOOKBACK_MINUTES,
     log_table: Table | None = None,
     rows_per_file: int = ROWS_PER_FILE,
+    compression: str = "gzip",
 ) -> DataFrame:
     """Extract and land every object in ``sources``; returns one run-log row per object.
 
-    The rows are also appended to ``log_table`` when one is given.
+    The rows are also appended to ``log_table`` when one is given. ``compression`` is that of the landing files.
 
     The watermark of each object moves to the run's *start* as soon as that object landed, so changes made
     while the run is in flight are read again by the next one; a run that dies before that lands its rows
@@ -60,7 +61,7 @@ def extract_objects(
     def land(obj: str, start: datetime) -> int:
         written = Observation()
         rows = incremental_extract(sources[obj](), obj, start).observe(written, F.count(F.lit(1)).alias("n"))
-        land_ndjson(rows, landing_root, obj, run_ts, rows_per_file)
+        land_ndjson(rows, landing_root, obj, run_ts, rows_per_file, compression)
         return written.get["n"]
 
     def run(obj: str) -> tuple:

@@ -30,12 +30,15 @@ def object_path(root: str, obj: str) -> str:
 # -- writing ---------------------------------------------------------------------------------------
 
 
-def land_ndjson(df: DataFrame, root: str, obj: str, run_ts: datetime, rows_per_file: int = ROWS_PER_FILE) -> None:
+def land_ndjson(
+    df: DataFrame, root: str, obj: str, run_ts: datetime, rows_per_file: int = ROWS_PER_FILE, compression: str = "none"
+) -> None:
     """Write one extract as NDJSON under ``{root}/{object}/date={run date}``.
 
     Explicit NULLs are kept, at most ``rows_per_file`` rows go into a file (raise it for a bulk extract,
     where 50,000 would mean millions of files), and every row carries the extract time, the object name
-    and its ordinal within its file.
+    and its ordinal within its file. Every line repeats all field names, so ``compression="gzip"`` saves most of the
+    space; scans read such files (``.json.gz``) as they are, each as a whole in one task.
     """
     ordinal = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) % rows_per_file + 1
     out = df.withColumns(
@@ -49,6 +52,7 @@ def land_ndjson(df: DataFrame, root: str, obj: str, run_ts: datetime, rows_per_f
         out.write.mode("append")
         .option("ignoreNullFields", "false")
         .option("maxRecordsPerFile", rows_per_file)
+        .option("compression", compression)
         .options(**TIMESTAMP_TEXT)
         .json(f"{object_path(root, obj)}/date={as_utc(run_ts):%Y-%m-%d}")
     )

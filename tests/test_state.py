@@ -73,6 +73,14 @@ def test_dry_run_writes_nothing(spark, folder):
     assert not Path(f"{folder}/land").exists() and store.get("Account") == DEFAULT_WATERMARK
 
 
+def test_extract_run_packs_its_files(spark, folder):
+    _, results, _ = run(spark, folder, {"Account": lambda: source(spark, 500)})
+    assert results["Account"].records == 500
+    files = list(Path(folder, "land").rglob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert spark.read.text(f"{folder}/land").count() == 500
+
+
 def test_failed_watermark_lookup_is_one_objects_failure(spark, folder, monkeypatch):
     lookup = WatermarkStore.get
 
