@@ -214,7 +214,7 @@ def stream_upsert(c: Crm):
     table, checkpoint = Table(c.spark, scratch_dir(c.spark, "upserted")), scratch_dir(c.spark, "stream")
     for run, versions in ((RUN_1, "version <> 2"), (RUN_2, "version = 2")):
         rows = incremental_extract(c.raw("OpportunityVersion").filter(versions), obj, DEFAULT_WATERMARK)
-        landing.land_ndjson(rows, root, obj, run)
+        landing.land_ndjson(rows, root, obj, run, compression="gzip")
         ingest.stream_upsert(c.spark, root, obj, table, checkpoint, loaded_at=AS_OF)
     return table.read().select("id", "stagename", "amount", "systemmodstamp")
 

@@ -6,6 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from bindings import queries_ingest
+from conftest import rows_of
 from revstream.catalog import OBJECTS, crm_object
 from revstream.operators.incremental import incremental_extract, wire_timestamp
 from revstream.plans import monitor
@@ -238,3 +240,21 @@ def test_listing_reads_no_contents(spark, folder):
     sizes = {r.table_name: (r.files, r.bytes) for r in files.groupBy("table_name").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes")).collect()}
     assert sizes["lead"] == (1, 2) and sizes["user"][0] == 1
     assert "content" not in files._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+
+
+def test_landing_packed_files_read_the_same_and_take_a_fraction_of_the_space(spark, folder):
+    df = spark.range(20_000).coalesce(2).select(F.col("id").cast("string").alias("Id"), F.concat(F.lit("Lead "), "id").alias("Name"), F.lit(None).cast("string").alias("Company"))
+    for root, how in (("plain", {}), ("packed", {"compression": "gzip"})):
+        landing.land_ndjson(df, f"{folder}/{root}", "Lead", RUN, rows_per_file=6_000, **how)
+    plain, packed = (list(Path(folder, root, "lead").rglob("part-*")) for root in ("plain", "packed"))
+    assert len(packed) == len(plain) == 4 and all(f.name.endswith(".json.gz") for f in packed)
+    assert 5 * sum(f.stat().st_size for f in packed) < sum(f.stat().st_size for f in plain)
+    read = [landing.scan_ndjson(spark, f"{folder}/{root}/lead", "Lead").select("Id", "Name", "Company", "_row_ordinal", F.col("date").cast("string")) for root in ("plain", "packed")]
+    assert rows_of(read[0]) == rows_of(read[1]) and read[1].count() == 20_000
+
+
+def test_stream_upsert_query_lands_packed_files(spark, sf_dir, folder, monkeypatch):
+    monkeypatch.setattr(queries_ingest, "scratch_dir", lambda spark, purpose: f"{folder}/{purpose}")
+    got = queries_ingest.QUERIES["stream_upsert"](spark, sf_dir)
+    assert got.count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    assert {f.suffix for f in Path(folder, "landing").rglob("part-*")} == {".gz"}
