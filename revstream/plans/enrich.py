@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revstream.functions.scalars import (
     days_between,
@@ -31,6 +32,19 @@ def lookup(df: DataFrame, side: DataFrame, on: str, key: str, **columns: str) ->
     return df.join(right, on, "left")
 
 
+def lookup_if_set(df: DataFrame, side: DataFrame, on: str, key: str, **columns: str) -> DataFrame:
+    """:func:`lookup` by a column that is often NULL.
+
+    Such rows match nothing, but a shuffled join deals them all to one task. Here they are dealt by a digest of the
+    row, whose counterpart of ``side`` is always 0 (and not a constant, which would leave the join's keys).
+    """
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    right = side.selectExpr(f"{key} as {on}", *[f"{old} as {new}" for new, old in columns.items()])
+    right = right.withColumn("_place", F.pmod(F.xxhash64(on), F.lit(1)))
+    left = df.withColumn("_place", F.when(F.col(on).isNull(), F.xxhash64(*plain)).otherwise(F.lit(0)))
+    return left.join(right, [on, "_place"], "left").drop("_place")
+
+
 def line_item_rollup(items: DataFrame) -> DataFrame:
     """Count, total and distinct product names per opportunity.
 
@@ -85,7 +99,7 @@ def opportunity_enriched(
         df, users, "owner_id", "user_id",
         _owner="user_id", owner_name="full_name", owner_department="department", owner_manager_id="manager_id",
     )
-    df = lookup(
+    df = lookup_if_set(
         df, campaigns, "campaign_id", "campaign_id",
         _campaign="campaign_id", campaign_name="campaign_name", campaign_type="campaign_type",
     )
@@ -151,7 +165,7 @@ def lead_enriched(leads: DataFrame, users: DataFrame, members: DataFrame, campai
         last_campaign_id="last_campaign_id", last_campaign_status="last_campaign_status",
         responded_to_last_campaign="responded_to_last_campaign",
     )
-    df = lookup(df, campaigns, "last_campaign_id", "campaign_id", last_campaign_name="campaign_name")
+    df = lookup_if_set(df, campaigns, "last_campaign_id", "campaign_id", last_campaign_name="campaign_name")
     unfilled = [c for c in _LEAD_COLUMNS if c.startswith("original_campaign_")] + ["lead_grade"]
     df = df.withColumns(
         {

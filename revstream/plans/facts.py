@@ -18,7 +18,7 @@ from revstream.functions.scalars import (
     surrogate_key,
 )
 from revstream.operators.incremental import ntz
-from revstream.plans.enrich import lookup, today
+from revstream.plans.enrich import lookup, lookup_if_set, today
 
 STALE_AFTER_DAYS = 30
 
@@ -237,7 +237,7 @@ def fct_demand_generation(
     )
     # The inner join comes first: it is the one that can drop members.
     df = members.withColumnRenamed("created_at", "member_created_at").join(campaign, "campaign_id")
-    df = lookup(
+    df = lookup_if_set(
         df, leads, "lead_id", "lead_id",
         lead_email="email", lead_name="full_name", company="company", lead_title="title", industry="industry",
         annual_revenue="annual_revenue", number_of_employees="number_of_employees", person_source="lead_source",
@@ -245,12 +245,12 @@ def fct_demand_generation(
         lead_is_converted="is_converted", converted_date="converted_date",
         converted_account_id="converted_account_id", converted_opportunity_id="converted_opportunity_id",
     )
-    df = lookup(
+    df = lookup_if_set(
         df, contacts, "contact_id", "contact_id",
         contact_name="full_name", contact_email="email", contact_title="title",
         contact_source="lead_source", contact_owner_id="owner_id",
     )
-    df = lookup(
+    df = lookup_if_set(
         df, opportunities, "converted_opportunity_id", "opportunity_id",
         converted_opportunity_id_attr="opportunity_id", converted_opp_amount="amount",
         converted_opp_is_won="is_won", converted_opp_close_date="close_date",

@@ -9,7 +9,7 @@ from bindings.crm import Crm
 from revstream.operators.dedup import dedup_latest
 from revstream.operators.quantile import exact_percentiles
 from revstream.plans import analytics
-from revstream.plans.enrich import line_item_rollup, lookup
+from revstream.plans.enrich import line_item_rollup, lookup, lookup_if_set
 
 
 @contextmanager
@@ -123,3 +123,31 @@ def test_staging_reads_only_the_columns_it_needs(spark, sf_dir):
     text = plan(Crm(spark, sf_dir).opportunities.select("opportunity_id", "amount"))
     schema = text.split("ReadSchema: ")[1].split("\n")[0]
     assert "o_orderkey" in schema and "o_custkey" not in schema and "o_orderdate" not in schema
+
+
+def largest_share(df):
+    """The part of the rows that the fullest partition holds."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def dealt(spark):
+    """Plain shuffled joins: what one task gets is what its keys give it."""
+    return shuffled(spark, **{"spark.sql.adaptive.enabled": "false"})
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_lookup_if_set_deals_null_keys_to_all_tasks(spark, kind):
+    key = F.when(F.col("id") % 4 == 0, F.col("id") % 700).cast(kind)
+    facts = spark.range(0, 8_000, 1, 4).select("id", key.alias("account_id"), F.lit(None).cast("string").alias("text"))
+    accounts = spark.range(500).select(F.col("id").cast(kind).alias("account"), F.concat(F.lit("n"), "id").alias("name"))
+    accounts = accounts.union(accounts.limit(3)).union(spark.createDataFrame([(None, "none")], f"account {kind}, name string"))
+    with dealt(spark):
+        plain, spread = (fn(facts, accounts, "account_id", "account", name="name") for fn in (lookup, lookup_if_set))
+        assert largest_share(plain) > 0.7 and largest_share(spread) < 0.3
+        assert spread.columns == plain.columns and sorted(map(repr, spread.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_members_without_a_contact_or_a_deal_are_dealt_to_all_tasks(spark, sf_dir):
+    with dealt(spark):
+        assert largest_share(Crm(spark, sf_dir).demand) < 0.4
