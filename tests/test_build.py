@@ -1,6 +1,7 @@
 """The batch graph over hand-made rows: late rows, deletes, closing deals."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from conftest import rows_of
 from revstream.catalog import OBJECTS
 from revstream.plans import build as graph
 from revstream.plans.staging import UNIQUE_KEYS, conform, stage
+from revstream.session import RELEASE
 
 
 def empty(spark, obj):
@@ -120,3 +122,13 @@ def test_member_type_and_open_flags(spark):
     members = spark.createDataFrame([("1", "l", None), ("2", None, "c"), ("3", None, None)], "id string, leadid string, contactid string")
     got = rows_of(stage(members, "CampaignMember").select("campaign_member_id", "member_type", "person_id"))
     assert got == [("1", "Lead", "l"), ("2", "Contact", "c"), ("3", None, None)]
+
+
+def test_a_build_releases_shuffle_files_and_packs_its_tables(spark, folder, monkeypatch):
+    before, seen, load = spark.conf.get(RELEASE), [], graph.update_staging
+    monkeypatch.setattr(graph, "update_staging", lambda wh, *args: (seen.append(wh.spark.conf.get(RELEASE)), load(wh, *args)))
+    wh = graph.build(spark, raw(spark, FIRST), folder, datetime(2026, 4, 20), buckets=2, checks=False)
+    assert set(seen) == {"true"} and spark.conf.get(RELEASE) == before
+    assert wh.read("fct_sales_pipeline").count() == 2
+    files = list(Path(folder).glob("*/data/**/part-*"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
