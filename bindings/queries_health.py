@@ -13,6 +13,7 @@ from revstream.operators import quality
 from revstream.operators.dedup import dedup_latest, newest_first
 from revstream.operators.scd import as_of
 from revstream.plans import facts, monitor
+from revstream.plans.staging import stage
 from revstream.session import scratch_dir, written
 from revstream.sources import seeds
 from revstream.sources.tables import Table
@@ -86,10 +87,14 @@ def dq_freshness(c: Crm):
 
 
 def _checked(c: Crm) -> dict:
-    """Every table with standing checks; the enriched deals are joined and stored once for four of them."""
+    """Every table with standing checks.
+
+    Line items are deduplicated and stored once for three of them, enriched deals joined and stored once for four.
+    """
+    lines = written(dedup_latest(c.raw("OpportunityLineItem"), "id", newest_first(*LINE_ITEM_ORDER)), "lines")
+    c.line_items = stage(lines, "OpportunityLineItem")
     deals = written(c.enriched(), "enriched")
     sources = {f"src_{source_name(o)}": c.raw(o) for o in OBJECTS if o != "OpportunityLineItem"}
-    lines = dedup_latest(c.raw("OpportunityLineItem"), "id", newest_first(*LINE_ITEM_ORDER))
     return {
         **{name: df.select("id") for name, df in sources.items()}, "src_opportunity_line_item": lines.select("id"),
         "stg_accounts": c.accounts, "stg_contacts": c.contacts, "stg_leads": c.leads, "stg_line_items": c.line_items,

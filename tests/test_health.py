@@ -6,9 +6,12 @@ from datetime import datetime, timedelta
 import pytest
 
 import __spark_entry__ as entry_points
+from bindings import queries_health
+from bindings.crm import LINE_ITEM_ORDER, Crm
 from conftest import rows_of
 from revstream.operators import quality
-from revstream.plans import monitor
+from revstream.operators.dedup import dedup_latest, newest_first
+from revstream.plans import monitor, staging
 from revstream.sources.tables import Table
 
 NOW = datetime(2026, 4, 20, 12)
@@ -125,3 +128,12 @@ def test_stale_alert_looks_at_the_loads_of_every_day(spark, folder):
         spark.createDataFrame(rows, events).write.parquet(f"{path}/events.parquet")
         got = entry_points.queries()["stale_alert"](spark, path).collect()
         assert [(r.latest_load, r.hours_old) for r in got] == ([(at, old)] if old else [])
+
+
+def test_line_items_are_deduplicated_once_for_all_their_checks(spark, sf_dir):
+    crm = Crm(spark, sf_dir)
+    tables = queries_health._checked(crm)
+    for name in ("src_opportunity_line_item", "stg_line_items", "opportunity_enriched"):
+        assert not any("lineitem.parquet" in f for f in tables[name].inputFiles())
+    want = dedup_latest(crm.raw("OpportunityLineItem"), "id", newest_first(*LINE_ITEM_ORDER))
+    assert rows_of(tables["stg_line_items"]) == rows_of(staging.stage(want, "OpportunityLineItem"))
