@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from revstream.operators.dedup import dedup_latest, newest_first
 from revstream.operators.incremental import as_utc, ntz
+from revstream.session import variants_whole
 from revstream.sources.landing import load_typed, object_path, parse_lines
 from revstream.sources.listing import list_files
 from revstream.sources.tables import Table
@@ -59,6 +60,12 @@ def file_loads(loaded: DataFrame, pipe: str) -> DataFrame:
     )
 
 
+def _write_months(rows: DataFrame, path: str) -> None:
+    """One batch or fold by month. Records (``raw_data``) stay whole: zstd makes them as small as columns of their fields would."""
+    with variants_whole(rows.sparkSession):
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy("is_bad", "mod_month").parquet(path)
+
+
 def load_batch(batch: DataFrame, batch_id: int, obj: str, table: str) -> None:
     """Write one batch of typed rows and then its part of the load ledger, which makes the rows visible.
 
@@ -67,13 +74,11 @@ def load_batch(batch: DataFrame, batch_id: int, obj: str, table: str) -> None:
     files, ordered by time, however many tasks read the landing files.
     """
     rows, ledger = f"{table}/rows/batch_id={batch_id}", f"{table}/ledger/batch_id={batch_id}"
-    (
+    _write_months(
         batch.withColumns({"is_bad": F.col("_bad_fields").isNotNull(), "mod_month": F.trunc("systemmodstamp", "month")})
         .hint("rebalance", "is_bad", "mod_month")
-        .sortWithinPartitions("is_bad", "mod_month", "systemmodstamp")
-        .write.mode("overwrite")
-        .partitionBy("is_bad", "mod_month")
-        .parquet(rows)
+        .sortWithinPartitions("is_bad", "mod_month", "systemmodstamp"),
+        rows,
     )
     written = batch.sparkSession.read.schema(batch.schema).parquet(rows)
     file_loads(written, obj).write.mode("overwrite").parquet(ledger)
@@ -169,13 +174,7 @@ def fold_months(spark: SparkSession, table: str, small_bytes: int = SMALL_FILE,
     fold = oldest - 1
     rows = _visible(spark.read.parquet(f"{table}/rows").filter("not is_bad"), parts)
     rows = rows.filter((F.col("batch_id") < newest) & F.col("mod_month").isin(months)).drop("batch_id")
-    (
-        rows.hint("rebalance", "mod_month")
-        .sortWithinPartitions("mod_month", "systemmodstamp")
-        .write.mode("overwrite")
-        .partitionBy("is_bad", "mod_month")
-        .parquet(f"{table}/rows/batch_id={fold}")
-    )
+    _write_months(rows.hint("rebalance", "mod_month").sortWithinPartitions("mod_month", "systemmodstamp"), f"{table}/rows/batch_id={fold}")
     done = spark.createDataFrame([(m, newest - 1) for m in months], "mod_month date, until_batch long")
     done.coalesce(1).write.mode("overwrite").parquet(f"{table}/ledger/batch_id={fold}")
     return months

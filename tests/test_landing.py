@@ -3,6 +3,7 @@ from collections import Counter
 from datetime import date, datetime, timezone
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from conftest import rows_of
 from revstream.catalog import OBJECTS, crm_object
 from revstream.operators.incremental import incremental_extract, wire_timestamp
 from revstream.plans import monitor
+from revstream.session import SHREDDING
 from revstream.sources import landing
 from revstream.sources.listing import folder_below, list_files
 from revstream.streaming import ingest
@@ -258,3 +260,20 @@ def test_stream_upsert_query_lands_packed_files(spark, sf_dir, folder, monkeypat
     got = queries_ingest.QUERIES["stream_upsert"](spark, sf_dir)
     assert got.count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
     assert {f.suffix for f in Path(folder, "landing").rglob("part-*")} == {".gz"}
+
+
+def test_loads_and_folds_keep_records_whole(spark, folder):
+    """A variant taken apart into columns costs three times the time to write and to read whole."""
+    table, shredding = f"{folder}/table", {key: spark.conf.get(key) for key in SHREDDING}
+    for k in range(3):
+        land_users(folder, 1, f"{k}.json", range(10 * k, 10 * k + 9))
+        ingest.auto_ingest(spark, f"{folder}/land", "User", table, f"{folder}/checkpoint", RUN)
+    before = sorted(r.raw for r in ingest.read_ingested(spark, table).select(F.to_json("raw_data").alias("raw")).collect())
+    assert len(ingest.fold_months(spark, table, min_files=2)) == 3
+    assert sorted(r.raw for r in ingest.read_ingested(spark, table).select(F.to_json("raw_data").alias("raw")).collect()) == before
+    for batch in (0, 2, -1):
+        files = list(Path(table.removeprefix("file:")).glob(f"rows/batch_id={batch}/**/*.parquet"))
+        assert files
+        for file in files:
+            assert {f.name for f in pq.read_schema(file).field("raw_data").type} == {"metadata", "value"}
+    assert {key: spark.conf.get(key) for key in SHREDDING} == shredding
