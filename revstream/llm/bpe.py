@@ -21,10 +21,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revstream.llm.common import ship
+from revstream.llm.common import ship, tidied
 
 LONG_WORD = 256
-CACHE_CHUNKS = 300_000  # of each of two generations in a Python worker
+CACHE_CHUNKS = 300_000  # of each of two generations in a Python worker, while a task runs
 NEVER = 1 << 60
 END_MARKS = frozenset(",.;:!?")
 # Fixed value: how the tokenizer file's byte-level step splits a text.
@@ -172,8 +172,14 @@ class Codec:
 _CODECS: dict[str, Codec] = {}
 
 
+def forget_chunks() -> None:
+    """Empty the caches of this Python worker's codec: several idle workers would keep theirs beside other work."""
+    for codec in _CODECS.values():
+        codec.cache, codec.older = {}, {}
+
+
 def _codec(source: tuple) -> Codec:
-    """The codec of a broadcast tokenizer file, built once in each Python worker and kept between tasks."""
+    """The codec of a broadcast tokenizer file, built once in each Python worker and kept between tasks, without its caches."""
     digest, file = source
     if digest not in _CODECS:
         _CODECS.clear()
@@ -199,8 +205,9 @@ def _mapped(df: DataFrame, schema: str, one) -> DataFrame:
                 part = batch.slice(at, 500)
                 rows = [one(i, x.as_py()) for i, x in zip(part.column(0).to_pylist(), part.column(1))]
                 yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=pa.schema([(c, KINDS[k]) for c, k in (x.split() for x in schema.split(", "))]))
+        forget_chunks()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 KINDS = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revstream.llm.common import WordHasher, bucket_count, components, dealt_by_text, gathered_by_text, id_order, mixed, packed_hashes, rolling, ship, stored, texts, unpack
+from revstream.llm.common import WordHasher, bucket_count, components, dealt_by_text, gathered_by_text, id_order, mixed, packed_hashes, rolling, ship, stored, texts, tidied, unpack
 
 WORDS, PER_CENT = 5, 80
 FRAGMENTS = 8
@@ -84,7 +84,7 @@ def sizes(source: DataFrame) -> DataFrame:
                 ck2.append(check_key(grams) if len(grams) else None)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("rk"), *(pa.array(c, pa.int64()) for c in (n, ck, ck2))], names=["id", "rk", "n", "ck", "ck2"])
 
-    return stored(source.mapInArrow(run, "id long, rk long, n long, ck long, ck2 long"), "sizes")
+    return stored(source.mapInArrow(tidied(run), "id long, rk long, n long, ck long, ck2 long"), "sizes")
 
 
 def shared_shingles(source: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def candidates(source: DataFrame, sized: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["ck", "n", "grams", "df", "prefix"])
 
     rows = shared.join(n_of, "ck").select("ck", "n", "h", "df")
-    return stored(rows.mapInArrow(run, "ck long, n long, grams array<long>, df array<long>, prefix long"), "sets")
+    return stored(rows.mapInArrow(tidied(run), "ck long, n long, grams array<long>, df array<long>, prefix long"), "sets")
 
 
 def fragments(sets: DataFrame, count: int = FRAGMENTS) -> DataFrame:
@@ -179,7 +179,7 @@ def merged(links: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
     """
     links = stored(links, "links")
     tasks = -(-links.count() // edges_per_task)
-    trees = stored(links.coalesce(max(tasks, 1)).mapInArrow(forest, "node long, component long"), "forest")
+    trees = stored(links.coalesce(max(tasks, 1)).mapInArrow(tidied(forest), "node long, component long"), "forest")
     if tasks > 1:
         trees = components(trees.select(F.col("node").alias("a"), F.col("component").alias("b")))
     return stored(trees.select(F.col("node").alias("ck"), F.col("component").alias("class")), "classes") if tasks > 1 else trees.toDF("ck", "class")

@@ -27,14 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revstream.llm.common import ship
+from revstream.llm.common import release_memory, ship, tidied
 
 MAX_TRAIN = 2_000
 MAX_TRIGRAMS = 20_000
 SWITCH = 8.0  # nats a change of language costs
 SMOOTH = 0.5
 KEEP_SHARE = 0.4  # below it a text is a mixture that no language carries
-CACHE_WORDS = 300_000
+CACHE_WORDS = 300_000  # while a task runs
+TEXTS = 500  # labelled side by side
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 # First code points of the ranges of scripts, in order; a range ends where the next begins.
@@ -83,8 +84,12 @@ class Model:
             for s, c in scripts[lang].items():
                 if c >= 0.01 * words:
                     self.uses.setdefault(s, np.zeros(n, dtype=bool))[k] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the scored words. A task does so at its end: its Python worker keeps the model."""
         self.index: dict[str, int] = {}
-        self.scores = np.zeros((1024, n))
+        self.scores = np.zeros((1024, len(self.langs)))
         self.weight = np.zeros(1024, dtype=np.int64)
 
     def add(self, words: list[str]) -> None:
@@ -227,7 +232,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([k[2] for k in keys], pa.string()),
              pa.array([found[k] for k in keys], pa.int64())], names=["lang", "script", "what", "n"])
 
-    counts = rows.filter(F.col("draw") < share).select("lang", "text").mapInArrow(count, "lang string, script boolean, what string, n long")
+    counts = rows.filter(F.col("draw") < share).select("lang", "text").mapInArrow(tidied(count), "lang string, script boolean, what string, n long")
     counts = counts.groupBy("lang", "script", "what").agg(F.sum("n").alias("n"))
     grams: dict[str, dict[str, int]] = {}
     scripts: dict[str, dict[str, int]] = {lang: {} for lang in sizes}
@@ -249,12 +254,13 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column], text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 2_000):
-                part = batch.slice(at, 2_000)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
                 langs, shares = model.predict(part.column("predicted_text").to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(langs, pa.string()), pa.array(shares, pa.float64())], names=[*names, "lang_pred", "score"])
+        model.forget()
 
-    out = rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(tidied(run), schema)
     return out.select(*[F.col(n).alias(f.name) for n, f in zip(names, plain)], "lang_pred", "score")
 
 
@@ -263,17 +269,21 @@ def keep_determined(docs: DataFrame, model: Model, text_col: str = "text", least
 
     Texts with letters but none in a script that a learned language uses stay as well.
     """
-    model.index.clear()
+    model.forget()
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def determined(text: pd.Series) -> pd.Series:
-        model, kept = shared.value, []
-        for at in range(0, len(text), 2_000):
-            part = text.iloc[at : at + 2_000].tolist()
-            _, shares = model.predict(part)
-            # A share of 0 means that no word could be labelled: such a text stays if it has a letter.
-            kept += [share >= least or (share == 0 and bool(x) and WORD.search(x) is not None) for x, share in zip(part, shares)]
-        return pd.Series(kept, dtype=bool)
+    def determined(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = shared.value
+        for text in columns:
+            kept = []
+            for at in range(0, len(text), TEXTS):
+                part = text.iloc[at : at + TEXTS].tolist()
+                _, shares = model.predict(part)
+                # A share of 0 means that no word could be labelled: such a text stays if it has a letter.
+                kept += [share >= least or (share == 0 and bool(x) and WORD.search(x) is not None) for x, share in zip(part, shares)]
+            yield pd.Series(kept, dtype=bool)
+        model.forget()
+        release_memory()
 
     return docs.filter(F.pandas_udf(determined, "boolean")(F.col(text_col)))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revstream.llm.common import byte_powers, id_order, mixed, ship, stored, texts
+from revstream.llm.common import byte_powers, id_order, mixed, ship, stored, texts, tidied
 
 SPAN = 2  # lines of a window
 CUT_BITS = 3  # coarse chunks are some 2 ** CUT_BITS lines long
@@ -103,7 +103,7 @@ def found_chunks(source: DataFrame) -> DataFrame:
                 rest = [pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(coarse), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))]
                 yield pa.RecordBatch.from_arrays([*own, *rest], names=["id", "rk", "first", "n", "coarse", "h1", "h2"])
 
-    return source.mapInArrow(run, "id long, rk long, first int, n int, coarse boolean, h1 long, h2 long")
+    return source.mapInArrow(tidied(run), "id long, rk long, first int, n int, coarse boolean, h1 long, h2 long")
 
 
 def chunk_bodies(held: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def chunk_bodies(held: DataFrame) -> DataFrame:
             if rows:
                 yield batch_of()
 
-    return held.mapInArrow(run, "rk long, first int, n int, h1 long, h2 long, is_first boolean, body binary")
+    return held.mapInArrow(tidied(run), "rk long, first int, n int, h1 long, h2 long, is_first boolean, body binary")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -421,6 +421,28 @@ def test_language_spans_and_prediction(spark, sf_dir):
     assert {r["doc_id"] for r in langid.keep_determined(odd, nothing).collect()} == {4, 5}
 
 
+def test_workers_keep_no_words_after_a_task(spark, sf_dir):
+    """Idle Python workers stay beside other work: what a task has cached goes when it ends."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.learn(docs)
+    assert langid.keep_determined(docs, model).count() and langid.predict(docs, model, ["doc_id"]).agg(F.max("score")).first()[0] > 0
+    model.predict(["some words"])
+    assert len(model.index) == 2
+    model.forget()
+    assert not model.index and model.predict(["some words"]) == model.predict(["some words"])
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens = bpe.round_trip(docs.repartition(8), path)
+
+    def cached(batches):
+        for batch in batches:
+            found = [len(c.cache) + len(c.older) for c in bpe._CODECS.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([len(found)]), pa.array([sum(found)])], names=["codecs", "chunks"])
+
+    assert tokens.agg(F.sum("n_tokens")).first()[0] > 1_000
+    rows = spark.range(0, 64, 1, 8).mapInArrow(cached, "codecs long, chunks long").collect()
+    assert max(r["codecs"] for r in rows) == 1 and {r["chunks"] for r in rows} == {0}
+
+
 def language_model(r, n, words=6):
     """``n`` invented languages with a vocabulary each, and that vocabulary."""
     vocabulary = {f"l{k:03}": ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 5))) for _ in range(words)] for k in range(n)}
