@@ -6,6 +6,10 @@ that reaches the threshold shares a shingle in the prefixes of both sets (the fi
 global order), so candidates come from the prefixes alone. Shingles of a single set can overlap with nothing and
 take part only through the set sizes.
 
+Most sets link with nothing, and this shows in their heads: by the order of the hashes, two linked sets share at
+least ``l`` of their first ``n - ceil(t n) + l`` shingles. Only the heads, some 30 % of all shingles, are dealt out
+for every text; a set whose head has fewer shingles in common with other heads is left out of all that follows.
+
 The result is the classes of linked documents, so pairs that cannot change them are not compared: equal sets are
 one class from the start; then, for every shingle in some prefix, its sets are compared with one pivot set at a
 time, and sets already in the pivot's class are left out. The pivots of a turn differ from shingle to shingle, so
@@ -24,17 +28,20 @@ key; a second key of 64 bits is compared, and two sets that share only the first
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revstream.llm.common import WordHasher, bucket_count, components, dealt_by_text, gathered_by_text, id_order, mixed, packed_hashes, rolling, ship, stored, texts, tidied, unpack
+from revstream.llm.common import WordHasher, components, dealt_by_text, gathered_by_text, id_order, mixed, packed_hashes, partitions, rolling, ship, stored, texts, tidied, unpack
 
 WORDS, PER_CENT = 5, 80
+HEAD_SHARE = 10  # of a set's shingles, one in so many more than a prefix needs are in its head
+BUCKET_ENTRIES = 2_000_000
+MOST_BITS = 1 << 24
 FRAGMENTS = 8
 STAR_ROUNDS = 16
 PAIRS_PER_ENTRY = 16  # pairs left across classes that are compared at once, per entry of the lists
@@ -87,36 +94,103 @@ def sizes(source: DataFrame) -> DataFrame:
     return stored(source.mapInArrow(tidied(run), "id long, rk long, n long, ck long, ck2 long"), "sizes")
 
 
-def shared_shingles(source: DataFrame) -> DataFrame:
-    """``(ck, h, df)``, one row per set: the shingles that other sets have too, and how many sets have them."""
+def head_length(n):
+    """Shingles of a set of ``n``, smallest hashes first, of which linked sets share :func:`head_overlap` at least."""
+    return np.minimum(n, n - least_overlap(n) + np.maximum(n // HEAD_SHARE, 1))
+
+
+def head_overlap(n):
+    """A set linked with one of ``n`` has ``least_overlap(n)`` shingles or more: of its extra ones and those of ``n``, the fewer."""
+    return np.maximum(least_overlap(n) // HEAD_SHARE, 1)
+
+
+def several(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Set key, hash and number of sets of every hash of a bucket that more than one set has."""
+    ck, h, _ = unpack(table, wide=True)
+    order = np.lexsort((ck, h))
+    ck, h = ck[order], h[order]
+    once = np.ones(len(h), dtype=bool)
+    once[1:] = (h[1:] != h[:-1]) | (ck[1:] != ck[:-1])  # copies of a set are one set
+    ck, h = ck[once], h[once]
+    new = np.flatnonzero(np.diff(h, prepend=h[:1] + np.uint64(1)))
+    df = np.diff(np.append(new, len(h)))
+    df = np.repeat(df, df)
+    return ck[df > 1], h[df > 1], df[df > 1]
+
+
+def buckets_of(spark: SparkSession, entries: int | None) -> int:
+    return max(partitions(spark), -(-(entries or 0) // BUCKET_ENTRIES))
+
+
+def reachable(source: DataFrame, sized: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(rk, n)`` of one text of every set that may link, by the smallest hashes of all sets alone."""
+    spark = source.sparkSession
+
+    def head_of(text: str) -> tuple:
+        grams = shingles(text)
+        head = mixed(grams[: head_length(len(grams))])  # the smallest hashes would all go to the first buckets
+        return head, np.zeros(len(head), dtype=np.uint32), short_key(grams) if len(grams) else 0
+
+    def match(table: pa.Table) -> pa.Table:
+        ck, met = np.unique(several(table)[0], return_counts=True)
+        return dealt_by_text(ck, {"met": met.astype(np.int32)}, buckets)
+
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            met = np.array([np.frombuffer(x, dtype=np.int32).sum() for x in batch.column("met").to_pylist()], dtype=np.int64)
+            yield batch.select(["rk", "n"]).filter(pa.array(met >= head_overlap(n)))
+
+    # Never more than 0.3 n and two: that many entries are room for all heads.
+    buckets = buckets_of(spark, sized.agg(F.sum(F.floor(F.col("n") * (100 - PER_CENT) / 100 + F.col("n") / HEAD_SHARE) + 2)).first()[0])
+    packed = packed_hashes(source, head_of, buckets, wide=True).repartition(buckets, "bucket")
+    met = gathered_by_text(packed, match, {"met": np.int32}, buckets).withColumnRenamed("rk", "ck")
+    return stored(met.join(sets, "ck").select("rk", "n", "met").mapInArrow(tidied(enough), "rk long, n long"), "reachable")
+
+
+def only(rows: DataFrame, count: int, most_bits: int = MOST_BITS) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """Takes from a batch the texts whose ``rk`` is in ``rows``, and others that share a bit with one of these.
+
+    A bit map of at most ``most_bits`` bits goes to all tasks, so that no text is shuffled. The fuller it is, the
+    more other texts stay; none that is in ``rows`` goes.
+    """
+    bits = min(most_bits, max(1 << 16, 1 << (16 * count).bit_length()))
+    at = F.col("rk").bitwiseAND(F.lit(bits - 1))
+    words = rows.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set")).toArrow()
+    marks = np.zeros(bits // 64, dtype=np.int64)
+    marks[found.column("word").to_numpy()] = found.column("set").to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(marks.view(np.uint64))
+
+    def taken(batch: pa.RecordBatch) -> pa.RecordBatch:
+        place = batch.column("rk").to_numpy() & np.int64(bits - 1)
+        return batch.filter(pa.array((shared.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0))
+
+    return taken
+
+
+def shared_shingles(source: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``(ck, h, df)``, one row per set of ``chosen(rk, n)``: the shingles that others of these have too, and how many have them."""
 
     def grams_of(text: str) -> tuple:
         grams = shingles(text)
         return grams, np.zeros(len(grams), dtype=np.uint32), short_key(grams) if len(grams) else 0
 
     def match(table: pa.Table) -> pa.Table:
-        ck, h, _ = unpack(table, wide=True)
-        order = np.lexsort((ck, h))
-        ck, h = ck[order], h[order]
-        once = np.ones(len(h), dtype=bool)
-        once[1:] = (h[1:] != h[:-1]) | (ck[1:] != ck[:-1])  # copies of a set are one set
-        ck, h = ck[once], h[once]
-        new = np.flatnonzero(np.diff(h, prepend=h[:1] + np.uint64(1)))
-        df = np.diff(np.append(new, len(h)))
-        df = np.repeat(df, df)
-        ck, h, df = ck[df > 1], h[df > 1], df[df > 1]
+        ck, h, df = several(table)
         return dealt_by_text(ck, {"h": h, "df": df.astype(np.int64)}, buckets)
 
-    buckets = bucket_count(source.sparkSession, source, 6)
-    packed = packed_hashes(source, grams_of, buckets, wide=True).repartition(buckets, "bucket")
+    count, entries = chosen.agg(F.count("*"), F.sum("n")).first()
+    buckets = buckets_of(source.sparkSession, entries)
+    packed = packed_hashes(source, grams_of, buckets, wide=True, only=only(chosen, count)).repartition(buckets, "bucket")
     return gathered_by_text(packed, match, {"h": np.uint64, "df": np.int64}, buckets).withColumnRenamed("rk", "ck")
 
 
 def candidates(source: DataFrame, sized: DataFrame) -> DataFrame:
     """Sets whose shared shingles suffice for a link, in the global order, with the length of their prefix."""
-    shared = shared_shingles(source)
     one = F.when(F.min("ck2") == F.max("ck2"), F.first("n")).otherwise(F.raise_error(F.lit("two sets share a key")).cast("long"))
-    n_of = stored(sized.filter("n > 0").groupBy("ck").agg(one.alias("n")), "set-sizes")
+    n_of = stored(sized.filter("n > 0").groupBy("ck").agg(one.alias("n"), F.min("rk").alias("rk")), "set-sizes")
+    shared = shared_shingles(source, reachable(source, sized, n_of))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,7 +206,7 @@ def candidates(source: DataFrame, sized: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["ck", "n", "grams", "df", "prefix"])
 
-    rows = shared.join(n_of, "ck").select("ck", "n", "h", "df")
+    rows = shared.join(n_of.select("ck", "n"), "ck").select("ck", "n", "h", "df")
     return stored(rows.mapInArrow(tidied(run), "ck long, n long, grams array<long>, df array<long>, prefix long"), "sets")
 
 
@@ -255,11 +329,12 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class: its first by id; of rows equal in id and text any one stays."""
     key = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
-    found = stored(classes(docs, id_col, text_col).groupBy("rk").agg(F.every("keep").alias("keep"), F.count("*").alias("rows"), F.max("n").alias("n")), "kept")
-    going = found.filter("not keep").select(F.col("rk").alias("__rk"))
-    left = docs.join(going, key == F.col("__rk"), "left_anti")
-    twice = found.filter("keep and rows > 1 and n > 0").select(F.col("rk").alias("__rk"))
+    found = classes(docs, id_col, text_col).groupBy("rk").agg(F.every("keep").alias("keep"), F.count("*").alias("rows"), F.max("n").alias("n"))
+    # Stored without the rows that stay as they are, so that its size on disk tells Spark whether texts must be shuffled to meet it.
+    marked = stored(found.filter("not keep or rows > 1 and n > 0").select(F.col("rk").alias("__rk"), "keep"), "marked")
+    left = docs.join(marked.select("__rk"), key == F.col("__rk"), "left_anti")
+    twice = marked.filter("keep").select("__rk")
     if twice.isEmpty():
         return left
-    again = left.join(twice, key == F.col("__rk"), "left_semi").withColumn("__rk", key).dropDuplicates(["__rk"]).drop("__rk")
-    return left.join(twice, key == F.col("__rk"), "left_anti").union(again)
+    again = docs.join(twice, key == F.col("__rk"), "left_semi").withColumn("__rk", key).dropDuplicates(["__rk"]).drop("__rk")
+    return left.union(again)

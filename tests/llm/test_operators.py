@@ -205,6 +205,55 @@ def test_near_copies_form_few_pairs(spark, copies, monkeypatch):
     assert sum(pairs) < 300 * copies
 
 
+def test_heads_of_linked_sets_meet():
+    r = random.Random(11)
+    for _ in range(3_000):
+        n, shared = r.randint(1, 120), []
+        grams = np.unique(np.array([r.getrandbits(64) for _ in range(2 * n)], dtype=np.uint64))
+        cut = r.randint(0, n)
+        a, b = grams[:n], np.unique(np.concatenate([grams[cut // 4 : n], grams[n : n + r.randint(0, cut)]]))
+        shared = len(np.intersect1d(a, b))
+        if 100 * shared >= jaccard.PER_CENT * len(np.union1d(a, b)):
+            met = len(np.intersect1d(a[: jaccard.head_length(len(a))], b[: jaccard.head_length(len(b))]))
+            assert met >= jaccard.head_overlap(len(a)) and met >= jaccard.head_overlap(len(b))
+
+
+def test_bit_map_takes_the_texts_asked_for(spark):
+    keys = np.random.default_rng(3).integers(-(1 << 63), (1 << 63) - 1, 2_000)
+    asked = spark.createDataFrame([(int(k),) for k in keys[:100]], "rk long")
+    batch = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(["x"] * 2_000)], names=["rk", "text"])
+    for most_bits, others in ((jaccard.MOST_BITS, 20), (128, 1_900)):
+        got = set(jaccard.only(asked, 100, most_bits)(batch).column("rk").to_pylist())
+        assert set(keys[:100].tolist()) <= got and len(got) <= 100 + others
+    none = asked.limit(0)
+    assert jaccard.only(none, 0)(batch).num_rows == 0
+
+
+def test_texts_without_near_copies_deal_out_heads_only(spark, monkeypatch):
+    """A third of the shingles travels for texts that link with nothing, and rows that stay are not stored again."""
+    r = random.Random(8)
+    texts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(300)) for _ in range(200)]
+    texts += [" ".join(texts[0].split()[:-1]), texts[1]]
+    dealt, rows = [], {}
+
+    def counted(*args, f=jaccard.packed_hashes, **kw):
+        out = f(*args, **kw)
+        dealt.append(out.agg(F.sum(F.octet_length("hash"))).first()[0] / 8)
+        return out
+
+    def noted(df, purpose, f=jaccard.stored):
+        out = f(df, purpose)
+        rows[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "packed_hashes", counted)
+    monkeypatch.setattr(jaccard, "stored", noted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {x["doc_id"] for x in jaccard.keep_one(docs).collect()} == set(range(200))
+    assert sum(dealt) < 0.35 * 202 * 296
+    assert rows["reachable"] == 2 and rows["marked"] == 2
+
+
 def test_keep_one_leaves_one_row_of_each_class(docs):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
