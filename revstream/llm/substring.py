@@ -17,6 +17,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +29,14 @@ NONE = np.iinfo(np.uint64).max
 _HASHER: list[WordHasher] = []
 
 
-def block_hashes(words: bytes) -> np.ndarray:
+def hasher() -> WordHasher:
     if not _HASHER:
         _HASHER.append(WordHasher())
-    return rolling(_HASHER[0].words(words)[2], BLOCK)
+    return _HASHER[0]
+
+
+def block_hashes(words: bytes) -> np.ndarray:
+    return rolling(hasher().words(words)[2], BLOCK)
 
 
 def probes(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +59,8 @@ def extend(text: str, places: np.ndarray) -> tuple[bytes, list[tuple]]:
     A window's anchor is its hit with the smallest hash.
     """
     body = b" ".join(text.encode().split())
-    h = block_hashes(body)
+    starts, ends, h = hasher().words(body)
+    h = rolling(h, BLOCK)
     places = places[places < len(h)]
     value = np.full(len(h), NONE, dtype=np.uint64)
     value[places] = np.minimum(h[places], NONE - np.uint64(1))
@@ -63,7 +69,6 @@ def extend(text: str, places: np.ndarray) -> tuple[bytes, list[tuple]]:
     begin = np.flatnonzero(np.diff(np.where(hit, own, -1), prepend=-2))
     size = np.diff(np.append(begin, len(own)))
     begin, size = begin[hit[begin]], size[hit[begin]]
-    starts, ends = word_bounds(body)
     anchor = own[begin]
     columns = h[anchor].view(np.int64), begin, size, starts[begin], ends[begin + size + WINDOW - 2], anchor - begin
     return body, list(zip(*(c.tolist() for c in columns)))
@@ -99,12 +104,21 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return source.join(changed, "rk", "left").select(F.col("id").alias("doc_id"), F.coalesce(F.decode("kept", "UTF-8"), words).alias("text"))
 
 
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``id, rk``, the number of words, and the digest of the words joined by one space."""
+    for batch in batches:
+        sizes, digests = [], []
+        for text in batch.column("text").cast(pa.binary()):
+            words = text.as_py().split()
+            sizes.append(len(words))
+            digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("rk"), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())], names=["id", "rk", "n", "whole"])
+
+
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row."""
     source, changed = kept_words(docs, id_col, text_col)
-    words = F.btrim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "), F.lit(" "))
-    n = F.when(F.col("words") == "", 0).otherwise(F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) + 1)
-    plain = source.select("id", "rk", words.alias("words")).select("id", "rk", n.cast("long").alias("n"), F.sha2("words", 256).alias("whole"))
+    plain = source.mapInArrow(counted, "id long, rk long, n long, whole string")
     short = changed.select("rk", "n_removed", F.sha2("kept", 256).alias("kept"))
     return plain.join(short, "rk", "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_words"), F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
                                                   F.coalesce("kept", "whole").alias("kept_sha256"))

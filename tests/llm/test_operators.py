@@ -75,6 +75,26 @@ def test_substring_dedup(spark, corpus):
     assert got == brute(corpus, lambda t: t.encode().split(), 20, lambda u: b" ".join(u))
 
 
+def test_substring_report_splits_words_in_tasks_without_patterns(spark):
+    """Words of a text are counted and joined in one pass over its bytes, whatever stands between them."""
+    texts = [None, "", " \n ", "\x0b a\t\tb \r\n é\u00a0c\f", "one", " ".join(map(str, range(50))), "x  \n" + "\n ".join(map(str, range(50)))]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(1, ""), (None, "z z")], "doc_id long, text string")
+    out = substring.report(df)
+    assert "regexp_replace" not in out._jdf.queryExecution().toString().lower()
+    sha = lambda w: hashlib.sha256(b" ".join(w)).hexdigest()
+    want = [(i, len(w := (t or "").encode().split()), 0, sha(w)) for i, t in [*enumerate(texts[:-1]), (1, ""), (None, "z z")]] + [(6, 51, 50, sha([b"x"]))]
+    assert Counter(tuple(r) for r in out.collect()) == Counter(want)
+
+
+def test_orders_are_stable():
+    r = np.random.default_rng(3)
+    for x in (r.integers(0, 1 << 32, 5_000, dtype=np.uint32), r.integers(0, 9, 5_000).astype(np.uint32), np.full(3, (1 << 32) - 1, dtype=np.uint32), np.zeros(0, dtype=np.uint32)):
+        assert (common.order32(x) == np.argsort(x, kind="stable")).all()
+    for parts in (7, 1 << 16, (1 << 16) + 1, 1_000_000):
+        x = np.append(r.integers(0, parts, 5_000), [parts - 1, 0]).astype(np.int32)
+        assert (common.order_of_parts(x, parts) == np.argsort(x, kind="stable")).all()
+
+
 @pytest.mark.parametrize("group", [2, 64])
 def test_suffix_array_dedup(spark, corpus, group):
     df = spark.createDataFrame(without_three(corpus), DOCS)
