@@ -7,7 +7,7 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
-from math import log10
+from math import log, log10
 
 import numpy as np
 import public_tokenizers
@@ -565,6 +565,89 @@ def test_scores(spark, corpus, docs):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and abs(r["score"] - r["base_score"]) < 1e-9 for r in alone)
 
 
+def tree_scores(rows):
+    """Log10 probabilities of ``rows`` of (text, learned from) by the suffix tree, from plain counts of word tuples."""
+    texts = [(t or "").encode().lower().split() + [pst.END] for t, _ in rows]
+    count = Counter(w for t, (_, train) in zip(texts, rows) if train for w in t)
+    n, scale = sum(count.values()), sum(count.values()) + pst.ADD * (len(count) + 1)
+    p0 = lambda w: (count[w] + pst.ADD) / scale
+    often = lambda w, share: count[w] >= max(1, share * n)
+    other = 1 - sum(p0(w) for w in count if often(w, pst.SYMBOL))
+    places = []  # word, the words before it from the nearest on, learned from
+    for t, (_, train) in zip(texts, rows):
+        for i, w in enumerate(t):
+            places.append((w, tuple(reversed(([pst.END] + t[:i])[-pst.DEPTH :])), train, w if often(w, pst.SYMBOL) else None))
+    p = {sym: p0(sym) if sym else other for *_, sym in places}
+    now = [p[sym] for *_, sym in places]
+    shorter = [0] * len(places)
+    for depth, share in ((1, pst.CONTEXT), (2, pst.CONTEXT_2)):
+        context = [b[:depth] if len(b) >= depth and all(often(w, share) for w in b[:depth]) else None for _, b, _, _ in places]
+        pairs = Counter((c, sym) for c, (_, _, train, sym) in zip(context, places) if c and train)
+        total = Counter(c for c, x in zip(context, places) if c and x[2])
+        kept = {x: m for x, m in pairs.items() if total[x[0]] >= 1e-4 * n and m >= max(2, pst.ENTRY * n)}
+        before = {(c, sym): q for c, (_, _, _, sym), q in zip(context, places, now)}
+        gain, inside = Counter(), Counter()
+        for (c, sym), m in kept.items():
+            gain[c] += m * log(m / total[c] / before[c, sym])
+            inside[c] += m
+        for k, (c, x) in enumerate(zip(context, places)):
+            if c in inside and shorter[k] == depth - 1:
+                shorter[k] = depth
+            if c in inside and gain[c] >= max(pst.MIN_TOTAL, pst.MIN_NATS * total[c]):
+                now[k] = (kept.get((c, x[3]), 0) + (pst.PRIOR + total[c] - inside[c]) * now[k]) / (total[c] + pst.PRIOR)
+    now = [q if sym else q * p0(w) / other for q, (w, _, _, sym) in zip(now, places)]
+    for longer in range(1, pst.DEPTH + 1):
+        context = [b[: s + longer] if min(len(b), pst.DEPTH) >= s + longer else None for s, (_, b, _, _) in zip(shorter, places)]
+        pairs = Counter((c, x[0]) for c, x in zip(context, places) if c and x[2])
+        total = Counter(c for c, x in zip(context, places) if c and x[2])
+        gain, inside = Counter(), Counter()
+        for c, q, (w, _, train, _) in zip(context, now, places):
+            if c and train and pairs[c, w] >= 2:
+                gain[c] += log(pairs[c, w] / total[c] / q)
+                inside[c] += 1
+        for k, (c, x) in enumerate(zip(context, places)):
+            if c in inside and gain[c] >= max(pst.MIN_TOTAL, pst.MIN_NATS * total[c]):
+                m = pairs[c, x[0]]
+                now[k] = ((m if m >= 2 else 0) + (pst.PRIOR + total[c] - inside[c]) * now[k]) / (total[c] + pst.PRIOR)
+    out, at = [], 0
+    for t in texts:
+        out.append(sum(log10(q) for q in now[at : at + len(t)]))
+        at += len(t)
+    return out
+
+
+@pytest.mark.parametrize("head", [None, 1e-3])
+def test_scores_equal_plain_counts(spark, corpus, monkeypatch, head):
+    """Also where words outside the head, hashes in the texts, are learned."""
+    for name in ("HEAD", "SYMBOL", "CONTEXT") if head else ():
+        monkeypatch.setattr(pst, name, head)
+    r = random.Random(8)
+    weights = [1 / (k + 1) for k in range(400)]
+    some = [" ".join("W" * (k % 7 == 0) + f"w{k}" for k in r.choices(range(400), weights, k=r.randint(0, 160))) for _ in range(150)]
+    texts = [(i, t) for i, (_, t, *_) in enumerate(corpus)] + [(200 + i, t) for i, t in enumerate(some + some[:5])] + [(None, some[7]), (None, some[7])]
+    out = pst.scores(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), F.col("doc_id") % 5 != 1)
+    want = zip(texts, tree_scores([(t, i is not None and i % 5 != 1) for i, t in texts]))
+    have, expected = (sorted((-1 if i is None else i, x) for i, x in rows) for rows in ([(x["doc_id"], x["score"]) for x in out.collect()], [(i, x) for (i, _), x in want]))
+    assert [i for i, _ in have] == [i for i, _ in expected]
+    assert [x for _, x in have] == pytest.approx([x for _, x in expected], abs=2e-3, rel=1e-6)
+
+
+def test_scores_deal_out_words_in_few_bytes(spark, sf_dir):
+    """A word goes to its bucket in fewer bytes than the keys of its text and contexts took (23)."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select(F.col("doc_id").alias("id"), F.lit(True).alias("train"), F.coalesce("text", F.lit("")).alias("text"))
+    counts = pst.word_counts(rows.select("text"))
+    tree = pst.head_of(counts)
+    share = spark.sparkContext.broadcast
+    coded = pst.coded_texts(rows, share(tree))
+    model = share(pst.grow(coded, tree))
+    met = coded.join(pst.rare_counts(coded, counts.filter("false"), 4), "num", "left")
+    size = sum(F.octet_length(c) for c in ("off", "w1", "w2", "w3", "s", "n"))
+    dealt = sum(pst._places(met, model, 4, turn).agg(F.sum(size)).first()[0] for turn in range(pst.SLICES))
+    words = counts.agg(F.sum("n")).first()[0]
+    assert 0 < dealt < 16 * words
+
+
 def test_scores_learn_rare_and_long_contexts(spark):
     """A word known by the one, or the three, words before it, whose share of the corpus is below any fixed one."""
     r = random.Random(6)
