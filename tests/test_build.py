@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
+from revstream import session
 from revstream.catalog import OBJECTS
+from revstream.operators.upsert import merge_in_buckets, merge_upsert
 from revstream.plans import build as graph
 from revstream.plans.staging import UNIQUE_KEYS, conform, stage
-from revstream.session import RELEASE
+from revstream.session import RELEASE, scratch
 
 
 def empty(spark, obj):
@@ -132,3 +134,37 @@ def test_a_build_releases_shuffle_files_and_packs_its_tables(spark, folder, monk
     assert wh.read("fct_sales_pipeline").count() == 2
     files = list(Path(folder).glob("*/data/**/part-*"))
     assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+
+
+def test_an_incremental_build_removes_its_scratch_folders(spark, folder, monkeypatch):
+    made, where = [], session.scratch_dir
+    monkeypatch.setattr(session, "scratch_dir", lambda *args: made.append(where(*args)) or made[-1])
+    graph.build(spark, raw(spark, FIRST), folder, datetime(2026, 4, 20), buckets=2, checks=False)
+    wh = graph.build(spark, raw(spark, SECOND), folder, datetime(2026, 4, 21), buckets=2, checks=False)
+    assert wh.read("fct_bookings").count() == 2
+    names = {Path(p).name.rsplit("-", 1)[0].split("-")[0] for p in made}
+    assert {"latest", "deals", "rollup", "touched"} <= names
+    assert not [p for p in made if Path(p).exists()]
+
+
+def test_scratch_frames_go_when_what_they_were_made_into_is_stored(spark):
+    with scratch(spark) as store:
+        first = store(spark.range(3), "first")
+        second = store(first.filter("id > 0"), "second", first)
+        folders = [path for _, path in store.held]
+        assert len(folders) == 1 and rows_of(second) == [(1,), (2,)]
+    assert not Path(folders[0]).exists()
+
+
+@pytest.mark.parametrize("insert_only", [False, True])
+@pytest.mark.parametrize("deleted", [None, [(3,), (6,), (None,)]])
+def test_a_merge_in_buckets_sends_rows_once_and_equals_the_joins(spark, insert_only, deleted):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n"), (5, "e"), (5, "f"), (7, "g")], "k long, v string")
+    updates = spark.createDataFrame([(2, "B", 1), (4, "D", 1), (None, "N", 1), (5, "E", 1), (6, "F", 1)], "k long, v string, w int")
+    deletes = None if deleted is None else spark.createDataFrame(deleted, "k long")
+    got = merge_in_buckets(target, updates, "k", {0: 1_000_000, 1: 50, 2: 3}, 3, deletes, insert_only)
+    assert rows_of(got.drop("bucket")) == rows_of(merge_upsert(target, updates, "k", deletes=deletes, insert_only=insert_only))
+    assert got._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    with pytest.raises(Exception, match="several updates of k"):
+        merge_in_buckets(target, updates.union(updates), "k", {0: 9, 1: 9, 2: 9}, 3, deletes, insert_only).collect()
