@@ -12,6 +12,7 @@ from bindings.crm_views import AS_OF, view
 from revstream.operators.dedup import dedup_latest, newest_first
 from revstream.operators.scd import scd2_build
 from revstream.plans import dims, enrich, facts, staging
+from revstream.session import Scratch
 
 LINE_ITEM_ORDER = ("systemmodstamp", "product2id", "pricebookentryid", "quantity", "totalprice")
 
@@ -54,9 +55,9 @@ class Crm:
     events = cached_property(lambda self: self.stg("Event"))
     users = cached_property(lambda self: self.stg("User"))
 
-    def enriched(self, keys: bool = True) -> DataFrame:
+    def enriched(self, keys: bool = True, store: Scratch | None = None) -> DataFrame:
         return enrich.opportunity_enriched(
-            self.opportunities, self.accounts, self.users, self.campaigns, self.line_items, AS_OF, keys
+            self.opportunities, self.accounts, self.users, self.campaigns, self.line_items, AS_OF, keys, store
         )
 
     @cached_property

@@ -14,7 +14,7 @@ from revstream.operators.dedup import dedup_latest, newest_first
 from revstream.operators.scd import as_of
 from revstream.plans import facts, monitor
 from revstream.plans.staging import stage
-from revstream.session import scratch_dir, written
+from revstream.session import Scratch, scratch, scratch_dir, shuffles_released
 from revstream.sources import seeds
 from revstream.sources.tables import Table
 
@@ -86,34 +86,37 @@ def dq_freshness(c: Crm):
     return quality.freshness(_staged(c), AS_OF, column="updated_at", warn_hours=24 * 60, error_hours=24 * 365)
 
 
-def _checked(c: Crm) -> dict:
+def _checked(c: Crm, store: Scratch | None = None) -> dict:
     """Every table with standing checks.
 
-    Line items are deduplicated and stored once for three of them, enriched deals joined and stored once for four.
+    Line items are deduplicated and stored once for three of them, enriched deals joined and stored once for four, and
+    so are other joined frames with several checks.
     """
-    lines = written(dedup_latest(c.raw("OpportunityLineItem"), "id", newest_first(*LINE_ITEM_ORDER)), "lines")
+    store = store or Scratch(c.spark)
+    lines = store(dedup_latest(c.raw("OpportunityLineItem"), "id", newest_first(*LINE_ITEM_ORDER)), "lines")
     c.line_items = stage(lines, "OpportunityLineItem")
-    deals = written(c.enriched(), "enriched")
+    deals = store(c.enriched(store=store), "enriched")
     sources = {f"src_{source_name(o)}": c.raw(o) for o in OBJECTS if o != "OpportunityLineItem"}
     return {
         **{name: df.select("id") for name, df in sources.items()}, "src_opportunity_line_item": lines.select("id"),
         "stg_accounts": c.accounts, "stg_contacts": c.contacts, "stg_leads": c.leads, "stg_line_items": c.line_items,
         "stg_opportunities": c.opportunities, "stg_campaigns": c.campaigns, "stg_campaign_members": c.members,
         "stg_tasks": c.tasks, "stg_events": c.events, "stg_users": c.users,
-        "opportunity_enriched": deals, "lead_enriched": c.lead_enriched,
+        "opportunity_enriched": deals, "lead_enriched": store(c.lead_enriched, "leads"),
         "stage_order": seeds.stage_order(c.spark), "bookings_targets": seeds.bookings_targets(c.spark),
         "dim_account": c.dim_account, "dim_contact": c.dim_contact, "dim_lead": c.dim_lead, "dim_user": c.dim_user,
         "dim_campaign": c.dim_campaign,
         "fct_sales_pipeline": facts.fct_sales_pipeline(deals, AS_OF), "fct_bookings": facts.fct_bookings(deals, AS_OF),
-        "fct_win_rate": facts.fct_win_rate(deals, AS_OF), "fct_campaign_performance": c.campaign_performance,
-        "fct_demand_generation": c.demand,
+        "fct_win_rate": facts.fct_win_rate(deals, AS_OF), "fct_campaign_performance": store(c.campaign_performance, "performance"),
+        "fct_demand_generation": store(c.demand, "demand"),
     }
 
 
 @query
 def dq_run(c: Crm):
     """Every standing check over sources, staging, enriched frames, seeds, dimensions and facts."""
-    return quality.run_checks(_checked(c))
+    with shuffles_released(c.spark), scratch(c.spark) as store:
+        return quality.run_checks(_checked(c, store))
 
 
 @query

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from revstream.functions.scalars import hours_between
 from revstream.operators.incremental import loaded_at, ntz
-from revstream.session import written
+from revstream.session import scratch, shuffles_released, written
 from revstream.sources.tables import Table
 
 # -- conditions a failing row meets ------------------------------------------------------------------
@@ -274,11 +274,19 @@ def results_of(failures: DataFrame, tables: dict[str, DataFrame], checks: list[C
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None, failures: Table | None = None) -> DataFrame:
-    """Result rows of the checks. With ``failures`` the failing rows are kept in that table, and counted there."""
-    found = failing_rows(tables, checks)
-    if failures is not None:
-        failures.overwrite(found)
-        found = failures.read()
-    else:
-        found = written(found.drop("failing_row"), "failures")
+    """Result rows of the checks. With ``failures`` the failing rows are kept in that table, and counted there.
+
+    Tables are checked one after the other, and the shuffle files of one go before the next: all in one plan, those of
+    every uniqueness check lie on disk at once.
+    """
+    wanted = _wanted(tables, checks)
+    if not wanted:
+        raise ValueError("no check on any of the tables")
+    spark = next(iter(tables.values())).sparkSession
+    with shuffles_released(spark), scratch(spark) as store:
+        if failures is not None:
+            failures.overwrite(reduce(DataFrame.union, [store(failing_rows({name: tables[name]}, checks), "failures") for name in wanted]))
+            found = failures.read()
+        else:
+            found = reduce(DataFrame.union, [written(failing_rows({name: tables[name]}, checks).drop("failing_row"), "failures") for name in wanted])
     return results_of(found, tables, checks)

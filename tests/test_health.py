@@ -12,6 +12,7 @@ from conftest import rows_of
 from revstream.operators import quality
 from revstream.operators.dedup import dedup_latest, newest_first
 from revstream.plans import monitor, staging
+from revstream.session import RELEASE
 from revstream.sources.tables import Table
 
 NOW = datetime(2026, 4, 20, 12)
@@ -137,3 +138,16 @@ def test_line_items_are_deduplicated_once_for_all_their_checks(spark, sf_dir):
         assert not any("lineitem.parquet" in f for f in tables[name].inputFiles())
     want = dedup_latest(crm.raw("OpportunityLineItem"), "id", newest_first(*LINE_ITEM_ORDER))
     assert rows_of(tables["stg_line_items"]) == rows_of(staging.stage(want, "OpportunityLineItem"))
+
+
+def test_checks_of_each_table_release_their_shuffle_files(spark, monkeypatch):
+    """All checks in one plan keep the shuffle files of every uniqueness check until the last has ended."""
+    before, seen, plain = spark.conf.get(RELEASE), [], quality.failing_rows
+    monkeypatch.setattr(quality, "failing_rows", lambda tables, checks=None: (seen.append((list(tables), spark.conf.get(RELEASE))), plain(tables, checks))[1])
+    users = spark.createDataFrame([(1, "a"), (1, None)], "user_id long, email string")
+    tasks = spark.createDataFrame([(1,), (2,)], "task_id long")
+    got = {(r.table_name, r.check_name, r.column_name): r.failures for r in quality.run_checks({"stg_users": users, "stg_tasks": tasks, "other": tasks}).collect()}
+    assert sorted(seen) == [(["stg_tasks"], "true"), (["stg_users"], "true")] and spark.conf.get(RELEASE) == before
+    assert got["stg_users", "unique", "user_id"] == 1 and got["stg_users", "not_null", "email"] == 1 and got["stg_tasks", "unique", "task_id"] == 0
+    with pytest.raises(ValueError, match="no check"):
+        quality.run_checks({"other": tasks})
