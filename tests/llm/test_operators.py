@@ -787,3 +787,22 @@ def overlaps(words, item):
         for j in places.get(w, ()):
             lines[k - j].add(j)
     return width > 0 and any(sum(j + d in on for d in range(width)) >= need for on in lines.values() if len(on) >= need for j in range(len(item) - width + 1))
+
+
+@pytest.mark.parametrize("head, word, pair", [(None, None, None), (2e-4, 1e-2, 1e-3), (2e-4, 1e-3, 1e-4)])
+def test_scores_count_every_next_word_of_frequent_contexts(spark, monkeypatch, head, word, pair):
+    """After frequent contexts too next words count from two occurrences on, each for itself, whoever holds the counts."""
+    for name, value in (("HEAD", head), ("SHARED_WORD", word), ("SHARED", pair)):
+        if value:
+            monkeypatch.setattr(pst, name, value)
+    r = random.Random(12)
+    weights = [1 / (k + 1) for k in range(300)]
+    texts = [" ".join(f"w{k}" for k in r.choices(range(300), weights, k=60)) for _ in range(700)]
+    texts += [f"w0 only{k % 90} w1 w0 once{k} w1 w0 both{k % 40}" for k in range(200)]
+    asked = ["w0 only7", "w1 w0 both3", "w0 once9", "w0 never", "w1 w0 w250", ""]
+    rows = [(t, True) for t in texts] + [(t, False) for t in asked]
+    docs = spark.createDataFrame([(i, t, train) for i, (t, train) in enumerate(rows)], "doc_id long, text string, train boolean")
+    have = [x["score"] for x in sorted(pst.scores(docs.repartition(3), F.col("train")).collect(), key=lambda x: x["doc_id"])]
+    monkeypatch.setattr(pst, "SYMBOL", 0.0)  # of the plain counts: nothing is cut
+    monkeypatch.setattr(pst, "ENTRY", 0.0)
+    assert have == pytest.approx(tree_scores(rows), abs=2e-3, rel=1e-6)
