@@ -168,3 +168,9 @@ def test_a_merge_in_buckets_sends_rows_once_and_equals_the_joins(spark, insert_o
     assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     with pytest.raises(Exception, match="several updates of k"):
         merge_in_buckets(target, updates.union(updates), "k", {0: 9, 1: 9, 2: 9}, 3, deletes, insert_only).collect()
+
+
+def test_no_more_tables_are_built_at_once_than_cores_can_use(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert graph.at_once(spark, 8) == max(1, min(8, cores // 2)) and graph.at_once(spark, 1) == 1
+    assert graph.at_once(spark, 1_000) <= cores
